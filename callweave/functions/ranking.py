@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callweave.session import ensure_checkpoint_dir
+from callweave.session import ensure_checkpoint_dir, materialize
 
 _PID_SHIFT = 33  # monotonically_increasing_id keeps the partition id in the upper bits
 
@@ -28,15 +28,16 @@ def _cols(cols: Sequence) -> list[Column]:
 def with_global_index(df: DataFrame, order_cols: Sequence, name: str = "idx") -> DataFrame:
     """Add ``name``: position of each row in the order ``order_cols`` (must be total).
 
-    The sorted, id-tagged rows are checkpointed so the counting pass and the
-    numbering pass see the same partitioning (range bounds come from sampling).
+    The sorted, id-tagged rows are written once (``materialize``) so the counting pass
+    and the numbering pass see the same partitioning (range bounds come from sampling).
+    Parquet keeps the row order of each written file, and each file is one partition.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     tagged = (df.orderBy(*_cols(order_cols))
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    tagged = materialize(tagged, "index")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -31,6 +31,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if (master or "").startswith("local"):
+        conf.setdefault("spark.driver.memory", "12g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -59,3 +61,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="callweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str = "t"):
+    """Cut lineage: write ``df`` as Parquet under the checkpoint directory and read it back.
+
+    Unlike ``Dataset.checkpoint`` the re-read table carries real file-size statistics,
+    so iterative jobs do not inherit ever-growing join estimates from earlier rounds,
+    and AQE sees true sizes when it picks broadcast or sort-merge joins."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/callweave-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
