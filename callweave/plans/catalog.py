@@ -62,3 +62,108 @@ SELECT project, rank, a, b, n_calls, weight FROM (
 WHERE rank <= 20""")
 def q_top20_pairs(spark, sf_dir):
     return V.top20_pairs(analysis(spark, sf_dir).coupling)
+
+
+# ---------------------------------------------------------------------------
+# Clustering and modules
+# ---------------------------------------------------------------------------
+from callweave.operators import modules as MO  # noqa: E402
+from callweave.plans.context import QUERY_CP  # noqa: E402
+from callweave.plans.oracle import cluster_block  # noqa: E402
+
+_PP1 = "SELECT a, b, n_calls AS n FROM coupling"
+_DG_COLS = 'project, node_id, label, "left", "right", sim, level, n_classes, intra_calls'
+
+
+@query("dendrogram", cluster_block(_PP1) + f"\nSELECT {_DG_COLS} FROM dg")
+def q_dendrogram(spark, sf_dir):
+    return analysis(spark, sf_dir).dendro.select("project", "node_id", "label", "left", "right", "sim", "level",
+                                                 "n_classes", "intra_calls")
+
+
+@query("dendrogram_zero_merges", cluster_block(_PP1) + f"\nSELECT {_DG_COLS} FROM dg WHERE sim = 0 AND \"left\" IS NOT NULL")
+def q_dendrogram_zero(spark, sf_dir):
+    d = analysis(spark, sf_dir).dendro
+    return d.filter((F.col("sim") == 0) & F.col("left").isNotNull()).select(
+        "project", "node_id", "label", "left", "right", "sim", "level", "n_classes", "intra_calls")
+
+
+@query("dendrogram_nodes", cluster_block(_PP1) + """
+SELECT project, node_id, label, n_classes, "left" IS NULL AS is_leaf FROM dg""")
+def q_dendrogram_nodes(spark, sf_dir):
+    d = analysis(spark, sf_dir).dendro
+    return d.select("project", "node_id", "label", "n_classes", F.col("left").isNull().alias("is_leaf"))
+
+
+@query("dendrogram_text", cluster_block(_PP1) + """
+SELECT project, node_id, CASE WHEN "left" IS NULL THEN 'Leaf(' || label || ')'
+  ELSE printf('Cluster(%s, coupling=%.3f, classes=%d)', label, sim, n_classes) END AS text FROM dg""")
+def q_dendrogram_text(spark, sf_dir):
+    return MO.dendrogram_text(analysis(spark, sf_dir).dendro)
+
+
+@query("node_avg_coupling", cluster_block(_PP1) + """
+SELECT 'shop' AS project, node_id, label, n_classes, avg_coupling FROM dga""")
+def q_node_avg(spark, sf_dir):
+    d = MO.node_avg_coupling(analysis(spark, sf_dir).dendro)
+    return d.select("project", "node_id", "label", "n_classes", "avg_coupling")
+
+
+@query("dendrogram_listing", cluster_block(_PP1) + """
+SELECT 'shop' AS project, w.pre, w.depth,
+  CASE WHEN d."left" IS NULL THEN repeat('  ', CAST(w.depth AS INTEGER)) || '└─ ' || d.label
+       ELSE repeat('  ', CAST(w.depth AS INTEGER)) || '├─ ' || d.label
+            || printf(' (couplage: %.3f, classes: %d)', d.sim, d.n_classes) END AS text
+FROM walk w JOIN dga d USING (node_id)""")
+def q_dendrogram_listing(spark, sf_dir):
+    return MO.dendrogram_listing(analysis(spark, sf_dir).cut["nodes"])
+
+
+_MOD_SQL = f"""
+, qn AS (SELECT node_id FROM dga WHERE avg_coupling >= {QUERY_CP} AND (SELECT max(n_classes) FROM dga) >= 2),
+leafmod AS (
+  SELECT a.node_id AS leaf, arg_max(a.anc, a.dist) AS module_node
+  FROM anc a JOIN qn ON qn.node_id = a.anc JOIN dga l ON l.node_id = a.node_id AND l."left" IS NULL
+  GROUP BY a.node_id),
+mods AS (
+  SELECT d.node_id AS module_node, 'Module_' || d.label AS module_id, d.n_classes AS class_count,
+         d.avg_coupling, CAST(row_number() OVER (ORDER BY w.pre) AS BIGINT) AS module_no
+  FROM dga d JOIN walk w USING (node_id) WHERE d.node_id IN (SELECT module_node FROM leafmod))
+"""
+
+
+@query("modules", cluster_block(_PP1) + _MOD_SQL + """
+SELECT 'shop' AS project, module_no, module_id, class_count, avg_coupling FROM mods""")
+def q_modules(spark, sf_dir):
+    return analysis(spark, sf_dir).cut["modules"]
+
+
+@query("module_members", cluster_block(_PP1) + _MOD_SQL + """
+SELECT 'shop' AS project, m.module_id, d.label AS class_fqn
+FROM leafmod lm JOIN mods m USING (module_node) JOIN dga d ON d.node_id = lm.leaf""")
+def q_module_members(spark, sf_dir):
+    return analysis(spark, sf_dir).cut["members"]
+
+
+@query("unassigned_classes", cluster_block(_PP1) + _MOD_SQL + """
+SELECT 'shop' AS project, label AS class_fqn FROM dga
+WHERE "left" IS NULL AND node_id NOT IN (SELECT leaf FROM leafmod)""")
+def q_unassigned(spark, sf_dir):
+    return analysis(spark, sf_dir).cut["unassigned"]
+
+
+@query("module_constraints", cluster_block(_PP1) + _MOD_SQL + f"""
+SELECT 'shop' AS project, n AS n_classes, n // 2 AS max_modules, m AS n_modules, m <= n // 2 AS m2_ok,
+       coalesce(mn >= {QUERY_CP}, true) AS cp_ok
+FROM (SELECT max(n_classes) AS n FROM dga), (SELECT count(*) AS m, min(avg_coupling) AS mn FROM mods)""")
+def q_module_constraints(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return MO.module_constraints(a.dendro, a.cut["modules"], QUERY_CP)
+
+
+@query("module_summary", cluster_block(_PP1) + _MOD_SQL + """
+SELECT 'shop' AS project, n AS n_classes, m AS n_modules, coalesce(mn, 0.0) AS min_coupling_used
+FROM (SELECT max(n_classes) AS n FROM dga), (SELECT count(*) AS m, min(avg_coupling) AS mn FROM mods)""")
+def q_module_summary(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return MO.module_summary(a.dendro, a.cut["modules"])

@@ -75,6 +75,38 @@ class Analysis:
         return _keep(C.coupling_weights(C.coupling_directed(self.typed_calls)))
 
 
+    # --- clustering ----------------------------------------------------------
+    @cached_property
+    def dendro(self) -> DataFrame:
+        from callweave.operators.cluster import dendrogram
+        from callweave.session import materialize
+        pairs = self.coupling.select("project", "a", "b", F.col("n_calls").alias("n"))
+        return materialize(dendrogram(pairs), "dendrogram")
+
+    @cached_property
+    def cut(self) -> dict:
+        from callweave.operators.modules import cut
+        return cut(self.dendro, QUERY_CP)
+
+    @cached_property
+    def dendro_directed(self) -> DataFrame:
+        from callweave.operators.cluster import dendrogram
+        from callweave.session import materialize
+        folded = C.fold_directed(self.coupling_directed).select("project", "a", "b", F.col("n_calls").alias("n"))
+        totals = C.coupling_total(self.coupling_directed)
+        return materialize(dendrogram(folded, totals), "dendrogram_directed")
+
+    @cached_property
+    def cut_directed(self) -> dict:
+        from callweave.operators.modules import cut
+        return cut(self.dendro_directed, QUERY_CP)
+
+
+# CP used by the registered module queries (the tool's slider; 0.1 leaves no module
+# on graphs with thousands of pairs because weights are fractions of the total).
+QUERY_CP = 0.0005
+
+
 def analysis(spark: SparkSession, sf_dir: str) -> Analysis:
     key = (id(spark), sf_dir)
     a = _CONTEXTS.get(key)

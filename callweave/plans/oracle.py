@@ -97,8 +97,92 @@ d_weights AS (
 """
 
 
+# Average-linkage merge list by a recursive CTE: one merge per step, the best pair
+# by (s/(na*nb) desc, a, b) over the contracted edges; merged ids are n + it.
+# ``pp`` must be defined by the caller: (a, b, n) class pairs of one project.
+_CLUSTER = r"""
+cls AS (SELECT c, CAST(row_number() OVER (ORDER BY c) - 1 AS BIGINT) AS id
+        FROM (SELECT a AS c FROM pp UNION SELECT b FROM pp)),
+nn AS (SELECT count(*) AS n FROM cls),
+st AS (
+  SELECT 0::BIGINT AS it, x.id AS a, y.id AS b, pp.n::BIGINT AS s, 1::BIGINT AS na, 1::BIGINT AS nb,
+         0::BIGINT AS ia, 0::BIGINT AS ib
+  FROM pp JOIN cls x ON x.c = pp.a JOIN cls y ON y.c = pp.b
+  UNION ALL
+  SELECT it + 1, least(a2, b2), greatest(a2, b2), sum(s)::BIGINT,
+         any_value(CASE WHEN a2 < b2 THEN na2 ELSE nb2 END), any_value(CASE WHEN a2 < b2 THEN nb2 ELSE na2 END),
+         any_value(CASE WHEN a2 < b2 THEN ia2 ELSE ib2 END), any_value(CASE WHEN a2 < b2 THEN ib2 ELSE ia2 END)
+  FROM (SELECT st.it, st.s,
+          CASE WHEN a IN (ba, bb) THEN nn.n + st.it ELSE a END AS a2,
+          CASE WHEN b IN (ba, bb) THEN nn.n + st.it ELSE b END AS b2,
+          CASE WHEN a IN (ba, bb) THEN bna + bnb ELSE na END AS na2,
+          CASE WHEN b IN (ba, bb) THEN bna + bnb ELSE nb END AS nb2,
+          CASE WHEN a IN (ba, bb) THEN bia + bib + bs ELSE ia END AS ia2,
+          CASE WHEN b IN (ba, bb) THEN bia + bib + bs ELSE ib END AS ib2
+        FROM st, nn, (SELECT a AS ba, b AS bb, na AS bna, nb AS bnb, ia AS bia, ib AS bib, s AS bs FROM st
+                      ORDER BY s::DOUBLE / (na * nb) DESC, a, b LIMIT 1) z
+        WHERE NOT (a = ba AND b = bb))
+  GROUP BY it, least(a2, b2), greatest(a2, b2)),
+pos AS (
+  SELECT it, a AS l, b AS r, s, na + nb AS size, ia + ib + s AS intra, na * nb AS pairs FROM st
+  QUALIFY row_number() OVER (PARTITION BY it ORDER BY s::DOUBLE / (na * nb) DESC, a, b) = 1),
+npos AS (SELECT count(*) AS p FROM pos),
+roots AS (
+  SELECT node_id, n_classes, intra, CAST(row_number() OVER (ORDER BY node_id) - 1 AS BIGINT) AS qi FROM (
+    SELECT nn.n + it AS node_id, size AS n_classes, intra FROM pos, nn
+    WHERE nn.n + it NOT IN (SELECT l FROM pos UNION ALL SELECT r FROM pos)
+    UNION ALL
+    SELECT id, 1, 0 FROM cls WHERE id NOT IN (SELECT l FROM pos UNION ALL SELECT r FROM pos))),
+kk AS (SELECT count(*) AS k FROM roots),
+zt AS (SELECT t FROM kk, range(0, greatest(kk.k - 1, 0)) AS r(t)),
+zexp AS (
+  SELECT t, 2 * t AS item FROM zt UNION ALL SELECT t, 2 * t + 1 FROM zt
+  UNION ALL
+  SELECT zexp.t, c.item FROM zexp, kk,
+    (SELECT t AS pt, 2 * t AS item FROM zt UNION ALL SELECT t, 2 * t + 1 FROM zt) c
+  WHERE zexp.item >= kk.k AND c.pt = zexp.item - kk.k),
+zsum AS (
+  SELECT zexp.t, CAST(sum(roots.n_classes) AS BIGINT) AS n_classes, CAST(sum(roots.intra) AS BIGINT) AS intra
+  FROM zexp JOIN roots ON roots.qi = zexp.item GROUP BY zexp.t),
+ptot AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM pp),
+dg AS (
+  SELECT 'shop' AS project, id AS node_id, c AS label, NULL::BIGINT AS "left", NULL::BIGINT AS "right",
+         0.0::DOUBLE AS sim, 0 AS level, 1::BIGINT AS n_classes, 0::BIGINT AS intra_calls FROM cls
+  UNION ALL
+  SELECT 'shop', nn.n + it, 'Cluster_' || (it + 1), l, r, s / CAST(ptot.total * pairs AS DOUBLE),
+         CAST(it + 1 AS INTEGER), size, intra
+  FROM pos, nn, ptot
+  UNION ALL
+  SELECT 'shop', nn.n + npos.p + zt.t, 'Cluster_' || (npos.p + zt.t + 1),
+         CASE WHEN 2 * zt.t < kk.k THEN (SELECT node_id FROM roots WHERE qi = 2 * zt.t)
+              ELSE nn.n + npos.p + 2 * zt.t - kk.k END,
+         CASE WHEN 2 * zt.t + 1 < kk.k THEN (SELECT node_id FROM roots WHERE qi = 2 * zt.t + 1)
+              ELSE nn.n + npos.p + 2 * zt.t + 1 - kk.k END,
+         0.0, CAST(npos.p + zt.t + 1 AS INTEGER), zsum.n_classes, zsum.intra
+  FROM zt JOIN zsum USING (t), nn, npos, kk),
+dgt AS (SELECT dg.*, ptot.total FROM dg, ptot),
+dga AS (
+  SELECT *, CASE WHEN n_classes >= 2 AND total > 0
+                 THEN intra_calls / CAST(total * (n_classes * (n_classes - 1) // 2) AS DOUBLE) ELSE 0.0 END
+              AS avg_coupling
+  FROM dgt),
+links AS (
+  SELECT p."left" AS node_id, p.node_id AS parent, 1::BIGINT AS off FROM dga p WHERE p."left" IS NOT NULL
+  UNION ALL
+  SELECT p."right", p.node_id, 2 * l.n_classes FROM dga p JOIN dga l ON l.node_id = p."left"),
+walk AS (
+  SELECT node_id, 0::BIGINT AS depth, 0::BIGINT AS pre FROM dga WHERE node_id NOT IN (SELECT node_id FROM links)
+  UNION ALL
+  SELECT links.node_id, walk.depth + 1, walk.pre + links.off FROM walk JOIN links ON links.parent = walk.node_id),
+anc AS (
+  SELECT node_id, node_id AS anc, 0 AS dist FROM dga
+  UNION ALL
+  SELECT anc.node_id, links.parent, anc.dist + 1 FROM anc JOIN links ON links.node_id = anc.anc)
+"""
+
+
 def with_fixtures(body: str) -> str:
-    return "WITH " + _F_METHODS.strip() + "\n" + body.strip()
+    return "WITH RECURSIVE " + _F_METHODS.strip() + "\n" + body.strip()
 
 
 # ---------------------------------------------------------------------------
@@ -111,10 +195,15 @@ def _q(key: str, body: str) -> None:
     BODIES[key] = body
 
 
+def cluster_block(pairs_sql: str) -> str:
+    """CTEs ``pp`` (given) + the clustering views, to splice after the fixtures."""
+    return ",\npp AS (" + pairs_sql + "),\n" + _CLUSTER.strip()
+
+
 def sql_for(key: str) -> str:
     body = BODIES[key].strip()
     if body.startswith(","):
-        return "WITH " + _F_METHODS.strip() + body
+        return "WITH RECURSIVE " + _F_METHODS.strip() + body
     return with_fixtures(body)
 
 
