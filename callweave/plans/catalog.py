@@ -167,3 +167,130 @@ FROM (SELECT max(n_classes) AS n FROM dga), (SELECT count(*) AS m, min(avg_coupl
 def q_module_summary(spark, sf_dir):
     a = analysis(spark, sf_dir)
     return MO.module_summary(a.dendro, a.cut["modules"])
+
+
+@query("modules_directed", cluster_block(
+    "SELECT least(a, b) AS a, greatest(a, b) AS b, "
+    "coalesce(max(CASE WHEN a < b THEN n_calls END), max(n_calls)) AS n FROM d_coupling GROUP BY ALL",
+    "SELECT total FROM d_total") + _MOD_SQL + """
+SELECT 'shop' AS project, module_no, module_id, class_count, avg_coupling FROM mods""")
+def q_modules_directed(spark, sf_dir):
+    return analysis(spark, sf_dir).cut_directed["modules"]
+
+
+# ---------------------------------------------------------------------------
+# Code metrics
+# ---------------------------------------------------------------------------
+from callweave.operators import metrics as ME  # noqa: E402
+
+_ROLLUP = """
+, rollup AS (
+  SELECT c.project, c.package, c.class_fqn, coalesce(m.cnt, 0) AS method_count, CAST(c.attr_count AS BIGINT) AS attr_count
+  FROM f_classes c LEFT JOIN (SELECT project, class_fqn, count(*) AS cnt FROM f_methods GROUP BY ALL) m
+  USING (project, class_fqn)),
+tot AS (
+  SELECT c.project, c.n_classes, coalesce(m.total_loc, 0) AS total_loc, coalesce(m.n_methods, 0) AS n_methods,
+         c.n_packages, c.n_attributes, coalesce(m.max_params, 0) AS max_params
+  FROM (SELECT project, count(*) AS n_classes, count(DISTINCT package) AS n_packages,
+               CAST(sum(attr_count) AS BIGINT) AS n_attributes FROM f_classes GROUP BY project) c
+  LEFT JOIN (SELECT project, count(*) AS n_methods, CAST(sum(loc) AS BIGINT) AS total_loc,
+                    CAST(max(params) AS INTEGER) AS max_params FROM f_methods GROUP BY project) m USING (project)),
+top_m AS (
+  SELECT * FROM (SELECT project, class_fqn, method_count,
+      row_number() OVER (PARTITION BY project ORDER BY method_count DESC, class_fqn) AS rank,
+      count(*) OVER (PARTITION BY project) AS n FROM rollup)
+  WHERE rank <= greatest(1, ceil(n * 0.1))),
+top_a AS (
+  SELECT * FROM (SELECT project, class_fqn, attr_count,
+      row_number() OVER (PARTITION BY project ORDER BY attr_count DESC, class_fqn) AS rank,
+      count(*) OVER (PARTITION BY project) AS n FROM rollup)
+  WHERE rank <= greatest(1, ceil(n * 0.1))),
+top_loc AS (
+  SELECT * FROM (SELECT project, method_fqn, method, loc, params,
+      row_number() OVER (PARTITION BY project ORDER BY loc DESC, method_fqn, method_ord) AS rank,
+      count(*) OVER (PARTITION BY project) AS n FROM f_methods)
+  WHERE rank <= greatest(1, ceil(n * 0.1)))
+"""
+
+
+@query("class_rollup", _ROLLUP + "SELECT project, package, class_fqn, method_count, attr_count FROM rollup")
+def q_class_rollup(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return ME.class_rollup(a.classes, a.methods)
+
+
+@query("project_totals", _ROLLUP + "SELECT * FROM tot")
+def q_project_totals(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return ME.project_totals(a.classes, a.methods)
+
+
+@query("project_averages", _ROLLUP + """
+SELECT project, CASE WHEN n_classes = 0 THEN 0.0 ELSE n_methods / n_classes END AS methods_per_class,
+       CASE WHEN n_methods = 0 THEN 0.0 ELSE total_loc / n_methods END AS loc_per_method,
+       CASE WHEN n_classes = 0 THEN 0.0 ELSE n_attributes / n_classes END AS attrs_per_class FROM tot""")
+def q_project_averages(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return ME.project_averages(ME.project_totals(a.classes, a.methods))
+
+
+@query("top_classes_by_methods", _ROLLUP + "SELECT project, CAST(rank AS BIGINT) AS rank, class_fqn, method_count FROM top_m")
+def q_top_methods_cls(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return ME.top_classes_by(ME.class_rollup(a.classes, a.methods), "method_count")
+
+
+@query("top_classes_by_attrs", _ROLLUP + "SELECT project, CAST(rank AS BIGINT) AS rank, class_fqn, attr_count FROM top_a")
+def q_top_attrs_cls(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return ME.top_classes_by(ME.class_rollup(a.classes, a.methods), "attr_count")
+
+
+@query("top_classes_both", _ROLLUP + """
+SELECT project, class_fqn FROM top_m INTERSECT SELECT project, class_fqn FROM top_a""")
+def q_top_both(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return ME.top_classes_both(ME.class_rollup(a.classes, a.methods))
+
+
+@query("classes_over_x", _ROLLUP + "SELECT project, class_fqn, method_count FROM rollup WHERE method_count > 3")
+def q_over_x(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return ME.classes_over_x(ME.class_rollup(a.classes, a.methods))
+
+
+@query("top_methods_by_loc", _ROLLUP + """
+SELECT project, CAST(rank AS BIGINT) AS rank, method_fqn, loc, params,
+       method || ' [LOC=' || loc || ', params=' || params || ']' AS display FROM top_loc""")
+def q_top_loc(spark, sf_dir):
+    return ME.top_methods_by_loc(analysis(spark, sf_dir).methods)
+
+
+@query("statistics_report", _ROLLUP + """
+, avgs AS (SELECT project, CASE WHEN n_classes = 0 THEN 0.0 ELSE n_methods / n_classes END AS mpc,
+       CASE WHEN n_methods = 0 THEN 0.0 ELSE total_loc / n_methods END AS lpm,
+       CASE WHEN n_classes = 0 THEN 0.0 ELSE n_attributes / n_classes END AS apc FROM tot),
+over_x AS (
+  SELECT project, class_fqn, row_number() OVER (PARTITION BY project ORDER BY method_count DESC, class_fqn) AS r,
+         method_count FROM rollup)
+SELECT project, 1 AS line_no, 0::BIGINT AS item_no, '1. Nombre de classes: ' || n_classes AS text FROM tot
+UNION ALL SELECT project, 2, 0, '2. Nombre de lignes de code: ' || total_loc FROM tot
+UNION ALL SELECT project, 3, 0, '3. Nombre total de méthodes: ' || n_methods FROM tot
+UNION ALL SELECT project, 4, 0, '4. Nombre total de packages: ' || n_packages FROM tot
+UNION ALL SELECT project, 5, 0, '5. Moyenne méthodes par classe: ' || CAST(mpc AS VARCHAR) FROM avgs
+UNION ALL SELECT project, 6, 0, '6. Moyenne LOC par méthode: ' || CAST(lpm AS VARCHAR) FROM avgs
+UNION ALL SELECT project, 7, 0, '7. Moyenne attributs par classe: ' || CAST(apc AS VARCHAR) FROM avgs
+UNION ALL SELECT project, 13, 0, '13. Max number of parameters in any method: ' || max_params FROM tot
+UNION ALL SELECT project, 8, 0, '8. Top 10% classes (most methods):' FROM tot
+UNION ALL SELECT project, 8, rank, class_fqn FROM top_m
+UNION ALL SELECT project, 9, 0, '9. Top 10% classes (most attributes):' FROM tot
+UNION ALL SELECT project, 9, rank, class_fqn FROM top_a
+UNION ALL SELECT project, 10, 0, '10. Classes in both groups:' FROM tot
+UNION ALL SELECT project, 10, rank, class_fqn FROM top_m WHERE class_fqn IN (SELECT class_fqn FROM top_a)
+UNION ALL SELECT project, 11, 0, '11. Classes with more than 3 methods:' FROM tot
+UNION ALL SELECT project, 11, r, class_fqn FROM over_x WHERE method_count > 3
+UNION ALL SELECT project, 12, 0, '12. Top 10% methods by LOC:' FROM tot
+UNION ALL SELECT project, 12, rank, method || ' [LOC=' || loc || ', params=' || params || ']' FROM top_loc""")
+def q_statistics_report(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return ME.statistics_report(a.classes, a.methods)

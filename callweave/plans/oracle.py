@@ -144,7 +144,7 @@ zexp AS (
 zsum AS (
   SELECT zexp.t, CAST(sum(roots.n_classes) AS BIGINT) AS n_classes, CAST(sum(roots.intra) AS BIGINT) AS intra
   FROM zexp JOIN roots ON roots.qi = zexp.item GROUP BY zexp.t),
-ptot AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM pp),
+ptot AS (@PTOT@),
 dg AS (
   SELECT 'shop' AS project, id AS node_id, c AS label, NULL::BIGINT AS "left", NULL::BIGINT AS "right",
          0.0::DOUBLE AS sim, 0 AS level, 1::BIGINT AS n_classes, 0::BIGINT AS intra_calls FROM cls
@@ -195,9 +195,12 @@ def _q(key: str, body: str) -> None:
     BODIES[key] = body
 
 
-def cluster_block(pairs_sql: str) -> str:
-    """CTEs ``pp`` (given) + the clustering views, to splice after the fixtures."""
-    return ",\npp AS (" + pairs_sql + "),\n" + _CLUSTER.strip()
+def cluster_block(pairs_sql: str, total_sql: str | None = None) -> str:
+    """CTEs ``pp`` (given) + the clustering views, to splice after the fixtures.
+
+    ``total_sql`` yields one row ``total`` (the weight divisor); default: sum of pp.n."""
+    tot = total_sql or "SELECT CAST(sum(n) AS BIGINT) AS total FROM pp"
+    return ",\npp AS (" + pairs_sql + "),\n" + _CLUSTER.strip().replace("@PTOT@", tot)
 
 
 def sql_for(key: str) -> str:
