@@ -294,3 +294,177 @@ UNION ALL SELECT project, 12, rank, method || ' [LOC=' || loc || ', params=' ||
 def q_statistics_report(spark, sf_dir):
     a = analysis(spark, sf_dir)
     return ME.statistics_report(a.classes, a.methods)
+
+
+# ---------------------------------------------------------------------------
+# Name functions, call graph and resolution variants
+# ---------------------------------------------------------------------------
+from callweave.functions import names as N  # noqa: E402
+from callweave.operators import compare as X  # noqa: E402
+from callweave.sources import fixtures as FX  # noqa: E402
+
+
+def _ldp(x):
+    return f"(length({x}) - length(regexp_extract({x}, '[^.]*$', 0)))"
+
+
+def _sql_class_of(x):
+    return f"(CASE WHEN {_ldp(x)} > 1 THEN substr({x}, 1, {_ldp(x)} - 1) END)"
+
+
+def _sql_method_of(x):
+    return f"(CASE WHEN {_ldp(x)} = 0 OR {_ldp(x)} = length({x}) THEN {x} ELSE regexp_extract({x}, '[^.]*$', 0) END)"
+
+
+def _sql_group_package(x):
+    head = f"substr({x}, 1, {_ldp(x)} - 1)"
+    return (f"(CASE WHEN {_ldp(x)} = 0 THEN 'default' WHEN {_ldp(head)} = 0 THEN {head} "
+            f"ELSE substr({head}, 1, {_ldp(head)} - 1) END)")
+
+
+def _sql_simplify(x):
+    t = f"regexp_replace({x}, '\\.+$', '')"
+    return f"(CASE WHEN NOT contains({t}, '.') THEN {x} ELSE regexp_extract({t}, '[^.]*\\.[^.]*$', 0) END)"
+
+
+_SHORT = "regexp_extract({x}, '[^.]*$', 0)"
+
+
+@query("names", f"""
+, nm AS (SELECT DISTINCT project, caller AS name FROM g_calls UNION SELECT DISTINCT project, callee FROM g_calls)
+SELECT project, name, {_sql_class_of('name')} AS class_of, {_sql_method_of('name')} AS method_of,
+       {_SHORT.format(x='name')} AS short_name, {_sql_group_package('name')} AS group_package,
+       {_sql_simplify('name')} AS simplified FROM nm""")
+def q_names(spark, sf_dir):
+    c = analysis(spark, sf_dir).calls
+    nm = c.select("project", F.col("caller").alias("name")).unionByName(
+        c.select("project", F.col("callee").alias("name"))).distinct()
+    return nm.select("project", "name", N.class_of_method("name").alias("class_of"),
+                     N.method_of("name").alias("method_of"), N.short_name("name").alias("short_name"),
+                     N.group_package("name").alias("group_package"), N.simplify_name("name").alias("simplified"))
+
+
+@query("method_index", """
+SELECT project, method, count(DISTINCT class_fqn) AS n_classes, min(class_fqn) AS first_class,
+       count(*) AS n_declarations FROM f_methods GROUP BY ALL""")
+def q_method_index(spark, sf_dir):
+    return R.method_index(analysis(spark, sf_dir).methods)
+
+
+_SEQ = """
+, fm AS (SELECT *, file_ord * 1000000 + method_ord AS p FROM f_methods),
+first AS (SELECT project, method, min(p) AS p1, arg_min(class_fqn, p) AS c1 FROM fm GROUP BY ALL),
+second AS (SELECT fm.project, fm.method, min(fm.p) AS p2 FROM fm JOIN first USING (project, method)
+           WHERE fm.class_fqn <> first.c1 GROUP BY ALL),
+seq AS (
+  SELECT DISTINCT i.project, i.caller,
+    coalesce(CASE WHEN f.p1 <= i.file_ord * 1000000 + i.method_ord
+                   AND (s.p2 IS NULL OR i.file_ord * 1000000 + i.method_ord < s.p2)
+                  THEN f.c1 || '.' || i.callee_simple END,
+             u.unique_class || '.' || i.callee_simple, i.callee_simple) AS callee
+  FROM f_inv i
+  LEFT JOIN first f ON f.project = i.project AND f.method = i.callee_simple
+  LEFT JOIN second s ON s.project = i.project AND s.method = i.callee_simple
+  LEFT JOIN u_names u ON u.project = i.project AND u.method = i.callee_simple)
+"""
+
+
+@query("resolve_sequential", _SEQ + "SELECT project, caller, callee FROM seq")
+def q_resolve_sequential(spark, sf_dir):
+    return analysis(spark, sf_dir).calls_sequential
+
+
+@query("unresolved_calls", "SELECT project, caller, callee FROM g_calls WHERE NOT contains(callee, '.')")
+def q_unresolved(spark, sf_dir):
+    return R.unresolved_calls(analysis(spark, sf_dir).calls)
+
+
+@query("resolve_declared", "SELECT DISTINCT project, caller, callee_class || '.' || callee_simple AS callee FROM f_inv")
+def q_resolve_declared(spark, sf_dir):
+    inv = analysis(spark, sf_dir).invocations.withColumn("declaring_class", F.col("callee_class"))
+    return R.resolve_declared(inv).select("project", "caller", F.col("callee_declared").alias("callee")).distinct()
+
+
+@query("resolve_type_name", """
+SELECT t.project, t.type_name, CASE WHEN contains(t.type_name, '.') THEN t.type_name ELSE s.c END AS type_fqn
+FROM (SELECT DISTINCT project, class_name AS type_name FROM f_methods) t
+LEFT JOIN (SELECT project, regexp_extract(class_fqn, '[^.]*$', 0) AS short, min(class_fqn) AS c
+           FROM f_classes GROUP BY ALL) s ON s.project = t.project AND s.short = t.type_name""")
+def q_resolve_type_name(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    types = a.methods.select("project", F.col("class_name").alias("type_name")).distinct()
+    return R.resolve_type_name(types, a.classes).select("project", "type_name", "type_fqn")
+
+
+@query("resolve_by_receiver", """
+, rv AS (SELECT DISTINCT project, caller, lower(regexp_extract(callee_class, '[^.]*$', 0)) AS receiver, callee_simple
+         FROM f_inv),
+sh AS (SELECT project, lower(regexp_extract(class_fqn, '[^.]*$', 0)) AS lc, min(class_fqn) AS rc FROM f_classes GROUP BY ALL)
+SELECT rv.project, rv.caller, rv.receiver, rv.callee_simple,
+       CASE WHEN sh.rc IS NOT NULL THEN sh.rc || '.' || rv.callee_simple END AS callee_inferred
+FROM rv LEFT JOIN sh ON sh.project = rv.project AND sh.lc = lower(rv.receiver)""")
+def q_resolve_by_receiver(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    inv = a.invocations.select("project", "caller", F.lower(N.short_name("callee_class")).alias("receiver"),
+                               "callee_simple").distinct()
+    return R.resolve_by_receiver(inv, a.classes)
+
+
+@query("call_graph", "SELECT project, caller, callee FROM g_calls")
+def q_call_graph(spark, sf_dir):
+    return R.call_graph(analysis(spark, sf_dir).calls)
+
+
+@query("call_graph_text", """
+, per AS (SELECT project, caller, list_sort(list(DISTINCT callee)) AS callees FROM g_calls GROUP BY ALL),
+nodes AS (SELECT DISTINCT project, method_fqn AS caller FROM f_methods)
+SELECT project, caller, CAST(len(coalesce(callees, [])) AS INTEGER) AS n_callees,
+       caller || ' --> [' || array_to_string(coalesce(callees, []), ', ') || ']' AS line
+FROM nodes FULL JOIN per USING (project, caller)""")
+def q_call_graph_text(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return R.call_graph_text(a.methods, a.calls)
+
+
+@query("call_graph_size", """
+SELECT n.project, n.nodes, coalesce(e.edges, 0) AS edges
+FROM (SELECT project, count(*) AS nodes FROM (SELECT project, method_fqn AS caller FROM f_methods
+      UNION SELECT project, caller FROM g_calls) GROUP BY project) n
+LEFT JOIN (SELECT project, count(*) AS edges FROM g_calls GROUP BY project) e USING (project)""")
+def q_call_graph_size(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return R.call_graph_size(a.methods, a.calls)
+
+
+_VIEW_EDGES = f"""
+, ve AS (SELECT project, caller, callee FROM g_calls
+         WHERE {_sql_method_of('callee')} NOT IN ('println', 'print', 'add', 'remove', 'get', 'set', 'size',
+               'isEmpty', 'contains', 'equals', 'toString', 'hashCode')),
+vn AS (SELECT project, method_fqn AS node FROM f_methods UNION SELECT project, callee FROM ve)
+"""
+
+
+@query("callgraph_view_edges", _VIEW_EDGES + "SELECT project, caller, callee FROM ve")
+def q_view_edges(spark, sf_dir):
+    from callweave.operators.graphview import view_edges
+    return view_edges(analysis(spark, sf_dir).calls)
+
+
+@query("callgraph_view_nodes", _VIEW_EDGES + f"""
+SELECT project, node, {_sql_simplify('node')} AS label, {_sql_group_package('node')} AS group_package FROM vn""")
+def q_view_nodes(spark, sf_dir):
+    from callweave.operators.graphview import view_edges, view_nodes
+    a = analysis(spark, sf_dir)
+    return view_nodes(a.nodes, view_edges(a.calls))
+
+
+@query("package_palette", _VIEW_EDGES + f"""
+, pk AS (SELECT DISTINCT project, {_sql_group_package('node')} AS package FROM vn),
+rk AS (SELECT project, package, dense_rank() OVER (PARTITION BY project ORDER BY package) AS r FROM pk)
+SELECT project, package,
+  (['#FF6B6B', '#4ECDC4', '#45B7D1', '#FFA07A', '#98D8C8', '#F7DC6F', '#BB8FCE', '#85C1E2', '#F8B739',
+    '#52B788'])[((r - 1) % 10) + 1] AS color FROM rk""")
+def q_package_palette(spark, sf_dir):
+    from callweave.operators.graphview import package_palette, view_edges, view_nodes
+    a = analysis(spark, sf_dir)
+    return package_palette(view_nodes(a.nodes, view_edges(a.calls)))
