@@ -348,3 +348,22 @@ def dendrogram(pairs: DataFrame, totals: DataFrame | None = None, strategy: str
                           "n_classes", F.col("intra").alias("intra_calls"))
     out = nodes.unionByName(zero_rows).join(tot, "project")
     return out
+
+
+def first_round(weights: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """H1/H2 for the first round: each leaf's best edge and the mutually best pairs.
+
+    With single-class clusters the linkage is the pair count itself."""
+    pairs = weights.select("project", "a", "b", F.col("n_calls").alias("n"))
+    leaf = leaves(pairs)
+    e = id_edges(pairs, leaf)
+    key = F.struct((-F.col("s").cast("double")).alias("ns"), F.col("a"), F.col("b"), F.col("s"))
+    ends = (e.select("project", F.col("a").alias("node"), key.alias("k"))
+            .unionByName(e.select("project", F.col("b").alias("node"), key.alias("k"))))
+    best = ends.groupBy("project", "node").agg(F.min("k").alias("k"))
+    best_out = best.select("project", "node", F.col("k.a").alias("best_a"), F.col("k.b").alias("best_b"),
+                           F.col("k.s").cast("double").alias("sim"))
+    mutual = (best.groupBy("project", F.col("k.a").alias("a"), F.col("k.b").alias("b"))
+              .agg(F.count(F.lit(1)).alias("_c"), F.max("k.s").alias("s"))
+              .filter(F.col("_c") == 2).drop("_c"))
+    return best_out, mutual

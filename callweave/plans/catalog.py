@@ -468,3 +468,286 @@ def q_package_palette(spark, sf_dir):
     from callweave.operators.graphview import package_palette, view_edges, view_nodes
     a = analysis(spark, sf_dir)
     return package_palette(view_nodes(a.nodes, view_edges(a.calls)))
+
+
+# ---------------------------------------------------------------------------
+# Coupling details
+# ---------------------------------------------------------------------------
+@query("class_of", """
+SELECT DISTINCT project, name, cls FROM (
+  SELECT project, callee AS name, ce AS cls FROM g_edges
+  UNION ALL SELECT project, caller, regexp_extract(caller, '^(.+)\\.[^.]*$', 1) FROM g_calls)
+WHERE cls IS NOT NULL AND cls <> ''""")
+def q_class_of(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    dim = C.caller_class_dim(a.nodes)
+    callee = C.with_class_of(a.calls.select("project", F.col("callee").alias("name")), "name", "cls", dim)
+    caller = C.with_class_of(a.calls.select("project", F.col("caller").alias("name")), "name", "cls", dim)
+    return callee.unionByName(caller).filter(F.col("cls").isNotNull()).distinct()
+
+
+@query("detected_packages", """
+SELECT DISTINCT project, regexp_extract(c, '^(.+)\\.[^.]*$', 1) AS package FROM (
+  SELECT project, regexp_extract(caller, '^(.+)\\.[^.]*$', 1) AS c FROM g_nodes
+  UNION ALL SELECT project, ce FROM g_edges)
+WHERE c IS NOT NULL AND regexp_extract(c, '^(.+)\\.[^.]*$', 1) <> ''""")
+def q_detected_packages(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return C.detected_packages(a.calls, a.nodes)
+
+
+@query("project_classes", """
+SELECT DISTINCT project, cls AS class_fqn FROM (SELECT project, cc AS cls FROM g_edges UNION ALL
+                                                SELECT project, ce FROM g_edges)
+WHERE cls IS NOT NULL AND regexp_extract(cls, '^(.+)\\.[^.]*$', 1) <> ''
+  AND regexp_extract(cls, '^(.+)\\.[^.]*$', 1) IN (
+    SELECT DISTINCT regexp_extract(c, '^(.+)\\.[^.]*$', 1) FROM (
+      SELECT regexp_extract(caller, '^(.+)\\.[^.]*$', 1) AS c FROM g_nodes UNION ALL SELECT ce FROM g_edges)
+    WHERE c IS NOT NULL)""")
+def q_project_classes(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    dim = C.caller_class_dim(a.nodes)
+    e = C.with_class_of(C.with_class_of(a.calls, "caller", "cc", dim), "callee", "ce", dim)
+    cls = e.select("project", F.col("cc").alias("class_fqn")).unionByName(
+        e.select("project", F.col("ce").alias("class_fqn"))).filter(F.col("class_fqn").isNotNull())
+    return C.project_class_filter(cls, "class_fqn", C.detected_packages(a.calls, a.nodes)).distinct()
+
+
+@query("coupling_directed", "SELECT project, a, b, n_calls, weight FROM d_weights")
+def q_coupling_directed(spark, sf_dir):
+    return analysis(spark, sf_dir).coupling_directed
+
+
+@query("typed_calls", "SELECT project, caller, callee FROM t_calls")
+def q_typed_calls(spark, sf_dir):
+    return analysis(spark, sf_dir).typed_calls
+
+
+@query("fold_directed", """
+SELECT project, least(a, b) AS a, greatest(a, b) AS b,
+       coalesce(max(CASE WHEN a < b THEN n_calls END), max(n_calls)) AS n_calls FROM d_coupling GROUP BY ALL""")
+def q_fold_directed(spark, sf_dir):
+    return C.fold_directed(analysis(spark, sf_dir).coupling_directed.drop("weight"))
+
+
+@query("pair_lookup", """
+SELECT d.project, d.a AS x, d.b AS y, d.weight AS weight_directed, coalesce(w.weight, 0.0) AS weight
+FROM d_weights d LEFT JOIN weights w ON w.project = d.project AND w.a = least(d.a, d.b) AND w.b = greatest(d.a, d.b)""")
+def q_pair_lookup(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    pairs = a.coupling_directed.select("project", F.col("a").alias("x"), F.col("b").alias("y"),
+                                       F.col("weight").alias("weight_directed"))
+    return C.pair_lookup(pairs, a.coupling)
+
+
+@query("coupled_classes", "SELECT project, a AS class_fqn FROM coupling UNION SELECT project, b FROM coupling")
+def q_coupled_classes(spark, sf_dir):
+    return C.coupled_classes(analysis(spark, sf_dir).coupling)
+
+
+_R1 = """
+, cl1 AS (SELECT project, c, row_number() OVER (PARTITION BY project ORDER BY c) - 1 AS id FROM
+          (SELECT project, a AS c FROM coupling UNION SELECT project, b FROM coupling)),
+e1 AS (SELECT c.project, least(x.id, y.id) AS a, greatest(x.id, y.id) AS b, c.n_calls AS s FROM coupling c
+       JOIN cl1 x ON x.project = c.project AND x.c = c.a JOIN cl1 y ON y.project = c.project AND y.c = c.b),
+ends AS (SELECT project, a AS node, a, b, s FROM e1 UNION ALL SELECT project, b, a, b, s FROM e1),
+best AS (SELECT project, node, arg_min(a, (-s::DOUBLE, a, b)) AS ba, arg_min(b, (-s::DOUBLE, a, b)) AS bb,
+                max(s) AS s FROM ends GROUP BY ALL)
+"""
+
+
+@query("linkage_round1", _R1 + "SELECT project, node, ba AS best_a, bb AS best_b, s::DOUBLE AS sim FROM best")
+def q_linkage_round1(spark, sf_dir):
+    from callweave.operators.cluster import first_round
+    return first_round(analysis(spark, sf_dir).coupling)[0]
+
+
+@query("mutual_best_round1", _R1 + """
+SELECT project, ba AS a, bb AS b, max(s) AS s FROM best GROUP BY ALL HAVING count(*) = 2""")
+def q_mutual_best_round1(spark, sf_dir):
+    from callweave.operators.cluster import first_round
+    return first_round(analysis(spark, sf_dir).coupling)[1]
+
+
+@query("dendrogram_directed", cluster_block(
+    "SELECT least(a, b) AS a, greatest(a, b) AS b, "
+    "coalesce(max(CASE WHEN a < b THEN n_calls END), max(n_calls)) AS n FROM d_coupling GROUP BY ALL",
+    "SELECT total FROM d_total") + f"\nSELECT {_DG_COLS} FROM dg")
+def q_dendrogram_directed(spark, sf_dir):
+    return analysis(spark, sf_dir).dendro_directed.select("project", "node_id", "label", "left", "right", "sim",
+                                                          "level", "n_classes", "intra_calls")
+
+
+# ---------------------------------------------------------------------------
+# Ranked views and summaries
+# ---------------------------------------------------------------------------
+def _topk_sql(src, k, cols):
+    return (f"SELECT {cols} FROM (SELECT *, CAST(row_number() OVER (PARTITION BY project "
+            f"ORDER BY n_calls DESC, a, b) AS BIGINT) AS rank FROM {src}) WHERE rank <= {k}")
+
+
+@query("ranked_pairs", _topk_sql("weights", 10 ** 12, "project, rank, a, b, n_calls, weight"))
+def q_ranked_pairs(spark, sf_dir):
+    return V.ranked_pairs(analysis(spark, sf_dir).coupling)
+
+
+@query("top10_pairs", _topk_sql("weights", 10, "project, rank, regexp_extract(a, '[^.]*$', 0) AS a_short, "
+                                "regexp_extract(b, '[^.]*$', 0) AS b_short, n_calls, weight"))
+def q_top10(spark, sf_dir):
+    return V.top10_pairs(analysis(spark, sf_dir).coupling)
+
+
+@query("top3_pairs", _topk_sql("weights", 3, "project, rank, regexp_extract(a, '[^.]*$', 0) AS a_short, "
+                               "regexp_extract(b, '[^.]*$', 0) AS b_short, n_calls, weight * 100 AS percentage"))
+def q_top3(spark, sf_dir):
+    return V.top3_pairs(analysis(spark, sf_dir).coupling)
+
+
+@query("top5_directed", _topk_sql("d_weights", 5, "project, rank, a, b, n_calls, weight"))
+def q_top5_directed(spark, sf_dir):
+    return V.top5_directed(analysis(spark, sf_dir).coupling_directed)
+
+
+@query("directed_density", """
+SELECT project, count(DISTINCT a) AS n_classes, CAST(sum(n_calls) AS BIGINT) AS total,
+       CASE WHEN count(DISTINCT a) >= 2 THEN sum(n_calls) / CAST(count(DISTINCT a) * (count(DISTINCT a) - 1) AS DOUBLE)
+       END AS mean_coupling FROM d_weights GROUP BY project""")
+def q_directed_density(spark, sf_dir):
+    return V.directed_density(analysis(spark, sf_dir).coupling_directed)
+
+
+@query("edges_over_threshold", "SELECT project, a, b, n_calls, weight FROM weights WHERE weight >= 0.001")
+def q_edges_over(spark, sf_dir):
+    return V.edges_over_threshold(analysis(spark, sf_dir).coupling)
+
+
+@query("threshold_summary", """
+SELECT t.project, 0.001 AS min_weight, coalesce(k.edges, 0) AS edges,
+       CASE WHEN t.total > 0 THEN coalesce(k.n, 0) / CAST(t.total AS DOUBLE) ELSE 0.0 END AS total_weight, t.total
+FROM c_total t LEFT JOIN (SELECT project, count(*) AS edges, CAST(sum(n_calls) AS BIGINT) AS n FROM weights
+                          WHERE weight >= 0.001 GROUP BY project) k USING (project)""")
+def q_threshold_summary(spark, sf_dir):
+    return V.threshold_summary(analysis(spark, sf_dir).coupling)
+
+
+@query("coupling_stats", """
+SELECT g.project, g.pairs, g.total / CAST(g.pairs * g.total AS DOUBLE) AS mean_weight,
+       g.mx / CAST(g.total AS DOUBLE) AS max_weight, c.classes
+FROM (SELECT project, count(*) AS pairs, CAST(sum(n_calls) AS BIGINT) AS total, max(n_calls) AS mx
+      FROM weights GROUP BY project) g
+JOIN (SELECT project, count(*) AS classes FROM (SELECT project, a FROM weights UNION SELECT project, b FROM weights)
+      GROUP BY project) c USING (project)""")
+def q_coupling_stats(spark, sf_dir):
+    return V.coupling_stats(analysis(spark, sf_dir).coupling)
+
+
+@query("package_coupling", f"""
+SELECT project, package, CAST(sum(n_calls) AS BIGINT) AS calls, count(*) AS connections FROM (
+  SELECT project, {_sql_group_package('a')} AS package, n_calls FROM weights
+  UNION ALL
+  SELECT project, {_sql_group_package('b')}, n_calls FROM weights
+  WHERE {_sql_group_package('b')} <> {_sql_group_package('a')})
+GROUP BY ALL""")
+def q_package_coupling(spark, sf_dir):
+    return V.package_coupling(analysis(spark, sf_dir).coupling)
+
+
+@query("node_degree", """
+SELECT project, class_fqn, count(*) AS degree FROM (SELECT project, a AS class_fqn FROM weights
+  UNION ALL SELECT project, b FROM weights) GROUP BY ALL""")
+def q_node_degree(spark, sf_dir):
+    return V.node_degree(analysis(spark, sf_dir).coupling)
+
+
+@query("top_degree_nodes", """
+SELECT * FROM (SELECT project, class_fqn, degree,
+  CAST(row_number() OVER (PARTITION BY project ORDER BY degree DESC, class_fqn) AS BIGINT) AS rank FROM (
+  SELECT project, class_fqn, count(*) AS degree FROM (SELECT project, a AS class_fqn FROM weights
+  UNION ALL SELECT project, b FROM weights) GROUP BY ALL)) WHERE rank <= 50""")
+def q_top_degree(spark, sf_dir):
+    return V.top_degree_nodes(analysis(spark, sf_dir).coupling)
+
+
+_DOT_NODES = """
+, dn AS (SELECT * FROM (SELECT project, class_fqn, regexp_extract(class_fqn, '[^.]*$', 0) AS label,
+           CAST(row_number() OVER (PARTITION BY project ORDER BY class_fqn) AS BIGINT) AS rank FROM (
+           SELECT project, a AS class_fqn FROM weights UNION SELECT project, b FROM weights)) WHERE rank <= 50),
+sub AS (SELECT w.* FROM weights w WHERE weight >= 0.001
+        AND a IN (SELECT class_fqn FROM dn) AND b IN (SELECT class_fqn FROM dn))
+"""
+
+
+@query("dot_nodes", _DOT_NODES + "SELECT project, rank, class_fqn, label FROM dn")
+def q_dot_nodes(spark, sf_dir):
+    return V.dot_nodes(analysis(spark, sf_dir).coupling)
+
+
+@query("induced_subgraph", _DOT_NODES + "SELECT project, a, b, n_calls, weight FROM sub")
+def q_induced(spark, sf_dir):
+    w = analysis(spark, sf_dir).coupling
+    return V.induced_subgraph(w, V.dot_nodes(w)).select("project", "a", "b", "n_calls", "weight")
+
+
+@query("edge_style", """
+SELECT project, a, b, n_calls, weight, printf('%.3f (%d)', weight, n_calls) AS label,
+       least(weight * 100, 1.0) AS opacity FROM weights""")
+def q_edge_style(spark, sf_dir):
+    return V.edge_style(analysis(spark, sf_dir).coupling)
+
+
+@query("coupling_csv", """
+SELECT project, a AS source, b AS target, weight, n_calls AS count, weight * 100 AS percentage
+FROM weights WHERE weight >= 0.001""")
+def q_coupling_csv(spark, sf_dir):
+    return V.coupling_csv(analysis(spark, sf_dir).coupling)
+
+
+# ---------------------------------------------------------------------------
+# Front-end comparison
+# ---------------------------------------------------------------------------
+@query("compare_totals", """
+SELECT project, coalesce(t1.total, 0) AS total_first, coalesce(t2.total, 0) AS total_second,
+       coalesce(t2.total, 0) - coalesce(t1.total, 0) AS difference
+FROM c_total t1 FULL JOIN d_total t2 USING (project)""")
+def q_compare_totals(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return X.compare_totals(a.coupling, a.coupling_directed)
+
+
+@query("compare_classes", """
+SELECT project, coalesce(c1.n, 0) AS classes_first, coalesce(c2.n, 0) AS classes_second,
+       coalesce(c2.n, 0) - coalesce(c1.n, 0) AS difference
+FROM (SELECT project, count(DISTINCT a) AS n FROM weights GROUP BY project) c1
+FULL JOIN (SELECT project, count(DISTINCT a) AS n FROM d_weights GROUP BY project) c2 USING (project)""")
+def q_compare_classes(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return X.compare_classes(a.coupling, a.coupling_directed)
+
+
+@query("compare_common", "SELECT project, a, b FROM weights INTERSECT SELECT project, a, b FROM d_weights")
+def q_compare_common(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return X.compare_common(a.coupling, a.coupling_directed)
+
+
+@query("compare_only_first", "SELECT project, a, b FROM weights EXCEPT SELECT project, a, b FROM d_weights")
+def q_compare_only_first(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return X.compare_only_first(a.coupling, a.coupling_directed)
+
+
+@query("compare_only_second", "SELECT project, a, b FROM d_weights EXCEPT SELECT project, a, b FROM weights")
+def q_compare_only_second(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return X.compare_only_second(a.coupling, a.coupling_directed)
+
+
+@query("compare_status", """
+, k1 AS (SELECT DISTINCT project, least(a, b) AS a, greatest(a, b) AS b FROM weights),
+k2 AS (SELECT DISTINCT project, least(a, b) AS a, greatest(a, b) AS b FROM d_weights)
+SELECT project, CASE WHEN k1.a IS NOT NULL AND k2.a IS NOT NULL THEN 'both'
+                     WHEN k1.a IS NOT NULL THEN 'first_only' ELSE 'second_only' END AS status, count(*) AS pairs
+FROM k1 FULL JOIN k2 USING (project, a, b) GROUP BY ALL""")
+def q_compare_status(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return X.compare_status(a.coupling, a.coupling_directed)
