@@ -751,3 +751,46 @@ FROM k1 FULL JOIN k2 USING (project, a, b) GROUP BY ALL""")
 def q_compare_status(spark, sf_dir):
     a = analysis(spark, sf_dir)
     return X.compare_status(a.coupling, a.coupling_directed)
+
+
+# ---------------------------------------------------------------------------
+# Fact extraction (rendered sources -> lexical scanner -> fact tables)
+# ---------------------------------------------------------------------------
+from callweave.sources import extract as EX  # noqa: E402
+
+
+@query("scan_sources", """
+SELECT project, count(*) + count(DISTINCT class_fqn) AS files FROM f_methods GROUP BY project""")
+def q_scan_sources(spark, sf_dir):
+    from callweave.sources.render import render_sources
+    a = analysis(spark, sf_dir)
+    return render_sources(a.methods, a.invocations).groupBy("project").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("fact_types", "SELECT DISTINCT project, package, class_name, class_fqn FROM f_methods")
+def q_fact_types(spark, sf_dir):
+    return EX.fact_types(analysis(spark, sf_dir).facts)
+
+
+@query("fact_methods", "SELECT project, class_fqn, method, loc, params FROM f_methods")
+def q_fact_methods(spark, sf_dir):
+    return EX.fact_methods(analysis(spark, sf_dir).facts).select("project", "class_fqn", "method", "loc", "params")
+
+
+@query("fact_attr_counts", "SELECT project, class_fqn, attr_count FROM f_classes")
+def q_fact_attr_counts(spark, sf_dir):
+    return EX.fact_attr_counts(analysis(spark, sf_dir).facts)
+
+
+@query("fact_invocations", "SELECT DISTINCT project, caller, callee_simple FROM f_inv")
+def q_fact_invocations(spark, sf_dir):
+    return EX.fact_invocations(analysis(spark, sf_dir).facts).select("project", "caller", "callee_simple").distinct()
+
+
+@query("resolve_global_extracted", "SELECT project, caller, callee FROM g_calls")
+def q_resolve_global_extracted(spark, sf_dir):
+    """Call resolution fed by the extraction job instead of the fixture tables."""
+    f = analysis(spark, sf_dir).facts
+    meth = EX.fact_methods(f).withColumn("method_fqn", F.concat_ws(".", "class_fqn", "method"))
+    inv = EX.fact_invocations(f)
+    return R.resolve_global(inv, meth)

@@ -102,6 +102,15 @@ class Analysis:
         return cut(self.dendro_directed, QUERY_CP)
 
 
+    # --- extraction job over rendered sources ---------------------------------
+    @cached_property
+    def facts(self) -> DataFrame:
+        from callweave.session import materialize
+        from callweave.sources.extract import extract_facts
+        from callweave.sources.render import render_sources
+        return materialize(extract_facts(render_sources(self.methods, self.invocations)), "facts")
+
+
 # CP used by the registered module queries (the tool's slider; 0.1 leaves no module
 # on graphs with thousands of pairs because weights are fractions of the total).
 QUERY_CP = 0.0005
