@@ -794,3 +794,52 @@ def q_resolve_global_extracted(spark, sf_dir):
     meth = EX.fact_methods(f).withColumn("method_fqn", F.concat_ws(".", "class_fqn", "method"))
     inv = EX.fact_invocations(f)
     return R.resolve_global(inv, meth)
+
+
+# ---------------------------------------------------------------------------
+# Sinks
+# ---------------------------------------------------------------------------
+from callweave.sinks import export as K  # noqa: E402
+
+
+@query("dot_lines", _DOT_NODES + """
+, ed AS (SELECT project, a, b, n_calls, weight, row_number() OVER (PARTITION BY project ORDER BY a, b) - 1 AS r
+         FROM sub),
+pj AS (SELECT project, total FROM c_total)
+SELECT project, CAST(o AS BIGINT) AS ord, line FROM (
+  SELECT project, 0 AS o, 'digraph CouplingGraph {' AS line FROM pj
+  UNION ALL SELECT project, 1, '  rankdir=LR;' FROM pj
+  UNION ALL SELECT project, 2, '  node [shape=box, style=filled, fillcolor=lightblue];' FROM pj
+  UNION ALL SELECT project, 3, '  edge [fontsize=10];' FROM pj
+  UNION ALL SELECT project, 4, '' FROM pj
+  UNION ALL SELECT project, 100 + rank, printf('  "%s" [label="%s"];', class_fqn, label) FROM dn
+  UNION ALL SELECT project, 999999, '' FROM pj
+  UNION ALL SELECT project, 1000000 + r, printf('  "%s" -> "%s" [label="%.3f (%d)", weight=%.3f];', a, b, weight,
+                                               n_calls, weight) FROM ed
+  UNION ALL SELECT project, 1000000000000000, '' FROM pj
+  UNION ALL SELECT project, 1000000000000001, '  // Total edges: ' || (SELECT count(*) FROM ed) FROM pj
+  UNION ALL SELECT project, 1000000000000002, '  // Total inter-class calls: ' || total FROM pj
+  UNION ALL SELECT project, 1000000000000003, '}' FROM pj)""")
+def q_dot_lines(spark, sf_dir):
+    return K.dot_lines(analysis(spark, sf_dir).coupling)
+
+
+@query("json_nodes", """
+SELECT project, c AS id, regexp_extract(c, '[^.]*$', 0) AS label,
+       CASE WHEN contains(c, '.') THEN regexp_extract(c, '^(.*)\\.[^.]*$', 1) ELSE '' END AS package
+FROM (SELECT project, a AS c FROM weights UNION SELECT project, b FROM weights)""")
+def q_json_nodes(spark, sf_dir):
+    return K.json_nodes(analysis(spark, sf_dir).coupling)
+
+
+@query("json_edges", "SELECT project, a AS source, b AS target, weight, n_calls AS count FROM weights WHERE weight >= 0.001")
+def q_json_edges(spark, sf_dir):
+    return K.json_edges(analysis(spark, sf_dir).coupling)
+
+
+@query("modules_csv", cluster_block(_PP1) + _MOD_SQL + """
+SELECT 'shop' AS project, m.module_id, m.class_count, m.avg_coupling, d.label AS class_fqn
+FROM leafmod lm JOIN mods m USING (module_node) JOIN dga d ON d.node_id = lm.leaf""")
+def q_modules_csv(spark, sf_dir):
+    c = analysis(spark, sf_dir).cut
+    return K.modules_csv_rows(c["modules"], c["members"])
