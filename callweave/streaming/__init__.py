@@ -1,0 +1,3 @@
+"""No streaming operators: the analysed tool reads a finished source tree once and has
+no streams, watermarks or state. A growing corpus is handled by running the batch
+extraction job over new files (``sources.extract``)."""
