@@ -144,3 +144,46 @@ def coupling_csv(weights: DataFrame, min_weight: float = DEFAULT_MIN_WEIGHT) ->
     return edges_over_threshold(weights, min_weight).select(
         "project", F.col("a").alias("source"), F.col("b").alias("target"), "weight",
         F.col("n_calls").alias("count"), (F.col("weight") * 100).alias("percentage"))
+
+
+def coupling_summary(weights: DataFrame, packages: DataFrame, label: str = "JDT") -> DataFrame:
+    """The coupling text summary as rows (project, section, line_no, text).
+
+    Lists (packages, ranked pairs, package roll-up) give one row per item, so no
+    single line is built from an unbounded list; ``line_no`` orders rows in a section."""
+    tot = coupling_total(weights)
+    stats = coupling_stats(weights)
+
+    def rows(df, section, line_no, text):
+        return df.select("project", F.lit(section).alias("section"), F.lit(line_no).cast("long").alias("line_no"),
+                         text.alias("text"))
+
+    parts = [rows(tot, 0, 0, F.lit(f"=== RÉSUMÉ COUPLAGE ENTRE CLASSES ({label}) ===")),
+             rows(tot, 1, 0, F.lit("Packages détectés :")),
+             packages.select("project", F.lit(1).alias("section"), F.lit(None).cast("long").alias("line_no"),
+                             F.col("package").alias("text")),
+             rows(tot, 2, 0, F.concat(F.lit("Total inter-class calls = "), F.col("total").cast("string"))),
+             rows(tot, 3, 0, F.lit("Couplages par ordre d'importance :"))]
+    ranked = ranked_pairs(weights)
+    parts.append(ranked.select("project", F.lit(3).alias("section"), F.col("rank").alias("line_no"),
+                               F.format_string("%2d) %s -- %s : %.4f (%d appels)", F.col("rank"),
+                                               N.short_name("a"), N.short_name("b"), F.col("weight"),
+                                               F.col("n_calls")).alias("text")))
+    parts += [rows(stats, 4, 0, F.lit("=== STATISTIQUES DÉTAILLÉES ===")),
+              rows(stats, 4, 1, F.format_string("Couplage moyen : %.4f", F.col("mean_weight"))),
+              rows(stats, 4, 2, F.format_string("Couplage maximum : %.4f", F.col("max_weight"))),
+              rows(stats, 4, 3, F.format_string("Classes impliquées : %d", F.col("classes"))),
+              rows(tot, 5, 0, F.lit("=== TOP 3 COUPLAGES LES PLUS FORTS ==="))]
+    parts.append(top3_pairs(weights).select(
+        "project", F.lit(5).alias("section"), F.col("rank").alias("line_no"),
+        F.format_string("%d. %s → %s : %.2f%% (%d appels)", F.col("rank"), F.col("a_short"), F.col("b_short"),
+                        F.col("percentage"), F.col("n_calls")).alias("text")))
+    parts.append(rows(tot, 6, 0, F.lit("=== ANALYSE PAR PACKAGE ===")))
+    parts.append(package_coupling(weights).select(
+        "project", F.lit(6).alias("section"), F.lit(None).cast("long").alias("line_no"),
+        F.format_string("Package %s : %d appels (%d connexions)", F.col("package"), F.col("calls"),
+                        F.col("connections")).alias("text")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -843,3 +843,47 @@ FROM leafmod lm JOIN mods m USING (module_node) JOIN dga d ON d.node_id = lm.lea
 def q_modules_csv(spark, sf_dir):
     c = analysis(spark, sf_dir).cut
     return K.modules_csv_rows(c["modules"], c["members"])
+
+
+_PKG_DET = """
+SELECT DISTINCT project, regexp_extract(c, '^(.+)\\.[^.]*$', 1) AS package FROM (
+  SELECT project, regexp_extract(caller, '^(.+)\\.[^.]*$', 1) AS c FROM g_nodes
+  UNION ALL SELECT project, ce FROM g_edges)
+WHERE c IS NOT NULL AND regexp_extract(c, '^(.+)\\.[^.]*$', 1) <> ''"""
+
+
+@query("coupling_summary", f"""
+, pk AS ({_PKG_DET}),
+rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY project ORDER BY n_calls DESC, a, b) AS BIGINT) AS rank
+       FROM weights),
+st AS (SELECT g.project, g.total / CAST(g.pairs * g.total AS DOUBLE) AS mean_weight,
+              g.mx / CAST(g.total AS DOUBLE) AS max_weight, c.classes
+       FROM (SELECT project, count(*) AS pairs, CAST(sum(n_calls) AS BIGINT) AS total, max(n_calls) AS mx
+             FROM weights GROUP BY project) g
+       JOIN (SELECT project, count(*) AS classes FROM (SELECT project, a FROM weights UNION
+             SELECT project, b FROM weights) GROUP BY project) c USING (project)),
+pc AS (SELECT project, package, CAST(sum(n_calls) AS BIGINT) AS calls, count(*) AS connections FROM (
+         SELECT project, {_sql_group_package('a')} AS package, n_calls FROM weights
+         UNION ALL SELECT project, {_sql_group_package('b')}, n_calls FROM weights
+         WHERE {_sql_group_package('b')} <> {_sql_group_package('a')}) GROUP BY ALL)
+SELECT project, 0 AS section, 0::BIGINT AS line_no, '=== RÉSUMÉ COUPLAGE ENTRE CLASSES (JDT) ===' AS text FROM c_total
+UNION ALL SELECT project, 1, 0, 'Packages détectés :' FROM c_total
+UNION ALL SELECT project, 1, NULL, package FROM pk
+UNION ALL SELECT project, 2, 0, 'Total inter-class calls = ' || total FROM c_total
+UNION ALL SELECT project, 3, 0, 'Couplages par ordre d''importance :' FROM c_total
+UNION ALL SELECT project, 3, rank, printf('%2d) %s -- %s : %.4f (%d appels)', rank, regexp_extract(a, '[^.]*$', 0),
+                                           regexp_extract(b, '[^.]*$', 0), weight, n_calls) FROM rk
+UNION ALL SELECT project, 4, 0, '=== STATISTIQUES DÉTAILLÉES ===' FROM st
+UNION ALL SELECT project, 4, 1, printf('Couplage moyen : %.4f', mean_weight) FROM st
+UNION ALL SELECT project, 4, 2, printf('Couplage maximum : %.4f', max_weight) FROM st
+UNION ALL SELECT project, 4, 3, printf('Classes impliquées : %d', classes) FROM st
+UNION ALL SELECT project, 5, 0, '=== TOP 3 COUPLAGES LES PLUS FORTS ===' FROM c_total
+UNION ALL SELECT project, 5, rank, printf('%d. %s → %s : %.2f%% (%d appels)', rank, regexp_extract(a, '[^.]*$', 0),
+                                           regexp_extract(b, '[^.]*$', 0), weight * 100, n_calls) FROM rk
+  WHERE rank <= 3
+UNION ALL SELECT project, 6, 0, '=== ANALYSE PAR PACKAGE ===' FROM c_total
+UNION ALL SELECT project, 6, NULL, printf('Package %s : %d appels (%d connexions)', package, calls, connections)
+  FROM pc""")
+def q_coupling_summary(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    return V.coupling_summary(a.coupling, C.detected_packages(a.calls, a.nodes))
