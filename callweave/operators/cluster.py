@@ -131,6 +131,57 @@ def _local_udf(pdf: pd.DataFrame) -> pd.DataFrame:
     return out.astype({c: "int64" for c in cols})
 
 
+NODE_SCHEMA = T.StructType([
+    T.StructField("project", T.StringType()),
+    T.StructField("node_id", T.LongType()),
+    T.StructField("label", T.StringType()),
+    T.StructField("left", T.LongType()),
+    T.StructField("right", T.LongType()),
+    T.StructField("sim", T.DoubleType()),
+    T.StructField("level", T.IntegerType()),
+    T.StructField("n_classes", T.LongType()),
+    T.StructField("intra_calls", T.LongType()),
+    T.StructField("total", T.LongType()),
+])
+
+
+def local_tree(project: str, total: int, pairs: list[tuple[str, str, int]]) -> list[tuple]:
+    """Whole node table of one project: leaves by name, greedy merges, zero merges (FIFO)."""
+    classes = sorted({x for a, b, _ in pairs for x in (a, b)})  # code-point order = Spark binary order
+    idx = {c: i for i, c in enumerate(classes)}
+    n = len(classes)
+    merges = greedy_merges(n, [(min(idx[a], idx[b]), max(idx[a], idx[b]), s) for a, b, s in pairs])
+    rows = [(project, i, c, None, None, 0.0, 0, 1, 0, total) for i, c in enumerate(classes)]
+    size = {i: 1 for i in range(n)}
+    intra = {i: 0 for i in range(n)}
+    children = set()
+    for it, left, right, s_, sz, ia, prs in merges:
+        nid = n + it
+        size[nid], intra[nid] = sz, ia
+        children.update((left, right))
+        rows.append((project, nid, f"Cluster_{it + 1}", left, right, s_ / (total * prs), it + 1, sz, ia, total))
+    queue = [i for i in range(n + len(merges)) if i not in children]
+    it = len(merges)
+    head = 0
+    while len(queue) - head >= 2:
+        left, right = queue[head], queue[head + 1]
+        head += 2
+        nid = n + it
+        size[nid], intra[nid] = size[left] + size[right], intra[left] + intra[right]
+        rows.append((project, nid, f"Cluster_{it + 1}", left, right, 0.0, it + 1, size[nid], intra[nid], total))
+        queue.append(nid)
+        it += 1
+    return rows
+
+
+def _local_tree_udf(pdf: pd.DataFrame) -> pd.DataFrame:
+    rows = local_tree(pdf["project"].iloc[0], int(pdf["total"].iloc[0]),
+                      list(zip(pdf["a"].tolist(), pdf["b"].tolist(), [int(x) for x in pdf["n"].tolist()])))
+    out = pd.DataFrame(rows, columns=[f.name for f in NODE_SCHEMA.fields])
+    return out.astype({"node_id": "int64", "left": "Int64", "right": "Int64", "sim": "float64", "level": "int32",
+                       "n_classes": "int64", "intra_calls": "int64", "total": "int64"})
+
+
 def merges_local(eid: DataFrame, counts: DataFrame) -> DataFrame:
     """Positive merges of projects small enough for one task."""
     e = eid.join(counts.select("project", "n"), "project")
@@ -303,25 +354,28 @@ def dendrogram(pairs: DataFrame, totals: DataFrame | None = None, strategy: str
     directed total)."""
     if totals is None:
         totals = pairs.groupBy("project").agg(F.sum("n").cast("long").alias("total"))
+    tot = totals.select("project", "total")
+    if strategy in ("auto", "local"):
+        sizes = pairs.groupBy("project").agg(F.count(F.lit(1)).alias("n_edges"))
+        small = sizes if strategy == "local" else sizes.filter(F.col("n_edges") <= local_limit)
+        # one task per bounded project builds its whole node table
+        local = (pairs.join(small.select("project"), "project").join(tot, "project")
+                 .select("project", "a", "b", "n", "total")
+                 .groupBy("project").applyInPandas(_local_tree_udf, NODE_SCHEMA))
+        if strategy == "local":
+            return local
+        big = sizes.filter(F.col("n_edges") > local_limit).select("project")
+        if big.isEmpty():
+            return local
+        rest = dendrogram(pairs.join(big, "project"), totals.join(big, "project"), "rounds")
+        return local.unionByName(rest.select(*[f.name for f in NODE_SCHEMA.fields]))
     leaf = leaves(pairs)
     leaf = leaf.persist()
     eid = id_edges(pairs, leaf)
     sizes = eid.groupBy("project").agg(F.count(F.lit(1)).alias("n_edges"))
     counts = leaf.select("project", "n").distinct().join(sizes, "project")
-    if strategy == "local":
-        merges = merges_local(eid, counts)
-    elif strategy == "rounds":
-        merges, _ = merges_rounds(eid, counts)
-    else:
-        small = counts.filter(F.col("n_edges") <= local_limit)
-        big = counts.filter(F.col("n_edges") > local_limit)
-        parts = [merges_local(eid.join(small.select("project"), "project"), small)]
-        if not big.isEmpty():
-            eb = eid.join(big.select("project"), "project")
-            parts.append(merges_rounds(eb, big)[0])
-        merges = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    merges, _ = merges_rounds(eid, counts)
     merges = materialize(merges, "merges")
-    tot = totals.select("project", "total")
     pos = merges.groupBy("project").agg(F.count(F.lit(1)).alias("positive"))
     counts = counts.join(pos, "project", "left").withColumn("positive", F.coalesce("positive", F.lit(0)))
     leaf_rows = leaf.select("project", F.col("id").alias("node_id"), F.col("class_fqn").alias("label"),
