@@ -134,3 +134,43 @@ def dendrogram_listing(nodes_with_paths: DataFrame) -> DataFrame:
                      F.format_string(" (couplage: %.3f, classes: %d)", F.col("sim"), F.col("n_classes")))
     return nodes_with_paths.select("project", "pre", "depth",
                                    F.when(F.col("left").isNull(), leaf).otherwise(inner).alias("text"))
+
+
+def module_report(dendro: DataFrame, modules: DataFrame, members: DataFrame, cp_used: float | None = None,
+                  analyzer: str | None = None) -> DataFrame:
+    """Module report as rows (project, section, module_no, line_no, text).
+
+    Section 0 holds the general figures, section 1 one header per module followed by
+    one row per member (by name), section 2 the per-module details."""
+    summ = module_summary(dendro, modules, cp_used)
+    title = "=== RAPPORT DE CLUSTERING HIÉRARCHIQUE" + (f" ({analyzer})" if analyzer else "") + " ==="
+
+    def gen(line_no, text):
+        return summ.select("project", F.lit(0).alias("section"), F.lit(0).cast("long").alias("module_no"),
+                           F.lit(line_no).cast("long").alias("line_no"), text.alias("text"))
+
+    rows = [gen(0, F.lit(title)), gen(1, F.lit("INFORMATIONS GÉNÉRALES:")),
+            gen(2, F.concat(F.lit("- Nombre total de classes: "), F.col("n_classes").cast("string"))),
+            gen(3, F.concat(F.lit("- Nombre de modules identifiés: "), F.col("n_modules").cast("string"))),
+            gen(4, F.format_string("- Couplage minimum requis: %.3f", F.col("min_coupling_used")))]
+    if analyzer:
+        rows.append(gen(5, F.lit(f"- Analyseur utilisé: {analyzer}")))
+    rows.append(gen(6, F.lit("MODULES IDENTIFIÉS:")))
+    rows.append(modules.select("project", F.lit(1).alias("section"), "module_no", F.lit(0).cast("long").alias("line_no"),
+                               F.format_string("%d. %s (classes: %d, couplage moyen: %.3f)", F.col("module_no"),
+                                               F.col("module_id"), F.col("class_count"),
+                                               F.col("avg_coupling")).alias("text")))
+    ranked = with_group_position(members, ["project", "module_id"], ["class_fqn"], "_r")
+    rows.append(ranked.join(modules.select("project", "module_id", "module_no"), ["project", "module_id"])
+                .select("project", F.lit(1).alias("section"), "module_no", (F.col("_r") + 1).alias("line_no"),
+                        F.col("class_fqn").alias("text")))
+    rows.append(gen(7, F.lit("=== STATISTIQUES DÉTAILLÉES ===")))
+    for i, txt in enumerate([F.format_string("Module %d: %s", F.col("module_no"), F.col("module_id")),
+                             F.format_string("  - Nombre de classes: %d", F.col("class_count")),
+                             F.format_string("  - Couplage moyen: %.3f", F.col("avg_coupling"))]):
+        rows.append(modules.select("project", F.lit(2).alias("section"), "module_no",
+                                   F.lit(i).cast("long").alias("line_no"), txt.alias("text")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

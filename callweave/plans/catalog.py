@@ -887,3 +887,30 @@ UNION ALL SELECT project, 6, NULL, printf('Package %s : %d appels (%d connexions
 def q_coupling_summary(spark, sf_dir):
     a = analysis(spark, sf_dir)
     return V.coupling_summary(a.coupling, C.detected_packages(a.calls, a.nodes))
+
+
+@query("module_report", cluster_block(_PP1) + _MOD_SQL + """
+, sm AS (SELECT (SELECT max(n_classes) FROM dga) AS n, (SELECT count(*) FROM mods) AS m,
+                (SELECT coalesce(min(avg_coupling), 0.0) FROM mods) AS mn),
+mem AS (SELECT m.module_no, d.label AS class_fqn,
+               row_number() OVER (PARTITION BY m.module_id ORDER BY d.label) AS r
+        FROM leafmod lm JOIN mods m USING (module_node) JOIN dga d ON d.node_id = lm.leaf)
+SELECT 'shop' AS project, section, CAST(module_no AS BIGINT) AS module_no, CAST(line_no AS BIGINT) AS line_no, text
+FROM (
+  SELECT 0 AS section, 0 AS module_no, 0 AS line_no, '=== RAPPORT DE CLUSTERING HIÉRARCHIQUE ===' AS text
+  UNION ALL SELECT 0, 0, 1, 'INFORMATIONS GÉNÉRALES:'
+  UNION ALL SELECT 0, 0, 2, '- Nombre total de classes: ' || n FROM sm
+  UNION ALL SELECT 0, 0, 3, '- Nombre de modules identifiés: ' || m FROM sm
+  UNION ALL SELECT 0, 0, 4, printf('- Couplage minimum requis: %.3f', mn) FROM sm
+  UNION ALL SELECT 0, 0, 6, 'MODULES IDENTIFIÉS:'
+  UNION ALL SELECT 1, module_no, 0, printf('%d. %s (classes: %d, couplage moyen: %.3f)', module_no, module_id,
+                                           class_count, avg_coupling) FROM mods
+  UNION ALL SELECT 1, module_no, r, class_fqn FROM mem
+  UNION ALL SELECT 0, 0, 7, '=== STATISTIQUES DÉTAILLÉES ==='
+  UNION ALL SELECT 2, module_no, 0, printf('Module %d: %s', module_no, module_id) FROM mods
+  UNION ALL SELECT 2, module_no, 1, printf('  - Nombre de classes: %d', class_count) FROM mods
+  UNION ALL SELECT 2, module_no, 2, printf('  - Couplage moyen: %.3f', avg_coupling) FROM mods)""")
+def q_module_report(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    c = a.cut
+    return MO.module_report(a.dendro, c["modules"], c["members"])
