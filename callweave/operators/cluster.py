@@ -40,7 +40,8 @@ from callweave.session import ensure_checkpoint_dir, materialize
 
 DEFAULT_LOCAL_LIMIT = 200_000
 _DEBUG = bool(os.environ.get("CALLWEAVE_DEBUG"))
-_ROUND_SHIFT = 40  # creation ids of merges in the rounds strategy: round << 40 | min leaf
+_ROUND_SHIFT = 40
+_ZERO_CHUNK = 100_000  # creation ids of merges in the rounds strategy: round << 40 | min leaf
 
 MERGE_SCHEMA = T.StructType([
     T.StructField("project", T.StringType()),
@@ -316,8 +317,15 @@ def zero_merges(roots: DataFrame, counts: DataFrame) -> DataFrame:
     base = q.join(counts.select("project", "n", "positive"), "project")
     k = F.col("k")
     # children of each zero merge, as node ids
+    # t = 0..k-2 generated in two levels (chunks, then ids) so no task emits a huge range
+    chunk = F.lit(_ZERO_CHUNK)
     ts = (base.filter(k >= 2).select("project", "k", "n", "positive").distinct()
-          .select("project", "k", "n", "positive", F.explode(F.sequence(F.lit(0).cast("long"), k - 2)).alias("t")))
+          .select("project", "k", "n", "positive",
+                  F.explode(F.sequence(F.lit(0).cast("long"), F.floor((k - 2) / chunk).cast("long"))).alias("c"))
+          .repartition("project", "c")
+          .select("project", "k", "n", "positive",
+                  F.explode(F.sequence(F.col("c") * chunk, F.least(F.col("c") * chunk + chunk - 1, k - 2)))
+                  .alias("t")))
 
     def item_to_node(item, prefix):
         return F.when(item < F.col("k"), F.lit(None).cast("long")).otherwise(

@@ -156,16 +156,19 @@ def call_graph(*edge_sets: DataFrame) -> DataFrame:
 
 
 def call_graph_text(methods: DataFrame, calls: DataFrame) -> DataFrame:
-    """``caller --> [callees]`` per method, callers without calls included.
-
-    One row per caller; the callee list of one method body is small (bounded by
-    the body), so collecting it per caller is safe."""
-    nodes = methods.select("project", F.col("method_fqn").alias("caller")).distinct()
-    per = calls.groupBy("project", "caller").agg(F.sort_array(F.collect_set("callee")).alias("callees"))
-    j = nodes.join(per, ["project", "caller"], "full")
-    lst = F.coalesce(F.col("callees"), F.array().cast("array<string>"))
-    return j.select("project", "caller", F.size(lst).alias("n_callees"),
-                    F.concat(F.col("caller"), F.lit(" --> ["), F.array_join(lst, ", "), F.lit("]")).alias("line"))
+    """The ``caller --> [callees]`` listing as rows (project, caller, item_no, text).
+
+    Item 0 is ``caller -->`` (every method, callers without calls included), items
+    1..k the callees in name order. A caller with a huge callee set is spread over
+    many rows and ranked by the range-sorted index, never gathered into one line."""
+    from callweave.functions.ranking import with_group_position
+    nodes = (methods.select("project", F.col("method_fqn").alias("caller"))
+             .unionByName(calls.select("project", "caller")).distinct())
+    head = nodes.select("project", "caller", F.lit(0).cast("long").alias("item_no"),
+                        F.concat(F.col("caller"), F.lit(" -->")).alias("text"))
+    items = with_group_position(calls.select("project", "caller", "callee"), ["project", "caller"], ["callee"], "_i")
+    items = items.select("project", "caller", (F.col("_i") + 1).alias("item_no"), F.col("callee").alias("text"))
+    return head.unionByName(items)
 
 
 def call_graph_size(methods: DataFrame, calls: DataFrame) -> DataFrame:

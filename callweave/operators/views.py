@@ -21,12 +21,13 @@ from callweave.operators.coupling import coupled_classes, coupling_total
 DEFAULT_MIN_WEIGHT = 0.001
 DEFAULT_MAX_NODES = 50
 
-_BY_WEIGHT = [F.col("n_calls").desc(), F.col("a"), F.col("b")]
+def _by_weight():
+    return [F.col("n_calls").desc(), F.col("a"), F.col("b")]
 
 
 def top_pairs(weights: DataFrame, k: int) -> DataFrame:
     """V1 (k=20), V3 (k=10), V5 (k=3): strongest pairs with 1-based rank."""
-    return top_k_per_group(weights, ["project"], _BY_WEIGHT, k)
+    return top_k_per_group(weights, ["project"], _by_weight(), k)
 
 
 def top20_pairs(weights: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def top3_pairs(weights: DataFrame) -> DataFrame:
 
 def ranked_pairs(weights: DataFrame) -> DataFrame:
     """V2: every pair with its rank in the project."""
-    r = with_group_position(weights, ["project"], _BY_WEIGHT, "_pos")
+    r = with_group_position(weights, ["project"], _by_weight(), "_pos")
     return r.select("project", (F.col("_pos") + 1).alias("rank"), "a", "b", "n_calls", "weight")
 
 

@@ -416,11 +416,11 @@ def q_call_graph(spark, sf_dir):
 
 
 @query("call_graph_text", """
-, per AS (SELECT project, caller, list_sort(list(DISTINCT callee)) AS callees FROM g_calls GROUP BY ALL),
-nodes AS (SELECT DISTINCT project, method_fqn AS caller FROM f_methods)
-SELECT project, caller, CAST(len(coalesce(callees, [])) AS INTEGER) AS n_callees,
-       caller || ' --> [' || array_to_string(coalesce(callees, []), ', ') || ']' AS line
-FROM nodes FULL JOIN per USING (project, caller)""")
+SELECT project, caller, 0::BIGINT AS item_no, caller || ' -->' AS text FROM (
+  SELECT project, method_fqn AS caller FROM f_methods UNION SELECT project, caller FROM g_calls)
+UNION ALL
+SELECT project, caller, row_number() OVER (PARTITION BY project, caller ORDER BY callee) AS item_no, callee
+FROM g_calls""")
 def q_call_graph_text(spark, sf_dir):
     a = analysis(spark, sf_dir)
     return R.call_graph_text(a.methods, a.calls)

@@ -97,13 +97,15 @@ def write_csv(weights: DataFrame, path: str, min_weight: float = V.DEFAULT_MIN_W
 
 
 def write_modules_csv(modules: DataFrame, members: DataFrame, path: str, analyzer: str | None = None) -> None:
-    """K4: Module_ID,Class_Count,Average_Coupling,Classes[,Analyzer]."""
-    rows = modules_csv_rows(modules, members, analyzer)
-    keys = ["project", "module_id", "class_count", "avg_coupling"] + (["analyzer"] if analyzer else [])
-    g = rows.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list("class_fqn")), ";").alias("Classes"))
-    out = g.select(F.col("module_id").alias("Module_ID"), F.col("class_count").alias("Class_Count"),
-                   F.format_string("%.3f", "avg_coupling").alias("Average_Coupling"), "Classes",
-                   *([F.col("analyzer").alias("Analyzer")] if analyzer else []))
+    """K4: Module_ID,Class_Count,Average_Coupling,Class[,Analyzer], one row per member.
+
+    The tool joins a module's classes with ';' into one cell; a module may hold a
+    large share of all classes, so the sink keeps one row per class instead."""
+    rows = modules_csv_rows(modules, members, analyzer).orderBy("project", "module_id", "class_fqn")
+    out = rows.select(F.col("module_id").alias("Module_ID"), F.col("class_count").alias("Class_Count"),
+                      F.format_string("%.3f", "avg_coupling").alias("Average_Coupling"),
+                      F.col("class_fqn").alias("Class"),
+                      *([F.col("analyzer").alias("Analyzer")] if analyzer else []))
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
