@@ -914,3 +914,34 @@ def q_module_report(spark, sf_dir):
     a = analysis(spark, sf_dir)
     c = a.cut
     return MO.module_report(a.dendro, c["modules"], c["members"])
+
+
+@query("fact_local_types", """
+SELECT project, 'shop.Main' AS class_fqn, 'call' || method_ord AS method, 'v' AS variable, class_fqn AS type_name
+FROM f_methods""")
+def q_fact_local_types(spark, sf_dir):
+    return EX.fact_local_types(analysis(spark, sf_dir).facts_entry).select(
+        "project", "class_fqn", "method", "variable", "type_name")
+
+
+@query("fact_variables", """
+SELECT project, 'shop.Main' AS class_fqn, 'call' || method_ord AS method, 'v' AS variable,
+       'new ' || class_fqn || '()' AS init FROM f_methods""")
+def q_fact_variables(spark, sf_dir):
+    return EX.fact_variables(analysis(spark, sf_dir).facts_entry)
+
+
+@query("local_receiver_calls", """
+SELECT DISTINCT project, 'shop.Main' AS class_fqn, 'call' || method_ord AS method, 'v' AS variable,
+       method AS method_name, class_fqn AS type_name FROM f_methods""")
+def q_local_receiver_calls(spark, sf_dir):
+    return EX.local_receiver_calls(analysis(spark, sf_dir).facts_entry)
+
+
+@query("resolve_local_calls", """
+SELECT DISTINCT project, 'shop.Main.call' || method_ord AS caller, class_fqn || '.' || method AS callee
+FROM f_methods""")
+def q_resolve_local_calls(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    lc = EX.local_receiver_calls(a.facts_entry)
+    return R.resolve_local_calls(lc.withColumn("entry_fqn", F.col("class_fqn")), a.classes)

@@ -111,6 +111,14 @@ class Analysis:
         return materialize(extract_facts(render_sources(self.methods, self.invocations)), "facts")
 
 
+    @cached_property
+    def facts_entry(self) -> DataFrame:
+        from callweave.session import materialize
+        from callweave.sources.extract import extract_facts
+        from callweave.sources.render import render_entry_sources
+        return materialize(extract_facts(render_entry_sources(self.methods)), "facts_entry")
+
+
 # CP used by the registered module queries (the tool's slider; 0.1 leaves no module
 # on graphs with thousands of pairs because weights are fractions of the total).
 QUERY_CP = 0.0005
