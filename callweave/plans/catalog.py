@@ -945,3 +945,21 @@ def q_resolve_local_calls(spark, sf_dir):
     a = analysis(spark, sf_dir)
     lc = EX.local_receiver_calls(a.facts_entry)
     return R.resolve_local_calls(lc.withColumn("entry_fqn", F.col("class_fqn")), a.classes)
+
+
+@query("fact_supertypes", "SELECT DISTINCT project, 'shop.Main' AS class_fqn, 'Base' AS superclass FROM f_methods")
+def q_fact_supertypes(spark, sf_dir):
+    return EX.fact_supertypes(analysis(spark, sf_dir).facts_entry)
+
+
+@query("fact_super_invocations", """
+SELECT DISTINCT project, 'shop.Main.call' || method_ord AS caller, method AS callee_simple FROM f_methods""")
+def q_fact_super_invocations(spark, sf_dir):
+    return EX.fact_super_invocations(analysis(spark, sf_dir).facts_entry).select(
+        "project", "caller", "callee_simple").distinct()
+
+
+@query("resolve_super", """
+SELECT DISTINCT project, 'shop.Main.call' || method_ord AS caller, 'super.' || method AS callee FROM f_methods""")
+def q_resolve_super(spark, sf_dir):
+    return R.resolve_super(EX.fact_super_invocations(analysis(spark, sf_dir).facts_entry))

@@ -44,11 +44,11 @@ def render_sources(methods: DataFrame, invocations: DataFrame) -> DataFrame:
 
 def render_entry_sources(methods: DataFrame, package: str = "shop", entry: str = "Main") -> DataFrame:
     """Entry-class units: for every declared method ``m`` of class ``p.C`` a method
-    ``call<ord>`` of ``<package>.<entry>`` declares ``p.C v = new p.C();`` and calls
-    ``v.m()``. One unit per method, so the work grows with the method table."""
+    ``call<ord>`` of ``<package>.<entry>`` (which extends ``Base``) declares
+    ``p.C v = new p.C();`` and calls ``v.m()`` and ``super.m()``. One unit per method, so the work grows with the method table."""
     body = F.concat(F.lit("    "), F.col("class_fqn"), F.lit(" v = new "), F.col("class_fqn"), F.lit("();\n    v."),
-                    F.col("method"), F.lit("();\n"))
-    text = F.concat(F.lit(f"package {package};\n\nclass {entry} {{\n  void call"),
+                    F.col("method"), F.lit("();\n    super."), F.col("method"), F.lit("();\n"))
+    text = F.concat(F.lit(f"package {package};\n\nclass {entry} extends Base {{\n  void call"),
                     F.col("method_ord").cast("string"), F.lit("() {\n"), body, F.lit("  }\n}\n"))
     return methods.select("project", F.concat(F.lit(f"{package}/{entry}/"), F.col("method_ord").cast("string"),
                                               F.lit(".java")).alias("path"), text.alias("text"))
