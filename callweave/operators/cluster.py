@@ -122,16 +122,6 @@ def greedy_merges(n: int, edges: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
-def _local_udf(pdf: pd.DataFrame) -> pd.DataFrame:
-    project = pdf["project"].iloc[0]
-    n = int(pdf["n"].iloc[0])
-    merges = greedy_merges(n, list(zip(pdf["a"].tolist(), pdf["b"].tolist(), pdf["s"].tolist())))
-    cols = ["it", "left", "right", "s", "size", "intra", "pairs"]
-    out = pd.DataFrame(merges, columns=cols)
-    out.insert(0, "project", project)
-    return out.astype({c: "int64" for c in cols})
-
-
 NODE_SCHEMA = T.StructType([
     T.StructField("project", T.StringType()),
     T.StructField("node_id", T.LongType()),
@@ -183,12 +173,6 @@ def _local_tree_udf(pdf: pd.DataFrame) -> pd.DataFrame:
                        "n_classes": "int64", "intra_calls": "int64", "total": "int64"})
 
 
-def merges_local(eid: DataFrame, counts: DataFrame) -> DataFrame:
-    """Positive merges of projects small enough for one task."""
-    e = eid.join(counts.select("project", "n"), "project")
-    return e.groupBy("project").applyInPandas(_local_udf, MERGE_SCHEMA)
-
-
 # ---------------------------------------------------------------------------
 # Rounds strategy (any size)
 # ---------------------------------------------------------------------------

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callweave.functions.ranking import top_percent
+from callweave.functions.ranking import top_percent, with_group_position
+from callweave.session import materialize
 
 TOP_PERCENT = 0.1
 DEFAULT_X = 3  # both entry points ask for "classes with more than 3 methods"
@@ -96,7 +97,18 @@ def statistics_report(classes: DataFrame, methods: DataFrame, x: int = DEFAULT_X
             line(6, "Moyenne LOC par méthode", F.col("loc_per_method")),
             line(7, "Moyenne attributs par classe", F.col("attrs_per_class")),
             line(13, "Max number of parameters in any method", F.col("max_params"))]
-    roll = class_rollup(classes, methods)
+    roll = materialize(class_rollup(classes, methods), "rollup")
+    # one ranking per order; each top list is a prefix of it
+    by_m = with_group_position(roll, ["project"], [F.col("method_count").desc(), F.col("class_fqn")], "_p", "_n")
+    by_a = with_group_position(roll, ["project"], [F.col("attr_count").desc(), F.col("class_fqn")], "_p", "_n")
+    by_loc = with_group_position(methods, ["project"],
+                                 [F.col("loc").desc(), F.col("method_fqn"), F.col("method_ord")], "_p", "_n")
+
+    def prefix(df):
+        keep = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(percent)))
+        return df.filter(F.col("_p") < keep).withColumn("rank", F.col("_p") + 1)
+
+    top_m, top_a = prefix(by_m), prefix(by_a)
 
     def listing(no, header, df, text_col, order_col):
         head = t.select("project", F.lit(no).alias("line_no"), F.lit(0).cast("long").alias("item_no"),
@@ -105,19 +117,15 @@ def statistics_report(classes: DataFrame, methods: DataFrame, x: int = DEFAULT_X
                           F.col(text_col).alias("text"))
         return head.unionByName(items)
 
-    rows.append(listing(8, "Top 10% classes (most methods)", top_classes_by(roll, "method_count", percent),
-                        "class_fqn", "rank"))
-    rows.append(listing(9, "Top 10% classes (most attributes)", top_classes_by(roll, "attr_count", percent),
-                        "class_fqn", "rank"))
-    both = top_classes_by(roll, "method_count", percent).join(
-        top_classes_by(roll, "attr_count", percent).select("project", "class_fqn"), ["project", "class_fqn"],
-        "left_semi")
+    rows.append(listing(8, "Top 10% classes (most methods)", top_m, "class_fqn", "rank"))
+    rows.append(listing(9, "Top 10% classes (most attributes)", top_a, "class_fqn", "rank"))
+    both = top_m.join(top_a.select("project", "class_fqn"), ["project", "class_fqn"], "left_semi")
     rows.append(listing(10, "Classes in both groups", both, "class_fqn", "rank"))
-    over = classes_over_x(roll, x).join(top_classes_by(roll, "method_count", 1.0)
-                                        .select("project", "class_fqn", F.col("rank").alias("_r")),
-                                        ["project", "class_fqn"])
+    over = by_m.filter(F.col("method_count") > x).withColumn("_r", F.col("_p") + 1)
     rows.append(listing(11, f"Classes with more than {x} methods", over, "class_fqn", "_r"))
-    rows.append(listing(12, "Top 10% methods by LOC", top_methods_by_loc(methods, percent), "display", "rank"))
+    loc_top = prefix(by_loc).withColumn(
+        "display", F.format_string("%s [LOC=%d, params=%d]", F.col("method"), F.col("loc"), F.col("params")))
+    rows.append(listing(12, "Top 10% methods by LOC", loc_top, "display", "rank"))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -58,7 +58,11 @@ class Analysis:
 
     @cached_property
     def coupling(self) -> DataFrame:
-        return _keep(C.coupling_weights(C.coupling_undirected(self.calls, self.nodes)))
+        # the pair counts are written once so the total and the weights read them
+        # instead of re-running the class lookup and distinct count
+        from callweave.session import materialize
+        counts = materialize(C.coupling_undirected(self.calls, self.nodes), "coupling_counts")
+        return _keep(C.coupling_weights(counts))
 
     # --- front end 2 (typed) ---------------------------------------------
     @cached_property
@@ -72,7 +76,9 @@ class Analysis:
 
     @cached_property
     def coupling_directed(self) -> DataFrame:
-        return _keep(C.coupling_weights(C.coupling_directed(self.typed_calls)))
+        from callweave.session import materialize
+        counts = materialize(C.coupling_directed(self.typed_calls), "coupling_directed_counts")
+        return _keep(C.coupling_weights(counts))
 
 
     # --- clustering ----------------------------------------------------------
