@@ -963,3 +963,9 @@ def q_fact_super_invocations(spark, sf_dir):
 SELECT DISTINCT project, 'shop.Main.call' || method_ord AS caller, 'super.' || method AS callee FROM f_methods""")
 def q_resolve_super(spark, sf_dir):
     return R.resolve_super(EX.fact_super_invocations(analysis(spark, sf_dir).facts_entry))
+
+
+@query("fact_field_access", """
+SELECT DISTINCT project, 'shop.Main' AS class_fqn, 'call' || method_ord AS method, 'v' AS variable FROM f_methods""")
+def q_fact_field_access(spark, sf_dir):
+    return EX.fact_field_access(analysis(spark, sf_dir).facts_entry)

@@ -122,7 +122,7 @@ class Analysis:
         from callweave.session import materialize
         from callweave.sources.extract import extract_facts
         from callweave.sources.render import render_entry_sources
-        return materialize(extract_facts(render_entry_sources(self.methods)), "facts_entry")
+        return materialize(extract_facts(render_entry_sources(self.methods), identifiers=True), "facts_entry")
 
 
 # CP used by the registered module queries (the tool's slider; 0.1 leaves no module

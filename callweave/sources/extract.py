@@ -85,7 +85,10 @@ def _strip_generics(t: str) -> str:
     return re.sub(r"<.*>", "", t).strip()
 
 
-def extract_file(project: str, path: str, text: str) -> list[dict]:
+_IDENT = re.compile(r"(?<![\w.])([A-Za-z_]\w*)\b(?!\s*\()")
+
+
+def extract_file(project: str, path: str, text: str, identifiers: bool = False) -> list[dict]:
     raw = text or ""
     s = _blank(raw)
     pm = _PACKAGE.search(s)
@@ -127,6 +130,10 @@ def extract_file(project: str, path: str, text: str) -> list[dict]:
                 init = body[lm.end():end if end >= 0 else len(body)].strip()
             emit(kind="local", class_name=cls, method=method, name=var, type_name=_strip_generics(tname),
                  init=init, ord=nxt())
+        if identifiers:
+            for im in _IDENT.finditer(body):
+                if im.group(1) not in KEYWORDS:
+                    emit(kind="ident", class_name=cls, method=method, name=im.group(1), ord=nxt())
 
     def scan_type(start, end, depth_name):
         """Members of the type whose body spans s[start:end] (exclusive of braces)."""
@@ -226,12 +233,12 @@ def _javadoc_start(raw: str, hdr: int) -> int:
     return hdr
 
 
-def _extract_batches(it):
+def _extract_batches(it, identifiers=False):
     cols = [f.name for f in FACT_SCHEMA.fields]
     for pdf in it:
         out = []
         for project, path, text in zip(pdf["project"], pdf["path"], pdf["text"]):
-            out.extend(extract_file(project, path, text))
+            out.extend(extract_file(project, path, text, identifiers))
         frame = pd.DataFrame(out, columns=cols)
         frame = frame.astype({"ord": "Int64", "loc": "Int32", "params": "Int32"})
         yield frame
@@ -244,9 +251,12 @@ def scan_sources(spark: SparkSession, root: str, project: str = "project") -> Da
                      F.col("value").alias("text"))
 
 
-def extract_facts(sources: DataFrame) -> DataFrame:
-    """Long fact table, one row per declaration / invocation."""
-    return sources.select("project", "path", "text").mapInPandas(_extract_batches, FACT_SCHEMA)
+def extract_facts(sources: DataFrame, identifiers: bool = False) -> DataFrame:
+    """Long fact table, one row per declaration / invocation (and, with
+    ``identifiers``, one per bare identifier read in a method body, for S15)."""
+    def run(it):
+        return _extract_batches(it, identifiers)
+    return sources.select("project", "path", "text").mapInPandas(run, FACT_SCHEMA)
 
 
 def with_fqn(facts: DataFrame) -> DataFrame:
@@ -322,3 +332,16 @@ def local_receiver_calls(facts: DataFrame, entry_class: str = "Main", scope: str
         j = inv.join(last.withColumnRenamed("variable", "receiver"), ["project", "receiver"])
     return j.select("project", "class_fqn", "method", F.col("receiver").alias("variable"),
                     F.col("callee_simple").alias("method_name"), "type_name").distinct()
+
+
+def fact_field_access(facts: DataFrame) -> DataFrame:
+    """Identifiers read in a method that name a variable of that method or a field
+    of its class (left-semi joins against the declarations)."""
+    f = with_fqn(facts)
+    ident = f.filter(F.col("kind") == "ident").select("project", "class_fqn", "method", "name").distinct()
+    local = f.filter(F.col("kind") == "local").select("project", "class_fqn", "method", "name").distinct()
+    fields = (f.filter(F.col("kind") == "field")
+              .select("project", "class_fqn", F.explode(F.split("name", ",")).alias("name")).distinct())
+    by_local = ident.join(local, ["project", "class_fqn", "method", "name"], "left_semi")
+    by_field = ident.join(fields, ["project", "class_fqn", "name"], "left_semi")
+    return by_local.unionByName(by_field).distinct().withColumnRenamed("name", "variable")
