@@ -74,3 +74,17 @@ def test_zero_merge_closed_form(spark):
     d = {r.node_id: r for r in CL.dendrogram(_pairs(spark, edges), strategy="local").collect()}
     assert (d[9].left, d[9].right, d[9].sim) == (6, 7, 0.0)
     assert (d[10].left, d[10].right, d[10].n_classes, d[10].intra_calls) == (8, 9, 6, 12)
+
+
+def test_projects_are_independent_and_strategies_mix(spark):
+    rng = random.Random(11)
+    ea = random_graph(rng, 7, 0.5, 3)
+    eb = [(0, 1, 2), (1, 2, 2), (3, 4, 1)]
+    rows = [("A", f"c{a:02d}", f"c{b:02d}", s) for a, b, s in ea] + [("B", f"k{a}", f"k{b}", s) for a, b, s in eb]
+    pairs = spark.createDataFrame(rows, "project string, a string, b string, n long")
+    # A has more than 3 edges -> rounds; B has 3 -> one pandas task
+    mixed = CL.dendrogram(pairs, strategy="auto", local_limit=3).orderBy("project", "node_id").collect()
+    local = CL.dendrogram(pairs, strategy="local").orderBy("project", "node_id").collect()
+    assert mixed == local
+    only_b = CL.dendrogram(pairs.filter("project = 'B'"), strategy="local").orderBy("node_id").collect()
+    assert [r for r in local if r.project == "B"] == only_b
