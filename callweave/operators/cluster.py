@@ -27,6 +27,7 @@ first (closed form: queue items 2t and 2t+1 make item k+t).
 from __future__ import annotations
 
 import heapq
+import uuid
 import os
 import time
 
@@ -200,7 +201,8 @@ def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = No
                             F.lit(0).cast("long").alias("intra"), F.col("id").alias("minleaf"),
                             F.col("id").alias("rank")))
     edges = _ckpt(_attach(eid, attrs))
-    merges = None  # project, cid, left, right, s, size, intra, skey
+    merges = None  # project, cid, left, right, s, size, intra, skey, pairs
+    merges_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/callweave-tables/rounds-{uuid.uuid4().hex}"
     rounds = 0
     _t0 = time.time()
     while not edges.isEmpty():
@@ -228,9 +230,10 @@ def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = No
             (F.col("s") / (F.col("sa") * F.col("sb"))).alias("skey"),
             (F.col("sa") * F.col("sb")).alias("pairs"),
             F.least("ma", "mb").alias("minleaf"))
-        new = _ckpt(new)
-        merges = new.drop("minleaf") if merges is None else merges.unionByName(new.drop("minleaf"))
-        merges = _ckpt(merges)
+        # each round appends only its own merges; the table of all merges is one read
+        new.write.mode("overwrite").parquet(f"{merges_dir}/round={rounds}")
+        new = spark.read.parquet(f"{merges_dir}/round={rounds}")
+        merges = spark.read.parquet(merges_dir).drop("round", "minleaf")
         # re-rank every merge with its children's ranks of the previous round
         ranked = with_group_position(_with_child_ranks(merges, ranks), ["project"],
                                      [F.col("skey").desc(), F.col("rl"), F.col("rr")], "pos")
