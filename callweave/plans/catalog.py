@@ -301,7 +301,6 @@ def q_statistics_report(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from callweave.functions import names as N  # noqa: E402
 from callweave.operators import compare as X  # noqa: E402
-from callweave.sources import fixtures as FX  # noqa: E402
 
 
 def _ldp(x):
