@@ -40,3 +40,19 @@ def test_cut_matches_recursion(spark):
         members = res["members"].count()
         unassigned = res["unassigned"].count()
         assert members + unassigned == 8
+
+
+def test_edge_cases(spark):
+    empty = spark.createDataFrame([], "project string, a string, b string, n long")
+    d0 = CL.dendrogram(empty)
+    assert d0.count() == 0
+    assert MO.cut(d0, 0.1)["modules"].count() == 0
+    one = spark.createDataFrame([("p", "x.A", "x.B", 3)], "project string, a string, b string, n long")
+    d1 = CL.dendrogram(one)
+    rows = {r.node_id: r for r in d1.collect()}
+    assert len(rows) == 3 and rows[2].left == 0 and rows[2].right == 1 and rows[2].sim == 1.0
+    res = MO.cut(d1, 0.0)
+    assert [r.module_id for r in res["modules"].collect()] == ["Module_Cluster_1"]
+    # CP above every average: no module, every class unassigned
+    res = MO.cut(d1, 2.0)
+    assert res["modules"].count() == 0 and res["unassigned"].count() == 2
