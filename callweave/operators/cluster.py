@@ -32,7 +32,7 @@ import os
 import time
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,7 +42,8 @@ from callweave.session import ensure_checkpoint_dir, materialize
 DEFAULT_LOCAL_LIMIT = 200_000
 _DEBUG = bool(os.environ.get("CALLWEAVE_DEBUG"))
 _ROUND_SHIFT = 40
-_ZERO_CHUNK = 100_000  # creation ids of merges in the rounds strategy: round << 40 | min leaf
+_ZERO_CHUNK = 100_000
+_WINDOW_LIMIT = 2_000_000  # largest per-project merge count ranked inside one task  # creation ids of merges in the rounds strategy: round << 40 | min leaf
 
 MERGE_SCHEMA = T.StructType([
     T.StructField("project", T.StringType()),
@@ -201,6 +202,16 @@ def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = No
                             F.lit(0).cast("long").alias("intra"), F.col("id").alias("minleaf"),
                             F.col("id").alias("rank")))
     edges = _ckpt(_attach(eid, attrs))
+    # merges of a project number at most n - 1: below a checked bound one task ranks them
+    max_n = nn.agg(F.max("n")).first()[0] or 0
+
+    def rank_merges(df, name):
+        order = [F.col("skey").desc(), F.col("rl"), F.col("rr")]
+        if max_n <= _WINDOW_LIMIT:
+            w = Window.partitionBy("project").orderBy(*order)
+            return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
+        return with_group_position(df, ["project"], order, name)
+
     merges = None  # project, cid, left, right, s, size, intra, skey, pairs
     merges_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/callweave-tables/rounds-{uuid.uuid4().hex}"
     rounds = 0
@@ -235,8 +246,7 @@ def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = No
         new = spark.read.parquet(f"{merges_dir}/round={rounds}")
         merges = spark.read.parquet(merges_dir).drop("round", "minleaf")
         # re-rank every merge with its children's ranks of the previous round
-        ranked = with_group_position(_with_child_ranks(merges, ranks), ["project"],
-                                     [F.col("skey").desc(), F.col("rl"), F.col("rr")], "pos")
+        ranked = rank_merges(_with_child_ranks(merges, ranks), "pos")
         merge_rank = ranked.join(nn, "project").select("project", F.col("cid").alias("id"),
                                                        (F.col("n") + F.col("pos")).alias("rank"))
         ranks = _ckpt(leaf_ranks.unionByName(merge_rank))
@@ -263,8 +273,7 @@ def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = No
         empty = eid.sparkSession.createDataFrame([], MERGE_SCHEMA)
         return empty, rounds
     # final numbering: position in the greedy order; children renamed to final ids
-    final = with_group_position(_with_child_ranks(merges, ranks), ["project"],
-                                [F.col("skey").desc(), F.col("rl"), F.col("rr")], "it")
+    final = rank_merges(_with_child_ranks(merges, ranks), "it")
     final = _ckpt(final.join(nn, "project"))
     ids = final.select("project", F.col("cid").alias("old"), (F.col("n") + F.col("it")).alias("new"))
     lmap = ids.withColumnRenamed("old", "left").withColumnRenamed("new", "left_id")
