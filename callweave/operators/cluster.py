@@ -196,11 +196,12 @@ def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = No
     # node attributes: id, size, intra, min leaf, rank (leaves: rank = id)
     lv = (eid.select("project", F.col("a").alias("id")).unionByName(eid.select("project", F.col("b").alias("id")))
           .distinct())
-    leaf_ranks = _ckpt(lv.select("project", "id", F.col("id").alias("rank")))
-    ranks = leaf_ranks  # rank of every node ever created (leaves by name, merges by position)
-    attrs = _ckpt(lv.select("project", "id", F.lit(1).cast("long").alias("size"),
-                            F.lit(0).cast("long").alias("intra"), F.col("id").alias("minleaf"),
-                            F.col("id").alias("rank")))
+    # every node ever created with its rank (leaves by name, merges by position), size,
+    # intra sum and smallest leaf; edges only ever reference the active ones
+    leaf_nodes = _ckpt(lv.select("project", "id", F.lit(1).cast("long").alias("size"),
+                                 F.lit(0).cast("long").alias("intra"), F.col("id").alias("minleaf"),
+                                 F.col("id").alias("rank")))
+    attrs = ranks = leaf_nodes
     edges = _ckpt(_attach(eid, attrs))
     # merges of a project number at most n - 1: below a checked bound one task ranks them
     max_n = nn.agg(F.max("n")).first()[0] or 0
@@ -244,18 +245,12 @@ def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = No
         # each round appends only its own merges; the table of all merges is one read
         new.write.mode("overwrite").parquet(f"{merges_dir}/round={rounds}")
         new = spark.read.parquet(f"{merges_dir}/round={rounds}")
-        merges = spark.read.parquet(merges_dir).drop("round", "minleaf")
+        merges = spark.read.parquet(merges_dir).drop("round")
         # re-rank every merge with its children's ranks of the previous round
         ranked = rank_merges(_with_child_ranks(merges, ranks), "pos")
-        merge_rank = ranked.join(nn, "project").select("project", F.col("cid").alias("id"),
-                                                       (F.col("n") + F.col("pos")).alias("rank"))
-        ranks = _ckpt(leaf_ranks.unionByName(merge_rank))
-        # node attributes for the next round: untouched nodes keep size/intra, all get new ranks
-        touched = (new.select("project", F.col("left").alias("id"))
-                   .unionByName(new.select("project", F.col("right").alias("id"))))
-        kept = attrs.join(touched, ["project", "id"], "left_anti").drop("rank")
-        born = new.select("project", F.col("cid").alias("id"), "size", "intra", "minleaf")
-        attrs = _ckpt(kept.unionByName(born).join(ranks, ["project", "id"]))
+        merge_nodes = ranked.join(nn, "project").select(
+            "project", F.col("cid").alias("id"), "size", "intra", "minleaf", (F.col("n") + F.col("pos")).alias("rank"))
+        attrs = ranks = _ckpt(leaf_nodes.unionByName(merge_nodes))
         # contract: relabel merged ends, drop the merged edges, sum parallel edges
         relabel = (new.select("project", F.col("left").alias("old"), "cid")
                    .unionByName(new.select("project", F.col("right").alias("old"), "cid")))
