@@ -968,3 +968,13 @@ def q_resolve_super(spark, sf_dir):
 SELECT DISTINCT project, 'shop.Main' AS class_fqn, 'call' || method_ord AS method, 'v' AS variable FROM f_methods""")
 def q_fact_field_access(spark, sf_dir):
     return EX.fact_field_access(analysis(spark, sf_dir).facts_entry)
+
+
+@query("dendrogram_rounds", cluster_block(_PP1) + f"\nSELECT {_DG_COLS} FROM dg")
+def q_dendrogram_rounds(spark, sf_dir):
+    """The same tree through the distributed mutual-best rounds (the path taken by
+    projects over the one-task bound), checked against the same oracle."""
+    from callweave.operators.cluster import dendrogram
+    pairs = analysis(spark, sf_dir).coupling.select("project", "a", "b", F.col("n_calls").alias("n"))
+    return dendrogram(pairs, strategy="rounds").select("project", "node_id", "label", "left", "right", "sim",
+                                                        "level", "n_classes", "intra_calls")
