@@ -4,19 +4,20 @@ One method per ``part`` row (package = type, class = brand), calls between
 consecutive lines of one order. The mapping is a fixed rule so that an SQL engine
 can derive the same tables (see ``plans/oracle.py``).
 
-Scale notes: the only window is ``lead`` partitioned by order key (orders are
-small groups); distinct (caller part, callee part) pairs are reduced with a partial
-aggregate before the two joins to the method table, which AQE broadcasts or
-sort-merges depending on its runtime size.
+Scale notes: consecutive lines come from a range-sorted global position and a
+self-join on position + 1 (no window per order, so a hot order is split);
+distinct (caller part, callee part) pairs are reduced with a partial aggregate
+before the two joins to the method table, which AQE broadcasts or sort-merges
+depending on its runtime size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callweave.functions import names as N
-from callweave.functions.ranking import with_group_position
+from callweave.functions.ranking import with_global_index, with_group_position
 from callweave.sources.tables import read_table
 
 PROJECT = "shop"
@@ -69,9 +70,13 @@ def fixture_invocations(spark: SparkSession, sf_dir: str, methods: DataFrame) ->
     """invocations(project, class_fqn, caller, file_ord, method_ord, callee_simple,
     callee_class, callee_true), distinct."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    pairs = (li.select("l_partkey", F.lead("l_partkey").over(w).alias("nx"))
-             .filter(F.col("nx").isNotNull())
+    # "next line of the same order" without a window per order: a range-sorted global
+    # position and a self-join on position + 1, so one huge order is split over many
+    # range partitions instead of landing in one task
+    idx = with_global_index(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "_i")
+    nxt = idx.select(F.col("l_orderkey").alias("_ok"), F.col("l_partkey").alias("nx"), (F.col("_i") - 1).alias("_i"))
+    pairs = (idx.join(nxt, "_i").filter(F.col("l_orderkey") == F.col("_ok"))
+             .select("l_partkey", "nx")
              .distinct())
     a = methods.select("project", "class_fqn", F.col("method_fqn").alias("caller"), "file_ord",
                        "method_ord")
