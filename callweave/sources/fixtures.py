@@ -66,18 +66,24 @@ def fixture_classes(methods: DataFrame) -> DataFrame:
             .agg(F.countDistinct("field").cast("int").alias("attr_count")))
 
 
+def consecutive_part_pairs(li: DataFrame) -> DataFrame:
+    """Distinct (l_partkey, nx): part of a line and part of the next line of the same order.
+
+    "Next line" without a window per order: a range-sorted global position and a
+    self-join on position + 1, so one huge order is split over many range partitions
+    instead of landing in one task."""
+    idx = with_global_index(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "_i")
+    nxt = idx.select(F.col("l_orderkey").alias("_ok"), F.col("l_partkey").alias("nx"), (F.col("_i") - 1).alias("_i"))
+    return (idx.join(nxt, "_i").filter(F.col("l_orderkey") == F.col("_ok"))
+            .select("l_partkey", "nx")
+            .distinct())
+
+
 def fixture_invocations(spark: SparkSession, sf_dir: str, methods: DataFrame) -> DataFrame:
     """invocations(project, class_fqn, caller, file_ord, method_ord, callee_simple,
     callee_class, callee_true), distinct."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    # "next line of the same order" without a window per order: a range-sorted global
-    # position and a self-join on position + 1, so one huge order is split over many
-    # range partitions instead of landing in one task
-    idx = with_global_index(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "_i")
-    nxt = idx.select(F.col("l_orderkey").alias("_ok"), F.col("l_partkey").alias("nx"), (F.col("_i") - 1).alias("_i"))
-    pairs = (idx.join(nxt, "_i").filter(F.col("l_orderkey") == F.col("_ok"))
-             .select("l_partkey", "nx")
-             .distinct())
+    pairs = consecutive_part_pairs(li)
     a = methods.select("project", "class_fqn", F.col("method_fqn").alias("caller"), "file_ord",
                        "method_ord")
     b = methods.select(F.col("project").alias("_bp"), F.col("method_ord").alias("_bord"),
