@@ -35,4 +35,31 @@ SELECT dw.doc_id, CAST(len(dw.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
 FROM dw LEFT JOIN hit ON hit.r = dw.r LEFT JOIN its ON its.r = dw.r
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_decontamination": _OP10}
+_OP7 = r"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 2], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM dw WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+same AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM sh x JOIN sh y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM same JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+both AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id AS id, doc_id AS r FROM documents
+  UNION SELECT reach.id, both.b FROM reach JOIN both ON both.a = reach.r)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT id, min(r) AS c FROM reach GROUP BY id) m ON m.id = d.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_circulant_minhash": _OP7,
+    "op10_decontamination": _OP10,
+}

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import decontam
+from callweave.llm import circulant, decontam
 from callweave.llm.common import documents, table
 
 
+def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant.near_duplicate_classes(documents(spark, sf_dir)) \
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -18,5 +23,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_circulant_minhash": op7_circulant_minhash,
     "op10_decontamination": op10_decontamination,
 }
