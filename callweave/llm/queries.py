@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import circulant, decontam
+from callweave.llm import circulant, decontam, sharding
 from callweave.llm.common import documents, table
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, sf_dir), 8)
+
+
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant.near_duplicate_classes(documents(spark, sf_dir)) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -23,6 +27,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sharding": op2_sharding,
     "op7_circulant_minhash": op7_circulant_minhash,
     "op10_decontamination": op10_decontamination,
 }
