@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import circulant, decontam, sharding
+from callweave.llm import circulant, decontam, mixing, sharding
 from callweave.llm.common import documents, table
 
 
@@ -20,6 +20,11 @@ def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(documents(spark, sf_dir)) \
+        .select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -29,5 +34,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op7_circulant_minhash": op7_circulant_minhash,
+    "op8_mixing": op8_mixing,
     "op10_decontamination": op10_decontamination,
 }
