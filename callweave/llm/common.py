@@ -39,3 +39,21 @@ def space_word_array(text: Column) -> Column:
 def bounded(n: int, limit: int, what: str) -> None:
     if n > limit:
         raise ValueError(f"{what}: {n} exceeds the documented bound {limit}")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """Up to ``per_class`` labelled documents of each class outside the held-out fold, and the
+    classes' sizes among all such labels.
+
+    The labelled ids are drawn by hash order, so the draw is the same on every run; the drawn
+    ids (2 * per_class rows at most) are handed to every task and no text is shuffled.  Of
+    several labels of one id the largest counts; null ids and null labels are not drawn."""
+    value = F.col(column).cast("int")
+    known = read_columns(labels, "doc_id", column).filter(value.isin(0, 1) & F.col("doc_id").isNotNull()
+                                                          & ~held_out(F.col("doc_id")))
+    known = known.groupBy("doc_id").agg(F.max(value).alias("label"))
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    drawn = known.filter("label = 0").orderBy(*order).limit(per_class) \
+        .unionByName(known.filter("label = 1").orderBy(*order).limit(per_class))
+    return read_columns(docs, "doc_id", "text").join(F.broadcast(drawn), "doc_id"), sizes

@@ -7,14 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import circulant, decontam, mixing, sharding
-from callweave.llm.common import documents, table
+from callweave.llm import circulant, decontam, mixing, quality_crf, quality_llr, sharding
+from callweave.llm.common import documents, held_out, read_columns, table
+
+
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_columns(documents(spark, sf_dir), "doc_id", "text")
+    model = quality_crf.train(docs, table(spark, sf_dir, "labels"))
+    return quality_crf.score_quality(docs, model, "score").select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality_crf.REJECT_BELOW).cast("int").alias("predicted"))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir), 8)
 
 
+def op5_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_llr.quality_verdicts(documents(spark, sf_dir))
+
+
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant.near_duplicate_classes(documents(spark, sf_dir)) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -32,7 +44,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_crf": op1_quality_crf,
     "op2_sharding": op2_sharding,
+    "op5_quality_llr": op5_quality_llr,
     "op7_circulant_minhash": op7_circulant_minhash,
     "op8_mixing": op8_mixing,
     "op10_decontamination": op10_decontamination,
