@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import circulant, decontam, mixing, quality_crf, quality_llr, sharding
+from callweave.llm import circulant, decontam, mixing, quality_crf, quality_llr, sharding, toxicity
 from callweave.llm.common import documents, held_out, read_columns, table
 
 
@@ -23,6 +23,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir), 8)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_columns(documents(spark, sf_dir), "doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model, "score").select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op5_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.quality_verdicts(documents(spark, sf_dir))
 
@@ -46,6 +54,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_crf": op1_quality_crf,
     "op2_sharding": op2_sharding,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_llr": op5_quality_llr,
     "op7_circulant_minhash": op7_circulant_minhash,
     "op8_mixing": op8_mixing,
