@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import circulant, decontam, mixing, quality_crf, quality_llr, sharding, toxicity
+from callweave.llm import circulant, decontam, mixing, pii, quality_crf, quality_llr, sharding, toxicity
 from callweave.llm.common import documents, held_out, read_columns, table
 
 
@@ -35,6 +35,10 @@ def op5_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.quality_verdicts(documents(spark, sf_dir))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(documents(spark, sf_dir))
+
+
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant.near_duplicate_classes(documents(spark, sf_dir)) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op4_toxicity": op4_toxicity,
     "op5_quality_llr": op5_quality_llr,
+    "op6_pii": op6_pii,
     "op7_circulant_minhash": op7_circulant_minhash,
     "op8_mixing": op8_mixing,
     "op10_decontamination": op10_decontamination,
