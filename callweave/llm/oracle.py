@@ -59,7 +59,34 @@ FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT id, min(r) AS c FROM reach GROUP BY id) m ON m.id = d.doc_id
 """
 
+_OP9 = r"""
+WITH good AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+bad AS (
+  SELECT page_id, url, CASE WHEN coalesce(page_id, 0) % 97 = 13 THEN '~' || substr(html, 2)
+                            WHEN coalesce(page_id, 0) % 1009 = 500 THEN substr(html, 1, greatest(length(html) - 1, 0))
+                            ELSE html END AS html
+  FROM good),
+rec AS (
+  SELECT side, page_id, url, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+         || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+         || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10)
+         || html || chr(13) || chr(10) || chr(13) || chr(10) AS r
+  FROM (SELECT 1 AS side, * FROM good UNION ALL SELECT 2 AS side, * FROM bad)),
+h AS (SELECT side, page_id, url, CAST(strlen(r) AS BIGINT) AS length, sha256(r) AS sha256 FROM rec),
+p AS (SELECT *, row_number() OVER (PARTITION BY side ORDER BY page_id NULLS FIRST, url, sha256) - 1 AS pos FROM h),
+a AS (
+  SELECT *, pos // 1024 AS archive, pos % 1024 AS ordinal,
+         CAST(coalesce(sum(length) OVER (PARTITION BY side, pos // 1024 ORDER BY pos
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_offset
+  FROM p)
+SELECT x.archive, x.ordinal, x.page_id, x.record_offset, x.length, x.sha256 AS expected_sha256,
+       y.sha256 AS actual_sha256, y.record_offset AS actual_offset
+FROM (SELECT * FROM a WHERE side = 1) x JOIN (SELECT * FROM a WHERE side = 2) y ON y.pos = x.pos
+WHERE x.sha256 <> y.sha256 OR x.record_offset <> y.record_offset OR x.length <> y.length
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op7_circulant_minhash": _OP7,
+    "op9_warc_fixity": _OP9,
     "op10_decontamination": _OP10,
 }

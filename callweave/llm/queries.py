@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import circulant, decontam, mixing, pii, quality_crf, quality_llr, sharding, toxicity
+from callweave.llm import circulant, decontam, fixity, mixing, packing, pii, quality_crf, quality_llr, sharding, toxicity
 from callweave.llm.common import documents, held_out, read_columns, table
 
 
@@ -23,6 +23,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir), 8)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_columns(documents(spark, sf_dir), "doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -49,6 +53,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return fixity.audit(fixity.warc_records(pages), fixity.warc_records(fixity.damaged_replica(pages)))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -58,10 +67,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_crf": op1_quality_crf,
     "op2_sharding": op2_sharding,
+    "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_quality_llr": op5_quality_llr,
     "op6_pii": op6_pii,
     "op7_circulant_minhash": op7_circulant_minhash,
     "op8_mixing": op8_mixing,
+    "op9_warc_fixity": op9_warc_fixity,
     "op10_decontamination": op10_decontamination,
 }
