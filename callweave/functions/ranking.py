@@ -3,8 +3,9 @@
 * ``with_global_index`` (T2): 0-based position in a total order. Range-partitioned
   sort, then per-partition counts turned into offsets (one row per partition, so the
   offsets table is bounded by the partition count and safe to broadcast).
-* ``with_group_position``: position inside a group from the same global order, so a
-  group holding a third of all rows is still spread over many range partitions.
+* ``with_group_position``: position inside a group from the same sorted partitions, joined
+  per (partition, group), so a group holding most rows stays spread over its partitions.
+* ``spread_join``: join with one row per key, salted on the large side.
 * ``top_percent`` (T1) and ``top_k_per_group`` (salted two-stage window).
 """
 
@@ -25,40 +26,70 @@ def _cols(cols: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def with_global_index(df: DataFrame, order_cols: Sequence, name: str = "idx") -> DataFrame:
-    """Add ``name``: position of each row in the order ``order_cols`` (must be total).
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+                salts: int | None = None) -> DataFrame:
+    """Join a large side with a side of one row per key, where one key may hold most of ``left``.
 
-    The sorted, id-tagged rows are written once (``materialize``) so the counting pass
-    and the numbering pass see the same partitioning (range bounds come from sampling).
-    Parquet keeps the row order of each written file, and each file is one partition.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    The right rows are repeated over ``salts`` values and every left row takes one of them by its
+    hash, so a hot key is dealt over that many tasks whatever the sizes are estimated at."""
+    n = salts or max(8, min(64, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(n)))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def _sorted_rows(df: DataFrame, order_cols: Sequence) -> tuple[DataFrame, DataFrame]:
+    """The rows in order, written once, with ``_pid`` and ``_local`` (position in the partition), and
+    the first position ``_off`` of each partition."""
+    ensure_checkpoint_dir(df.sparkSession)
     tagged = (df.orderBy(*_cols(order_cols))
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     tagged = materialize(tagged, "index")
+    written = tagged.written
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _PID_SHIFT)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_off") + local).cast("long"))
-            .drop("_pid", "_mid", "_off"))
+    rows = tagged.withColumn("_local", local).drop("_mid")
+    rows.written = written
+    return rows, offsets
+
+
+def with_global_index(df: DataFrame, order_cols: Sequence, name: str = "idx") -> DataFrame:
+    """Add ``name``: position of each row in the order ``order_cols`` (must be total).
+
+    The sorted, id-tagged rows are written once (``materialize``) so the counting pass
+    and the numbering pass see the same partitioning (range bounds come from sampling).
+    Parquet keeps the row order of each written file, and each file is one partition.
+    """
+    rows, offsets = _sorted_rows(df, order_cols)
+    return (rows.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, (F.col("_off") + F.col("_local")).cast("long"))
+            .drop("_pid", "_local", "_off"))
 
 
 def with_group_position(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
                         name: str = "pos", count_name: str | None = None) -> DataFrame:
-    """0-based position inside each group (and optionally the group size)."""
+    """0-based position inside each group (and optionally the group size).
+
+    Group starts are joined per (range partition, group): a group that spans many partitions is
+    many keys, none larger than a partition.  The table of starts has at most one row more per
+    partition than there are groups."""
     g = list(group_cols)
-    indexed = with_global_index(df, [*g, *order_cols], "_gidx")
-    aggs = [F.min("_gidx").alias("_start")]
+    rows, offsets = _sorted_rows(df, [*g, *order_cols])
+    parts = rows.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_k"), F.min("_local").alias("_first"))
+    in_group = Window.partitionBy(*g).orderBy("_pid")
+    before = in_group.rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_pid", *g, "_first", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_before"),
+                          F.sum("_k").over(Window.partitionBy(*g)).alias("_total"))
+    out = (rows.join(starts, ["_pid", *g])
+           .withColumn(name, (F.col("_before") + F.col("_local") - F.col("_first")).cast("long")))
     if count_name:
-        aggs.append(F.count(F.lit(1)).alias(count_name))
-    starts = indexed.groupBy(*g).agg(*aggs)
-    return (indexed.join(starts, g)
-            .withColumn(name, F.col("_gidx") - F.col("_start"))
-            .drop("_gidx", "_start"))
+        out = out.withColumn(count_name, F.col("_total"))
+    out = out.drop("_pid", "_local", "_first", "_before", "_total")
+    out.written = rows.written
+    return out
 
 
 def top_percent(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, percent: float,
@@ -72,9 +103,11 @@ def top_percent(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
 
 
 def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, k: int,
-                    name: str = "rank", buckets: int = 64) -> DataFrame:
-    """First ``k`` rows per group, 1-based ``rank``; a hot group is cut in ``buckets`` first."""
+                    name: str = "rank", buckets: int | None = None) -> DataFrame:
+    """First ``k`` rows per group, 1-based ``rank``; a hot group is cut in ``buckets`` first (as many as
+    there are shuffle partitions unless given)."""
     g = list(group_cols)
+    buckets = buckets or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     oc = _cols(order_cols)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets))
     w1 = Window.partitionBy(*g, "_salt").orderBy(*oc)

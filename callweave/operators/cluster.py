@@ -7,18 +7,13 @@ creates node ``n + it``. Ties are broken like a left-to-right scan of the cluste
 list: smaller (rank of earlier cluster, rank of later cluster) first, where the
 rank of a merged cluster is its creation position.
 
-Two exact strategies, chosen per project from its edge count:
-
-* ``rounds`` (any size): average linkage is reducible, so every mutually-best pair
-  can merge in the same round (Bruynooghe 1978; Murtagh 1983). A round is a few
-  joins and group-bys over the contracted edge table; sizes, ranks and intra sums
-  ride on the edge rows. Integer sums keep equal ratios equal. All merges are
-  re-ranked per round (range-sorted index, no single-task window) so the next
-  round breaks ties with the creation order the greedy would have had. Lineage is
-  cut with reliable ``checkpoint()`` each round.
-* ``local`` (projects with at most ``local_limit`` edges): one ``applyInPandas``
-  task per project runs the same greedy with a heap, O(E log E). The group size is
-  bounded by the checked edge count, never by the data.
+Average linkage is reducible, so every mutually-best pair can merge in the same round
+(Bruynooghe 1978; Murtagh 1983).  All projects go through the same rounds at once.  A round is
+a few joins and group-bys over the contracted edge table; sizes, ranks and intra sums ride on the
+edge rows, and integer sums keep equal ratios equal.  All merges are ranked again per round, by a
+range-sorted position, so that the next round breaks ties by the creation order the greedy
+would have had.  Each round's tables are written to the shared folder and those of the former
+round are deleted.
 
 Components that share no edge are joined afterwards at coupling 0.0, oldest two
 first (closed form: queue items 2t and 2t+1 make item k+t).
@@ -26,24 +21,17 @@ first (closed form: queue items 2t and 2t+1 make item k+t).
 
 from __future__ import annotations
 
-import heapq
 import uuid
-import os
-import time
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callweave.functions.ranking import with_group_position
-from callweave.session import ensure_checkpoint_dir, materialize
+from callweave.functions.ranking import spread_join, with_group_position
+from callweave.session import discard, ensure_checkpoint_dir, materialize
 
-DEFAULT_LOCAL_LIMIT = 200_000
-_DEBUG = bool(os.environ.get("CALLWEAVE_DEBUG"))
-_ROUND_SHIFT = 40
+_ROUND_SHIFT = 40  # creation ids of merges while the rounds run: round << 40 | smallest leaf
 _ZERO_CHUNK = 100_000
-_WINDOW_LIMIT = 2_000_000  # largest per-project merge count ranked inside one task  # creation ids of merges in the rounds strategy: round << 40 | min leaf
 
 MERGE_SCHEMA = T.StructType([
     T.StructField("project", T.StringType()),
@@ -78,148 +66,30 @@ def id_edges(pairs: DataFrame, leaf: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Local strategy (bounded group per project)
+# Rounds
 # ---------------------------------------------------------------------------
-def greedy_merges(n: int, edges: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
-    """Sequential average linkage on ids 0..n-1; returns (it, left, right, s, size, intra).
-
-    A cluster's rank equals its id (leaves by name, merges by creation), so the
-    heap key (-s/(na*nb), smaller id, larger id) reproduces the scan order."""
-    adj: dict[int, dict[int, int]] = {}
-    size = {i: 1 for i in range(n)}
-    intra = {i: 0 for i in range(n)}
-    heap = []
-    for a, b, s in edges:
-        adj.setdefault(a, {})[b] = s
-        adj.setdefault(b, {})[a] = s
-    heap = [(-(s / 1.0), min(a, b), max(a, b)) for a, b, s in edges]  # sizes are 1
-    heapq.heapify(heap)
-    alive = set(size)
-    out = []
-    nxt = n
-    while heap:
-        _, x, y = heapq.heappop(heap)
-        if x not in alive or y not in alive:
-            continue
-        s = adj[x][y]
-        c = nxt
-        nxt += 1
-        alive.discard(x)
-        alive.discard(y)
-        alive.add(c)
-        size[c] = size[x] + size[y]
-        intra[c] = intra[x] + intra[y] + s
-        out.append((c - n, x, y, s, size[c], intra[c], size[x] * size[y]))
-        nb: dict[int, int] = {}
-        for src in (x, y):
-            for z, w in adj.pop(src).items():
-                if z in (x, y):
-                    continue
-                nb[z] = nb.get(z, 0) + w
-                del adj[z][src]
-        adj[c] = nb
-        for z, w in nb.items():
-            adj[z][c] = w
-            heapq.heappush(heap, (-(w / (size[c] * size[z])), z, c))
-    return out
-
-
-NODE_SCHEMA = T.StructType([
-    T.StructField("project", T.StringType()),
-    T.StructField("node_id", T.LongType()),
-    T.StructField("label", T.StringType()),
-    T.StructField("left", T.LongType()),
-    T.StructField("right", T.LongType()),
-    T.StructField("sim", T.DoubleType()),
-    T.StructField("level", T.IntegerType()),
-    T.StructField("n_classes", T.LongType()),
-    T.StructField("intra_calls", T.LongType()),
-    T.StructField("total", T.LongType()),
-])
-
-
-def local_tree(project: str, total: int, pairs: list[tuple[str, str, int]]) -> list[tuple]:
-    """Whole node table of one project: leaves by name, greedy merges, zero merges (FIFO)."""
-    classes = sorted({x for a, b, _ in pairs for x in (a, b)})  # code-point order = Spark binary order
-    idx = {c: i for i, c in enumerate(classes)}
-    n = len(classes)
-    merges = greedy_merges(n, [(min(idx[a], idx[b]), max(idx[a], idx[b]), s) for a, b, s in pairs])
-    rows = [(project, i, c, None, None, 0.0, 0, 1, 0, total) for i, c in enumerate(classes)]
-    size = {i: 1 for i in range(n)}
-    intra = {i: 0 for i in range(n)}
-    children = set()
-    for it, left, right, s_, sz, ia, prs in merges:
-        nid = n + it
-        size[nid], intra[nid] = sz, ia
-        children.update((left, right))
-        rows.append((project, nid, f"Cluster_{it + 1}", left, right, s_ / (total * prs), it + 1, sz, ia, total))
-    queue = [i for i in range(n + len(merges)) if i not in children]
-    it = len(merges)
-    head = 0
-    while len(queue) - head >= 2:
-        left, right = queue[head], queue[head + 1]
-        head += 2
-        nid = n + it
-        size[nid], intra[nid] = size[left] + size[right], intra[left] + intra[right]
-        rows.append((project, nid, f"Cluster_{it + 1}", left, right, 0.0, it + 1, size[nid], intra[nid], total))
-        queue.append(nid)
-        it += 1
-    return rows
-
-
-def _local_tree_udf(pdf: pd.DataFrame) -> pd.DataFrame:
-    rows = local_tree(pdf["project"].iloc[0], int(pdf["total"].iloc[0]),
-                      list(zip(pdf["a"].tolist(), pdf["b"].tolist(), [int(x) for x in pdf["n"].tolist()])))
-    out = pd.DataFrame(rows, columns=[f.name for f in NODE_SCHEMA.fields])
-    return out.astype({"node_id": "int64", "left": "Int64", "right": "Int64", "sim": "float64", "level": "int32",
-                       "n_classes": "int64", "intra_calls": "int64", "total": "int64"})
-
-
-# ---------------------------------------------------------------------------
-# Rounds strategy (any size)
-# ---------------------------------------------------------------------------
-def _ckpt(df: DataFrame) -> DataFrame:
-    t = time.time()
-    out = materialize(df, "cluster")
-    if _DEBUG:
-        import traceback
-        line = traceback.extract_stack(limit=2)[0].lineno
-        print(f"  ckpt@{line}: {time.time() - t:.2f}s", flush=True)
-    return out
-
-
-def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = None) -> tuple[DataFrame, int]:
+def merges_rounds(eid: DataFrame, counts: DataFrame) -> tuple[DataFrame, int]:
     """Positive merges by parallel mutual-best rounds. Returns (merges, rounds)."""
     spark = eid.sparkSession
-    ensure_checkpoint_dir(spark)
     nn = counts.select("project", "n")
     # node attributes: id, size, intra, min leaf, rank (leaves: rank = id)
     lv = (eid.select("project", F.col("a").alias("id")).unionByName(eid.select("project", F.col("b").alias("id")))
           .distinct())
     # every node ever created with its rank (leaves by name, merges by position), size,
     # intra sum and smallest leaf; edges only ever reference the active ones
-    leaf_nodes = _ckpt(lv.select("project", "id", F.lit(1).cast("long").alias("size"),
-                                 F.lit(0).cast("long").alias("intra"), F.col("id").alias("minleaf"),
-                                 F.col("id").alias("rank")))
-    attrs = ranks = leaf_nodes
-    edges = _ckpt(_attach(eid, attrs))
-    # merges of a project number at most n - 1: below a checked bound one task ranks them
-    max_n = nn.agg(F.max("n")).first()[0] or 0
+    leaf_nodes = materialize(lv.select("project", "id", F.lit(1).cast("long").alias("size"),
+                                       F.lit(0).cast("long").alias("intra"), F.col("id").alias("minleaf"),
+                                       F.col("id").alias("rank")), "cluster")
+    ranks = leaf_nodes
+    edges = materialize(_attach(eid, ranks), "cluster")
 
     def rank_merges(df, name):
-        order = [F.col("skey").desc(), F.col("rl"), F.col("rr")]
-        if max_n <= _WINDOW_LIMIT:
-            w = Window.partitionBy("project").orderBy(*order)
-            return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-        return with_group_position(df, ["project"], order, name)
+        return with_group_position(df, ["project"], [F.col("skey").desc(), F.col("rl"), F.col("rr")], name)
 
     merges = None  # project, cid, left, right, s, size, intra, skey, pairs
     merges_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/callweave-tables/rounds-{uuid.uuid4().hex}"
     rounds = 0
-    _t0 = time.time()
     while not edges.isEmpty():
-        if max_rounds is not None and rounds >= max_rounds:
-            break
         rounds += 1
         sim = F.col("s") / (F.col("sa") * F.col("sb"))
         key = F.struct((-sim).alias("ns"), F.least("ra", "rb").alias("lo"), F.greatest("ra", "rb").alias("hi"),
@@ -230,7 +100,6 @@ def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = No
         best = ends.groupBy("project", "node").agg(F.min("k").alias("k"))
         mutual = (best.groupBy("project", "k").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") == 2)
                   .select("project", F.col("k.a").alias("a"), F.col("k.b").alias("b")))
-        mutual = _ckpt(mutual)
         m = edges.join(mutual, ["project", "a", "b"])
         left_is_a = F.col("ra") < F.col("rb")
         new = m.select(
@@ -244,32 +113,34 @@ def merges_rounds(eid: DataFrame, counts: DataFrame, max_rounds: int | None = No
             F.least("ma", "mb").alias("minleaf"))
         # each round appends only its own merges; the table of all merges is one read
         new.write.mode("overwrite").parquet(f"{merges_dir}/round={rounds}")
-        new = spark.read.parquet(f"{merges_dir}/round={rounds}")
-        merges = spark.read.parquet(merges_dir).drop("round")
+        new = spark.read.schema(new.schema).parquet(f"{merges_dir}/round={rounds}")
+        merges = spark.read.schema(new.schema).parquet(merges_dir).select(*new.columns)
         # re-rank every merge with its children's ranks of the previous round
         ranked = rank_merges(_with_child_ranks(merges, ranks), "pos")
-        merge_nodes = ranked.join(nn, "project").select(
+        merge_nodes = spread_join(ranked, nn, ["project"]).select(
             "project", F.col("cid").alias("id"), "size", "intra", "minleaf", (F.col("n") + F.col("pos")).alias("rank"))
-        attrs = ranks = _ckpt(leaf_nodes.unionByName(merge_nodes))
+        former = [edges] if ranks is leaf_nodes else [edges, ranks]
+        ranks = materialize(leaf_nodes.unionByName(merge_nodes), "cluster")
+        discard(getattr(ranked, "written", None))
         # contract: relabel merged ends, drop the merged edges, sum parallel edges
         relabel = (new.select("project", F.col("left").alias("old"), "cid")
                    .unionByName(new.select("project", F.col("right").alias("old"), "cid")))
-        rest = edges.join(mutual, ["project", "a", "b"], "left_anti").select("project", "a", "b", "s")
         ra_ = relabel.withColumnRenamed("old", "a").withColumnRenamed("cid", "na")
         rb_ = relabel.withColumnRenamed("old", "b").withColumnRenamed("cid", "nb")
-        rest = (rest.join(ra_, ["project", "a"], "left").join(rb_, ["project", "b"], "left")
-                .select("project", F.coalesce("na", "a").alias("x"), F.coalesce("nb", "b").alias("y"), "s"))
+        rest = (edges.select("project", "a", "b", "s").join(ra_, ["project", "a"], "left")
+                .join(rb_, ["project", "b"], "left")
+                .select("project", F.coalesce("na", "a").alias("x"), F.coalesce("nb", "b").alias("y"), "s")
+                .filter("x <> y"))
         contracted = (rest.groupBy("project", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
                       .agg(F.sum("s").cast("long").alias("s")))
-        edges = _ckpt(_attach(contracted, attrs))
-        if _DEBUG:
-            print(f"round {rounds}: {time.time() - _t0:.1f}s", flush=True)
+        edges = materialize(_attach(contracted, ranks), "cluster")
+        discard(*former)
     if merges is None:
         empty = eid.sparkSession.createDataFrame([], MERGE_SCHEMA)
         return empty, rounds
     # final numbering: position in the greedy order; children renamed to final ids
     final = rank_merges(_with_child_ranks(merges, ranks), "it")
-    final = _ckpt(final.join(nn, "project"))
+    final = materialize(spread_join(final, nn, ["project"]), "cluster")
     ids = final.select("project", F.col("cid").alias("old"), (F.col("n") + F.col("it")).alias("new"))
     lmap = ids.withColumnRenamed("old", "left").withColumnRenamed("new", "left_id")
     rmap = ids.withColumnRenamed("old", "right").withColumnRenamed("new", "right_id")
@@ -305,7 +176,7 @@ def zero_merges(roots: DataFrame, counts: DataFrame) -> DataFrame:
     2h+2), so the roots under a zero merge are found arithmetically: O(k log k) rows.
     Returns (project, t, left, right, n_classes, intra)."""
     q = with_group_position(roots, ["project"], ["node_id"], "qi", "k")
-    base = q.join(counts.select("project", "n", "positive"), "project")
+    base = spread_join(q, counts.select("project", "n", "positive"), ["project"])
     k = F.col("k")
     # children of each zero merge, as node ids
     # t = 0..k-2 generated in two levels (chunks, then ids) so no task emits a huge range
@@ -343,8 +214,7 @@ def zero_merges(roots: DataFrame, counts: DataFrame) -> DataFrame:
     return zm.join(sums, ["project", "t"]).select("project", "t", "left", "right", "n_classes", "intra")
 
 
-def dendrogram(pairs: DataFrame, totals: DataFrame | None = None, strategy: str = "auto",
-               local_limit: int = DEFAULT_LOCAL_LIMIT) -> DataFrame:
+def dendrogram(pairs: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """H3-H6: node table (project, node_id, label, left, right, sim, level, n_classes,
     intra_calls, total).
 
@@ -354,22 +224,7 @@ def dendrogram(pairs: DataFrame, totals: DataFrame | None = None, strategy: str
     if totals is None:
         totals = pairs.groupBy("project").agg(F.sum("n").cast("long").alias("total"))
     tot = totals.select("project", "total")
-    if strategy in ("auto", "local"):
-        sizes = pairs.groupBy("project").agg(F.count(F.lit(1)).alias("n_edges"))
-        small = sizes if strategy == "local" else sizes.filter(F.col("n_edges") <= local_limit)
-        # one task per bounded project builds its whole node table
-        local = (pairs.join(small.select("project"), "project").join(tot, "project")
-                 .select("project", "a", "b", "n", "total")
-                 .groupBy("project").applyInPandas(_local_tree_udf, NODE_SCHEMA))
-        if strategy == "local":
-            return local
-        big = sizes.filter(F.col("n_edges") > local_limit).select("project")
-        if big.isEmpty():
-            return local
-        rest = dendrogram(pairs.join(big, "project"), totals.join(big, "project"), "rounds")
-        return local.unionByName(rest.select(*[f.name for f in NODE_SCHEMA.fields]))
-    leaf = leaves(pairs)
-    leaf = leaf.persist()
+    leaf = materialize(leaves(pairs), "leaves")
     eid = id_edges(pairs, leaf)
     sizes = eid.groupBy("project").agg(F.count(F.lit(1)).alias("n_edges"))
     counts = leaf.select("project", "n").distinct().join(sizes, "project")
@@ -381,7 +236,7 @@ def dendrogram(pairs: DataFrame, totals: DataFrame | None = None, strategy: str
                             F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"),
                             F.lit(0.0).alias("sim"), F.lit(0).alias("level"),
                             F.lit(1).cast("long").alias("n_classes"), F.lit(0).cast("long").alias("intra_calls"))
-    pm = merges.join(counts.select("project", "n"), "project").join(tot, "project")
+    pm = spread_join(merges, counts.select("project", "n").join(tot, "project"), ["project"])
     pos_rows = pm.select("project", (F.col("n") + F.col("it")).alias("node_id"),
                          F.concat(F.lit("Cluster_"), (F.col("it") + 1).cast("string")).alias("label"),
                          "left", "right",
@@ -393,14 +248,13 @@ def dendrogram(pairs: DataFrame, totals: DataFrame | None = None, strategy: str
     nodes = leaf_rows.unionByName(pos_rows)
     roots = (nodes.join(children, ["project", "node_id"], "left_anti")
              .select("project", "node_id", "n_classes", F.col("intra_calls").alias("intra")))
-    zm = zero_merges(roots, counts).join(counts.select("project", "n", "positive"), "project")
+    zm = spread_join(zero_merges(roots, counts), counts.select("project", "n", "positive"), ["project"])
     it = F.col("positive") + F.col("t")
     zero_rows = zm.select("project", (F.col("n") + it).alias("node_id"),
                           F.concat(F.lit("Cluster_"), (it + 1).cast("string")).alias("label"),
                           "left", "right", F.lit(0.0).alias("sim"), (it + 1).cast("int").alias("level"),
                           "n_classes", F.col("intra").alias("intra_calls"))
-    out = nodes.unionByName(zero_rows).join(tot, "project")
-    return out
+    return spread_join(nodes.unionByName(zero_rows), tot, ["project"])
 
 
 def first_round(weights: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.functions import names as N
+from callweave.functions.ranking import spread_join
 
 
 def caller_class_dim(nodes: DataFrame) -> DataFrame:
@@ -58,12 +59,21 @@ def project_class_filter(df: DataFrame, col: str, packages: DataFrame | None = N
     pk = N.package_of(col)
     if packages is None:
         return df.filter(pk.isNotNull())
-    p = packages.select(F.col("project").alias("_pp"), F.col("package").alias("_pkg"))
-    cond = ((F.col("project") == F.col("_pp")) &
-            ((pk == F.col("_pkg")) | pk.startswith(F.concat(F.col("_pkg"), F.lit(".")))
-             | F.col("_pkg").startswith(F.concat(pk, F.lit(".")))))
-    # the package list is a small dimension (one row per package): broadcast nested-loop semi join
-    return df.join(F.broadcast(p), cond, "left_semi")
+    # classes of the graph are judged once each; a class qualifies when its package, one of the
+    # package's ancestors, or one of a listed package's ancestors meets the other side by equality
+    def ancestors(df: DataFrame, name: str) -> DataFrame:
+        parts = F.split(F.col(name), "[.]")
+        return df.withColumn("_up", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(
+            F.slice(parts, F.lit(1), n), "."))))
+
+    own = df.select("project", F.col(col).alias("_cls"), pk.alias("_pk")).distinct().filter(F.col("_pk").isNotNull())
+    listed = packages.select("project", F.col("package").alias("_listed")).distinct()
+    below = ancestors(own, "_pk").join(listed, (F.col("_listed") == F.col("_up")) & (own["project"] == listed["project"]),
+                                       "left_semi").select("project", "_cls")
+    above = own.join(ancestors(listed, "_listed").select("project", F.col("_up").alias("_pk")).distinct(),
+                     ["project", "_pk"], "left_semi").select("project", "_cls")
+    keep = below.unionByName(above).distinct().withColumnRenamed("_cls", col)
+    return df.join(keep, ["project", col], "left_semi").select(*df.columns)
 
 
 def coupling_undirected(calls: DataFrame, nodes: DataFrame, packages: DataFrame | None = None) -> DataFrame:
@@ -95,7 +105,7 @@ def coupling_total(coupling: DataFrame) -> DataFrame:
 def coupling_weights(coupling: DataFrame) -> DataFrame:
     """weight = n_calls / total of the project (0.0 when the total is 0)."""
     t = coupling_total(coupling)
-    return (coupling.join(t, "project")
+    return (spread_join(coupling, t, ["project"])
             .withColumn("weight", F.when(F.col("total") > 0, F.col("n_calls") / F.col("total"))
                         .otherwise(F.lit(0.0)))
             .drop("total"))

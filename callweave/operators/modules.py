@@ -53,16 +53,23 @@ def tree_paths(dendro: DataFrame, qualifies=None) -> DataFrame:
                   F.when(F.col("parent").isNotNull(), 1).otherwise(0).cast("long").alias("depth"),
                   F.coalesce("off", F.lit(0)).cast("long").alias("pre"),
                   F.when(F.col("_q"), F.col("node_id")).alias("topq")))
-    st = materialize(st, "paths")
-    while not st.filter(F.col("jump").isNotNull()).isEmpty():
-        j = st.select("project", F.col("node_id").alias("jump"), F.col("jump").alias("_j2"),
-                      F.col("depth").alias("_d2"), F.col("pre").alias("_p2"), F.col("topq").alias("_t2"))
-        st = st.join(j, ["project", "jump"], "left").select(
+    # finished rows (at the root) leave the loop, so they never meet in the join on a null key; an open row
+    # points at an open row or at a finished one, and both are looked up
+    every = materialize(st, "paths")
+    done = every.filter(F.col("jump").isNull())
+    running = every.filter(F.col("jump").isNotNull())
+    while not running.isEmpty():
+        j = done.unionByName(running).select("project", F.col("node_id").alias("jump"), F.col("jump").alias("_j2"),
+                                             F.col("depth").alias("_d2"), F.col("pre").alias("_p2"),
+                                             F.col("topq").alias("_t2"))
+        st = running.join(j, ["project", "jump"]).select(
             "project", "node_id", F.col("_j2").alias("jump"),
-            (F.col("depth") + F.coalesce("_d2", F.lit(0))).alias("depth"),
-            (F.col("pre") + F.coalesce("_p2", F.lit(0))).alias("pre"),
+            (F.col("depth") + F.col("_d2")).alias("depth"), (F.col("pre") + F.col("_p2")).alias("pre"),
             F.coalesce("_t2", "topq").alias("topq"))
-        st = materialize(st, "paths")
+        step = materialize(st, "paths")
+        done = done.unionByName(step.filter(F.col("jump").isNull()))
+        running = step.filter(F.col("jump").isNotNull())
+    st = done
     return st.drop("jump")
 
 
@@ -140,8 +147,9 @@ def module_report(dendro: DataFrame, modules: DataFrame, members: DataFrame, cp_
                   analyzer: str | None = None) -> DataFrame:
     """Module report as rows (project, section, module_no, line_no, text).
 
-    Section 0 holds the general figures, section 1 one header per module followed by
-    one row per member (by name), section 2 the per-module details."""
+    Section 0 holds the general figures, section 1 one line per module, section 2 the details of
+    each module with one row per class (by name) under its ``- Classes:`` line.  Rows in the
+    order (project, section, module_no, line_no) are the printed report."""
     summ = module_summary(dendro, modules, cp_used)
     title = "=== RAPPORT DE CLUSTERING HIÉRARCHIQUE" + (f" ({analyzer})" if analyzer else "") + " ==="
 
@@ -160,16 +168,17 @@ def module_report(dendro: DataFrame, modules: DataFrame, members: DataFrame, cp_
                                F.format_string("%d. %s (classes: %d, couplage moyen: %.3f)", F.col("module_no"),
                                                F.col("module_id"), F.col("class_count"),
                                                F.col("avg_coupling")).alias("text")))
-    ranked = with_group_position(members, ["project", "module_id"], ["class_fqn"], "_r")
-    rows.append(ranked.join(modules.select("project", "module_id", "module_no"), ["project", "module_id"])
-                .select("project", F.lit(1).alias("section"), "module_no", (F.col("_r") + 1).alias("line_no"),
-                        F.col("class_fqn").alias("text")))
-    rows.append(gen(7, F.lit("=== STATISTIQUES DÉTAILLÉES ===")))
+    rows.append(gen(0, F.lit("=== STATISTIQUES DÉTAILLÉES ===")).withColumn("section", F.lit(2)))
     for i, txt in enumerate([F.format_string("Module %d: %s", F.col("module_no"), F.col("module_id")),
                              F.format_string("  - Nombre de classes: %d", F.col("class_count")),
-                             F.format_string("  - Couplage moyen: %.3f", F.col("avg_coupling"))]):
+                             F.format_string("  - Couplage moyen: %.3f", F.col("avg_coupling")),
+                             F.lit("  - Classes:")]):
         rows.append(modules.select("project", F.lit(2).alias("section"), "module_no",
                                    F.lit(i).cast("long").alias("line_no"), txt.alias("text")))
+    ranked = with_group_position(members, ["project", "module_id"], ["class_fqn"], "_r")
+    rows.append(ranked.join(modules.select("project", "module_id", "module_no"), ["project", "module_id"])
+                .select("project", F.lit(2).alias("section"), "module_no", (F.col("_r") + 4).alias("line_no"),
+                        F.col("class_fqn").alias("text")))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

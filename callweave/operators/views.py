@@ -125,9 +125,9 @@ def induced_subgraph(weights: DataFrame, nodes: DataFrame,
                      min_weight: float = DEFAULT_MIN_WEIGHT) -> DataFrame:
     """Both ends selected and weight over the threshold.
 
-    ``nodes`` is a display selection (at most ``max_nodes`` per project), so it is
-    broadcast."""
-    sel = F.broadcast(nodes.select("project", "class_fqn").distinct())
+    ``nodes`` is a display selection per project; with many projects it is no small table, so
+    how it is joined is left to the runtime sizes."""
+    sel = nodes.select("project", "class_fqn").distinct()
     e = edges_over_threshold(weights, min_weight)
     e = e.join(sel.withColumnRenamed("class_fqn", "a"), ["project", "a"], "left_semi")
     return e.join(sel.withColumnRenamed("class_fqn", "b"), ["project", "b"], "left_semi")
@@ -161,8 +161,9 @@ def coupling_summary(weights: DataFrame, packages: DataFrame, label: str = "JDT"
 
     parts = [rows(tot, 0, 0, F.lit(f"=== RÉSUMÉ COUPLAGE ENTRE CLASSES ({label}) ===")),
              rows(tot, 1, 0, F.lit("Packages détectés :")),
-             packages.select("project", F.lit(1).alias("section"), F.lit(None).cast("long").alias("line_no"),
-                             F.col("package").alias("text")),
+             with_group_position(packages, ["project"], ["package"], "_pos").select(
+                 "project", F.lit(1).alias("section"), (F.col("_pos") + 1).alias("line_no"),
+                 F.col("package").alias("text")),
              rows(tot, 2, 0, F.concat(F.lit("Total inter-class calls = "), F.col("total").cast("string"))),
              rows(tot, 3, 0, F.lit("Couplages par ordre d'importance :"))]
     ranked = ranked_pairs(weights)
@@ -180,8 +181,8 @@ def coupling_summary(weights: DataFrame, packages: DataFrame, label: str = "JDT"
         F.format_string("%d. %s → %s : %.2f%% (%d appels)", F.col("rank"), F.col("a_short"), F.col("b_short"),
                         F.col("percentage"), F.col("n_calls")).alias("text")))
     parts.append(rows(tot, 6, 0, F.lit("=== ANALYSE PAR PACKAGE ===")))
-    parts.append(package_coupling(weights).select(
-        "project", F.lit(6).alias("section"), F.lit(None).cast("long").alias("line_no"),
+    parts.append(with_group_position(package_coupling(weights), ["project"], ["package"], "_pos").select(
+        "project", F.lit(6).alias("section"), (F.col("_pos") + 1).alias("line_no"),
         F.format_string("Package %s : %d appels (%d connexions)", F.col("package"), F.col("calls"),
                         F.col("connections")).alias("text")))
     out = parts[0]

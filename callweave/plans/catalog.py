@@ -68,7 +68,7 @@ def q_top20_pairs(spark, sf_dir):
 # Clustering and modules
 # ---------------------------------------------------------------------------
 from callweave.operators import modules as MO  # noqa: E402
-from callweave.plans.context import QUERY_CP  # noqa: E402
+from callweave.plans.context import QUERY_CP, QUERY_CP_DIRECTED, QUERY_MIN_WEIGHT  # noqa: E402
 from callweave.plans.oracle import cluster_block  # noqa: E402
 
 _PP1 = "SELECT a, b, n_calls AS n FROM coupling"
@@ -81,9 +81,18 @@ def q_dendrogram(spark, sf_dir):
                                                  "n_classes", "intra_calls")
 
 
-@query("dendrogram_zero_merges", cluster_block(_PP1) + f"\nSELECT {_DG_COLS} FROM dg WHERE sim = 0 AND \"left\" IS NOT NULL")
+_PP_ONE_PACKAGE = ("SELECT a, b, n_calls AS n FROM coupling WHERE "
+                   "regexp_extract(a, '^(.*)\\.[^.]*$', 1) = regexp_extract(b, '^(.*)\\.[^.]*$', 1)")
+
+
+@query("dendrogram_zero_merges", cluster_block(_PP_ONE_PACKAGE, "SELECT total FROM c_total")
+       + f"\nSELECT {_DG_COLS} FROM dg WHERE sim = 0 AND \"left\" IS NOT NULL")
 def q_dendrogram_zero(spark, sf_dir):
-    d = analysis(spark, sf_dir).dendro
+    """Couplings inside one package only: one component per package, joined at coupling 0."""
+    from callweave.operators.cluster import dendrogram
+    w = analysis(spark, sf_dir).coupling
+    pairs = w.filter(N.package_of("a") == N.package_of("b")).select("project", "a", "b", F.col("n_calls").alias("n"))
+    d = dendrogram(pairs, C.coupling_total(w))
     return d.filter((F.col("sim") == 0) & F.col("left").isNotNull()).select(
         "project", "node_id", "label", "left", "right", "sim", "level", "n_classes", "intra_calls")
 
@@ -119,8 +128,8 @@ def q_dendrogram_listing(spark, sf_dir):
     return MO.dendrogram_listing(analysis(spark, sf_dir).cut["nodes"])
 
 
-_MOD_SQL = f"""
-, qn AS (SELECT node_id FROM dga WHERE avg_coupling >= {QUERY_CP} AND (SELECT max(n_classes) FROM dga) >= 2),
+_MOD_CP = """
+, qn AS (SELECT node_id FROM dga WHERE avg_coupling >= @CP@ AND (SELECT max(n_classes) FROM dga) >= 2),
 leafmod AS (
   SELECT a.node_id AS leaf, arg_max(a.anc, a.dist) AS module_node
   FROM anc a JOIN qn ON qn.node_id = a.anc JOIN dga l ON l.node_id = a.node_id AND l."left" IS NULL
@@ -130,6 +139,7 @@ mods AS (
          d.avg_coupling, CAST(row_number() OVER (ORDER BY w.pre) AS BIGINT) AS module_no
   FROM dga d JOIN walk w USING (node_id) WHERE d.node_id IN (SELECT module_node FROM leafmod))
 """
+_MOD_SQL = _MOD_CP.replace("@CP@", str(QUERY_CP))
 
 
 @query("modules", cluster_block(_PP1) + _MOD_SQL + """
@@ -172,7 +182,7 @@ def q_module_summary(spark, sf_dir):
 @query("modules_directed", cluster_block(
     "SELECT least(a, b) AS a, greatest(a, b) AS b, "
     "coalesce(max(CASE WHEN a < b THEN n_calls END), max(n_calls)) AS n FROM d_coupling GROUP BY ALL",
-    "SELECT total FROM d_total") + _MOD_SQL + """
+    "SELECT total FROM d_total") + _MOD_CP.replace("@CP@", str(QUERY_CP_DIRECTED)) + """
 SELECT 'shop' AS project, module_no, module_id, class_count, avg_coupling FROM mods""")
 def q_modules_directed(spark, sf_dir):
     return analysis(spark, sf_dir).cut_directed["modules"]
@@ -615,18 +625,18 @@ def q_directed_density(spark, sf_dir):
     return V.directed_density(analysis(spark, sf_dir).coupling_directed)
 
 
-@query("edges_over_threshold", "SELECT project, a, b, n_calls, weight FROM weights WHERE weight >= 0.001")
+@query("edges_over_threshold", "SELECT project, a, b, n_calls, weight FROM weights WHERE weight >= " + str(QUERY_MIN_WEIGHT))
 def q_edges_over(spark, sf_dir):
-    return V.edges_over_threshold(analysis(spark, sf_dir).coupling)
+    return V.edges_over_threshold(analysis(spark, sf_dir).coupling, QUERY_MIN_WEIGHT)
 
 
-@query("threshold_summary", """
-SELECT t.project, 0.001 AS min_weight, coalesce(k.edges, 0) AS edges,
+@query("threshold_summary", f"""
+SELECT t.project, CAST({QUERY_MIN_WEIGHT} AS DOUBLE) AS min_weight, coalesce(k.edges, 0) AS edges,
        CASE WHEN t.total > 0 THEN coalesce(k.n, 0) / CAST(t.total AS DOUBLE) ELSE 0.0 END AS total_weight, t.total
 FROM c_total t LEFT JOIN (SELECT project, count(*) AS edges, CAST(sum(n_calls) AS BIGINT) AS n FROM weights
-                          WHERE weight >= 0.001 GROUP BY project) k USING (project)""")
+                          WHERE weight >= {QUERY_MIN_WEIGHT} GROUP BY project) k USING (project)""")
 def q_threshold_summary(spark, sf_dir):
-    return V.threshold_summary(analysis(spark, sf_dir).coupling)
+    return V.threshold_summary(analysis(spark, sf_dir).coupling, QUERY_MIN_WEIGHT)
 
 
 @query("coupling_stats", """
@@ -667,11 +677,11 @@ def q_top_degree(spark, sf_dir):
     return V.top_degree_nodes(analysis(spark, sf_dir).coupling)
 
 
-_DOT_NODES = """
+_DOT_NODES = f"""
 , dn AS (SELECT * FROM (SELECT project, class_fqn, regexp_extract(class_fqn, '[^.]*$', 0) AS label,
            CAST(row_number() OVER (PARTITION BY project ORDER BY class_fqn) AS BIGINT) AS rank FROM (
            SELECT project, a AS class_fqn FROM weights UNION SELECT project, b FROM weights)) WHERE rank <= 50),
-sub AS (SELECT w.* FROM weights w WHERE weight >= 0.001
+sub AS (SELECT w.* FROM weights w WHERE weight >= {QUERY_MIN_WEIGHT}
         AND a IN (SELECT class_fqn FROM dn) AND b IN (SELECT class_fqn FROM dn))
 """
 
@@ -684,7 +694,7 @@ def q_dot_nodes(spark, sf_dir):
 @query("induced_subgraph", _DOT_NODES + "SELECT project, a, b, n_calls, weight FROM sub")
 def q_induced(spark, sf_dir):
     w = analysis(spark, sf_dir).coupling
-    return V.induced_subgraph(w, V.dot_nodes(w)).select("project", "a", "b", "n_calls", "weight")
+    return V.induced_subgraph(w, V.dot_nodes(w), QUERY_MIN_WEIGHT).select("project", "a", "b", "n_calls", "weight")
 
 
 @query("edge_style", """
@@ -694,11 +704,11 @@ def q_edge_style(spark, sf_dir):
     return V.edge_style(analysis(spark, sf_dir).coupling)
 
 
-@query("coupling_csv", """
+@query("coupling_csv", f"""
 SELECT project, a AS source, b AS target, weight, n_calls AS count, weight * 100 AS percentage
-FROM weights WHERE weight >= 0.001""")
+FROM weights WHERE weight >= {QUERY_MIN_WEIGHT}""")
 def q_coupling_csv(spark, sf_dir):
-    return V.coupling_csv(analysis(spark, sf_dir).coupling)
+    return V.coupling_csv(analysis(spark, sf_dir).coupling, QUERY_MIN_WEIGHT)
 
 
 # ---------------------------------------------------------------------------
@@ -805,22 +815,22 @@ from callweave.sinks import export as K  # noqa: E402
 , ed AS (SELECT project, a, b, n_calls, weight, row_number() OVER (PARTITION BY project ORDER BY a, b) - 1 AS r
          FROM sub),
 pj AS (SELECT project, total FROM c_total)
-SELECT project, CAST(o AS BIGINT) AS ord, line FROM (
-  SELECT project, 0 AS o, 'digraph CouplingGraph {' AS line FROM pj
-  UNION ALL SELECT project, 1, '  rankdir=LR;' FROM pj
-  UNION ALL SELECT project, 2, '  node [shape=box, style=filled, fillcolor=lightblue];' FROM pj
-  UNION ALL SELECT project, 3, '  edge [fontsize=10];' FROM pj
-  UNION ALL SELECT project, 4, '' FROM pj
-  UNION ALL SELECT project, 100 + rank, printf('  "%s" [label="%s"];', class_fqn, label) FROM dn
-  UNION ALL SELECT project, 999999, '' FROM pj
-  UNION ALL SELECT project, 1000000 + r, printf('  "%s" -> "%s" [label="%.3f (%d)", weight=%.3f];', a, b, weight,
+SELECT project, section, CAST(o AS BIGINT) AS ord, line FROM (
+  SELECT project, 0 AS section, 0 AS o, 'digraph CouplingGraph {' AS line FROM pj
+  UNION ALL SELECT project, 0, 1, '  rankdir=LR;' FROM pj
+  UNION ALL SELECT project, 0, 2, '  node [shape=box, style=filled, fillcolor=lightblue];' FROM pj
+  UNION ALL SELECT project, 0, 3, '  edge [fontsize=10];' FROM pj
+  UNION ALL SELECT project, 0, 4, '' FROM pj
+  UNION ALL SELECT project, 1, rank, printf('  "%s" [label="%s"];', class_fqn, label) FROM dn
+  UNION ALL SELECT project, 2, 0, '' FROM pj
+  UNION ALL SELECT project, 2, r + 1, printf('  "%s" -> "%s" [label="%.3f (%d)", weight=%.3f];', a, b, weight,
                                                n_calls, weight) FROM ed
-  UNION ALL SELECT project, 1000000000000000, '' FROM pj
-  UNION ALL SELECT project, 1000000000000001, '  // Total edges: ' || (SELECT count(*) FROM ed) FROM pj
-  UNION ALL SELECT project, 1000000000000002, '  // Total inter-class calls: ' || total FROM pj
-  UNION ALL SELECT project, 1000000000000003, '}' FROM pj)""")
+  UNION ALL SELECT project, 3, 0, '' FROM pj
+  UNION ALL SELECT project, 3, 1, '  // Total edges: ' || (SELECT count(*) FROM ed) FROM pj
+  UNION ALL SELECT project, 3, 2, '  // Total inter-class calls: ' || total FROM pj
+  UNION ALL SELECT project, 3, 3, '}' FROM pj)""")
 def q_dot_lines(spark, sf_dir):
-    return K.dot_lines(analysis(spark, sf_dir).coupling)
+    return K.dot_lines(analysis(spark, sf_dir).coupling, QUERY_MIN_WEIGHT)
 
 
 @query("json_nodes", """
@@ -831,9 +841,9 @@ def q_json_nodes(spark, sf_dir):
     return K.json_nodes(analysis(spark, sf_dir).coupling)
 
 
-@query("json_edges", "SELECT project, a AS source, b AS target, weight, n_calls AS count FROM weights WHERE weight >= 0.001")
+@query("json_edges", "SELECT project, a AS source, b AS target, weight, n_calls AS count FROM weights WHERE weight >= " + str(QUERY_MIN_WEIGHT))
 def q_json_edges(spark, sf_dir):
-    return K.json_edges(analysis(spark, sf_dir).coupling)
+    return K.json_edges(analysis(spark, sf_dir).coupling, QUERY_MIN_WEIGHT)
 
 
 @query("modules_csv", cluster_block(_PP1) + _MOD_SQL + """
@@ -867,7 +877,7 @@ pc AS (SELECT project, package, CAST(sum(n_calls) AS BIGINT) AS calls, count(*)
          WHERE {_sql_group_package('b')} <> {_sql_group_package('a')}) GROUP BY ALL)
 SELECT project, 0 AS section, 0::BIGINT AS line_no, '=== RÉSUMÉ COUPLAGE ENTRE CLASSES (JDT) ===' AS text FROM c_total
 UNION ALL SELECT project, 1, 0, 'Packages détectés :' FROM c_total
-UNION ALL SELECT project, 1, NULL, package FROM pk
+UNION ALL SELECT project, 1, row_number() OVER (PARTITION BY project ORDER BY package), package FROM (SELECT DISTINCT project, package FROM pk)
 UNION ALL SELECT project, 2, 0, 'Total inter-class calls = ' || total FROM c_total
 UNION ALL SELECT project, 3, 0, 'Couplages par ordre d''importance :' FROM c_total
 UNION ALL SELECT project, 3, rank, printf('%2d) %s -- %s : %.4f (%d appels)', rank, regexp_extract(a, '[^.]*$', 0),
@@ -881,7 +891,7 @@ UNION ALL SELECT project, 5, rank, printf('%d. %s → %s : %.2f%% (%d appels)',
                                            regexp_extract(b, '[^.]*$', 0), weight * 100, n_calls) FROM rk
   WHERE rank <= 3
 UNION ALL SELECT project, 6, 0, '=== ANALYSE PAR PACKAGE ===' FROM c_total
-UNION ALL SELECT project, 6, NULL, printf('Package %s : %d appels (%d connexions)', package, calls, connections)
+UNION ALL SELECT project, 6, row_number() OVER (PARTITION BY project ORDER BY package), printf('Package %s : %d appels (%d connexions)', package, calls, connections)
   FROM pc""")
 def q_coupling_summary(spark, sf_dir):
     a = analysis(spark, sf_dir)
@@ -904,11 +914,12 @@ FROM (
   UNION ALL SELECT 0, 0, 6, 'MODULES IDENTIFIÉS:'
   UNION ALL SELECT 1, module_no, 0, printf('%d. %s (classes: %d, couplage moyen: %.3f)', module_no, module_id,
                                            class_count, avg_coupling) FROM mods
-  UNION ALL SELECT 1, module_no, r, class_fqn FROM mem
-  UNION ALL SELECT 0, 0, 7, '=== STATISTIQUES DÉTAILLÉES ==='
+  UNION ALL SELECT 2, 0, 0, '=== STATISTIQUES DÉTAILLÉES ==='
   UNION ALL SELECT 2, module_no, 0, printf('Module %d: %s', module_no, module_id) FROM mods
   UNION ALL SELECT 2, module_no, 1, printf('  - Nombre de classes: %d', class_count) FROM mods
-  UNION ALL SELECT 2, module_no, 2, printf('  - Couplage moyen: %.3f', avg_coupling) FROM mods)""")
+  UNION ALL SELECT 2, module_no, 2, printf('  - Couplage moyen: %.3f', avg_coupling) FROM mods
+  UNION ALL SELECT 2, module_no, 3, '  - Classes:' FROM mods
+  UNION ALL SELECT 2, module_no, r + 3, class_fqn FROM mem)""")
 def q_module_report(spark, sf_dir):
     a = analysis(spark, sf_dir)
     c = a.cut
@@ -968,13 +979,3 @@ def q_resolve_super(spark, sf_dir):
 SELECT DISTINCT project, 'shop.Main' AS class_fqn, 'call' || method_ord AS method, 'v' AS variable FROM f_methods""")
 def q_fact_field_access(spark, sf_dir):
     return EX.fact_field_access(analysis(spark, sf_dir).facts_entry)
-
-
-@query("dendrogram_rounds", cluster_block(_PP1) + f"\nSELECT {_DG_COLS} FROM dg")
-def q_dendrogram_rounds(spark, sf_dir):
-    """The same tree through the distributed mutual-best rounds (the path taken by
-    projects over the one-task bound), checked against the same oracle."""
-    from callweave.operators.cluster import dendrogram
-    pairs = analysis(spark, sf_dir).coupling.select("project", "a", "b", F.col("n_calls").alias("n"))
-    return dendrogram(pairs, strategy="rounds").select("project", "node_id", "label", "left", "right", "sim",
-                                                        "level", "n_classes", "intra_calls")

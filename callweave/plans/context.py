@@ -105,7 +105,7 @@ class Analysis:
     @cached_property
     def cut_directed(self) -> dict:
         from callweave.operators.modules import cut
-        return cut(self.dendro_directed, QUERY_CP)
+        return cut(self.dendro_directed, QUERY_CP_DIRECTED)
 
 
     # --- extraction job over rendered sources ---------------------------------
@@ -128,6 +128,10 @@ class Analysis:
 # CP used by the registered module queries (the tool's slider; 0.1 leaves no module
 # on graphs with thousands of pairs because weights are fractions of the total).
 QUERY_CP = 0.0005
+# the same for the directed counts, whose weights are smaller
+QUERY_CP_DIRECTED = 0.0002
+# threshold of the registered edge queries (the tool's default of 0.001 leaves no edge here)
+QUERY_MIN_WEIGHT = 0.0002
 
 
 def analysis(spark: SparkSession, sf_dir: str) -> Analysis:

@@ -8,7 +8,9 @@ need.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,11 +45,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting one only for local runs.
+    """Return the reliable checkpoint directory, setting one only for one-process local runs.
 
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder; a
-    machine-local temporary folder would not survive executor loss.
-    """
+    Everything else (also ``local-cluster``) has executors in other processes, possibly on other
+    machines: there ``spark.checkpoint.dir`` must name a shared folder."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
@@ -56,8 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     path = tempfile.mkdtemp(prefix="callweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
@@ -68,11 +69,23 @@ def materialize(df, name: str = "t"):
 
     Unlike ``Dataset.checkpoint`` the re-read table carries real file-size statistics,
     so iterative jobs do not inherit ever-growing join estimates from earlier rounds,
-    and AQE sees true sizes when it picks broadcast or sort-merge joins."""
-    import uuid
-
+    and AQE sees true sizes when it picks broadcast or sort-merge joins.  The result's
+    ``written`` is the table's path, for ``discard``."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/callweave-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no job to infer it from the files
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written = path
+    return out
+
+
+def discard(*tables) -> None:
+    """Delete tables that ``materialize`` wrote (or paths of such); nothing may read them later."""
+    for t in tables:
+        path = t if isinstance(t, str) or t is None else getattr(t, "written", None)
+        if path and "/callweave-tables/" in path:
+            spark = SparkSession.getActiveSession()
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

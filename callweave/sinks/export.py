@@ -20,33 +20,33 @@ DOT_HEADER = ["digraph CouplingGraph {", "  rankdir=LR;",
               "  node [shape=box, style=filled, fillcolor=lightblue];", "  edge [fontsize=10];", ""]
 
 
+# Fixed values of the DOT trailer.
+DOT_EDGES, DOT_CALLS, DOT_END = "  // Total edges: %d", "  // Total inter-class calls: %d", "}"
+
+
 def dot_lines(weights: DataFrame, min_weight: float = V.DEFAULT_MIN_WEIGHT,
               max_nodes: int = V.DEFAULT_MAX_NODES) -> DataFrame:
-    """K1: (project, ord, line) of the DOT digraph."""
+    """K1: (project, section, ord, line) of the DOT digraph: 0 header, 1 nodes, 2 edges, 3 trailer."""
     projects = coupling_total(weights)
-    head = [projects.select("project", F.lit(i).cast("long").alias("ord"), F.lit(t).alias("line"))
-            for i, t in enumerate(DOT_HEADER)]
+
+    def lines(df, section, ord_, line):
+        return df.select("project", F.lit(section).alias("section"), F.col(ord_).cast("long").alias("ord")
+                         if isinstance(ord_, str) else F.lit(ord_).cast("long").alias("ord"), line.alias("line"))
+
+    parts = [lines(projects, 0, i, F.lit(t)) for i, t in enumerate(DOT_HEADER)]
     nodes = V.dot_nodes(weights, max_nodes)
-    node_rows = nodes.select("project", (F.lit(100) + F.col("rank")).cast("long").alias("ord"),
-                             F.format_string('  "%s" [label="%s"];', F.col("class_fqn"), F.col("label")).alias("line"))
-    edges = V.induced_subgraph(weights, nodes, min_weight)
-    edges = with_group_position(edges, ["project"], ["a", "b"], "_r")
-    edge_rows = edges.select(
-        "project", (F.lit(1_000_000) + F.col("_r")).cast("long").alias("ord"),
-        F.format_string('  "%s" -> "%s" [label="%.3f (%d)", weight=%.3f];', F.col("a"), F.col("b"),
-                        F.col("weight"), F.col("n_calls"), F.col("weight")).alias("line"))
+    parts.append(lines(nodes, 1, "rank", F.format_string('  "%s" [label="%s"];', F.col("class_fqn"), F.col("label"))))
+    edges = with_group_position(V.induced_subgraph(weights, nodes, min_weight), ["project"], ["a", "b"], "_r")
+    parts.append(lines(projects, 2, 0, F.lit("")))
+    parts.append(lines(edges.withColumn("_r", F.col("_r") + 1), 2, "_r", F.format_string(
+        '  "%s" -> "%s" [label="%.3f (%d)", weight=%.3f];', F.col("a"), F.col("b"), F.col("weight"),
+        F.col("n_calls"), F.col("weight"))))
     n_edges = edges.groupBy("project").agg(F.count(F.lit(1)).alias("_e"))
     tail = projects.join(n_edges, "project", "left").withColumn("_e", F.coalesce("_e", F.lit(0)))
-    end = 10 ** 15
-    tails = [tail.select("project", F.lit(end).cast("long").alias("ord"), F.lit("").alias("line")),
-             tail.select("project", F.lit(end + 1).cast("long").alias("ord"),
-                         F.format_string("  // Total edges: %d", F.col("_e")).alias("line")),
-             tail.select("project", F.lit(end + 2).cast("long").alias("ord"),
-                         F.format_string("  // Total inter-class calls: %d", F.col("total")).alias("line")),
-             tail.select("project", F.lit(end + 3).cast("long").alias("ord"), F.lit("}").alias("line")),
-             projects.select("project", F.lit(999_999).cast("long").alias("ord"), F.lit("").alias("line"))]
-    out = head[0]
-    for part in head[1:] + [node_rows, edge_rows] + tails:
+    parts += [lines(tail, 3, 0, F.lit("")), lines(tail, 3, 1, F.format_string(DOT_EDGES, F.col("_e"))),
+              lines(tail, 3, 2, F.format_string(DOT_CALLS, F.col("total"))), lines(tail, 3, 3, F.lit(DOT_END))]
+    out = parts[0]
+    for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
@@ -65,7 +65,7 @@ def json_edges(weights: DataFrame, min_weight: float = V.DEFAULT_MIN_WEIGHT) ->
 
 
 def modules_csv_rows(modules: DataFrame, members: DataFrame, analyzer: str | None = None) -> DataFrame:
-    """K4 in long form: one row per (module, class); the writer joins classes with ';'."""
+    """K4 in long form: one row per (module, class); a joined cell would have no bound."""
     j = members.join(modules, ["project", "module_id"])
     cols = ["project", "module_id", "class_count", "avg_coupling", "class_fqn"]
     out = j.select(*cols)
@@ -75,7 +75,9 @@ def modules_csv_rows(modules: DataFrame, members: DataFrame, analyzer: str | Non
 
 
 def write_dot(lines: DataFrame, path: str) -> None:
-    lines.orderBy("project", "ord").coalesce(1).select("line").write.mode("overwrite").text(path)
+    """One folder ``project=...`` per graph, its lines in order (a display graph is a bounded group)."""
+    (lines.repartition("project").sortWithinPartitions("project", "section", "ord")
+     .select("project", "line").write.mode("overwrite").partitionBy("project").text(path))
 
 
 def write_json(weights: DataFrame, path: str, min_weight: float = V.DEFAULT_MIN_WEIGHT) -> None:
@@ -109,17 +111,42 @@ def write_modules_csv(modules: DataFrame, members: DataFrame, path: str, analyze
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_text(report: DataFrame, path: str, order_cols=("project", "line_no", "item_no")) -> None:
-    """K5: report rows in order, one text line each."""
+#: order columns of the reports that ``write_text`` prints
+ORDER = {"statistics": ("project", "line_no", "item_no"), "coupling": ("project", "section", "line_no"),
+         "modules": ("project", "section", "module_no", "line_no")}
+
+
+def write_text(report: DataFrame, path: str, order_cols=None) -> None:
+    """K5: report rows in order, one text line each; the order is told from the report's columns."""
+    if order_cols is None:
+        order_cols = next(o for o in sorted(ORDER.values(), key=len, reverse=True) if set(o) <= set(report.columns))
     report.orderBy(*order_cols).select("text").write.mode("overwrite").text(path)
 
 
+# Fixed values of the closing list of written files.
+FILES_TITLE = "=== FICHIERS GÉNÉRÉS ==="
+FILES_LINES = (("dot", "format Graphviz"), ("json", "format JSON"), ("csv", "rapport CSV"))
+
+
+def export_summary(weights: DataFrame, packages: DataFrame, paths: dict[str, str]) -> DataFrame:
+    """K6 text: the coupling summary of each project and the list of written files."""
+    projects = coupling_total(weights)
+    out = V.coupling_summary(weights, packages)
+    for i, text in enumerate([FILES_TITLE, *[f"• {paths[k]} ({what})" for k, what in FILES_LINES]]):
+        out = out.unionByName(projects.select("project", F.lit(7).alias("section"), F.lit(i).cast("long").alias("line_no"),
+                                              F.lit(text).alias("text")))
+    return out
+
+
 def export_all(weights: DataFrame, out_dir: str, min_weight: float = V.DEFAULT_MIN_WEIGHT,
-               max_nodes: int = V.DEFAULT_MAX_NODES) -> dict[str, str]:
-    """K6: every format at once; returns the written paths."""
+               max_nodes: int = V.DEFAULT_MAX_NODES, packages: DataFrame | None = None) -> dict[str, str]:
+    """K6: every format at once, with a text summary where ``packages`` are given; returns the paths."""
     paths = {"dot": f"{out_dir}/coupling_graph.dot", "json": f"{out_dir}/coupling_graph.json",
              "csv": f"{out_dir}/coupling_report.csv"}
     write_dot(dot_lines(weights, min_weight, max_nodes), paths["dot"])
     write_json(weights, paths["json"], min_weight)
     write_csv(weights, paths["csv"], min_weight)
+    if packages is not None:
+        write_text(export_summary(weights, packages, paths), f"{out_dir}/summary.txt")
+        paths["text"] = f"{out_dir}/summary.txt"
     return paths

@@ -1,27 +1,30 @@
 """Source files -> fact tables (S1-S15) as one distributed job.
 
 ``scan_sources`` reads a directory tree of ``*.java`` files, one row per file.
-``extract_facts`` runs a light lexical scanner per file inside ``mapInPandas``
-(Arrow batches, many files per batch): comments and literals are blanked while
-newlines are kept, braces are tracked, and declarations and invocations are
-matched. It emits one long table (kind, ...) from which each fact table is a
-filtered view. A file is the unit of work, so the job scales with the corpus and
+``extract_facts`` runs a light scanner per file inside ``mapInPandas``: comments and literals are
+blanked while newlines are kept, the text is cut into tokens once, brackets are matched once, and
+one forward pass over the tokens finds declarations and invocations.  The work is linear in the
+file.  It emits one long table (kind, ...) from which each fact table is a filtered view, in
+frames of bounded size.  A file is the unit of work, so the job scales with the corpus and
 no file is ever split or truncated.
 
-Supported constructs: package, nested class/interface declarations, fields
-(``int a, b;`` is one declaration), methods and constructors (LOC from the header
-line, with a leading Javadoc, to the closing brace; 0 without body), parameters,
-invocations with optional receiver (also inside lambdas), ``super.m()``, local
-variable declarations (statements and ``for`` headers) with generic arguments
-stripped. A full Java grammar and compiler bindings are not built.
+Supported constructs: package, class/interface declarations at any depth (also inside enums,
+records and methods), annotations on types, methods, fields, parameters and locals, fields
+(``int a, b;`` is one declaration), methods and constructors (LOC from the header line, with a
+leading Javadoc, to the closing brace; 0 without body), parameters, invocations with optional
+receiver (also inside lambdas and anonymous classes, whose own method headers are no calls),
+``super.m()``, local variable declarations (statements and ``for`` / ``try`` headers, every
+fragment) with generic arguments stripped. A full Java grammar and compiler bindings are not built.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,207 +51,392 @@ KEYWORDS = {"if", "for", "while", "switch", "catch", "return", "synchronized", "
             "final", "static", "public", "private", "protected", "abstract", "default", "yield"}
 
 _STRIP = re.compile(r'//[^\n]*|/\*.*?\*/|"(?:\\.|[^"\\\n])*"|\'(?:\\.|[^\'\\\n])*\'', re.S)
-_PACKAGE = re.compile(r"\bpackage\s+([\w.]+)\s*;")
-_TYPE = re.compile(r"\b(class|interface|enum|record)\s+(\w+)(?:\s*<[^{]*?>)?(?:\s+extends\s+([\w.]+))?[^{;]*\{")
-_METHOD = re.compile(r"(?:^|(?<=[;{}]))\s*((?:@\w+\s*)*(?:(?:public|private|protected|static|final|abstract|"
-                     r"synchronized|native|default|strictfp)\s+)*)(?:<[^>]*>\s*)?([\w.<>\[\],?\s]+?\s+)?(\w+)\s*"
-                     r"\(([^()]*)\)\s*(?:throws\s+[\w.,\s]+)?(\{|;)")
-_FIELD = re.compile(r"(?:^|(?<=[;{}]))\s*((?:(?:public|private|protected|static|final|transient|volatile)\s+)*)"
-                    r"([\w.]+(?:<[^;=(){}]*>)?(?:\[\])*)\s+(\w+(?:\s*=[^;]*)?(?:\s*,\s*\w+(?:\s*=[^;,]*)?)*)\s*;")
-_CALL = re.compile(r"(?:(\b[\w]+|\))\s*\.\s*)?\b(\w+)\s*\(")
-_LOCAL = re.compile(r"(?:^|[;{(])\s*(?:final\s+)?([A-Za-z_][\w.]*(?:<[^;=(){}]*>)?(?:\[\])*)\s+(\w+)\s*(=|;|:)")
+_TOKEN = re.compile(r"[A-Za-z_$][\w$]*|\d[\w.]*|[^\s\w]")
+_NEWLINE = re.compile("\n")
+# Words that may stand before a call, so that it is no declaration.
+BEFORE_CALL = {"return", "else", "do", "throw", "case", "assert", "yield", "new", "instanceof", "default"}
+MODIFIERS = {"public", "private", "protected", "static", "final", "abstract", "synchronized", "native", "default",
+             "strictfp", "transient", "volatile", "sealed", "non"}
+TYPE_WORDS = {"class", "interface", "enum", "record"}
+PRIMITIVES = {"int", "long", "double", "float", "boolean", "byte", "short", "char", "void", "var"}
+_OPEN, _CLOSE = "([{", ")]}"
+#: facts of a frame; a file's facts are handed on as they come
+_FRAME_ROWS = 20_000
 
 
 def _blank(text: str) -> str:
     return _STRIP.sub(lambda m: re.sub(r"[^\n]", " ", m.group(0)), text)
 
 
-def _match_brace(s: str, i: int) -> int:
-    """Index of the brace closing the one at ``i`` (or len(s))."""
-    depth = 0
-    for k in range(i, len(s)):
-        c = s[k]
-        if c == "{":
-            depth += 1
-        elif c == "}":
-            depth -= 1
-            if depth == 0:
-                return k
-    return len(s)
-
-
-def _line_of(s: str, i: int) -> int:
-    return s.count("\n", 0, i) + 1
-
-
-def _strip_generics(t: str) -> str:
-    return re.sub(r"<.*>", "", t).strip()
-
-
-_IDENT = re.compile(r"(?<![\w.])([A-Za-z_]\w*)\b(?!\s*\()")
-
-
-def extract_file(project: str, path: str, text: str, identifiers: bool = False) -> list[dict]:
-    raw = text or ""
-    s = _blank(raw)
-    pm = _PACKAGE.search(s)
-    package = pm.group(1) if pm else ""
-    rows: list[dict] = []
-
-    def emit(**kw):
-        base = dict(project=project, path=path, package=package, class_name=None, ord=None, method=None,
-                    name=None, type_name=None, receiver=None, init=None, loc=None, params=None, superclass=None)
-        base.update(kw)
-        rows.append(base)
-
-    ordinal = [0]
-
-    def nxt():
-        ordinal[0] += 1
-        return ordinal[0]
-
-    def scan_body(cls, method, body, off):
-        for cm in _CALL.finditer(body):
-            recv, name = cm.group(1), cm.group(2)
-            if name in KEYWORDS:
-                continue
-            before = body[max(0, cm.start(2) - 200):cm.start(2)]
-            if re.search(r"\bnew\s+[\w.]*$", before):
-                continue
-            if recv == "super":
-                emit(kind="super_inv", class_name=cls, method=method, name=name, ord=nxt())
+def _is_name(t: str) -> bool:
+    return t[0].isalpha() or t[0] in "_$"
+
+
+class _File:
+    """Tokens of one file, with matched brackets, and the pass that emits its facts."""
+
+    def __init__(self, project: str, path: str, text: str, identifiers: bool):
+        self.raw = text
+        self.text = _blank(text)
+        self.identifiers = identifiers
+        found = [(m.group(0), m.start()) for m in _TOKEN.finditer(self.text)]
+        # a few marks after the last token, so that looking ahead needs no test
+        self.tok = [t for t, _ in found] + ["\0"] * 4
+        self.at = [p for _, p in found] + [len(self.text)] * 4
+        self.n = len(found)
+        self.lines = [m.start() for m in _NEWLINE.finditer(text)]
+        self.match = [self.n] * (self.n + 4)
+        stack: list[int] = []
+        for i in range(self.n):
+            t = self.tok[i]
+            if t in _OPEN:
+                stack.append(i)
+            elif t in _CLOSE:
+                k = _OPEN[_CLOSE.index(t)]
+                while stack and self.tok[stack[-1]] != k:  # unbalanced source: the inner bracket stays open
+                    stack.pop()
+                if stack:
+                    self.match[stack.pop()] = i
+        self.ord = 0
+        self.base = dict(project=project, path=path, package=self._package(), class_name=None, ord=None, method=None,
+                         name=None, type_name=None, receiver=None, init=None, loc=None, params=None, superclass=None)
+
+    def _package(self) -> str:
+        for i in range(self.n):
+            if self.tok[i] == "package":
+                j = i + 1
+                while j < self.n and (_is_name(self.tok[j]) or self.tok[j] == "."):
+                    j += 1
+                return "".join(self.tok[i + 1:j])
+            if self.tok[i] in TYPE_WORDS:
+                break
+        return ""
+
+    def emit(self, **kw) -> dict:
+        self.ord += 1
+        return {**self.base, "ord": self.ord, **kw}
+
+    def line(self, pos: int) -> int:
+        return bisect_right(self.lines, pos - 1) + 1
+
+    # --- pieces of declarations -------------------------------------------------------
+    def angles(self, i: int) -> int:
+        """Index after the type arguments that open at ``i``, or ``i`` where they are none."""
+        depth, j = 0, i
+        while j < self.n:
+            t = self.tok[j]
+            if t == "<":
+                depth += 1
+            elif t == ">":
+                depth -= 1
+                if depth == 0:
+                    return j + 1
+            elif not (_is_name(t) or t in ",.?&[]@"):
+                return i
+            j += 1
+        return i
+
+    def annotation(self, i: int) -> int:
+        """Index after the annotation at ``i``."""
+        j = i + 1
+        while j < self.n and _is_name(self.tok[j]):
+            j += 1
+            if self.tok[j] != ".":
+                break
+            j += 1
+        return self.match[j] + 1 if self.tok[j] == "(" else j
+
+    def prefix(self, i: int, end: int) -> int:
+        """Index after annotations and modifiers."""
+        while i < end:
+            if self.tok[i] == "@" and self.tok[i + 1] != "interface":
+                i = self.annotation(i)
+            elif self.tok[i] in MODIFIERS and self.tok[i + 1] not in (".", "(", "=", ";", ":", "->"):
+                i += 3 if self.tok[i] == "non" and self.tok[i + 1] == "-" else 1
             else:
-                emit(kind="inv", class_name=cls, method=method, name=name,
-                     receiver=None if recv in (None, ")") else recv, ord=nxt())
-        for lm in _LOCAL.finditer(body):
-            tname, var = lm.group(1), lm.group(2)
-            if tname in KEYWORDS or tname in ("return", "else") or var in KEYWORDS:
-                continue
-            init = None
-            if lm.group(3) == "=":
-                end = body.find(";", lm.end())
-                init = body[lm.end():end if end >= 0 else len(body)].strip()
-            emit(kind="local", class_name=cls, method=method, name=var, type_name=_strip_generics(tname),
-                 init=init, ord=nxt())
-        if identifiers:
-            for im in _IDENT.finditer(body):
-                if im.group(1) not in KEYWORDS:
-                    emit(kind="ident", class_name=cls, method=method, name=im.group(1), ord=nxt())
-
-    def scan_type(start, end, depth_name):
-        """Members of the type whose body spans s[start:end] (exclusive of braces)."""
-        k = start
-        while k < end:
-            tm = _TYPE.search(s, k, end)
-            mm = _METHOD.search(s, k, end)
-            fm = _FIELD.search(s, k, end)
-            cands = [(m.start(), t, m) for t, m in (("type", tm), ("method", mm), ("field", fm)) if m]
-            if not cands:
+                return i
+        return i
+
+    def type_end(self, i: int, end: int) -> int:
+        """Index after a type name with arguments and brackets, or ``i``."""
+        j = i
+        while j < end and _is_name(self.tok[j]) and self.tok[j] not in KEYWORDS:
+            j += 1
+            if self.tok[j] == "<":
+                j = self.angles(j)
+            if self.tok[j] != ".":
                 break
-            cands.sort(key=lambda c: (c[0], {"type": 0, "method": 1, "field": 2}[c[1]]))
-            _, kind, m = cands[0]
-            # skip matches nested in an inner block that is not a member
-            seg = s[k:m.start()]
-            if "{" in seg:
-                blk = k + seg.index("{")
-                k = _match_brace(s, blk) + 1
-                continue
-            if kind == "type":
-                ob = m.end() - 1
-                cb = _match_brace(s, ob)
-                if m.group(1) in ("class", "interface"):
-                    emit(kind="type", class_name=m.group(2), superclass=m.group(3), ord=nxt())
-                    scan_type(ob + 1, cb, m.group(2))
-                k = cb + 1
-            elif kind == "method":
-                name, ret = m.group(3), (m.group(2) or "").strip()
-                if name in KEYWORDS or (ret in KEYWORDS):
-                    k = m.end()
-                    continue
-                plist = m.group(4).strip()
-                nparams = 0 if not plist else len(_split_top(plist))
-                hdr = m.start(1) if m.group(1) else m.start(2) if m.group(2) else m.start(3)
-                start_line = _line_of(raw, _javadoc_start(raw, hdr))
-                if m.group(5) == "{":
-                    ob = m.end() - 1
-                    cb = _match_brace(s, ob)
-                    loc = _line_of(raw, cb) - start_line + 1
-                    emit(kind="method", class_name=depth_name, method=name, type_name=ret or None, loc=loc,
-                         params=nparams, ord=nxt())
-                    scan_body(depth_name, name, s[ob + 1:cb], ob + 1)
-                    k = cb + 1
+            j += 1
+        while j > i and self.tok[j] == "[" and self.tok[j + 1] == "]":
+            j += 2
+        if j > i and self.tok[j] == "." and self.tok[j + 1] == ".":  # variable arguments
+            j += 3
+        return j
+
+    def source(self, i: int, j: int) -> str:
+        """Source text of tokens i..j-1, without comments."""
+        return self.text[self.at[i]:self.at[j - 1] + len(self.tok[j - 1])].strip() if j > i else ""
+
+    def declarators(self, i: int, end: int) -> tuple[list[tuple[str, str | None]], int]:
+        """(name, initialiser) of the fragments from ``i`` and the index of what ends them."""
+        out = []
+        while i < end and _is_name(self.tok[i]):
+            name, init = self.tok[i], None
+            i += 1
+            while self.tok[i] == "[":
+                i = self.match[i] + 1
+            if self.tok[i] == "=":
+                first = i = i + 1
+                while i < end and self.tok[i] not in (",", ";") and self.tok[i] not in _CLOSE:
+                    if self.tok[i] in _OPEN:
+                        i = self.match[i] + 1
+                    elif self.tok[i] == "<":
+                        i = max(self.angles(i), i + 1)
+                    else:
+                        i += 1
+                init = self.source(first, min(i, end))
+            out.append((name, init))
+            if self.tok[i] != ",":
+                break
+            i += 1
+        return out, i
+
+    def start_line(self, i: int) -> int:
+        """Line of the declaration at token ``i``, or of the Javadoc directly before it."""
+        gap_from = self.at[i - 1] + len(self.tok[i - 1]) if i else 0
+        gap = self.raw[gap_from:self.at[i]].rstrip()
+        k = gap.rfind("/*") if gap.endswith("*/") else -1
+        return self.line(gap_from + k if k >= 0 and gap.startswith("/**", k) else self.at[i])
+
+    def header(self, i: int, end: int) -> int:
+        """Index of the first of ``{`` or ``;`` outside brackets."""
+        while i < end and self.tok[i] not in ("{", ";"):
+            i = self.match[i] + 1 if self.tok[i] in "([" else i + 1
+        return i
+
+    # --- the pass ---------------------------------------------------------------------
+    def facts(self) -> Iterator[dict]:
+        """All facts of the file.  ``work`` holds ranges still to be read: (first, end, class, keep)."""
+        work = [(0, self.n, None, False)]
+        while work:
+            i, end, cls, keep = work.pop()
+            while i < end:
+                start = i
+                i = self.prefix(i, end)
+                t = self.tok[i]
+                if i >= end:
+                    break
+                if t in TYPE_WORDS and _is_name(self.tok[i + 1]) or t == "@" and self.tok[i + 1] == "interface":
+                    row, body, after, inner = self.type_at(i, end)
+                    if row:
+                        yield row
+                    if body is not None:
+                        work.append((after, end, cls, keep))
+                        work.append((body, after - 1, *inner))
+                        break
+                    i = after
+                elif t == "{":
+                    i = self.match[i] + 1
+                elif t in (";", "}", ")", "]"):
+                    i += 1
+                elif cls is None and not keep and t in ("package", "import"):
+                    i = self.header(i, end) + 1
                 else:
-                    emit(kind="method", class_name=depth_name, method=name, type_name=ret or None, loc=0,
-                         params=nparams, ord=nxt())
-                    k = m.end()
+                    i = yield from self.member(start, i, end, cls if keep else None)
+
+    def type_at(self, i: int, end: int):
+        """(row, first body token, index after, (class, keep)) of the type declared at ``i``."""
+        if self.tok[i] == "@":
+            i += 1
+        word, name = self.tok[i], self.tok[i + 1]
+        body = self.header(i + 2, end)
+        if self.tok[body] != "{":
+            return None, None, body + 1, None
+        parent, j = None, i + 2
+        while j < body:
+            if self.tok[j] == "<":
+                j = max(self.angles(j), j + 1)
+            elif self.tok[j] == "extends":
+                k = self.type_end(j + 1, body)
+                parent = _strip_generics(self.source(j + 1, k)) or None
+                break
+            elif self.tok[j] in ("implements", "permits"):
+                break
+            else:
+                j += 1
+        kept = word in ("class", "interface") and self.tok[i - 1] != "@"
+        row = self.emit(kind="type", class_name=name, superclass=parent) if kept else None
+        first = body + 1
+        if word == "enum":  # constants end at the first semicolon
+            first = self.constants(first, self.match[body])
+        return row, first, self.match[body] + 1, (name, kept)
+
+    def constants(self, i: int, end: int) -> int:
+        while i < end and self.tok[i] != ";":
+            i = self.match[i] + 1 if self.tok[i] in _OPEN else i + 1
+        return i
+
+    def member(self, start: int, i: int, end: int, cls: str | None):
+        """A field, method or constructor at ``i``; emits nothing where ``cls`` is None.  Returns the index after."""
+        if self.tok[i] == "<":
+            i = max(self.angles(i), i + 1)
+            i = self.prefix(i, end)
+        j = self.type_end(i, end)
+        if j == i:
+            return i + 1
+        if self.tok[j] == "(" and j == i + 1:
+            name, returns, paren = self.tok[i], None, j
+        elif _is_name(self.tok[j]) and self.tok[j + 1] == "(":
+            name, returns, paren = self.tok[j], self.source(i, j), j + 1
+        elif _is_name(self.tok[j]) and self.tok[j + 1] in ("=", ";", ",", "["):
+            names, k = self.declarators(j, end)
+            if cls:
+                yield self.emit(kind="field", class_name=cls, name=",".join(n for n, _ in names),
+                                type_name=_strip_generics(self.source(i, j)))
+            return k + 1
+        elif self.tok[j] == "{" and j == i + 1:  # compact constructor of a record
+            return self.match[j] + 1
+        else:
+            return max(j, i + 1)
+        close = self.match[paren]
+        k = close + 1
+        while k < end and self.tok[k] not in ("{", ";"):
+            k = self.match[k] + 1 if self.tok[k] in "([" else k + 1
+        body = self.tok[k] == "{"
+        if cls:
+            last = self.match[k] if body else k
+            loc = self.line(self.at[min(last, self.n)]) - self.start_line(start) + 1 if body else 0
+            yield self.emit(kind="method", class_name=cls, method=name, type_name=returns, loc=loc,
+                            params=self.count_parameters(paren + 1, close))
+        if body:
+            yield from self.body(cls, name, k + 1, self.match[k])
+            return self.match[k] + 1
+        return k + 1
+
+    def count_parameters(self, i: int, end: int) -> int:
+        if i >= end:
+            return 0
+        count = 1
+        while i < end:
+            t = self.tok[i]
+            if t == ",":
+                count += 1
+            if t in _OPEN:
+                i = self.match[i] + 1
+            elif t == "<":
+                i = max(self.angles(i), i + 1)
             else:
-                tname = m.group(2)
-                if tname in KEYWORDS or tname in ("return",):
-                    k = m.end()
+                i += 1
+        return count
+
+    def body(self, cls: str | None, method: str, i: int, end: int) -> Iterator[dict]:
+        """Invocations, locals and nested types of a method body; nothing but types where ``cls`` is None."""
+        tok, statement = self.tok, True
+        while i < end:
+            t = tok[i]
+            if t in ("class", "interface") and _is_name(tok[i + 1]) and tok[i - 1] != ".":
+                row, first, after, inner = self.type_at(i, end)
+                if row:
+                    yield row
+                    # members of the local class; the calls in it also belong to this method
+                    sub, stop = first, after - 1
+                    while sub < stop:
+                        begin = sub
+                        sub = self.prefix(sub, stop)
+                        if tok[sub] in TYPE_WORDS or tok[sub] in ("{", ";", "}"):
+                            sub = self.match[sub] + 1 if tok[sub] == "{" else sub + 1
+                        else:
+                            sub = yield from self.member(begin, sub, stop, inner[0])
+                    i = first
+                    statement = True
                     continue
-                names = [p.split("=")[0].strip() for p in _split_top(m.group(3))]
-                emit(kind="field", class_name=depth_name, name=",".join(names), type_name=_strip_generics(tname),
-                     ord=nxt())
-                k = m.end()
-
-    # top-level types
-    k = 0
-    while True:
-        tm = _TYPE.search(s, k)
-        if not tm:
-            break
-        ob = tm.end() - 1
-        cb = _match_brace(s, ob)
-        if tm.group(1) in ("class", "interface"):
-            emit(kind="type", class_name=tm.group(2), superclass=tm.group(3), ord=nxt())
-            scan_type(ob + 1, cb, tm.group(2))
-        k = cb + 1
-    return rows
-
-
-def _split_top(plist: str) -> list[str]:
-    parts, depth, cur = [], 0, ""
-    for c in plist:
+            if cls and statement:
+                j = self.prefix(i, end)
+                k = self.type_end(j, end)
+                if k > j and _is_name(tok[k]) and tok[k] not in KEYWORDS and tok[k + 1] in ("=", ";", ":", ",", "["):
+                    names, _ = self.declarators(k, end)
+                    if tok[k + 1] != ":" or tok[i - 1] == "(":
+                        for name, init in names:
+                            yield self.emit(kind="local", class_name=cls, method=method, name=name, init=init,
+                                            type_name=_strip_generics(self.source(j, k)))
+            if cls and _is_name(t):
+                if tok[i + 1] == "(" and t not in KEYWORDS:
+                    if not self.constructs(i) and not self.declares(i):
+                        before = tok[i - 1]
+                        receiver = tok[i - 2] if before == "." and _is_name(tok[i - 2]) else None
+                        if receiver == "super":
+                            yield self.emit(kind="super_inv", class_name=cls, method=method, name=t)
+                        else:
+                            yield self.emit(kind="inv", class_name=cls, method=method, name=t, receiver=receiver)
+                elif self.identifiers and tok[i + 1] != "(" and tok[i - 1] != "." and t not in KEYWORDS:
+                    yield self.emit(kind="ident", class_name=cls, method=method, name=t)
+            statement = t in ("{", "}", ";") or t == "(" and tok[i - 1] in ("for", "try") or t == ")" and statement
+            i += 1
+
+    def constructs(self, i: int) -> bool:
+        """Whether the name at ``i`` ends the qualified name after ``new``, or is an annotation's."""
+        while self.tok[i - 1] == "." and _is_name(self.tok[i - 2]):
+            i -= 2
+        return self.tok[i - 1] in ("new", "@")
+
+    def declares(self, i: int) -> bool:
+        """Whether the name at ``i`` heads a method declaration inside the body (anonymous classes)."""
+        before = self.tok[i - 1]
+        if not (before in (">", "]") or before and _is_name(before) and before not in BEFORE_CALL):
+            return False
+        after = self.tok[min(self.match[i + 1] + 1, self.n)]
+        return after in ("{", "throws") or after == ";" and before not in (">", "]")
+
+
+def extract_file(project: str, path: str, text: str, identifiers: bool = False) -> list[dict]:
+    return list(_File(project, path, text or "", identifiers).facts())
+
+
+def _strip_generics(t: str) -> str:
+    out, depth = [], 0
+    for c in t:
         if c == "<":
             depth += 1
         elif c == ">":
             depth -= 1
-        if c == "," and depth == 0:
-            parts.append(cur)
-            cur = ""
-        else:
-            cur += c
-    if cur.strip():
-        parts.append(cur)
-    return [p for p in parts if p.strip()]
+        elif depth == 0:
+            out.append(c)
+    return "".join(out).strip()
 
 
-def _javadoc_start(raw: str, hdr: int) -> int:
-    """Start of a Javadoc comment directly before the declaration (it counts in LOC)."""
-    before = raw[:hdr].rstrip()
-    if before.endswith("*/"):
-        j = before.rfind("/**")
-        if j >= 0:
-            return j
-    return hdr
+def _frame(rows: list[dict]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=[f.name for f in FACT_SCHEMA.fields])
+    return frame.astype({"ord": "Int64", "loc": "Int32", "params": "Int32"})
 
 
 def _extract_batches(it, identifiers=False):
-    cols = [f.name for f in FACT_SCHEMA.fields]
     for pdf in it:
         out = []
         for project, path, text in zip(pdf["project"], pdf["path"], pdf["text"]):
-            out.extend(extract_file(project, path, text, identifiers))
-        frame = pd.DataFrame(out, columns=cols)
-        frame = frame.astype({"ord": "Int64", "loc": "Int32", "params": "Int32"})
-        yield frame
+            for row in _File(project, path, text or "", identifiers).facts():
+                out.append(row)
+                if len(out) >= _FRAME_ROWS:
+                    yield _frame(out)
+                    out = []
+        yield _frame(out)
 
 
-def scan_sources(spark: SparkSession, root: str, project: str = "project") -> DataFrame:
-    """Every ``*.java`` file under ``root`` as (project, path, text)."""
+def scan_sources(spark: SparkSession, root: str, project: str | None = "project") -> DataFrame:
+    """Every ``*.java`` file under ``root`` as (project, path, text).
+
+    ``project`` None takes the first folder below ``root`` as the project of a file."""
     df = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.java")
-    return df.select(F.lit(project).alias("project"), F.col("_metadata.file_path").alias("path"),
-                     F.col("value").alias("text"))
+    path = F.col("_metadata.file_path")
+    folder = "/" + root.rstrip("/").rsplit("/", 1)[-1] + "/"
+    below = F.substring_index(path, folder, -1)
+    name = F.lit(project) if project is not None else F.split(below, "/")[0]
+    return df.select(name.alias("project"), path.alias("path"), F.col("value").alias("text"))
+
+
+def with_file_order(sources: DataFrame) -> DataFrame:
+    """Adds ``file_ord``: the position of a file in its project, by path (the order of pass 1)."""
+    from callweave.functions.ranking import with_group_position
+    return with_group_position(sources, ["project"], ["path"], "file_ord")
 
 
 def extract_facts(sources: DataFrame, identifiers: bool = False) -> DataFrame:
@@ -318,18 +506,23 @@ def local_receiver_calls(facts: DataFrame, entry_class: str = "Main", scope: str
     """Calls whose receiver is a local variable, inside types named ``entry_class``.
 
     scope='method': the variable must be declared in the same method (default);
-    scope='global_last': one map for the corpus, last declaration in file order wins."""
-    inv = fact_invocations(facts).join(
-        with_fqn(facts).filter(F.col("kind") == "inv").select("path", "ord", "class_name", "method"),
-        ["path", "ord"]).filter(F.col("class_name") == entry_class).filter(F.col("receiver").isNotNull())
+    scope='global_last': one map per project, filled file by file in path order; a call sees the last
+    declaration in the files up to its own."""
+    f = with_fqn(facts).filter((F.col("kind") == "inv") & (F.col("class_name") == entry_class)
+                              & F.col("receiver").isNotNull())
+    inv = f.select("project", "path", "class_fqn", "method", "receiver", F.col("name").alias("callee_simple"))
     loc = fact_local_types(facts)
     if scope == "method":
         j = inv.join(loc.select("project", "class_fqn", "method", F.col("variable").alias("receiver"), "type_name"),
                      ["project", "class_fqn", "method", "receiver"])
     else:
-        last = loc.groupBy("project", "variable").agg(
-            F.max_by("type_name", F.struct("path", "ord")).alias("type_name"))
-        j = inv.join(last.withColumnRenamed("variable", "receiver"), ["project", "receiver"])
+        # last declaration of each file, then the last file up to the call's own
+        last = loc.groupBy("project", "path", F.col("variable").alias("receiver")).agg(
+            F.max_by("type_name", "ord").alias("type_name"))
+        places = inv.select("project", "path", "receiver").distinct().join(last, ["project", "path", "receiver"], "full")
+        seen = Window.partitionBy("project", "receiver").orderBy("path")
+        known = places.withColumn("type_name", F.last("type_name", ignorenulls=True).over(seen))
+        j = inv.join(known.filter(F.col("type_name").isNotNull()), ["project", "path", "receiver"])
     return j.select("project", "class_fqn", "method", F.col("receiver").alias("variable"),
                     F.col("callee_simple").alias("method_name"), "type_name").distinct()
 

@@ -36,17 +36,23 @@ def random_graph(rng, n, p, wmax):
     return [(a, b, rng.randint(1, wmax)) for a in range(n) for b in range(a + 1, n) if rng.random() < p]
 
 
-def test_greedy_matches_simulation():
+def test_many_projects_match_simulation(spark):
+    """Random graphs with ties, a chain and a hub, one project each, through the rounds at once."""
     rng = random.Random(7)
-    for _ in range(300):
-        n = rng.randint(2, 9)
-        edges = random_graph(rng, n, rng.choice([0.3, 0.6, 1.0]), rng.choice([1, 2, 5]))
-        if not edges:
-            continue
-        got = CL.greedy_merges(n, edges)
-        ref = simulate(n, edges)
-        positive = [(l, r) for l, r, s in ref if s > 0]
-        assert [(g[1], g[2]) for g in got] == positive
+    graphs = [(lambda e: [(a, b, s) for a, b, s in e])(random_graph(
+        rng, rng.randint(2, 9), rng.choice([0.3, 0.6, 1.0]), rng.choice([1, 2, 5]))) for _ in range(40)]
+    graphs += [[(i, i + 1, i + 1) for i in range(8)], [(0, i, 1) for i in range(1, 9)]]
+    graphs = [g for g in graphs if g]
+    rows = [(f"p{k:02d}", f"c{a:02d}", f"c{b:02d}", s) for k, g in enumerate(graphs) for a, b, s in g]
+    pairs = spark.createDataFrame(rows, "project string, a string, b string, n long")
+    got = {}
+    for r in CL.dendrogram(pairs).filter("left IS NOT NULL AND sim > 0").collect():
+        got.setdefault(r.project, []).append((r.node_id, r.left, r.right))
+    for k, g in enumerate(graphs):
+        ids = {c: i for i, c in enumerate(sorted({x for e in g for x in e[:2]}))}
+        ref = simulate(len(ids), [(ids[a], ids[b], s) for a, b, s in g])
+        want = [(len(ids) + i, left, right) for i, (left, right, s) in enumerate(ref) if s > 0]
+        assert sorted(got[f"p{k:02d}"]) == want, g
 
 
 def _pairs(spark, edges):
@@ -54,37 +60,30 @@ def _pairs(spark, edges):
     return spark.createDataFrame(rows, "project string, a string, b string, n long")
 
 
-def test_rounds_equal_local_with_ties_and_components(spark):
+def test_components_are_joined_oldest_first(spark):
     rng = random.Random(3)
     edges = random_graph(rng, 10, 0.35, 2) + [(10, 11, 1), (12, 13, 3)]
-    pairs = _pairs(spark, edges)
-    local = CL.dendrogram(pairs, strategy="local").orderBy("node_id").collect()
-    rounds = CL.dendrogram(pairs, strategy="rounds").orderBy("node_id").collect()
-    assert local == rounds
+    nodes = CL.dendrogram(_pairs(spark, edges)).collect()
     n = len({x for e in edges for x in e[:2]})
-    assert len(local) == 2 * n - 1
-    # zero merges join components oldest-first and carry every class
-    root = max(local, key=lambda r: r.node_id)
-    assert root.n_classes == n
+    assert len(nodes) == 2 * n - 1
+    assert max(nodes, key=lambda r: r.node_id).n_classes == n
 
 
 def test_zero_merge_closed_form(spark):
     # three disjoint pairs: roots 3 items -> 2 zero merges (0,1)->3, (2,3)->4
     edges = [(0, 1, 5), (2, 3, 4), (4, 5, 3)]
-    d = {r.node_id: r for r in CL.dendrogram(_pairs(spark, edges), strategy="local").collect()}
+    d = {r.node_id: r for r in CL.dendrogram(_pairs(spark, edges)).collect()}
     assert (d[9].left, d[9].right, d[9].sim) == (6, 7, 0.0)
     assert (d[10].left, d[10].right, d[10].n_classes, d[10].intra_calls) == (8, 9, 6, 12)
 
 
-def test_projects_are_independent_and_strategies_mix(spark):
+def test_projects_are_independent(spark):
     rng = random.Random(11)
     ea = random_graph(rng, 7, 0.5, 3)
     eb = [(0, 1, 2), (1, 2, 2), (3, 4, 1)]
     rows = [("A", f"c{a:02d}", f"c{b:02d}", s) for a, b, s in ea] + [("B", f"k{a}", f"k{b}", s) for a, b, s in eb]
     pairs = spark.createDataFrame(rows, "project string, a string, b string, n long")
-    # A has more than 3 edges -> rounds; B has 3 -> one pandas task
-    mixed = CL.dendrogram(pairs, strategy="auto", local_limit=3).orderBy("project", "node_id").collect()
-    local = CL.dendrogram(pairs, strategy="local").orderBy("project", "node_id").collect()
-    assert mixed == local
-    only_b = CL.dendrogram(pairs.filter("project = 'B'"), strategy="local").orderBy("node_id").collect()
-    assert [r for r in local if r.project == "B"] == only_b
+    both = CL.dendrogram(pairs).orderBy("project", "node_id").collect()
+    only_b = CL.dendrogram(pairs.filter("project = 'B'")).orderBy("node_id").collect()
+    assert [r for r in both if r.project == "B"] == only_b
+    assert CL.dendrogram(pairs.limit(0)).count() == 0

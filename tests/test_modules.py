@@ -29,7 +29,7 @@ def reference_cut(nodes, root, cp):
 
 def test_cut_matches_recursion(spark):
     edges = [(0, 1, 9), (1, 2, 1), (2, 3, 8), (3, 4, 1), (4, 5, 7), (0, 5, 1), (6, 7, 2)]
-    d = CL.dendrogram(_pairs(spark, edges), strategy="local")
+    d = CL.dendrogram(_pairs(spark, edges))
     nodes = {r.node_id: r for r in d.collect()}
     root = max(nodes)
     for cp in [0.0, 0.01, 0.05, 0.1, 0.2, 1.0]:

@@ -24,14 +24,14 @@ def test_export_all_and_modules_csv(spark):
     w = C.coupling_weights(pairs.withColumnRenamed("n", "n_calls"))
     out = tempfile.mkdtemp(prefix="cw-out-", dir="/tmp")
     paths = K.export_all(w, out, min_weight=0.0, max_nodes=50)
-    dot = _read(paths["dot"])
+    dot = _read(f"{paths['dot']}/project=p")
     assert dot[0] == "digraph CouplingGraph {" and dot[-1] == "}"
     assert sum(1 for x in dot if " -> " in x) == 4
     assert "  // Total inter-class calls: 25" in dot
     csv = _read(paths["csv"])
     assert csv[0] == "Source,Target,Weight,Count,Percentage" and len(csv) == 5
     assert csv[1].startswith("c00,c01,0.360000,9,36.00%")
-    d = CL.dendrogram(pairs, strategy="local")
+    d = CL.dendrogram(pairs)
     res = MO.cut(d, 0.1)
     K.write_modules_csv(res["modules"], res["members"], f"{out}/modules", analyzer="Spoon")
     rows = _read(f"{out}/modules")
