@@ -50,10 +50,10 @@ same AS (
 link AS (
   SELECT a, b FROM same JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
   WHERE 100 * c >= 85 * (p.n + q.n - c)),
-both AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+link2 AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
 reach AS (
   SELECT doc_id AS id, doc_id AS r FROM documents
-  UNION SELECT reach.id, both.b FROM reach JOIN both ON both.a = reach.r)
+  UNION SELECT reach.id, link2.b FROM reach JOIN link2 ON link2.a = reach.r)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
 FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT id, min(r) AS c FROM reach GROUP BY id) m ON m.id = d.doc_id
