@@ -37,3 +37,29 @@ def test_export_all_and_modules_csv(spark):
     rows = _read(f"{out}/modules")
     assert rows[0] == "Module_ID,Class_Count,Average_Coupling,Class,Analyzer"
     assert len(rows) - 1 == res["members"].count()
+
+
+def test_reports_are_written_in_printed_order(spark):
+    edges = [(0, 1, 9), (1, 2, 1), (2, 3, 8), (4, 5, 7)]
+    pairs = _pairs(spark, edges).select("project", F.concat(F.lit("k."), "a").alias("a"), F.concat(F.lit("k."), "b").alias("b"), "n")
+    w = C.coupling_weights(pairs.withColumnRenamed("n", "n_calls"))
+    packages = spark.createDataFrame([("p", "k"), ("p", "j")], "project string, package string")
+    out = tempfile.mkdtemp(prefix="cw-rep-", dir="/tmp")
+    paths = K.export_all(w, out, min_weight=0.0, packages=packages)
+    text = _read(paths["text"])
+    assert text[0].startswith("=== RÉSUMÉ") and text[1:4] == ["Packages détectés :", "j", "k"]
+    assert text[4].startswith("Total inter-class calls") and text[-4] == K.FILES_TITLE and paths["dot"] in text[-3]
+    d = CL.dendrogram(pairs)
+    res = MO.cut(d, 0.1)
+    K.write_text(MO.module_report(d, res["modules"], res["members"]), f"{out}/modules.txt")
+    lines = _read(f"{out}/modules.txt")
+    at = lines.index("=== STATISTIQUES DÉTAILLÉES ===")
+    assert lines.index("MODULES IDENTIFIÉS:") < at and all(x[0].isdigit() for x in lines[lines.index("MODULES IDENTIFIÉS:") + 1:at])
+    assert lines[at + 1].startswith("Module 1:") and lines[at + 4] == "  - Classes:" and lines[at + 5].startswith("k.")
+
+
+def test_package_list_keeps_parents_and_children(spark):
+    calls = spark.createDataFrame([("p", c) for c in ("a.b.X", "a.Y", "a.b.c.Z", "ab.W", "q.V", "NoPackage")], "project string, cls string")
+    packs = spark.createDataFrame([("p", "a.b"), ("other", "q")], "project string, package string")
+    kept = {r.cls for r in C.project_class_filter(calls, "cls", packs).collect()}
+    assert kept == {"a.b.X", "a.Y", "a.b.c.Z"}
