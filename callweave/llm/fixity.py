@@ -87,7 +87,8 @@ def differing_leaves(one: list[DataFrame], two: list[DataFrame], fanout: int = F
 def audit(expected: DataFrame, actual: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """Records on which two replicas differ: archive, ordinal, page_id, record_offset, length and
     expected_sha256 by the first replica (by the second where the first lacks the record),
-    actual_sha256 and actual_offset by the second."""
+    actual_sha256 and actual_offset by the second.  ``fault``: changed (other bytes), moved (the same bytes at
+    another offset, after a record of another length), missing or added."""
     expected, actual = materialize(expected, "replica"), materialize(actual, "replica")
     found = differing_leaves(merkle_levels(expected, fanout), merkle_levels(actual, fanout), fanout)
     where = found if found is not None else expected.select(F.col("pos").alias("idx")).limit(0)
@@ -95,7 +96,9 @@ def audit(expected: DataFrame, actual: DataFrame, fanout: int = FANOUT) -> DataF
     both = where.join(a, F.col("a.pos") == F.col("idx"), "left").join(b, F.col("b.pos") == F.col("idx"), "left")
     pick = [F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in
             ("archive", "ordinal", "page_id", "record_offset", "length")]
-    return both.select(*pick, F.col("a.sha256").alias("expected_sha256"), F.col("b.sha256").alias("actual_sha256"),
+    fault = F.when(F.col("b.sha256").isNull(), "missing").when(F.col("a.sha256").isNull(), "added") \
+        .when(F.col("a.sha256") != F.col("b.sha256"), "changed").otherwise("moved").alias("fault")
+    return both.select(*pick, fault, F.col("a.sha256").alias("expected_sha256"), F.col("b.sha256").alias("actual_sha256"),
                        F.col("b.record_offset").alias("actual_offset"))
 
 

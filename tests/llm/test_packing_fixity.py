@@ -83,12 +83,13 @@ def test_audit_finds_exactly_the_changed_records(spark):
     moved = X.audit(make(rows), make(cut), 4).collect()
     pos = next(r for r in make(rows).collect() if r.page_id == 40)
     assert {(r.archive, r.ordinal) for r in moved} == {(pos.archive, o) for o in range(pos.ordinal, 32)}
+    assert [r.page_id for r in moved if r.fault == "changed"] == [40] and {r.fault for r in moved} == {"changed", "moved"}
 
 
 def test_missing_records_and_empty_replicas(spark):
     rows = [(i, "u", str(i)) for i in range(20)]
     one, two = X.warc_records(pages(spark, rows), 8), X.warc_records(pages(spark, rows[:17]), 8)
     got = X.audit(one, two, 4).collect()
-    assert {r.page_id for r in got} == {17, 18, 19} and all(r.actual_sha256 is None for r in got)
+    assert {r.page_id for r in got} == {17, 18, 19} and all(r.actual_sha256 is None and r.fault == "missing" for r in got)
     none = X.warc_records(pages(spark, []), 8)
     assert X.audit(none, none).count() == 0 and X.audit(one, none).count() == 20 and X.audit(none, one).count() == 20
