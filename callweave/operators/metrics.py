@@ -74,6 +74,23 @@ def top_methods_by_loc(methods: DataFrame, percent: float = TOP_PERCENT) -> Data
                     .alias("display"))
 
 
+# Labels of the statistics report, in its order.
+LABELS = {
+    "classes": "Nombre de classes",
+    "loc": "Nombre de lignes de code",
+    "methods": "Nombre total de méthodes",
+    "packages": "Nombre total de packages",
+    "methods_per_class": "Moyenne méthodes par classe",
+    "loc_per_method": "Moyenne LOC par méthode",
+    "attrs_per_class": "Moyenne attributs par classe",
+    "top_methods": "Top 10% classes (most methods)",
+    "top_attributes": "Top 10% classes (most attributes)",
+    "both": "Classes in both groups",
+    "top_loc": "Top 10% methods by LOC",
+    "max_params": "Max number of parameters in any method",
+}
+
+
 def statistics_report(classes: DataFrame, methods: DataFrame, x: int = DEFAULT_X,
                       percent: float = TOP_PERCENT) -> DataFrame:
     """The statistics as report rows (project, line_no, item_no, text).
@@ -89,14 +106,14 @@ def statistics_report(classes: DataFrame, methods: DataFrame, x: int = DEFAULT_X
         return t.select("project", F.lit(no).alias("line_no"), F.lit(0).cast("long").alias("item_no"),
                         F.concat(F.lit(f"{no}. {label}: "), value.cast("string")).alias("text"))
 
-    rows = [line(1, "Nombre de classes", F.col("n_classes")),
-            line(2, "Nombre de lignes de code", F.col("total_loc")),
-            line(3, "Nombre total de méthodes", F.col("n_methods")),
-            line(4, "Nombre total de packages", F.col("n_packages")),
-            line(5, "Moyenne méthodes par classe", F.col("methods_per_class")),
-            line(6, "Moyenne LOC par méthode", F.col("loc_per_method")),
-            line(7, "Moyenne attributs par classe", F.col("attrs_per_class")),
-            line(13, "Max number of parameters in any method", F.col("max_params"))]
+    rows = [line(1, LABELS["classes"], F.col("n_classes")),
+            line(2, LABELS["loc"], F.col("total_loc")),
+            line(3, LABELS["methods"], F.col("n_methods")),
+            line(4, LABELS["packages"], F.col("n_packages")),
+            line(5, LABELS["methods_per_class"], F.col("methods_per_class")),
+            line(6, LABELS["loc_per_method"], F.col("loc_per_method")),
+            line(7, LABELS["attrs_per_class"], F.col("attrs_per_class")),
+            line(13, LABELS["max_params"], F.col("max_params"))]
     roll = materialize(class_rollup(classes, methods), "rollup")
     # one ranking per order; each top list is a prefix of it
     by_m = with_group_position(roll, ["project"], [F.col("method_count").desc(), F.col("class_fqn")], "_p", "_n")
@@ -117,15 +134,15 @@ def statistics_report(classes: DataFrame, methods: DataFrame, x: int = DEFAULT_X
                           F.col(text_col).alias("text"))
         return head.unionByName(items)
 
-    rows.append(listing(8, "Top 10% classes (most methods)", top_m, "class_fqn", "rank"))
-    rows.append(listing(9, "Top 10% classes (most attributes)", top_a, "class_fqn", "rank"))
+    rows.append(listing(8, LABELS["top_methods"], top_m, "class_fqn", "rank"))
+    rows.append(listing(9, LABELS["top_attributes"], top_a, "class_fqn", "rank"))
     both = top_m.join(top_a.select("project", "class_fqn"), ["project", "class_fqn"], "left_semi")
-    rows.append(listing(10, "Classes in both groups", both, "class_fqn", "rank"))
+    rows.append(listing(10, LABELS["both"], both, "class_fqn", "rank"))
     over = by_m.filter(F.col("method_count") > x).withColumn("_r", F.col("_p") + 1)
     rows.append(listing(11, f"Classes with more than {x} methods", over, "class_fqn", "_r"))
     loc_top = prefix(by_loc).withColumn(
         "display", F.format_string("%s [LOC=%d, params=%d]", F.col("method"), F.col("loc"), F.col("params")))
-    rows.append(listing(12, "Top 10% methods by LOC", loc_top, "display", "rank"))
+    rows.append(listing(12, LABELS["top_loc"], loc_top, "display", "rank"))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -143,6 +143,22 @@ def dendrogram_listing(nodes_with_paths: DataFrame) -> DataFrame:
                                    F.when(F.col("left").isNull(), leaf).otherwise(inner).alias("text"))
 
 
+# Lines of the module report, in their order.
+REPORT = {
+    "general": "INFORMATIONS GÉNÉRALES:",
+    "classes": "- Nombre total de classes: ",
+    "modules": "- Nombre de modules identifiés: ",
+    "min_coupling": "- Couplage minimum requis: %.3f",
+    "found": "MODULES IDENTIFIÉS:",
+    "module": "%d. %s (classes: %d, couplage moyen: %.3f)",
+    "details": "=== STATISTIQUES DÉTAILLÉES ===",
+    "detail": "Module %d: %s",
+    "count": "  - Nombre de classes: %d",
+    "mean": "  - Couplage moyen: %.3f",
+    "members": "  - Classes:",
+}
+
+
 def module_report(dendro: DataFrame, modules: DataFrame, members: DataFrame, cp_used: float | None = None,
                   analyzer: str | None = None) -> DataFrame:
     """Module report as rows (project, section, module_no, line_no, text).
@@ -157,22 +173,22 @@ def module_report(dendro: DataFrame, modules: DataFrame, members: DataFrame, cp_
         return summ.select("project", F.lit(0).alias("section"), F.lit(0).cast("long").alias("module_no"),
                            F.lit(line_no).cast("long").alias("line_no"), text.alias("text"))
 
-    rows = [gen(0, F.lit(title)), gen(1, F.lit("INFORMATIONS GÉNÉRALES:")),
-            gen(2, F.concat(F.lit("- Nombre total de classes: "), F.col("n_classes").cast("string"))),
-            gen(3, F.concat(F.lit("- Nombre de modules identifiés: "), F.col("n_modules").cast("string"))),
-            gen(4, F.format_string("- Couplage minimum requis: %.3f", F.col("min_coupling_used")))]
+    rows = [gen(0, F.lit(title)), gen(1, F.lit(REPORT["general"])),
+            gen(2, F.concat(F.lit(REPORT["classes"]), F.col("n_classes").cast("string"))),
+            gen(3, F.concat(F.lit(REPORT["modules"]), F.col("n_modules").cast("string"))),
+            gen(4, F.format_string(REPORT["min_coupling"], F.col("min_coupling_used")))]
     if analyzer:
         rows.append(gen(5, F.lit(f"- Analyseur utilisé: {analyzer}")))
-    rows.append(gen(6, F.lit("MODULES IDENTIFIÉS:")))
+    rows.append(gen(6, F.lit(REPORT["found"])))
     rows.append(modules.select("project", F.lit(1).alias("section"), "module_no", F.lit(0).cast("long").alias("line_no"),
-                               F.format_string("%d. %s (classes: %d, couplage moyen: %.3f)", F.col("module_no"),
+                               F.format_string(REPORT["module"], F.col("module_no"),
                                                F.col("module_id"), F.col("class_count"),
                                                F.col("avg_coupling")).alias("text")))
-    rows.append(gen(0, F.lit("=== STATISTIQUES DÉTAILLÉES ===")).withColumn("section", F.lit(2)))
-    for i, txt in enumerate([F.format_string("Module %d: %s", F.col("module_no"), F.col("module_id")),
-                             F.format_string("  - Nombre de classes: %d", F.col("class_count")),
-                             F.format_string("  - Couplage moyen: %.3f", F.col("avg_coupling")),
-                             F.lit("  - Classes:")]):
+    rows.append(gen(0, F.lit(REPORT["details"])).withColumn("section", F.lit(2)))
+    for i, txt in enumerate([F.format_string(REPORT["detail"], F.col("module_no"), F.col("module_id")),
+                             F.format_string(REPORT["count"], F.col("class_count")),
+                             F.format_string(REPORT["mean"], F.col("avg_coupling")),
+                             F.lit(REPORT["members"])]):
         rows.append(modules.select("project", F.lit(2).alias("section"), "module_no",
                                    F.lit(i).cast("long").alias("line_no"), txt.alias("text")))
     ranked = with_group_position(members, ["project", "module_id"], ["class_fqn"], "_r")

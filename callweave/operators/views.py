@@ -147,6 +147,23 @@ def coupling_csv(weights: DataFrame, min_weight: float = DEFAULT_MIN_WEIGHT) ->
         F.col("n_calls").alias("count"), (F.col("weight") * 100).alias("percentage"))
 
 
+# Lines of the coupling summary, in their order.
+SUMMARY = {
+    "packages": "Packages détectés :",
+    "total": "Total inter-class calls = ",
+    "ranked": "Couplages par ordre d'importance :",
+    "pair": "%2d) %s -- %s : %.4f (%d appels)",
+    "details": "=== STATISTIQUES DÉTAILLÉES ===",
+    "mean": "Couplage moyen : %.4f",
+    "max": "Couplage maximum : %.4f",
+    "involved": "Classes impliquées : %d",
+    "top3": "=== TOP 3 COUPLAGES LES PLUS FORTS ===",
+    "top3_pair": "%d. %s → %s : %.2f%% (%d appels)",
+    "by_package": "=== ANALYSE PAR PACKAGE ===",
+    "package": "Package %s : %d appels (%d connexions)",
+}
+
+
 def coupling_summary(weights: DataFrame, packages: DataFrame, label: str = "JDT") -> DataFrame:
     """The coupling text summary as rows (project, section, line_no, text).
 
@@ -160,30 +177,30 @@ def coupling_summary(weights: DataFrame, packages: DataFrame, label: str = "JDT"
                          text.alias("text"))
 
     parts = [rows(tot, 0, 0, F.lit(f"=== RÉSUMÉ COUPLAGE ENTRE CLASSES ({label}) ===")),
-             rows(tot, 1, 0, F.lit("Packages détectés :")),
+             rows(tot, 1, 0, F.lit(SUMMARY["packages"])),
              with_group_position(packages, ["project"], ["package"], "_pos").select(
                  "project", F.lit(1).alias("section"), (F.col("_pos") + 1).alias("line_no"),
                  F.col("package").alias("text")),
-             rows(tot, 2, 0, F.concat(F.lit("Total inter-class calls = "), F.col("total").cast("string"))),
-             rows(tot, 3, 0, F.lit("Couplages par ordre d'importance :"))]
+             rows(tot, 2, 0, F.concat(F.lit(SUMMARY["total"]), F.col("total").cast("string"))),
+             rows(tot, 3, 0, F.lit(SUMMARY["ranked"]))]
     ranked = ranked_pairs(weights)
     parts.append(ranked.select("project", F.lit(3).alias("section"), F.col("rank").alias("line_no"),
-                               F.format_string("%2d) %s -- %s : %.4f (%d appels)", F.col("rank"),
+                               F.format_string(SUMMARY["pair"], F.col("rank"),
                                                N.short_name("a"), N.short_name("b"), F.col("weight"),
                                                F.col("n_calls")).alias("text")))
-    parts += [rows(stats, 4, 0, F.lit("=== STATISTIQUES DÉTAILLÉES ===")),
-              rows(stats, 4, 1, F.format_string("Couplage moyen : %.4f", F.col("mean_weight"))),
-              rows(stats, 4, 2, F.format_string("Couplage maximum : %.4f", F.col("max_weight"))),
-              rows(stats, 4, 3, F.format_string("Classes impliquées : %d", F.col("classes"))),
-              rows(tot, 5, 0, F.lit("=== TOP 3 COUPLAGES LES PLUS FORTS ==="))]
+    parts += [rows(stats, 4, 0, F.lit(SUMMARY["details"])),
+              rows(stats, 4, 1, F.format_string(SUMMARY["mean"], F.col("mean_weight"))),
+              rows(stats, 4, 2, F.format_string(SUMMARY["max"], F.col("max_weight"))),
+              rows(stats, 4, 3, F.format_string(SUMMARY["involved"], F.col("classes"))),
+              rows(tot, 5, 0, F.lit(SUMMARY["top3"]))]
     parts.append(top3_pairs(weights).select(
         "project", F.lit(5).alias("section"), F.col("rank").alias("line_no"),
-        F.format_string("%d. %s → %s : %.2f%% (%d appels)", F.col("rank"), F.col("a_short"), F.col("b_short"),
+        F.format_string(SUMMARY["top3_pair"], F.col("rank"), F.col("a_short"), F.col("b_short"),
                         F.col("percentage"), F.col("n_calls")).alias("text")))
-    parts.append(rows(tot, 6, 0, F.lit("=== ANALYSE PAR PACKAGE ===")))
+    parts.append(rows(tot, 6, 0, F.lit(SUMMARY["by_package"])))
     parts.append(with_group_position(package_coupling(weights), ["project"], ["package"], "_pos").select(
         "project", F.lit(6).alias("section"), (F.col("_pos") + 1).alias("line_no"),
-        F.format_string("Package %s : %d appels (%d connexions)", F.col("package"), F.col("calls"),
+        F.format_string(SUMMARY["package"], F.col("package"), F.col("calls"),
                         F.col("connections")).alias("text")))
     out = parts[0]
     for p in parts[1:]:
