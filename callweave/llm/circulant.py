@@ -6,13 +6,16 @@ Equal sets are grouped first; one representative of each set is banded.  With 20
 coordinates a pair at the threshold 0.85 shares no band with probability (1 - 0.85^4)^20,
 about 4e-7.
 
-Candidates never expand into all pairs of a bucket.  In each round a bucket tests its members
-against one centre (the member that meets most others over all its bands), links are
-confirmed on the full shingle sets, and components are contracted.  A bucket whose members are
-all in one component is finished.  After the star rounds, what is left are pairs of a bucket
-in different components; those are tested as well, so no link between different texts is
-lost.  Pairs whose sizes or sketches exclude the threshold (46 of 80 equal coordinates where
-68 are expected, 6.9 standard deviations) are not sent to the exact test.
+Candidates never expand into all pairs of a bucket.  First a bucket tests its members against
+one centre (the member that meets most others over all its bands); links are confirmed on the
+full shingle sets, and components are contracted.  A bucket whose members are all in one
+component is finished.  Members of the others get a long sketch (2048 coordinates of the same
+circulant family, one bit each); pairs of a bucket in different components are compared by
+it inside the join, and only those it cannot exclude leave the join for the exact test.  So no
+link between different texts is lost, and a large group of copies that differ more than the
+threshold gives few rows.  The filters exclude pairs more than 5 standard deviations below the
+threshold: 46 of 80 equal coordinates where 68 are expected, and 213 of 2048 differing bits
+where 154 are expected; sizes that exclude the threshold are left out too.
 
 Words: A-Z lower-cased, `[^\\x20\\x09-\\x0D]+`; a set holds the distinct 64-bit hashes of
 3-word shingles, or of the whole sequence when the text has fewer words.
@@ -40,7 +43,9 @@ PERCENT = 85
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
 MIN_EQUAL = 46
-STAR_ROUNDS = 2
+LONG = 2048
+#: differing bits at the threshold: mean LONG * (1 - J) / 2 = 154, standard deviation 11.9
+MAX_DIFFERING = 213
 #: bits of the fixed-size filter that keeps texts without a candidate out of the shuffle
 FILTER_BITS = 1 << 24
 #: at most so many groups of equal sets are handed to every task
@@ -215,55 +220,82 @@ def _alike(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(keep)
 
 
-def confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold: 100 * shared >= percent * united."""
+def _alike_pairs(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the short sketches cannot exclude."""
     sa = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
     sb = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
-    near = pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long")
+    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold: 100 * shared >= percent * united."""
     ma = sets.select(F.col("id").alias("a"), F.col("members").alias("ma"))
     mb = sets.select(F.col("id").alias("b"), F.col("members").alias("mb"))
-    return near.join(ma, "a").join(mb, "b").select("a", "b", "ma", "mb") \
+    return pairs.join(ma, "a").join(mb, "b").select("a", "b", "ma", "mb") \
         .mapInArrow(_overlaps, "a long, b long, shared long, united long") \
         .filter(F.col("shared") * 100 >= F.col("united") * percent).select("a", "b")
 
 
 # --- candidate rounds -------------------------------------------------------------------------
 def _buckets(reps: DataFrame) -> DataFrame:
-    """(key, id, n, degree): members of buckets with two or more sets; degree counts an id's meetings."""
-    rows = reps.select("id", "n", F.explode("bands").alias("key"))
+    """(key, band, id, n, degree): members of buckets with two or more sets; degree counts an id's meetings."""
+    rows = reps.select("id", "n", F.posexplode("bands").alias("band", "key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     met = materialize(rows.join(shared, "key"), "buckets")
     degree = met.groupBy("id").agg(F.sum("c").alias("degree"))
-    return materialize(met.join(degree, "id").select("key", "id", "n", "degree"), "buckets")
+    return materialize(met.join(degree, "id").select("key", "band", "id", "n", "degree"), "buckets")
 
 
 def _size_fits(n: str, m: str, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def _with_components(buckets: DataFrame, comp: DataFrame | None) -> DataFrame:
-    if comp is None:
-        return buckets.withColumn("comp", F.col("id"))
-    named = buckets.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    open_ = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    return named.join(open_.select("key"), "key", "left_semi")
+def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each bucket's centre, the member of the highest degree, with its other members."""
+    centre = buckets.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("neg"), "n")).alias("c")) \
+        .select("key", (-F.col("c.neg")).alias("centre"), F.col("c.n").alias("cn"))
+    return buckets.join(centre, "key").filter("id <> centre").filter(_size_fits("n", "cn", percent)) \
+        .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
 
 
-def _star_pairs(members: DataFrame, used: DataFrame | None, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of each bucket's centre with its other members, and the centres."""
-    free = members if used is None else members.join(used, "id", "left_anti")
-    centre = free.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("neg"), "n", "comp")).alias("c")) \
-        .select("key", (-F.col("c.neg")).alias("centre"), F.col("c.n").alias("cn"), F.col("c.comp").alias("ccomp"))
-    pairs = members.join(centre, "key").filter("comp <> ccomp").filter(_size_fits("n", "cn", percent)) \
-        .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-    return pairs, centre.select(F.col("centre").alias("id")).distinct()
+def _open_members(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members, with their components, of the buckets that are still in two components."""
+    named = materialize(buckets.join(comp, "id", "left").select("key", "band", "id", "n", F.coalesce(
+        "component", "id").alias("comp")), "bucket_components")
+    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    return materialize(named.join(mixed, "key", "left_semi"), "open_buckets")
 
 
-def _rest_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Every pair of a bucket that is still in two components."""
-    m = members.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bcomp"))
-    return members.join(m, "key").filter("id < b AND comp <> bcomp").filter(_size_fits("n", "bn", percent)) \
-        .select(F.col("id").alias("a"), "b").distinct()
+def _long_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, bits): the lowest bit of LONG coordinates, as 64-bit words."""
+    for batch in batches:
+        ids, values = batch.column("id").to_pylist(), batch.column("members")
+        for lo in range(0, batch.num_rows, 200):
+            sets = [np.frombuffer(v.as_py(), dtype=np.uint64) for v in values.slice(lo, 200)]
+            at = np.concatenate(([0], np.cumsum([len(x) for x in sets])))[:-1]
+            sig = circulant_signature(np.concatenate(sets), at, LONG) & np.uint32(1)
+            words = np.packbits(sig.astype(np.uint8), axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[lo:lo + 200], pa.int64()),
+                                              pa.array(list(words), pa.list_(pa.int64()))], names=["id", "bits"])
+
+
+def _rest_pairs(members: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket that are in two components and that the long sketch cannot exclude.
+
+    A pair leaves the join in the first band that it shares, and so once."""
+    ids = members.select("id").distinct()
+    bits = materialize(sets.join(ids, "id", "left_semi").select("id", "members")
+                       .mapInArrow(_long_bits, "id long, bits array<bigint>"), "long_sketch")
+    one = members.join(bits.join(reps.select("id", "bands"), "id"), "id")
+    two = one.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bcomp"),
+                     F.col("bits").alias("bbits"), F.col("bands").alias("bbands"))
+    differing = sum((F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("bbits", F.lit(i))))
+                     for i in range(LONG // 64)), F.lit(0))
+    alike = (F.col("id") < F.col("b")) & (F.col("comp") != F.col("bcomp")) & _size_fits("n", "bn", percent) \
+        & (differing <= MAX_DIFFERING)
+    for i in range(BANDS - 1):
+        alike &= (F.col("band") <= i) | (F.get("bands", F.lit(i)) != F.get("bbands", F.lit(i)))
+    return one.join(two, (one["key"] == two["key"]) & alike).select(F.col("id").alias("a"), "b")
 
 
 def near_duplicate_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -301,28 +333,14 @@ def near_duplicate_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame
 def components_of(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, component) of the representatives that are linked with another one."""
     buckets = _buckets(reps)
-    sigs = reps.select("id", "sig")
     sets = materialize(candidate_sets(docs, buckets.select("id").distinct()).dropDuplicates(["id"]), "sets")
-    links = comp = used = tested = None
-    for turn in range(STAR_ROUNDS + 1):
-        members = _with_components(buckets, comp)
-        if turn:
-            members = materialize(members, "open_buckets")
-            if members.isEmpty():
-                break
-        if turn < STAR_ROUNDS:
-            pairs, centres = _star_pairs(members, used, percent)
-            used = centres if used is None else materialize(used.unionByName(centres).distinct(), "centres")
-        else:
-            pairs = _rest_pairs(members, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        fresh = materialize(confirmed(pairs, sigs, sets, percent), "links")
-        links = fresh if links is None else links.unionByName(fresh)
-        comp = connected_components(links)
-    return comp
+    stars = materialize(_star_pairs(buckets, percent), "pairs")
+    links = materialize(confirmed(_alike_pairs(stars, reps.select("id", "sig")), sets, percent), "links")
+    comp = connected_components(links)
+    open_ = _open_members(buckets, comp)
+    rest = materialize(_rest_pairs(open_, reps, sets, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
+    more = materialize(confirmed(rest, sets, percent), "links")
+    return comp if more.isEmpty() else connected_components(links.unionByName(more))
 
 
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
