@@ -110,8 +110,11 @@ def log_ratios(docs: DataFrame) -> list[float]:
 
     Counts are aggregated on each side of the shuffle; at most 2 * BUCKETS rows reach the driver."""
     h = word_hashes(docs)
-    grams = h.select(trusted(h).alias("t"), F.explode(F.concat(
-        _buckets(F.col("_h"), 0), _buckets(_pairs(F.size("_h")), BUCKETS))).alias("b"))
+    # the flag and the buckets are made per document, below the explode; an outer explode keeps the
+    # optimizer from testing the whole chain of expressions again in a filter on the scan
+    grams = h.select(trusted(h).alias("t"), F.concat(
+        _buckets(F.col("_h"), 0), _buckets(_pairs(F.size("_h")), BUCKETS)).alias("_b")) \
+        .select("t", F.explode_outer("_b").alias("b")).filter("b IS NOT NULL")
     counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.sum(F.col("t").cast("long")).alias("target"))
     counts = materialize(counts, "gram_counts")
     kind = (F.col("b") >= BUCKETS).cast("int")
