@@ -7,8 +7,9 @@ deepened.  The flow says how many tokens of a pattern go to which source; docume
 laid on a seeded line per pattern and taken from its start, pass by pass.
 
 Positions on the line are a two-level prefix sum (a histogram over hash buckets, then a window
-inside a bucket), so no task holds a whole source.  What is left below a quota is filled with
-the largest documents that still fit.
+inside a bucket), so no task holds a whole source.  What is left below a quota is filled by
+further prefix sums over the documents that still fit, until none does: a source misses its quota
+by less than its smallest document that may still be repeated.
 
 Defined results: a null text has size 0; a null source is a source of its own (ordered last);
 a document without any source is never taken; identical rows are told apart only by an
@@ -19,6 +20,7 @@ arbitrary order between them; an empty table gives an empty result.  Bounds, che
 from __future__ import annotations
 
 from collections import deque
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,7 +34,6 @@ REPEATS = 3
 SEED = 20_260
 WEIGHTS = (5.0, 2.0, 1.0)
 _BUCKET_BITS = 12
-_FILL_ROUNDS = 6
 
 
 # --- targets and flow (small tables) ----------------------------------------------------------
@@ -187,23 +188,7 @@ def _select(spark: SparkSession, rows: DataFrame, plan: DataFrame, repeats: int)
     times = F.when((F.col("size") > 0) & (room >= 0), F.least(
         F.lit(repeats), F.floor(room / F.greatest("_tokens", F.lit(1))) + 1)).otherwise(0).cast("int")
     placed = materialize(placed.withColumn("times", F.coalesce(times, F.lit(0))), "mix_placed")
-    extra = spark.createDataFrame([], "_fill_row long, _fill_start long, _more int")
-    for _ in range(_FILL_ROUNDS):
-        now = _with_extra(placed, extra)
-        gap = now.groupBy("sources").agg((F.max("_flow") - F.sum(F.col("size") * F.col("times"))).alias("_gap"))
-        fits = now.join(F.broadcast(gap), "sources").filter(
-            (F.col("size") > 0) & (F.col("size") <= F.col("_gap")) & (F.col("times") < repeats))
-        best = fits.groupBy("sources").agg(F.max(F.struct(
-            "size", (-F.col("times")).alias("t"), "_at", "_row", "_start")).alias("b"))
-        more = best.select(F.col("b._row").alias("_fill_row"), F.col("b._start").alias("_fill_start"),
-                           F.lit(1).alias("_more")).collect()  # one row per pattern at most
-        if not more:
-            break
-        fresh = spark.createDataFrame(more, extra.schema)
-        extra = fresh if extra.isEmpty() else spark.createDataFrame(
-            extra.unionByName(fresh).groupBy("_fill_row", "_fill_start").agg(
-                F.sum("_more").cast("int").alias("_more")).collect(), extra.schema)
-    done = _with_extra(placed, extra)
+    done = _filled(spark, placed, repeats)
     middle = 2 * (F.col("_start")) + F.col("size")
     last = F.element_at("_arcs", -1)["source"]
     routes = F.when(F.col("times") > 0, F.transform(
@@ -214,12 +199,45 @@ def _select(spark: SparkSession, rows: DataFrame, plan: DataFrame, repeats: int)
         .drop("_at", "_bucket", "_start", "_tokens", "_flow", "_arcs")
 
 
-def _with_extra(placed: DataFrame, extra: DataFrame) -> DataFrame:
-    """``times`` with the filled passes added (at most _FILL_ROUNDS rows per pattern)."""
-    hit = (F.col("_row") == F.col("_fill_row")) & (F.col("_start") == F.col("_fill_start"))
-    return placed.join(F.broadcast(extra), hit, "left") \
-        .withColumn("times", F.col("times") + F.coalesce("_more", F.lit(0))) \
-        .drop("_fill_row", "_fill_start", "_more")
+def _filled(spark: SparkSession, placed: DataFrame, repeats: int) -> DataFrame:
+    """``placed`` with passes added until no document fits below its pattern's flow.
+
+    A round lays the documents that fit on a line, those of the fewest passes first and longer
+    ones (by powers of two) before shorter, and takes those that end inside the gap.  It either
+    leaves at most 2/3 of the gap or adds a pass to all documents of the fewest passes, so
+    rounds grow with the logarithm of the longest document."""
+    left = placed.filter("size > 0 AND _flow IS NOT NULL")
+    gaps = left.groupBy("sources").agg((F.max("_flow") - F.sum(F.col("size") * F.col("times"))).alias("_gap"))
+    left = left.select("sources", "_row", "_start", "_tokens", "size", "times")
+    line = ["sources", "times", "_level", "_part"]
+    order = ["times", F.col("_level").desc(), "_part"]
+    before = Window.partitionBy("sources").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*line).orderBy("_start").rowsBetween(Window.unboundedPreceding, 0)
+    picks = []
+    while True:
+        known = [(r["sources"], r["_gap"]) for r in gaps.filter("_gap > 0").collect()]  # at most MAX_PATTERNS
+        if not known:
+            break
+        gap = F.broadcast(spark.createDataFrame(known, "sources array<string>, _gap long"))
+        fits = left.join(gap, "sources").filter((F.col("size") <= F.col("_gap")) & (F.col("times") < repeats)) \
+            .withColumn("_level", F.length(F.bin("size"))) \
+            .withColumn("_part", F.floor(F.col("_start") / F.col("_tokens") * (1 << _BUCKET_BITS)))
+        hist = fits.groupBy(*line).agg(F.sum("size").alias("_n"))
+        first = hist.select(*line, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+        end = F.col("_first") + F.col("_end")
+        dealt = materialize(
+            fits.withColumn("_end", F.sum("size").over(inside)).join(first, line)
+            .select("sources", "_row", "_start", "_tokens", "size", "times", "_gap",
+                    (end <= F.col("_gap")).cast("int").alias("_more")), "mix_fill")
+        picks.append(dealt.filter("_more > 0").select("sources", "_row", "_start", "_more"))
+        gaps = dealt.groupBy("sources").agg((F.max("_gap") - F.sum(F.col("size") * F.col("_more"))).alias("_gap"))
+        left = dealt.withColumn("times", F.col("times") + F.col("_more")).drop("_gap", "_more")
+    if not picks:
+        return placed
+    more = reduce(DataFrame.unionByName, picks).groupBy("sources", "_row", "_start").agg(
+        F.sum("_more").cast("int").alias("_more"))
+    return placed.join(more, ["sources", "_row", "_start"], "left") \
+        .withColumn("times", F.col("times") + F.coalesce("_more", F.lit(0))).drop("_more")
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:

@@ -66,3 +66,27 @@ def test_apply_mix_repeats_rows_and_keeps_columns(make_docs):
     docs = make_docs([(1, "a b c", "x"), (2, "a", "y"), (3, "", "x")])
     out = M.apply_mix(docs)
     assert out.columns == docs.columns and 3 not in {r.doc_id for r in out.collect()}
+
+
+@pytest.mark.parametrize("seed", [6, 27])
+def test_a_long_document_across_the_end_leaves_no_gap_that_documents_fit(spark, seed):
+    rows = spark.createDataFrame([(0, 20_000, ["a"], 0)] + [(i, 20, ["a"], i) for i in range(1, 2001)],
+                                 "doc_id long, size long, sources array<string>, _row long")
+    got, sources = M.mix(rows, {"a": 1.0}, share=0.5, seed=seed)
+    assert sources.first().target == 30_000
+    got = got.collect()
+    assert len(got) == 2001 and 0 <= 30_000 - sum(r.taken for r in got) < 20
+    assert max(r.times for r in got) == 1
+
+
+def test_filling_repeats_short_documents_when_nothing_else_fits(spark):
+    sizes = [5000] + [1 + i % 7 for i in range(300)]
+    rows = spark.createDataFrame([(i, n, ["a", None] if i % 2 else ["a"], i) for i, n in enumerate(sizes)],
+                                 "doc_id long, size long, sources array<string>, _row long")
+    for share in (0.3, 0.9):
+        got, sources = M.mix(rows, {"a": 1.0, None: 1.0}, share=share)
+        got, target = got.collect(), sum(round(r.target) for r in sources.collect())
+        quota = min(target, 3 * sum(sizes))
+        open_ = [min((r.size for r in got if r.times < 3 and len(r.sources) == k), default=1) for k in (1, 2)]
+        assert len(got) == len(sizes) and all(len(r.routes or []) == r.times <= 3 for r in got)
+        assert 0 <= quota - sum(r.taken for r in got) < sum(open_)  # each pattern misses less than one document
