@@ -128,13 +128,11 @@ _SPELLED = {w: str(i) for words in (
     ("cero", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve"))
     for i, w in enumerate(words)} | {"oh": "0"}
 _DIGIT_WORD = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
-#: two digit words in a row (a run), or one next to a written digit
-_RUN = re.compile(rf"(?<!\w){_DIGIT_WORD}(?:[ ,.-]{{1,2}}(?:{_DIGIT_WORD}|[0-9]+|plus|dot|point|punkt|punto)(?!\w)){{3,}}",
+#: a digit word with the digits, signs and digit words behind it; rewritten where these are
+#: three or more, or where a written digit stands before it
+_RUN = re.compile(rf"(?<!\w){_DIGIT_WORD}(?!\w)(?:[ ,.-]{{1,2}}(?:{_DIGIT_WORD}|[0-9]+|plus|dot|point|punkt|punto)(?!\w))*",
                   re.IGNORECASE)
-#: a text is searched for runs where two digit words stand within so many words; the French
-#: article alone never makes a number
-_NEAR = 8
-_ARTICLE = "un"
+_AFTER_DIGIT = re.compile(r"[0-9](?:[ .-]| (?:dot|point|punkt|punto) )$", re.IGNORECASE)
 _RUN_PART = re.compile(rf"{_DIGIT_WORD}|[0-9]+|plus|dot|point|punkt|punto|[ ,.-]+", re.IGNORECASE)
 _PLUS = re.compile(r"(?<!\w)plus[ -]$", re.IGNORECASE)
 # fixed values: disguised signs
@@ -145,7 +143,12 @@ _BRACKETED = re.compile(rf"\s*[\[({{<]\s*(?:({_AT}|@)|({_DOT}|\.))\s*[\])}}>]\s*
 _BARE = re.compile(rf"(?<![\w.%+-])[a-z0-9._%+-]{{1,64}}(\s+(?:{_AT})\s+)[a-z0-9-]{{1,63}}"
                    rf"(?:(?:\s+(?:{_DOT})\s+|\.)[a-z0-9-]{{2,63}}){{1,5}}(?![\w-])", re.IGNORECASE)
 _BARE_DOT = re.compile(rf"\s+(?:{_DOT})\s+", re.IGNORECASE)
+#: with a written dot in the domain, a bare "at" counts only behind words joined by . _ or +
+_PLAIN = re.compile(r"[a-z][a-z0-9]*(?:[._+][a-z][a-z0-9]*)+\s+\w+\s+[a-z0-9.-]*\.[a-z]{2,}", re.IGNORECASE)
+#: four numbers with written or spelled dots
+_BARE_IP = re.compile(rf"(?<![0-9])[0-9]++(?:(?:\s+(?:{_DOT})\s+|\.)[0-9]++){{3}}", re.IGNORECASE)
 _TRIGGERS = ("dot", "punto", "point", "punkt")
+_AT_WORDS = ("at", "arroba", "arobase", "chez", "ät")
 
 
 class Traced:
@@ -194,11 +197,12 @@ def _homoglyphs(t: Traced) -> None:
 def _spelled(t: Traced) -> None:
     edits = []
     for m in _RUN.finditer(t.text):
-        new = []
-        for p in _RUN_PART.finditer(m[0]):
-            w = p[0].lower()
+        begin, new = m.start(), []
+        parts = [p[0].lower() for p in _RUN_PART.finditer(m[0])]
+        if sum(w[0] not in " ,.-" for w in parts) < 4 and not _AFTER_DIGIT.search(t.text, max(0, begin - 8), begin):
+            continue
+        for w in parts:
             new.append(_SPELLED.get(w) or ("+" if w == "plus" else "." if w in _TRIGGERS else w if w.isdigit() else ""))
-        begin = m.start()
         lead = _PLUS.search(t.text, max(0, begin - 6), begin)
         if lead:
             begin, new = lead.start(), ["+", *new]
@@ -214,13 +218,18 @@ def _bracketed(t: Traced) -> None:
 def _bare(t: Traced) -> None:
     edits = []
     for m in _BARE.finditer(t.text):
-        if not _BARE_DOT.search(m[0]):
-            continue  # "meet at example.com" is prose; a spelled dot is not
+        if not _BARE_DOT.search(m[0]) and not _PLAIN.fullmatch(m[0]):
+            continue  # "meet at example.com" is prose; a spelled dot or "jane.doe at" is not
         edits.append((m.start(1), m.end(1), "@"))
         edits += [(d.start(), d.end(), ".") for d in _BARE_DOT.finditer(t.text, m.end(1), m.end())]
     t.rewrite(edits)
 
 
+def _bare_ips(t: Traced) -> None:
+    t.rewrite([(d.start(), d.end(), ".") for m in _BARE_IP.finditer(t.text)
+               for d in _BARE_DOT.finditer(t.text, m.start(), m.end())])
+
+
 _HAS_BRACKET = re.compile(rf"[\[({{<]\s*(?:{_AT}|@|{_DOT}|\.)\s*[\])}}>]", re.IGNORECASE)
 
 
@@ -228,7 +237,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], spelled: bool = Tru
                 dotted: bool = True) -> list[tuple[int, int, int]]:
     """Spans that only the rewritten text shows and that touch no base span.
 
-    ``spelled`` and ``dotted``: whether the text can hold spelled digits or a spelled dot."""
+    ``spelled`` and ``dotted``: whether the text can hold spelled digits, or a bare at or spelled dot."""
     t = Traced(text)
     if not text.isascii():
         _homoglyphs(t)
@@ -238,6 +247,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], spelled: bool = Tru
         _bracketed(t)
     if dotted:
         _bare(t)
+        _bare_ips(t)
     if not t.changed:
         return []
     changed = sorted(t.changed)
@@ -259,36 +269,67 @@ def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
+#: a character that the gate's words don't treat as the patterns above do: not ASCII, a Latin
+#: letter, a sign of Latin-1, punctuation or a symbol (and those whose other case is ASCII)
+_UNGATED = re.compile("[^\x00-\xd6\xd8-\xf6\xf8-\u012f\u0132-\u017e\u0180-\u024f\u2000-\u2129\u212b-\u2bff\u3000-\u303f]")
+
+
 class Gate:
-    """Which texts of a chunk can hold spelled digits or a spelled dot, from word hashes.
+    """Which texts of a chunk can hold spelled digits, or a bare at or spelled dot, from word hashes.
 
-    A homoglyph inside such a word hides it here, so those texts are searched as well."""
+    It lets every text through that the patterns can rewrite.  A homoglyph inside a word hides
+    it here, so texts with ``_ODD`` or ``_UNGATED`` characters are searched as well."""
 
     def __init__(self):
         self.hasher = WordHasher(alnum_words(), lower=True)
-        names = sorted({v for w in _SPELLED for v in (w, w.upper(), w.capitalize())})
-        self.digits, self.article = self._table(names), self._table([_ARTICLE])
-        self.dots = self._table([v for w in _TRIGGERS for v in (w, w.upper(), w.capitalize())])
+        self.digits, self.dots = self._table(_SPELLED), self._table(_TRIGGERS)
+        self.ats, self.plus = self._table(_AT_WORDS), self._table(["plus"])
 
-    def _table(self, words: list[str]) -> np.ndarray:
-        data = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+    def _table(self, words: Iterable[str]) -> np.ndarray:
+        data = np.frombuffer(" ".join(v for w in words for v in (w, w.upper())).encode(), dtype=np.uint8)
         starts, ends, _ = self.hasher.bounds(data, np.array([0, len(data)]))
         return np.unique(self.hasher.hashes(data, starts, ends))
 
     def flags(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data = _signs_blank(data)
         starts, ends, first = self.hasher.bounds(data, offs)
         h = self.hasher.hashes(data, starts, ends)
         spelled, dotted = np.zeros(len(offs) - 1, dtype=bool), np.zeros(len(offs) - 1, dtype=bool)
-        at = np.flatnonzero(_among(h, self.digits))
-        doc = np.searchsorted(first, at, side="right") - 1
-        article = _among(h[at], self.article)
-        pair = (np.diff(at) <= _NEAR) & (doc[1:] == doc[:-1]) & ~(article[1:] & article[:-1])
-        spelled[doc[1:][pair]] = True
-        at = np.flatnonzero(_among(h, self.dots))
-        dotted[np.searchsorted(first, at, side="right") - 1] = True
+        if not len(h):
+            return spelled, dotted
+        word, dot = _among(h, self.digits), _among(h, self.dots)
+        digit = lambda b: (b >= 0x30) & (b <= 0x39)
+        run = word | dot | _among(h, self.plus) | digit(data[starts]) | digit(data[ends - 1])
+        doc = lambda i: np.searchsorted(first, i, side="right") - 1
+        at = np.flatnonzero(word)
+        for step in (-1, 1):  # a digit word beside another word of a run
+            near = np.clip(at + step, 0, len(h) - 1)
+            d = doc(at)
+            spelled[d[run[near] & (near != at) & (doc(near) == d)]] = True
+        dotted[doc(np.flatnonzero(dot))] = True
+        at = np.flatnonzero(_among(h, self.ats))
+        at = at[(at > 0) & (at < len(h) - 1)]
+        before, after = data[np.maximum(starts[at - 1] - 1, 0)], data[np.minimum(ends[at + 1], len(data) - 1)]
+        dotted[doc(at[np.isin(before, _JOINS) & np.isin(after, _JOINS)])] = True
         return spelled, dotted
 
 
+_JOINS = np.frombuffer(b"._+-", dtype=np.uint8)
+
+
+def _signs_blank(data: np.ndarray) -> np.ndarray:
+    """``data`` (UTF-8) with blanks for U+0080-BF, U+2000-2BFF and U+3000-303F: no word has them."""
+    if not (data >= 0x80).any():
+        return data
+    data, nxt = data.copy(), np.append(data[1:], 0)
+    two = np.flatnonzero(data == 0xC2)
+    three = np.flatnonzero(((data == 0xE2) & (nxt < 0xB0)) | ((data == 0xE3) & (nxt == 0x80)))
+    for at, n in ((two, 2), (three, 3)):
+        for k in range(n):
+            data[at[at + k < len(data)] + k] = 0x20
+    return data
+
+
 def _among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
 
@@ -302,7 +343,7 @@ def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for i, text in enumerate(part.column("text").to_pylist()):
                 base = base_spans(text) if text else []
-                odd = bool(text) and not text.isascii() and _ODD.search(text) is not None
+                odd = bool(text) and not text.isascii() and bool(_ODD.search(text) or _UNGATED.search(text))
                 more = added_spans(text, base, spelled[i] or odd, dotted[i] or odd) if text else []
                 n = [0, 0, 0, 0]
                 for _, k, _ in base:

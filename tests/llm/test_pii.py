@@ -65,3 +65,55 @@ def test_documents(make_docs):
         assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
     assert next(r for r in got if r.doc_id == 1).spans == "email:0:6,ip:8:16,email:17:40"
     assert P.find_personal_data(make_docs([])).count() == 0
+
+
+DISGUISED = [
+    ("pay with four 111 1111 1111 1111 now", "card", "four 111 1111 1111 1111"),
+    ("pay with 4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"),
+    ("pay with 4111-1111-one 111-1111 now", "card", "4111-1111-one 111-1111"),
+    ("\u201cfour 111 1111 1111 1111\u201d", "card", "four 111 1111 1111 1111"),
+    ("call +1 five 55 01 23 44 today", "phone", "+1 five 55 01 23 44"),
+    ("host 192 dot 168 dot 1 dot 10 is up", "ip", "192 dot 168 dot 1 dot 10"),
+    ("host 192 dot 168 dot one dot 10 is up", "ip", "192 dot 168 dot one dot 10"),
+    ("host 10.20 punto 30.one is up", "ip", "10.20 punto 30.one"),
+    ("write to jane.doe at example.com today", "email", "jane.doe at example.com"),
+    ("write to jane_doe\u2003at\u2003my-mail.example.com.", "email", "jane_doe\u2003at\u2003my-mail.example.com"),
+    ("write jane at example dot org", "email", "jane at example dot org"),
+    ("karte F\u00dcNF " + "eins " * 15 + "ok", None, None),
+]
+PROSE = ["meet at example.com", "see section 3. One of 12 dot points", "e.g. at example.com", "jane.doe at 10.30", "version 3 point 5",
+         "room 12 one at home.Then", "four 111 1111 1111 1112", "un un 3 un"]
+
+
+def test_disguises_are_found_in_documents_whatever_else_the_text_holds(make_docs):
+    texts = [t for t, _, _ in DISGUISED] + PROSE
+    # an odd character elsewhere opens the search of the whole text
+    got = {r.doc_id: r.spans for r in P.find_personal_data(make_docs(
+        [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + " \uff21") for i, t in enumerate(texts)])).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == got[100 + i], text
+    for i, (text, kind, source) in enumerate(DISGUISED):
+        if kind:
+            at = text.index(source)
+            assert got[i] == f"{kind}:{at}:{at + len(source)}", text
+    assert all(not got[len(DISGUISED) + i] for i in range(len(PROSE)))
+
+
+def test_gate_lets_through_what_the_patterns_rewrite():
+    rng, gate = random.Random(2), P.Gate()
+    parts = ["four", "FIVE", "zéro", "fünf", "FÜNF", "un", "12", "7", "plus", "dot", "punkt", "at", "jane.doe", "a_b", "x", "example.com",
+             "my-host.org", "été", "“", "”", "…", "3rd"]
+    texts = [rng.choice(["", " "]) + "".join(rng.choice(parts) + rng.choice([" ", " ", "-", ".", ", ", "\u2009", "\u2003", "\n", ""])
+                                            for _ in range(rng.randint(1, 8))) for _ in range(4000)]
+    raw = [t.encode() for t in texts]
+    offs = P.np.concatenate(([0], P.np.cumsum([len(r) for r in raw])))
+    spelled, dotted = gate.flags(P.np.frombuffer(b"".join(raw), dtype=P.np.uint8), offs)
+    for text, a, b in zip(texts, spelled, dotted):
+        if P._ODD.search(text) or P._UNGATED.search(text):
+            continue
+        one, two = P.Traced(text), P.Traced(text)
+        P._spelled(one)
+        P._bare(two)
+        P._bare_ips(two)
+        assert (a or not one.changed) and (b or not two.changed), text
+    assert 0 < spelled.sum() < len(texts) and 0 < dotted.sum() < len(texts)
