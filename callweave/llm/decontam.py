@@ -13,7 +13,8 @@ window, beginning with the two rarest terms of the window in that segment.
 Words: A-Z lower-cased, `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`, compared by 64-bit hash.
 Defined results: null or empty texts have no words, are never hit and stay in the result;
 an item without words is no window; an item shorter than the window is one window;
-repeated rows, repeated or null ids each keep their own result row.
+repeated rows, repeated or null ids each keep their own result row.  Items without id are
+searched like others; in a document's items all of them are one null, ordered last.
 """
 
 from __future__ import annotations
@@ -126,7 +127,7 @@ class Segment:
 class Phrases:
     """Test windows of one block: distinct windows as vocabulary indices plus their items."""
 
-    def __init__(self, items: list[tuple[str, np.ndarray]], window: int):
+    def __init__(self, items: list[tuple[str | None, np.ndarray]], window: int):
         seen: dict[bytes, int] = {}
         rows: list[np.ndarray] = []
         win_ids: list[int] = []
@@ -224,19 +225,19 @@ def _item_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], names=["item_id", "h", "n"])
 
 
-def test_blocks(items: DataFrame, block_tokens: int = BLOCK_TOKENS) -> Iterator[list[tuple[str, np.ndarray]]]:
+def test_blocks(items: DataFrame, block_tokens: int = BLOCK_TOKENS) -> Iterator[list[tuple[str | None, np.ndarray]]]:
     """Items with words, in blocks of about ``block_tokens`` tokens (an item is never split)."""
     src = read_columns(items, "item_id", "text")
     hashed = src.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(_item_hashes, "item_id string, h binary, n long").filter("n > 0 AND item_id IS NOT NULL")
+        .mapInArrow(_item_hashes, "item_id string, h binary, n long").filter("n > 0")
     hashed = materialize(hashed.distinct(), "test_items")
     total = hashed.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // block_tokens)
     for b in range(blocks):
-        rows = hashed.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect() if blocks > 1 \
+        rows = hashed.filter(F.pmod(F.xxhash64("item_id", "h"), F.lit(blocks)) == b).collect() if blocks > 1 \
             else hashed.collect()
         if rows:
-            yield [(r["item_id"], np.frombuffer(r["h"], dtype=np.uint64)) for r in sorted(rows)]
+            yield [(r["item_id"], np.frombuffer(r["h"], dtype=np.uint64)) for r in sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or "", r["h"]))]
 
 
 def search_phrases(index: DataFrame, items: DataFrame, window: int = WINDOW,
@@ -308,11 +309,11 @@ def hit_counts(matches: DataFrame) -> DataFrame:
     before = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.greatest(F.lit(0), F.col("last") + 1 - F.greatest(F.col("first"), F.coalesce(before + 1, F.lit(0))))
     return matches.withColumn("fresh", fresh).groupBy("segment", "ord") \
-        .agg(F.sum("fresh").cast("long").alias("n_hit"), F.collect_set("item_id").alias("items"))
+        .agg(F.sum("fresh").cast("long").alias("n_hit"), F.collect_set(F.struct("item_id"))["item_id"].alias("items"))  # keeps null
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, percent: int = 5) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, items (sorted array of strings), contaminated.
+    """Per document: doc_id, n_words, n_hit, items (sorted array of strings, null last), contaminated.
 
     Contaminated: some word is hit and hit words are at least ``percent`` % of all words."""
     index = build_index(docs)

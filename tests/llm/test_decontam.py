@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -84,3 +85,26 @@ def test_near_matches_need_all_terms_within_the_span(spark, make_docs):
     index = D.build_index(docs)
     hits = D.search_near(index, items, 4).join(D.documents_of(index), ["segment", "ord"])
     assert {r.doc_id for r in hits.collect()} == {1}
+
+
+def test_items_without_id_are_searched(spark, make_docs):
+    items = spark.createDataFrame([(None, "alpha beta gamma"), (None, "one two three"), (2, "beta gamma delta"), (None, None)],
+                                  "item_id long, text string")
+    docs = make_docs([(1, "x alpha beta gamma delta"), (2, "alpha beta gamma one two three"), (3, "clean text"), (4, "beta gamma delta")])
+    found = D.contamination(docs, items)
+    assert [r[:1] + r[2:] for r in rows_of(found)] == [(1, 4, ("2", None), True), (2, 6, (None,), True), (3, 0, (), False), (4, 3, ("2",), True)]
+    assert {r.doc_id for r in D.decontaminate(docs, items).collect()} == {3}
+    index = D.build_index(docs)
+    assert D.hit_counts(D.search_phrases(index, items, block_tokens=3)).count() == 3
+    assert {r.item_id for r in D.search_near(index, items, 3).collect()} == {None, "2"}
+
+
+def test_query_counts_items_without_id_as_one(spark, make_docs, tmp_path):
+    from callweave.llm.queries import op10_decontamination
+    make_docs([(1, "x alpha beta gamma delta"), (2, "alpha beta gamma")]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, "alpha beta gamma"), (None, "x alpha"), (2, "beta gamma delta")], "item_id long, text string") \
+        .write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in op10_decontamination(spark, str(tmp_path)).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    # as in the query's SQL: the null is counted once and not in the digest
+    assert got == {1: (5, 2, sha("2")), 2: (3, 1, sha(""))}
