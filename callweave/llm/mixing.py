@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callweave.functions.ranking import with_group_position
 from callweave.llm.common import bounded, materialize
 
 MAX_SOURCES = 10_000
@@ -262,7 +263,20 @@ def mixed_documents(docs: DataFrame, repeats: int = REPEATS, seed: int = SEED) -
 
 
 def apply_mix(docs: DataFrame, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
-    """``docs`` as the mix takes them: a document taken n times is there n times, others go."""
-    plan = mixed_documents(docs, repeats, seed).filter("times > 0").select("_row", "times").dropDuplicates(["_row"])
-    return docs.withColumn("_row", _row_hash()).join(plan, "_row") \
-        .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    """``docs`` as the mix takes them: a document taken n times is there n times, others go.
+
+    Passes over identical rows are dealt out evenly, in the order of the other columns."""
+    plan = mixed_documents(docs, repeats, seed).groupBy("_row").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("times").alias("_all"), F.min("times").alias("_lo"),
+        F.max("times").alias("_hi"))
+    plan = materialize(plan.filter("_hi > 0"), "mix_plan")
+    keyed = docs.withColumn("_row", _row_hash())
+    even = plan.filter("_lo = _hi").select("_row", F.col("_lo").alias("_times"))
+    out = keyed.join(even.hint("merge"), "_row")  # as many rows as documents: not to be broadcast
+    uneven = plan.filter("_lo < _hi").select("_row", "_n", "_all")
+    if not uneven.isEmpty():
+        order = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+        some = with_group_position(keyed.join(uneven, "_row").withColumn("_at", order), ["_row"], ["_at"], "_pos")
+        share = F.floor(F.col("_all") / F.col("_n")) + (F.col("_pos") < F.col("_all") % F.col("_n")).cast("int")
+        out = out.unionByName(some.withColumn("_times", share.cast("int")).filter("_times > 0").select(*out.columns))
+    return out.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

@@ -90,3 +90,15 @@ def test_filling_repeats_short_documents_when_nothing_else_fits(spark):
         open_ = [min((r.size for r in got if r.times < 3 and len(r.sources) == k), default=1) for k in (1, 2)]
         assert len(got) == len(sizes) and all(len(r.routes or []) == r.times <= 3 for r in got)
         assert 0 <= quota - sum(r.taken for r in got) < sum(open_)  # each pattern misses less than one document
+
+
+def test_apply_mix_takes_a_share_of_identical_rows(make_docs):
+    rows = [(i, "w " * 20, "a") for i in range(10)] + [(None, "x y z w", "b")] * 50
+    docs = make_docs(rows)
+    plan = M.mixed_documents(docs).collect()
+    assert {r.times for r in plan if r.doc_id is None} == {0, 1}
+    got = M.apply_mix(docs).collect()
+    target = 400 * 2 / 7
+    assert sum(r.text == "x y z w" for r in got) * 4 == sum(r.taken for r in plan if r.doc_id is None)
+    assert 0 <= target - 4 * sum(r.text == "x y z w" for r in got) < 5
+    assert sum(20 for r in got if r.source == "a") == sum(r.taken for r in plan if r.doc_id is not None)
