@@ -86,8 +86,33 @@ FROM (SELECT * FROM a WHERE side = 1) x JOIN (SELECT * FROM a WHERE side = 2) y
 WHERE x.sha256 <> y.sha256 OR x.record_offset <> y.record_offset OR x.length <> y.length
 """
 
+_OP11 = r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x
+  FROM documents),
+u AS (
+  SELECT doc_id, t, n, CAST('0x' || substr(x, 1, 8) AS BIGINT) % (n + 1) AS c1,
+         CAST('0x' || substr(x, 9, 8) AS BIGINT) % (n + 1) AS c2,
+         CAST('0x' || substr(x, 17, 8) AS BIGINT) % 100 AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) % 100 AS h4
+  FROM h),
+f AS (
+  SELECT doc_id, t, n, least(c1, c2) AS a, greatest(c1, c2) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+              WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+s AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op7_circulant_minhash": _OP7,
     "op9_warc_fixity": _OP9,
     "op10_decontamination": _OP10,
+    "op11_fim": _OP11,
 }

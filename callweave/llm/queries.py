@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import circulant, decontam, fixity, mixing, packing, pii, quality_crf, quality_llr, sharding, toxicity
+from callweave.llm import circulant, decontam, fim, fixity, mixing, packing, pii, quality_crf, quality_llr, sharding, toxicity
 from callweave.llm.common import documents, held_out, read_columns, table
 
 
@@ -64,6 +64,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def fim_digests(docs: DataFrame) -> DataFrame:
+    """Digests of every document's transformed text and of the text rebuilt from it."""
+    done = fim.restore_documents(fim.transform_documents(docs))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_crf": op1_quality_crf,
     "op2_sharding": op2_sharding,
@@ -75,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_warc_fixity": op9_warc_fixity,
     "op10_decontamination": op10_decontamination,
+    "op11_fim": op11_fim,
 }
