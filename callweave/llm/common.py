@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callweave.session import materialize
 
-__all__ = ["materialize", "held_out", "documents", "table", "read_columns", "bounded", "space_word_array"]
+__all__ = ["materialize", "held_out", "documents", "table", "read_columns", "bounded", "space_word_array", "join_counted"]
 
 #: `[^\x20\x09-\x0D]+` as the separators of a Java split
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -41,6 +41,24 @@ def bounded(n: int, limit: int, what: str) -> None:
         raise ValueError(f"{what}: {n} exceeds the documented bound {limit}")
 
 
+#: keys that hold more than one in this many rows are joined by broadcast: there are fewer than this
+HOT_KEYS = 4096
+
+
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which has one row per key and in ``count`` the key's number of rows.
+
+    Keys above a ``HOT_KEYS``-th of all counted rows are fewer than ``HOT_KEYS`` whatever the data, so
+    their side is broadcast and their rows stay where they are; all others are joined by key, where no
+    key holds more than that share.  Both tables are read twice and should be written ones."""
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot = F.broadcast(table.filter(F.col(count) > total // HOT_KEYS + 1))
+    some = rows.join(hot, keys)
+    rest = rows.join(hot.select(*keys), keys, "left_anti") \
+        .join(table.filter(F.col(count) <= total // HOT_KEYS + 1), keys, how)
+    return some.unionByName(rest)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:
     """Up to ``per_class`` labelled documents of each class outside the held-out fold, and the
     classes' sizes among all such labels.

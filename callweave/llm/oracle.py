@@ -110,9 +110,41 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST
 FROM s
 """
 
+_OP13_ROUND = r"""
+n{t} AS MATERIALIZED (
+  SELECT r, p, min(d * 16 + e) AS m
+  FROM (SELECT r, p, e, sum((x - c) * (x - c)) AS d FROM comp JOIN b{t} USING (p, j) GROUP BY r, p, e)
+  GROUP BY r, p)"""
+_OP13_UPDATE = r"""
+b{u} AS MATERIALIZED (
+  SELECT b{t}.p, b{t}.e, b{t}.j, coalesce(f, c) AS c
+  FROM b{t} LEFT JOIN (
+    SELECT p, m % 16 AS e, j, CAST(floor(sum(x) / count(*)) AS BIGINT) AS f
+    FROM comp JOIN n{t} USING (r, p) GROUP BY 1, 2, 3) USING (p, e, j))"""
+_OP13 = r"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, vec_id, label, v
+  FROM (SELECT vec_id, label, embedding, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+comp AS MATERIALIZED (
+  SELECT r, (i - 1) // (len(v) // 8) AS p, (i - 1) % (len(v) // 8) AS j, v[i] AS x
+  FROM (SELECT r, v, unnest(generate_series(1, len(v))) AS i FROM kept)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, j, x AS c FROM comp WHERE r <= 16),""" + ",".join(
+    _OP13_ROUND.format(t=t) + "," + _OP13_UPDATE.format(t=t, u=t + 1) for t in range(6)) + "," + _OP13_ROUND.format(t=6) + r""",
+sha AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) AS h FROM b6),
+code AS (
+  SELECT r, string_agg(format('{:02x}', CAST(m % 16 AS INTEGER)), '' ORDER BY p) AS code,
+         CAST(sum(m // 16) AS BIGINT) AS error
+  FROM n6 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM kept JOIN code USING (r), sha
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op7_circulant_minhash": _OP7,
     "op9_warc_fixity": _OP9,
     "op10_decontamination": _OP10,
     "op11_fim": _OP11,
+    "op13_pq": _OP13,
 }
