@@ -110,6 +110,21 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST
 FROM s
 """
 
+_OP12 = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS MATERIALIZED (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g
+  FROM (SELECT r, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+hit AS (SELECT r, i FROM win WHERE g IN (SELECT g FROM win GROUP BY g HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 34)) AS p FROM hit),
+word AS (SELECT r, i AS p, w[i] AS x FROM (SELECT r, w, unnest(generate_series(1, len(w))) AS i FROM d)),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 _OP13_ROUND = r"""
 n{t} AS MATERIALIZED (
   SELECT r, p, min(d * 16 + e) AS m
@@ -146,5 +161,6 @@ ORACLE_SQL: dict[str, str] = {
     "op9_warc_fixity": _OP9,
     "op10_decontamination": _OP10,
     "op11_fim": _OP11,
+    "op12_rlz": _OP12,
     "op13_pq": _OP13,
 }

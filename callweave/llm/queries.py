@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.llm import circulant, decontam, fim, fixity, mixing, packing, pii, pq, quality_crf, quality_llr, sharding, toxicity
+from callweave.llm import circulant, decontam, fim, fixity, mixing, packing, pii, pq, quality_crf, quality_llr, rlz, sharding, toxicity
 from callweave.llm.common import documents, held_out, read_columns, table
 
 
@@ -75,6 +75,11 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digests(documents(spark, sf_dir))
 
 
+def op12_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.remove_repeats(documents(spark, sf_dir)) \
+        .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op13_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.quantise(table(spark, sf_dir, "embeddings")) \
         .select("vec_id", "code", "error", "label_error", "codebooks_sha256")
@@ -92,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc_fixity": op9_warc_fixity,
     "op10_decontamination": op10_decontamination,
     "op11_fim": op11_fim,
+    "op12_rlz": op12_rlz,
     "op13_pq": op13_pq,
 }
