@@ -5,6 +5,7 @@
   offsets table is bounded by the partition count and safe to broadcast).
 * ``with_group_position``: position inside a group from the same sorted partitions, joined
   per (partition, group), so a group holding most rows stays spread over its partitions.
+* ``with_group_sum``: running sum inside a group, over the same sorted partitions.
 * ``spread_join``: join with one row per key, salted on the large side.
 * ``top_percent`` (T1) and ``top_k_per_group`` (salted two-stage window).
 """
@@ -92,6 +93,24 @@ def with_group_position(df: DataFrame, group_cols: Sequence[str], order_cols: Se
     return out
 
 
+def with_group_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, value: str,
+                   name: str = "before") -> DataFrame:
+    """``name``: sum of ``value`` over the rows of the same group that come before.
+
+    The order must be total and group columns not null.  Rows are summed inside their range partition, and a
+    group's partitions (one row each) give its offsets, so a group may span any number of tasks."""
+    g = list(group_cols)
+    rows, _ = _sorted_rows(df, [*g, *order_cols])
+    parts = rows.groupBy("_pid", *g).agg(F.sum(value).alias("_v"))
+    earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_pid", *g, F.coalesce(F.sum("_v").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_pid", *g).orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.withColumn("_inner", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(starts, ["_pid", *g]) \
+        .withColumn(name, F.col("_offset") + F.col("_inner")).drop("_pid", "_local", "_offset", "_inner")
+    out.written = rows.written
+    return out
+
+
 def top_percent(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, percent: float,
                 name: str = "rank") -> DataFrame:
     """The first ``max(1, ceil(n * percent))`` rows of each group, 1-based ``rank``."""
