@@ -20,9 +20,13 @@ where 154 are expected; sizes that exclude the threshold are left out too.
 Words: A-Z lower-cased, `[^\\x20\\x09-\\x0D]+`; a set holds the distinct 64-bit hashes of
 3-word shingles, or of the whole sequence when the text has fewer words.
 
-Defined results: a null or empty text has an empty set and is linked with nothing; rows that
-share a doc_id are one node; a row without doc_id is linked with nothing, has a null
-component_id and is kept; an empty table gives an empty result; other columns are ignored.
+A node is a set of shingles, that is, all rows whose sets are equal; a doc_id that holds several
+texts links the nodes of these texts with each other.  ``deduplicate`` leaves such links out: it drops
+a row only for the sake of its own text.
+
+Defined results: a null or empty text has an empty set and is linked with nothing; a row without
+doc_id is linked with nothing, has a null component_id and is kept; an empty table gives an empty
+result; other columns, whatever their names, are ignored (``deduplicate`` carries them).
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.llm.bytewords import WordHasher, mix64, space_words, text_chunks
-from callweave.llm.common import materialize, read_columns
+from callweave.llm.common import join_counted, materialize, read_columns, text_key
 from callweave.llm.components import connected_components
 
 WIDTH = 3
@@ -46,12 +50,16 @@ MIN_EQUAL = 46
 LONG = 2048
 #: differing bits at the threshold: mean LONG * (1 - J) / 2 = 154, standard deviation 11.9
 MAX_DIFFERING = 213
-#: bits of the fixed-size filter that keeps texts without a candidate out of the shuffle
-FILTER_BITS = 1 << 24
-#: at most so many groups of equal sets are handed to every task
-HOT_GROUPS = 1000
+#: bits of the filter that keeps texts without a candidate out of the shuffle: 16 for a candidate, within
+#: these bounds (32 MB at most); what it lets through is sorted out by a join
+MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 20, 1 << 28
+#: pairs of one set that are compared with one copy of it
+PAIRS_PER_COPY = 1024
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<bigint>, sig binary"
+#: a row's doc_id and the key of its text
+KEY = ["doc_id", "k1", "k2"]
+SKETCH_SCHEMA = ("doc_id long, k1 long, k2 long, n_shingles long, fp1 long, fp2 long, bands array<bigint>, "
+                 "sig binary")
 
 
 # --- sets and sketches ----------------------------------------------------------------------
@@ -112,7 +120,6 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
 def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = WordHasher(space_words(), lower=True)
     for batch in batches:
-        ids = batch.column("doc_id")
         for lo, hi, data, offs in text_chunks(batch.column("text")):
             sets = shingle_sets(hasher, data, offs)
             n = np.array([len(s) for s in sets], dtype=np.int64)
@@ -129,20 +136,22 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bands, short = band_keys(sig), sig.astype(np.uint8)
                 for k, i in enumerate(full):
                     keys[i], sigs[i] = bands[k], short[k].tobytes()
+            key = [batch.column(c).slice(lo, hi - lo) for c in KEY]
             yield pa.RecordBatch.from_arrays([
-                ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(fp1.view(np.int64), pa.int64()),
+                *key, pa.array(n, pa.int64()), pa.array(fp1.view(np.int64), pa.int64()),
                 pa.array(fp2.view(np.int64), pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-                pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "fp1", "fp2", "bands", "sig"])
+                pa.array(sigs, pa.binary())], names=[*KEY, "n_shingles", "fp1", "fp2", "bands", "sig"])
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit set fingerprint, band keys and the signature's low bytes."""
+    """doc_id, a key of the text, n_shingles, a 128-bit set fingerprint, band keys and the signature's low bytes."""
     return _texts(docs).mapInArrow(_sketch, SKETCH_SCHEMA)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return read_columns(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        F.col("doc_id").cast("long").alias("doc_id"), *text_key(text), text.alias("text"))
 
 
 # --- full sets of candidates ------------------------------------------------------------------
@@ -151,11 +160,11 @@ def _filter_bits(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return h % np.uint64(bits), (h >> np.uint64(32)) % np.uint64(bits)
 
 
-def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """Bloom filter (two hashes) of ``bits`` bits over a long column ``id``, whatever its length."""
+def row_filter(rows: DataFrame, bits: int) -> np.ndarray:
+    """Bloom filter (two hashes) of ``bits`` bits over a long column ``h``, whatever its length."""
     def words(batches):
         for b in batches:
-            v = b.column("id").to_numpy(zero_copy_only=False)
+            v = b.column("h").to_numpy(zero_copy_only=False)
             x = np.unique(np.concatenate(_filter_bits(v, bits)))
             at, first = np.unique(x >> np.uint64(6), return_index=True)
             if len(at):
@@ -163,35 +172,37 @@ def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(w.view(np.int64))],
                                                  names=["at", "w"])
 
-    rows = ids.select("id").mapInArrow(words, "at long, w long").groupBy("at").agg(F.bit_or("w").alias("w")).toPandas()
+    got = rows.select("h").mapInArrow(words, "at long, w long").groupBy("at").agg(F.bit_or("w").alias("w")).toPandas()
     out = np.zeros(bits >> 6, dtype=np.uint64)
-    out[rows["at"].to_numpy(dtype=np.int64)] = rows["w"].to_numpy(dtype=np.int64).view(np.uint64)
+    out[got["at"].to_numpy(dtype=np.int64)] = got["w"].to_numpy(dtype=np.int64).view(np.uint64)
     return out
 
 
-def candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, members): the full sorted shingle set of every document in ``ids`` (and of a few others)."""
+def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, members): the full sorted shingle set of every node in ``wanted`` (id and the key of one of its rows)."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(id_filter(ids))
+    hashed = F.xxhash64(*KEY)
+    size = wanted.count()
+    bits = min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, 1 << (16 * size).bit_length()))
+    shared = spark.sparkContext.broadcast(row_filter(wanted.select(hashed.alias("h")), bits))
 
     def sets(batches):
         hasher = WordHasher(space_words(), lower=True)
         bloom = shared.value
-        bits = len(bloom) << 6
         for batch in batches:
-            batch = batch.filter(batch.column("doc_id").is_valid())
-            if not batch.num_rows:
-                continue
-            a, b = _filter_bits(batch.column("doc_id").to_numpy(zero_copy_only=False), bits)
+            a, b = _filter_bits(batch.column("h").to_numpy(zero_copy_only=False), bits)
             got = [(bloom[x >> np.uint64(6)] >> (x & np.uint64(63))) & np.uint64(1) for x in (a, b)]
             batch = batch.filter(pa.array((got[0] & got[1]).astype(bool)))
             for lo, hi, data, offs in text_chunks(batch.column("text")):
                 found = shingle_sets(hasher, data, offs)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(lo, hi - lo),
-                    pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "members"])
+                    *[batch.column(c).slice(lo, hi - lo) for c in KEY],
+                    pa.array([s.tobytes() for s in found], pa.binary())], names=[*KEY, "members"])
 
-    return _texts(docs).mapInArrow(sets, "id long, members binary")
+    found = _texts(docs).filter("doc_id IS NOT NULL").withColumn("h", hashed) \
+        .mapInArrow(sets, "doc_id long, k1 long, k2 long, members binary")
+    # repeated rows are merged in their tasks before anything is moved
+    return found.groupBy(*KEY).agg(F.first("members").alias("members")).join(wanted, KEY).select("id", "members")
 
 
 def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,17 +232,28 @@ def _alike(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _alike_pairs(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the short sketches cannot exclude."""
-    sa = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
+    """The pairs (a, b) that the short sketches cannot exclude; ``a``, a centre, may be in most of them."""
+    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"))
+    sa = materialize(counts.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a"), "centres")
     sb = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
-    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long")
+    return join_counted(pairs, sa, ["a"], "pairs").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold: 100 * shared >= percent * united."""
-    ma = sets.select(F.col("id").alias("a"), F.col("members").alias("ma"))
+    """The pairs (a, b) whose full sets reach the threshold: 100 * shared >= percent * united.
+
+    ``pairs`` is a written table.  The set of an ``a`` with many pairs is copied, once for ``PAIRS_PER_COPY`` of
+    them (and never more than 65,536 times), so a centre's pairs are spread over that many keys."""
+    total = pairs.count()
+    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs")) \
+        .withColumn("copies", F.ceil(F.col("pairs") / F.lit(max(PAIRS_PER_COPY, total >> 16))))
+    counts = materialize(counts, "pair_counts")
+    spread = join_counted(pairs, counts, ["a"], "pairs") \
+        .withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")))
+    ma = sets.select(F.col("id").alias("a"), F.col("members").alias("ma")).join(counts, "a") \
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).select("a", "copy", "ma")
     mb = sets.select(F.col("id").alias("b"), F.col("members").alias("mb"))
-    return pairs.join(ma, "a").join(mb, "b").select("a", "b", "ma", "mb") \
+    return spread.select("a", "b", "copy").join(ma, ["a", "copy"]).join(mb, "b").select("a", "b", "ma", "mb") \
         .mapInArrow(_overlaps, "a long, b long, shared long, united long") \
         .filter(F.col("shared") * 100 >= F.col("united") * percent).select("a", "b")
 
@@ -240,8 +262,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
 def _buckets(reps: DataFrame) -> DataFrame:
     """(key, band, id, n, degree): members of buckets with two or more sets; degree counts an id's meetings."""
     rows = reps.select("id", "n", F.posexplode("bands").alias("band", "key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    met = materialize(rows.join(shared, "key"), "buckets")
+    shared = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "bucket_sizes")
+    met = materialize(join_counted(rows, shared, ["key"], "c"), "buckets")
     degree = met.groupBy("id").agg(F.sum("c").alias("degree"))
     return materialize(met.join(degree, "id").select("key", "band", "id", "n", "degree"), "buckets")
 
@@ -251,11 +273,13 @@ def _size_fits(n: str, m: str, percent: int):
 
 
 def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each bucket's centre, the member of the highest degree, with its other members."""
-    centre = buckets.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("neg"), "n")).alias("c")) \
-        .select("key", (-F.col("c.neg")).alias("centre"), F.col("c.n").alias("cn"))
-    return buckets.join(centre, "key").filter("id <> centre").filter(_size_fits("n", "cn", percent)) \
-        .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    """Pairs (centre, other) of each bucket's centre, the member of the highest degree, with its other members."""
+    centre = buckets.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("neg"), "n")).alias("c"),
+                                        F.count(F.lit(1)).alias("size")) \
+        .select("key", (-F.col("c.neg")).alias("centre"), F.col("c.n").alias("cn"), "size")
+    return join_counted(buckets, materialize(centre, "bucket_centres"), ["key"], "size") \
+        .filter("id <> centre").filter(_size_fits("n", "cn", percent)) \
+        .select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def _open_members(buckets: DataFrame, comp: DataFrame) -> DataFrame:
@@ -298,58 +322,84 @@ def _rest_pairs(members: DataFrame, reps: DataFrame, sets: DataFrame, percent: i
     return one.join(two, (one["key"] == two["key"]) & alike).select(F.col("id").alias("a"), "b")
 
 
-def near_duplicate_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+def _classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows without words or id, members, links).
+
+    members: (doc_id, k1, k2, n_shingles, node, copies, rep), one for every other row; ``copies`` rows have the
+    node's set, ``rep`` is their smallest doc_id.  links: (id, component) of the nodes linked by text."""
     rows = materialize(sketch(docs), "sketch")
     valued = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     fp = ["n_shingles", "fp1", "fp2"]
-    groups = materialize(valued.groupBy(*fp).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
-                         "equal_sets")
-    # at most HOT_GROUPS groups can hold more than 1/HOT_GROUPS of all rows
-    hot_size = max(HOT_GROUPS, rows.count() // HOT_GROUPS)
-    hot = F.broadcast(groups.filter(F.col("copies") > hot_size).select(*fp, "rep"))
-    cold = groups.filter(F.col("copies") <= hot_size)
-    members = materialize(
-        valued.select("doc_id", *fp).join(hot, fp)
-        .unionByName(valued.select("doc_id", *fp).join(hot, fp, "left_anti").join(cold.select(*fp, "rep"), fp))
-        .select("doc_id", "n_shingles", "rep"), "members")
-    firsts = valued.join(groups.select(*fp, F.col("rep").alias("doc_id")), [*fp, "doc_id"], "left_semi")
-    reps = materialize(firsts.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sig")
-                       .dropDuplicates(["id"]), "representatives")
-    comp = components_of(docs, reps, percent)
-    # the hot representatives' components are again at most HOT_GROUPS rows
-    named = cold.select("rep").unionByName(groups.filter(F.col("copies") > hot_size).select("rep")).distinct() \
-        .join(comp, F.col("rep") == F.col("id"), "left") \
-        .select("rep", F.coalesce("component", "rep").alias("component_id"))
-    hot_reps = groups.filter(F.col("copies") > hot_size).select("rep").distinct()
-    hot_named = F.broadcast(named.join(F.broadcast(hot_reps), "rep", "left_semi"))
-    out = members.join(hot_named, "rep").unionByName(
-        members.join(F.broadcast(hot_reps), "rep", "left_anti").join(named, "rep"))
-    alone = rows.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles",
-                                                                   F.col("doc_id").alias("component_id"))
+    groups = valued.groupBy(*fp).agg(F.min(F.struct(*KEY)).alias("row"), F.count(F.lit(1)).alias("copies"),
+                                     F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    # numbered in the written table, so the numbers stay
+    groups = materialize(groups.withColumn("node", F.monotonically_increasing_id()), "equal_sets")
+    members = join_counted(valued.select(*KEY, *fp), groups.select(
+        *fp, "node", "copies", F.col("row.doc_id").alias("rep")), fp, "copies")
+    members = materialize(members.select(*KEY, "n_shingles", "node", "copies", "rep"), "members")
+    reps = groups.select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "bands", "sig",
+                         *[F.col(f"row.{c}").alias(c) for c in KEY])
+    return rows.filter("n_shingles = 0 OR doc_id IS NULL"), members, components_of(docs, reps, percent)
+
+
+def near_duplicate_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+    rest, members, comp = _classes(docs, percent)
+    nodes = members.groupBy("node").agg(F.min("rep").alias("rep"), F.max("copies").alias("copies"))
+    named = materialize(nodes.join(comp, F.col("node") == F.col("id"), "left")
+                        .select("node", "rep", "copies", F.coalesce("component", "node").alias("component")), "nodes")
+    # the texts of one doc_id belong together: link the components of the nodes that hold it
+    place = join_counted(members.select("doc_id", "node"), named.select("node", "component", "copies"), ["node"], "copies") \
+        .select("doc_id", "component").distinct()
+    shared = place.groupBy("doc_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    ties = materialize(place.join(shared, "doc_id").filter("component <> lo")
+                       .select(F.col("lo").alias("a"), F.col("component").alias("b")).distinct(), "shared_ids")
+    if not ties.isEmpty():
+        wide = connected_components(ties).select(F.col("id").alias("component"), F.col("component").alias("wide"))
+        named = materialize(named.join(wide, "component", "left").select(
+            "node", "rep", "copies", F.coalesce("wide", "component").alias("component")), "nodes")
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("nodes"))
+    named = materialize(join_counted(named, materialize(least, "components"), ["component"], "nodes")
+                        .select("node", "copies", "component_id"), "nodes")
+    out = join_counted(members.select("doc_id", "n_shingles", "node"), named, ["node"], "copies")
+    alone = rest.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
 
 def components_of(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, component) of the representatives that are linked with another one."""
     buckets = _buckets(reps)
-    sets = materialize(candidate_sets(docs, buckets.select("id").distinct()).dropDuplicates(["id"]), "sets")
+    wanted = materialize(reps.select("id", *KEY).join(buckets.select("id").distinct(), "id"), "wanted")
+    sets = materialize(candidate_sets(docs, wanted), "sets")
     stars = materialize(_star_pairs(buckets, percent), "pairs")
-    links = materialize(confirmed(_alike_pairs(stars, reps.select("id", "sig")), sets, percent), "links")
+    near = materialize(_alike_pairs(stars, reps.select("id", "sig")), "alike")
+    links = materialize(confirmed(near, sets, percent), "links")
     comp = connected_components(links)
     open_ = _open_members(buckets, comp)
-    rest = materialize(_rest_pairs(open_, reps, sets, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
+    tried = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = materialize(_rest_pairs(open_, reps, sets, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
     more = materialize(confirmed(rest, sets, percent), "links")
     return comp if more.isEmpty() else connected_components(links.unionByName(more))
 
 
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each class of near-duplicates: that of the smallest doc_id.
-
-    All columns are kept.  Rows that repeat the doc_id of the kept row are dropped too; rows
-    without words or without doc_id stay."""
-    classes = near_duplicate_classes(docs, percent)
-    out_ = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(out_, "doc_id", "left_anti").select(*docs.columns)
-    with_id = left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return with_id.unionByName(left.filter("doc_id IS NULL"))
+    """``docs`` with one row of each class of texts that are linked with each other.
+
+    A class is what the links between texts join; that of the smallest doc_id stays (of its several
+    texts or rows, one by a fixed order).  A doc_id that holds several unlinked texts keeps them all.
+    All columns are kept; rows without words or without doc_id stay."""
+    _, members, comp = _classes(docs, percent)
+    firsts = members.groupBy("node").agg(F.min(F.struct(*KEY)).alias("row"))
+    firsts = firsts.join(comp, F.col("node") == F.col("id"), "left") \
+        .groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("row").alias("row"))
+    stay = materialize(firsts.select(*[F.col(f"row.{c}").alias(f"_dedupe_{c}") for c in KEY]), "staying")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # the row travels as one column, so its own names cannot clash with the keys
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"),
+                      F.col("doc_id").cast("long").alias("_dedupe_doc_id"))
+    has_words = F.col("text").rlike("[^\\x20\\x09-\\x0D]") & F.col("_dedupe_doc_id").isNotNull()
+    alone = row.filter(~has_words).select("row")
+    keys = [f"_dedupe_{c}" for c in KEY]
+    one = row.filter(has_words).select("row", "_dedupe_doc_id", *[k.alias(f"_dedupe_k{i}") for i, k in enumerate(text_key(F.col("text")), 1)]) \
+        .groupBy(*keys).agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).join(stay, keys, "left_semi").select("row")
+    return one.unionByName(alone).select("row.*")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callweave.session import materialize
 
-__all__ = ["materialize", "held_out", "documents", "table", "read_columns", "bounded", "space_word_array", "join_counted"]
+__all__ = ["materialize", "held_out", "documents", "table", "read_columns", "bounded", "space_word_array", "join_counted", "text_key"]
 
 #: `[^\x20\x09-\x0D]+` as the separators of a Java split
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -36,6 +36,12 @@ def space_word_array(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def text_key(text: Column) -> list[Column]:
+    """120 bits of a text's MD5 as two longs, ``k1`` and ``k2``."""
+    md5 = F.md5(text)
+    return [F.conv(F.substring(md5, at, 15), 16, 10).cast("long").alias(name) for at, name in ((1, "k1"), (17, "k2"))]
+
+
 def bounded(n: int, limit: int, what: str) -> None:
     if n > limit:
         raise ValueError(f"{what}: {n} exceeds the documented bound {limit}")

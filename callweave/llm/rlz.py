@@ -31,11 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.llm.bytewords import WordHasher, mix64, space_words, text_chunks
-from callweave.llm.common import join_counted, materialize, read_columns
+from callweave.llm.common import join_counted, materialize, read_columns, text_key
 from callweave.session import discard
 
 WIDTH = 35
@@ -176,14 +176,9 @@ def kept_words(text: bytes, starts: np.ndarray, ends: np.ndarray, first: np.ndar
 
 
 # --- tables ----------------------------------------------------------------------------------
-def _text_key(text: Column) -> list[Column]:
-    md5 = F.md5(text)
-    return [F.conv(F.substring(md5, at, 15), 16, 10).cast("long").alias(name) for at, name in ((1, "k1"), (17, "k2"))]
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return read_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *_text_key(text))
+    return read_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *text_key(text))
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:

@@ -78,6 +78,69 @@ def test_empty_table_null_ids_and_repeated_rows(make_docs):
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def linked(x, y, percent=85):
+    return x and y and 100 * len(x & y) >= percent * len(x | y)
+
+
+def brute_rows(rows):
+    """component of each row, where one doc_id may hold several texts."""
+    sets = [shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, (a, _) in enumerate(rows):
+        for j in range(i):
+            if a is not None and rows[j][0] is not None and sets[i] and sets[j] and (linked(sets[i], sets[j]) or a == rows[j][0]):
+                up[root(i)] = root(j)
+    out = []
+    for i, (a, _) in enumerate(rows):
+        same = [r[0] for j, r in enumerate(rows) if root(j) == root(i)]
+        out.append((a, len(sets[i]), a if a is None or not sets[i] else min(same)))
+    return out
+
+
+def test_one_id_with_several_texts(make_docs):
+    rng = random.Random(4)
+    texts = [" ".join(f"{c}{rng.randrange(50)}" for _ in range(60)) for c in "abcdef"]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[0]), (3, texts[1]), (4, texts[2]), (4, texts[0]), (5, texts[3]), (6, texts[3]),
+            (6, texts[4]), (7, texts[4] + " more"), (8, texts[5]), (8, texts[5]), (8, ""), (8, None), (None, texts[5]), (9, "")]
+    got = C.near_duplicate_classes(make_docs(rows, node=1, rep=2)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_rows(rows)))
+    kept = C.deduplicate(make_docs(rows, node=1, k1=2, _dedupe_k1=3))
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "node", "k1", "_dedupe_k1"]
+    left = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    want = [(1, texts[0]), (1, texts[1]), (4, texts[2]), (5, texts[3]), (6, texts[4]), (8, texts[5]), (8, ""), (8, None),
+            (None, texts[5]), (9, "")]
+    assert left == sorted(want, key=str)
+
+
+def test_random_ids_and_copied_sets(make_docs, monkeypatch):
+    from callweave.llm import common
+    monkeypatch.setattr(common, "HOT_KEYS", 8)
+    monkeypatch.setattr(C, "PAIRS_PER_COPY", 4)          # a centre's set is copied
+    rng = random.Random(11)
+    rows = [(rng.randrange(90), t) for _, t in corpus(5)]
+    got = C.near_duplicate_classes(make_docs(rows)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_rows(rows)))
+
+
+def test_pairs_of_a_hot_centre_are_spread(spark, monkeypatch):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        monkeypatch.setattr(C, "PAIRS_PER_COPY", 50)
+        sets = spark.createDataFrame([(i, np.arange(20, dtype=np.uint64).tobytes()) for i in range(2001)], "id long, members binary")
+        pairs = spark.createDataFrame([(0, i) for i in range(1, 2001)], "a long, b long")
+        assert C.confirmed(pairs, sets).count() == 2000
+        counts = pairs.groupBy("a").count().first()["count"]
+        assert counts == 2000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_signature_is_circulant_and_estimates_jaccard():
     rng = np.random.default_rng(3)
     common = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
