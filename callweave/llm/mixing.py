@@ -6,15 +6,19 @@ pattern costs more per token (0, 1, 2, ...: convex), so repetition is spread bef
 deepened.  The flow says how many tokens of a pattern go to which source; documents are then
 laid on a seeded line per pattern and taken from its start, pass by pass.
 
-Positions on the line are a two-level prefix sum (a histogram over hash buckets, then a window
-inside a bucket), so no task holds a whole source.  What is left below a quota is filled by
-further prefix sums over the documents that still fit, until none does: a source misses its quota
-by less than its smallest document that may still be repeated.
+A pattern of one source that no other pattern shares needs no network: its flow is the quota, as far as
+its passes go, by a join.  Patterns that overlap are solved per connected component of sources, each in
+a task of its own, whose input is one row per pattern.  Sources, targets and patterns are
+tables of any length; only sums of them reach the driver.
+
+Positions on the line are prefix sums over range-sorted partitions, so no task holds a whole source.
+What is left below a quota is filled by further prefix sums over the documents that still fit,
+until none does: a source misses its quota by less than its smallest document that may still be repeated.
 
 Defined results: a null text has size 0; a null source is a source of its own (ordered last);
 a document without any source is never taken; identical rows are told apart only by an
-arbitrary order between them; an empty table gives an empty result.  Bounds, checked: at most
-``MAX_SOURCES`` sources and ``MAX_PATTERNS`` patterns (these tables are solved on the driver).
+arbitrary order between them; an empty table gives an empty result; columns of any name are carried by
+``apply_mix`` and ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -22,45 +26,22 @@ from __future__ import annotations
 from collections import deque
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from callweave.functions.ranking import with_group_position
-from callweave.llm.common import bounded, materialize
+from callweave.functions.ranking import with_global_index, with_group_position, with_group_sum
+from callweave.llm.common import join_counted, materialize
+from callweave.llm.components import connected_components
+from callweave.session import discard
 
-MAX_SOURCES = 10_000
-MAX_PATTERNS = 5_000
 REPEATS = 3
 SEED = 20_260
 WEIGHTS = (5.0, 2.0, 1.0)
-_BUCKET_BITS = 12
-
-
-# --- targets and flow (small tables) ----------------------------------------------------------
-def source_order(names: list[str | None]) -> list[str | None]:
-    """By code point, null last."""
-    return sorted((n for n in names if n is not None)) + [None] * (None in names)
-
-
-def capped_targets(sizes: dict, weights: dict, total: float, repeats: int = REPEATS) -> dict:
-    """Shares of ``total`` by weight; a target stops at ``repeats`` times its source's size and the
-    excess is shared again by weight until none is above."""
-    target = {s: 0.0 for s in sizes}
-    free, rest = list(sizes), float(total)
-    while free:
-        scale = rest / sum(weights[s] for s in free)
-        full = [s for s in free if weights[s] * scale > repeats * sizes[s]]
-        if not full:
-            target.update({s: weights[s] * scale for s in free})
-            break
-        for s in full:
-            target[s] = float(repeats * sizes[s])
-        rest -= sum(target[s] for s in full)
-        free = [s for s in free if s not in set(full)]
-    return target
+ARCS = "array<struct<lo:bigint,hi:bigint,source:string>>"
 
 
+# --- the flow of one component ------------------------------------------------------------------
 class _Flow:
     """Successive shortest paths on a small network with whole capacities and costs."""
 
@@ -125,71 +106,100 @@ def route(patterns: list[tuple[tuple, int]], quotas: dict, repeats: int = REPEAT
 
 
 # --- the distributed part -----------------------------------------------------------------------
-def _sizes(rows: DataFrame) -> dict:
+def source_targets(rows: DataFrame, weights: dict | None, share: float, repeats: int) -> DataFrame:
+    """(source, source_size, rows, idx, target) of every source in ``rows`` (sources, size), written.
+
+    Sources are ordered by code point, null last.  Shares of the total go by weight; a target stops at
+    ``repeats`` times its source's size and the excess is shared again by weight until none is
+    above: each round is one sum over the sources."""
     found = rows.select("size", F.explode("sources").alias("source")).groupBy("source") \
-        .agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
-    bounded(len(found), MAX_SOURCES, "sources")
-    return {r["source"]: int(r["n"]) for r in found}
+        .agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    found = with_global_index(found, [F.col("source").isNull(), "source"])
+    if weights is None:
+        found = found.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in WEIGHTS]), (
+            F.col("idx") % len(WEIGHTS) + 1).cast("int")))
+    else:
+        given = rows.sparkSession.createDataFrame([(s, float(w)) for s, w in weights.items()], "name string, weight double")
+        found = found.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    found = materialize(found.withColumn("most", (F.col("source_size") * repeats).cast("double")), "sources")
+    total = share * (rows.filter(F.size("sources") > 0).agg(F.sum("size")).first()[0] or 0)
+    level, full = 0.0, -1
+    while True:
+        above = F.col("weight") * F.lit(level) > F.col("most")
+        stopped, held, free = found.agg(F.count(F.when(above, 1)), F.sum(F.when(above, F.col("most"))),
+                                        F.sum(F.when(~above, F.col("weight")))).first()
+        if stopped == full or not free:
+            break
+        full, level = stopped, (total - (held or 0.0)) / free
+    return found.withColumn("target", F.least(F.col("weight") * F.lit(level), "most") if free else F.col("most")) \
+        .select("source", "source_size", "rows", "idx", "target")
+
+
+def _solve(repeats: int):
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        rows = sorted(part.itertuples(index=False), key=lambda r: [(s is None, s or "") for s in r.sources])
+        quotas = {s: int(q) for r in rows for s, q in zip(r.sources, r.quotas)}
+        out = []
+        for r, flows in zip(rows, route([(tuple(r.sources), int(r.n)) for r in rows], quotas, repeats)):
+            arcs, at = [], 0
+            for s, amount in flows:
+                arcs.append({"lo": at, "hi": at + amount, "source": s})
+                at += amount
+            out.append((list(r.sources), at, arcs))
+        return pd.DataFrame(out, columns=["sources", "_flow", "_arcs"])
+    return run
+
+
+def pattern_flows(rows: DataFrame, sources: DataFrame, repeats: int) -> DataFrame:
+    """(sources, _tokens, _rows, _flow, _arcs) of every membership pattern, written."""
+    patterns = materialize(rows.filter(F.size("sources") > 0).groupBy("sources").agg(
+        F.sum("size").alias("n"), F.count(F.lit(1)).alias("_rows")), "patterns")
+    named = sources.select(F.col("source").isNull().alias("_null"), F.coalesce("source", F.lit("")).alias("_name"), "idx",
+                           F.bround("target").cast("long").alias("quota"))
+    each = patterns.select("sources", "n", F.posexplode("sources").alias("_pos", "_one")) \
+        .withColumn("_null", F.col("_one").isNull()).withColumn("_name", F.coalesce("_one", F.lit("")))
+    each = each.join(named, ["_null", "_name"]).groupBy("sources", "n") \
+        .agg(F.sort_array(F.collect_list(F.struct("_pos", "idx", "quota"))).alias("s"))  # as long as the pattern
+    each = materialize(each.select("sources", "n", F.col("s.idx").alias("idx"), F.col("s.quota").alias("quotas")), "pattern_quotas")
+    links = each.filter(F.size("idx") > 1).select(F.col("idx")[0].alias("a"), F.explode("idx").alias("b")).filter("a <> b")
+    links = materialize(links.distinct(), "overlaps")
+    flow = F.least(F.col("quotas")[0], F.col("n") * repeats)
+    lone = each.withColumn("id", F.col("idx")[0])
+    arcs = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("_flow").alias("hi"), F.col("sources")[0].alias("source")))
+    if links.isEmpty():
+        flows = lone.withColumn("_flow", flow).select("sources", "_flow", arcs.cast(ARCS).alias("_arcs"))
+    else:
+        parts = materialize(connected_components(links), "overlapping_sources")
+        flows = lone.join(parts, "id", "left_anti").withColumn("_flow", flow).select("sources", "_flow", arcs.cast(ARCS).alias("_arcs")) \
+            .unionByName(lone.join(parts, "id").select("component", "sources", "n", "quotas").groupBy("component")
+                         .applyInPandas(_solve(repeats), f"sources array<string>, _flow bigint, _arcs {ARCS}"))
+    return materialize(patterns.join(flows, "sources").withColumnRenamed("n", "_tokens"), "pattern_flows")
 
 
 def mix(rows: DataFrame, weights: dict | None = None, share: float = 1.0, repeats: int = REPEATS,
         seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(rows with ``taken``, ``times`` and ``routes``; sources with ``source_size`` and ``target``).
+    """(rows with ``taken``, ``times`` and ``routes``; sources with ``source_size``, ``rows`` and ``target``).
 
     ``rows``: any columns, among them ``sources`` (array of names), ``size`` (long) and ``_row``
     (long hash that tells rows apart).  ``weights`` by source name; WEIGHTS repeating in source
     order where None.  ``routes`` names the source of each pass of the document."""
-    spark = rows.sparkSession
     rows = rows.withColumn("sources", F.array_sort(F.array_distinct(F.coalesce(
         "sources", F.array().cast("array<string>"))))).withColumn("_at", F.xxhash64(F.lit(seed), "_row"))
-    rows = materialize(rows.withColumn("_bucket", F.shiftrightunsigned("_at", 64 - _BUCKET_BITS)), "mix_rows")
-    sizes = _sizes(rows)
-    order = source_order(list(sizes))
-    given = {s: (weights[s] if weights else WEIGHTS[i % len(WEIGHTS)]) for i, s in enumerate(order)}
-    total = rows.filter(F.size("sources") > 0).agg(F.sum("size")).first()[0] or 0
-    target = capped_targets({s: sizes[s] for s in order}, given, share * total, repeats)
-    sources = spark.createDataFrame([(s, sizes[s], target[s]) for s in order],
-                                    "source string, source_size long, target double")
-    found = rows.filter(F.size("sources") > 0).groupBy("sources").agg(F.sum("size").alias("n")) \
-        .limit(MAX_PATTERNS + 1).collect()
-    bounded(len(found), MAX_PATTERNS, "membership patterns")
-    patterns = sorted(((tuple(r["sources"]), int(r["n"])) for r in found),
-                      key=lambda p: [(s is None, s or "") for s in p[0]])
-    routed = route(patterns, {s: round(target[s]) for s in order}, repeats)
-    plan = []
-    for (names, n), flows in zip(patterns, routed):
-        arcs, at = [], 0
-        for s, amount in flows:
-            arcs.append((at, at + amount, s))
-            at += amount
-        plan.append((list(names), n, at, arcs))
-    schema = T.StructType([
-        T.StructField("sources", T.ArrayType(T.StringType())), T.StructField("_tokens", T.LongType()),
-        T.StructField("_flow", T.LongType()),
-        T.StructField("_arcs", T.ArrayType(T.StructType([T.StructField("lo", T.LongType()), T.StructField(
-            "hi", T.LongType()), T.StructField("source", T.StringType())])))])
-    return _select(spark, rows, spark.createDataFrame(plan, schema), repeats), sources
-
-
-def _same(a: str, b: str):
-    return F.col(a).eqNullSafe(F.col(b))
-
-
-def _select(spark: SparkSession, rows: DataFrame, plan: DataFrame, repeats: int) -> DataFrame:
-    plan = F.broadcast(plan)  # at most MAX_PATTERNS rows
-    tie = ["_at", "_row", "size"]
-    hist = rows.groupBy("sources", "_bucket").agg(F.sum("size").alias("_n"))
-    before = Window.partitionBy("sources").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = hist.select("sources", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    inside = Window.partitionBy("sources", "_bucket").orderBy(*tie).rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_start", F.coalesce(F.sum("size").over(inside), F.lit(0))) \
-        .join(first, ["sources", "_bucket"]).join(plan, "sources", "left") \
-        .withColumn("_start", F.col("_first") + F.col("_start")).drop("_first")
+    rows = materialize(rows, "mix_rows")
+    sources = source_targets(rows, weights, share, repeats)
+    return _select(rows, pattern_flows(rows, sources, repeats), repeats), sources
+
+
+def _select(rows: DataFrame, plan: DataFrame, repeats: int) -> DataFrame:
+    planned = join_counted(rows, plan, ["sources"], "_rows", "left").drop("_rows")
+    placed = with_group_sum(planned, ["sources"], ["_at", "_row", "size"], "size", "_start")
+    line = placed.written
     room = F.col("_flow") - F.col("_start") - F.col("size")  # a pass fits whole below the flow
     times = F.when((F.col("size") > 0) & (room >= 0), F.least(
         F.lit(repeats), F.floor(room / F.greatest("_tokens", F.lit(1))) + 1)).otherwise(0).cast("int")
     placed = materialize(placed.withColumn("times", F.coalesce(times, F.lit(0))), "mix_placed")
-    done = _filled(spark, placed, repeats)
+    discard(line)
+    done = _filled(placed, repeats)
     middle = 2 * (F.col("_start")) + F.col("size")
     last = F.element_at("_arcs", -1)["source"]
     routes = F.when(F.col("times") > 0, F.transform(
@@ -197,10 +207,10 @@ def _select(spark: SparkSession, rows: DataFrame, plan: DataFrame, repeats: int)
         lambda e: F.coalesce(F.get(F.filter("_arcs", lambda a: (a["lo"] * 2 <= middle + e * 2 * F.col("_tokens")) & (
             a["hi"] * 2 > middle + e * 2 * F.col("_tokens"))), F.lit(0))["source"], last)))
     return done.withColumn("taken", F.col("size") * F.col("times")).withColumn("routes", routes) \
-        .drop("_at", "_bucket", "_start", "_tokens", "_flow", "_arcs")
+        .drop("_at", "_start", "_tokens", "_flow", "_arcs")
 
 
-def _filled(spark: SparkSession, placed: DataFrame, repeats: int) -> DataFrame:
+def _filled(placed: DataFrame, repeats: int) -> DataFrame:
     """``placed`` with passes added until no document fits below its pattern's flow.
 
     A round lays the documents that fit on a line, those of the fewest passes first and longer
@@ -208,30 +218,25 @@ def _filled(spark: SparkSession, placed: DataFrame, repeats: int) -> DataFrame:
     leaves at most 2/3 of the gap or adds a pass to all documents of the fewest passes, so
     rounds grow with the logarithm of the longest document."""
     left = placed.filter("size > 0 AND _flow IS NOT NULL")
-    gaps = left.groupBy("sources").agg((F.max("_flow") - F.sum(F.col("size") * F.col("times"))).alias("_gap"))
-    left = left.select("sources", "_row", "_start", "_tokens", "size", "times")
-    line = ["sources", "times", "_level", "_part"]
-    order = ["times", F.col("_level").desc(), "_part"]
-    before = Window.partitionBy("sources").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(*line).orderBy("_start").rowsBetween(Window.unboundedPreceding, 0)
+    taken = F.sum(F.col("size") * F.col("times"))
+    gaps = left.groupBy("sources").agg((F.max("_flow") - taken).alias("_gap"), F.count(F.lit(1)).alias("_rows"))
+    left = left.select("sources", "_row", "_start", "size", "times")
+    order = ["times", F.col("_level").desc(), "_start", "_row"]
     picks = []
     while True:
-        known = [(r["sources"], r["_gap"]) for r in gaps.filter("_gap > 0").collect()]  # at most MAX_PATTERNS
-        if not known:
+        gaps = materialize(gaps.filter("_gap > 0"), "gaps")
+        if gaps.isEmpty():
             break
-        gap = F.broadcast(spark.createDataFrame(known, "sources array<string>, _gap long"))
-        fits = left.join(gap, "sources").filter((F.col("size") <= F.col("_gap")) & (F.col("times") < repeats)) \
-            .withColumn("_level", F.length(F.bin("size"))) \
-            .withColumn("_part", F.floor(F.col("_start") / F.col("_tokens") * (1 << _BUCKET_BITS)))
-        hist = fits.groupBy(*line).agg(F.sum("size").alias("_n"))
-        first = hist.select(*line, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-        end = F.col("_first") + F.col("_end")
-        dealt = materialize(
-            fits.withColumn("_end", F.sum("size").over(inside)).join(first, line)
-            .select("sources", "_row", "_start", "_tokens", "size", "times", "_gap",
-                    (end <= F.col("_gap")).cast("int").alias("_more")), "mix_fill")
+        fits = join_counted(left, gaps, ["sources"], "_rows").drop("_rows") \
+            .filter((F.col("size") <= F.col("_gap")) & (F.col("times") < repeats)).withColumn("_level", F.length(F.bin("size")))
+        dealt = with_group_sum(fits, ["sources"], order, "size", "_first")
+        line = dealt.written
+        dealt = materialize(dealt.select("sources", "_row", "_start", "size", "times", "_gap", (
+            F.col("_first") + F.col("size") <= F.col("_gap")).cast("int").alias("_more")), "mix_fill")
+        discard(line)
         picks.append(dealt.filter("_more > 0").select("sources", "_row", "_start", "_more"))
-        gaps = dealt.groupBy("sources").agg((F.max("_gap") - F.sum(F.col("size") * F.col("_more"))).alias("_gap"))
+        gaps = dealt.groupBy("sources").agg((F.max("_gap") - F.sum(F.col("size") * F.col("_more"))).alias("_gap"),
+                                            F.count(F.lit(1)).alias("_rows"))
         left = dealt.withColumn("times", F.col("times") + F.col("_more")).drop("_gap", "_more")
     if not picks:
         return placed
@@ -257,9 +262,10 @@ def _row_hash() -> Column:
 def mixed_documents(docs: DataFrame, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken, times for every document of single-source ``docs``."""
     taken, sources = mix(sized_documents(docs), None, 1.0, repeats, seed)
-    s = F.broadcast(sources.withColumnRenamed("source", "_name"))
-    return taken.join(s, _same("source", "_name")).select(
-        "doc_id", "size", "source_size", "target", "taken", "times", "_row")
+    null, name = F.col("source").isNull().alias("_null"), F.coalesce("source", F.lit("")).alias("_name")
+    taken = materialize(taken.select("doc_id", "size", "taken", "times", "_row", null, name), "mix_taken")
+    return join_counted(taken, sources.select("source_size", "rows", "target", null, name), ["_null", "_name"], "rows") \
+        .select("doc_id", "size", "source_size", "target", "taken", "times", "_row")
 
 
 def apply_mix(docs: DataFrame, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
@@ -270,13 +276,13 @@ def apply_mix(docs: DataFrame, repeats: int = REPEATS, seed: int = SEED) -> Data
         F.count(F.lit(1)).alias("_n"), F.sum("times").alias("_all"), F.min("times").alias("_lo"),
         F.max("times").alias("_hi"))
     plan = materialize(plan.filter("_hi > 0"), "mix_plan")
-    keyed = docs.withColumn("_row", _row_hash())
+    # the row travels as one column, so its own names cannot clash
+    keyed = docs.select(_row_hash().alias("_row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     even = plan.filter("_lo = _hi").select("_row", F.col("_lo").alias("_times"))
-    out = keyed.join(even.hint("merge"), "_row")  # as many rows as documents: not to be broadcast
+    out = keyed.join(even.hint("merge"), "_row").select("row", "_times")  # as many rows as documents: not to be broadcast
     uneven = plan.filter("_lo < _hi").select("_row", "_n", "_all")
     if not uneven.isEmpty():
-        order = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
-        some = with_group_position(keyed.join(uneven, "_row").withColumn("_at", order), ["_row"], ["_at"], "_pos")
+        some = with_group_position(keyed.join(uneven, "_row").withColumn("_at", F.xxhash64(F.to_json("row"))), ["_row"], ["_at"], "_pos")
         share = F.floor(F.col("_all") / F.col("_n")) + (F.col("_pos") < F.col("_all") % F.col("_n")).cast("int")
-        out = out.unionByName(some.withColumn("_times", share.cast("int")).filter("_times > 0").select(*out.columns))
-    return out.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+        out = out.unionByName(some.withColumn("_times", share.cast("int")).filter("_times > 0").select("row", "_times"))
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("row.*")
