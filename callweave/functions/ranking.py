@@ -7,6 +7,7 @@
   per (partition, group), so a group holding most rows stays spread over its partitions.
 * ``with_group_sum``: running sum inside a group, over the same sorted partitions.
 * ``spread_join``: join with one row per key, salted on the large side.
+* ``counted_join``: join with one row per key whose number of rows is known; hot keys apart.
 * ``top_percent`` (T1) and ``top_k_per_group`` (salted two-stage window).
 """
 
@@ -39,6 +40,25 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+#: keys that hold more than one in this many rows are joined by broadcast: there are fewer than this
+HOT_KEYS = 4096
+
+
+def counted_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], count: str, how: str = "inner",
+                 total: int | None = None, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row per key and in ``count`` at least the key's number of rows.
+
+    Keys above a ``hot_keys``-th of ``total`` (the sum of ``count`` where not given) are fewer than ``hot_keys``
+    whatever the data, so their side is broadcast and their rows stay where they are; all others are joined by
+    key, where no key holds more than that share.  Both tables are read twice and should be written ones."""
+    if total is None:
+        total = table.agg(F.sum(count)).first()[0] or 0
+    limit = total // hot_keys + 1
+    hot = F.broadcast(table.filter(F.col(count) > limit))
+    rest = rows.join(hot.select(*keys), list(keys), "left_anti").join(table.filter(F.col(count) <= limit), list(keys), how)
+    return rows.join(hot, list(keys)).unionByName(rest)
+
+
 def _sorted_rows(df: DataFrame, order_cols: Sequence) -> tuple[DataFrame, DataFrame]:
     """The rows in order, written once, with ``_pid`` and ``_local`` (position in the partition), and
     the first position ``_off`` of each partition."""

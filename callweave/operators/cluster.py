@@ -7,13 +7,23 @@ creates node ``n + it``. Ties are broken like a left-to-right scan of the cluste
 list: smaller (rank of earlier cluster, rank of later cluster) first, where the
 rank of a merged cluster is its creation position.
 
-Average linkage is reducible, so every mutually-best pair can merge in the same round
-(Bruynooghe 1978; Murtagh 1983).  All projects go through the same rounds at once.  A round is
-a few joins and group-bys over the contracted edge table; sizes, ranks and intra sums ride on the
-edge rows, and integer sums keep equal ratios equal.  All merges are ranked again per round, by a
-range-sorted position, so that the next round breaks ties by the creation order the greedy
-would have had.  Each round's tables are written to the shared folder and those of the former
-round are deleted.
+Average linkage is reducible: a merge elsewhere never makes a pair better than the better of the two
+it replaces.  So a pair that is best for both of its ends stays so whatever other pairs do, and such
+pairs may be merged anywhere at any time (Bruynooghe 1978; Murtagh 1983).  That allows two kinds of steps:
+
+* block step: nodes are cut, in the order of their smallest leaf (so by package), into blocks of at most
+  ``BLOCK_EDGES`` incident edges, whatever the project.  A task sees all edges of its block's nodes and follows
+  nearest-neighbour chains inside it, merging until every chain leaves the block;
+* edge step: all mutually best pairs of the whole edge table merge at once.  It takes what the blocks
+  cannot: pairs of two blocks, and nodes with more than ``BLOCK_EDGES`` edges, which belong to no block.
+
+Both run over all projects at once; a step ends with the contracted edge table (merged ends
+relabelled, parallel edges summed).  Finished components have no edges left and take no part.
+
+Ties need the order in which the greedy creates clusters.  A cluster's *label* is made once, at its
+merge: minus its coupling followed by the label of its earlier child, down to a leaf's (-infinity, id).  Labels
+in lexicographic order are the creation order, since active clusters end in different leaves,
+a leaf precedes every merge, and a parent's coupling is at most its children's.
 
 Components that share no edge are joined afterwards at coupling 0.0, oldest two
 first (closed form: queue items 2t and 2t+1 make item k+t).
@@ -21,16 +31,17 @@ first (closed form: queue items 2t and 2t+1 make item k+t).
 
 from __future__ import annotations
 
-import uuid
-
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callweave.functions.ranking import spread_join, with_group_position
-from callweave.session import discard, ensure_checkpoint_dir, materialize
+from callweave.functions.ranking import counted_join, spread_join, with_group_position, with_group_sum
+from callweave.session import discard, materialize
 
-_ROUND_SHIFT = 40  # creation ids of merges while the rounds run: round << 40 | smallest leaf
+#: incident edges of the nodes of one block
+BLOCK_EDGES = 200_000
+_ID_SHIFT = 32  # id of a merge while the steps run: size << 32 | smallest leaf
 _ZERO_CHUNK = 100_000
 
 MERGE_SCHEMA = T.StructType([
@@ -66,102 +77,233 @@ def id_edges(pairs: DataFrame, leaf: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Rounds
+# Steps
 # ---------------------------------------------------------------------------
+STEP = ("project string, old long, id long, left long, right long, s long, size long, intra long, pairs long, "
+        "minleaf long, label array<double>")
+_STEP_COLUMNS = [c.split()[0] for c in STEP.split(", ")]
+
+
+def _before(x, y) -> bool:
+    """Order of two labels held as linked pairs (head, rest)."""
+    while x[0] == y[0]:
+        x, y = x[1], y[1]
+        if not isinstance(x, tuple) or not isinstance(y, tuple):
+            return x < y
+    return x[0] < y[0]
+
+
+def _linked(label):
+    out = label[-1]
+    for head in label[-2::-1]:
+        out = (head, out)
+    return out
+
+
+def _flat(label) -> list[float]:
+    out = []
+    while isinstance(label, tuple):
+        out.append(label[0])
+        label = label[1]
+    return [*out, label]
+
+
+class _Block:
+    """Merges of one block: nearest-neighbour chains over the nodes it owns."""
+
+    def __init__(self, nodes: pd.DataFrame, edges: pd.DataFrame):
+        self.size, self.intra, self.leaf, self.label, self.near = {}, {}, {}, {}, {}
+        for r in nodes.itertuples(index=False):
+            self.size[r.id], self.intra[r.id], self.leaf[r.id] = r.size, r.intra, r.minleaf
+            self.label[r.id] = _linked([float(v) for v in r.label])
+            if r.owned:
+                self.near[r.id] = {}
+        for a, b, s in zip(edges["a"].tolist(), edges["b"].tolist(), edges["s"].tolist()):
+            for u, v in ((a, b), (b, a)):
+                if u in self.near:
+                    self.near[u][v] = s
+        self.owned = list(self.near)
+        self.up, self.rows = {}, []
+
+    def _pair(self, u: int, v: int):
+        x, y = self.label[u], self.label[v]
+        return (x, y) if _before(x, y) else (y, x)
+
+    def best(self, u: int) -> int | None:
+        """The neighbour of ``u`` with the greatest coupling; ties to the earlier pair of clusters."""
+        found, most, n = None, -1.0, self.size[u]
+        for v, s in self.near[u].items():
+            x = s / (n * self.size[v])
+            if x > most:
+                found, most = v, x
+            elif x == most:
+                (a, b), (c, d) = self._pair(u, v), self._pair(u, found)
+                if (_before(b, d) if a is c else _before(a, c)):
+                    found = v
+        return found
+
+    def merge(self, u: int, v: int) -> None:
+        left, right = (u, v) if _before(self.label[u], self.label[v]) else (v, u)
+        s, pairs = self.near[left][right], self.size[left] * self.size[right]
+        size, intra, leaf = (f[left] + f[right] for f in (self.size, self.intra, self.leaf))
+        leaf, intra = min(self.leaf[left], self.leaf[right]), intra + s
+        new = (size << _ID_SHIFT) | leaf
+        self.size[new], self.intra[new], self.leaf[new] = size, intra, leaf
+        self.label[new] = (-(s / pairs), self.label[left])
+        self.rows.append((None, new, left, right, s, size, intra, pairs, leaf, _flat(self.label[new])))
+        both = self.near.pop(left)
+        for w, n in self.near.pop(right).items():
+            both[w] = both.get(w, 0) + n
+        del both[left], both[right]
+        for w, n in both.items():
+            if w in self.near:
+                self.near[w].pop(left, None)
+                self.near[w].pop(right, None)
+                self.near[w][new] = n
+        self.near[new] = both
+        self.up[left] = self.up[right] = new
+
+    def run(self) -> list[tuple]:
+        """Merges until every chain ends at a node of another block; a chain that does so can never go on,
+        since the best pair of a node stays so for as long as both of its ends are there."""
+        blocked, todo = set(), list(self.owned)
+        while todo:
+            node = todo.pop()
+            chain = [node] if node in self.near and node not in blocked else []
+            while chain:
+                u = chain[-1]
+                v = self.best(u) if self.near[u] else None
+                if len(chain) > 1 and v == chain[-2]:
+                    del chain[-2:]
+                    self.merge(u, v)
+                    todo.append(self.up[u])
+                elif v in self.near and v not in blocked:
+                    chain.append(v)
+                else:
+                    blocked.update(chain)
+                    chain = []
+        for node in self.owned:
+            top = node
+            while top in self.up:
+                top = self.up[top]
+            if top != node:
+                self.rows.append((node, top, None, None, None, self.size[top], None, None, None, None))
+        return self.rows
+
+
+def _merge_block(key, edges: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+    out = pd.DataFrame(_Block(nodes, edges).run(), columns=_STEP_COLUMNS[1:], dtype=object)
+    out.insert(0, "project", key[0])
+    return out
+
+
+def _block_step(edges: DataFrame, n_edges: int, known: DataFrame) -> DataFrame:
+    """Merges inside blocks and the new names of merged nodes (``old`` -> ``id``), see STEP."""
+    ends = edges.select("project", F.explode(F.array("a", "b")).alias("id")).groupBy("project", "id") \
+        .agg(F.count(F.lit(1)).alias("degree"))
+    sums = with_group_sum(ends.join(known, ["project", "id"]), ["project"], ["minleaf"], "degree", "before")
+    line = sums.written
+    nodes = materialize(sums.withColumn("block", F.when(F.col("degree") <= BLOCK_EDGES, F.floor(
+        F.col("before") / F.lit(BLOCK_EDGES)))).drop("before"), "nodes")
+    discard(line)
+    found = edges
+    for end in ("a", "b"):
+        at = nodes.select("project", F.col("id").alias(end), F.col("block").alias(f"block_{end}"), "degree")
+        found = counted_join(found, at, ["project", end], "degree", total=2 * n_edges).drop("degree")
+    found = found.withColumn("block", F.explode(F.array_distinct(F.array_compact(F.array("block_a", "block_b")))))
+    found = materialize(found.select("project", "block", "a", "b", "s"), "block_edges")
+    seen = found.select("project", "block", F.explode(F.array("a", "b")).alias("id")).distinct()
+    seen = seen.withColumnRenamed("block", "_at").join(nodes, ["project", "id"]) \
+        .withColumn("owned", F.col("block").eqNullSafe(F.col("_at"))) \
+        .select(F.col("project").alias("project"), F.col("_at").alias("block"), "id", "size", "intra", "minleaf", "label", "owned")
+    step = found.groupBy("project", "block").cogroup(seen.groupBy("project", "block")).applyInPandas(_merge_block, STEP)
+    step = materialize(step, "block_step")
+    discard(nodes, found)
+    return step
+
+
+def _edge_step(edges: DataFrame, n_edges: int, known: DataFrame) -> DataFrame:
+    """The mutually best pairs of the whole table, as ``_block_step`` gives them."""
+    e = edges.withColumn("sim", F.col("s") / (F.col("sa") * F.col("sb")))
+    top = e.select("project", F.explode(F.array("a", "b")).alias("id"), "sim").groupBy("project", "id") \
+        .agg(F.max("sim").alias("most"), F.count(F.lit(1)).alias("degree"))
+    top = materialize(top, "best")
+    # labels are compared on the edges alone that are (one of the) best for an end
+    for end in ("a", "b"):
+        most = top.select("project", F.col("id").alias(end), F.col("most").alias(f"most_{end}"), "degree")
+        e = counted_join(e, most, ["project", end], "degree", total=2 * n_edges).drop("degree")
+    ties = materialize(e.filter("sim = most_a OR sim = most_b"), "ties")
+    attr = ["size", "intra", "minleaf", "label"]
+    for end in ("a", "b"):
+        ties = ties.join(known.select("project", F.col("id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in attr]), ["project", end])
+    first = F.col("label_a") < F.col("label_b")
+    lo, hi = F.when(first, F.col("label_a")).otherwise(F.col("label_b")), F.when(first, F.col("label_b")).otherwise(F.col("label_a"))
+    ties = ties.withColumn("k", F.struct(lo.alias("lo"), hi.alias("hi")))
+    own = F.array_compact(F.array(F.when(F.col("sim") == F.col("most_a"), F.col("a")), F.when(F.col("sim") == F.col("most_b"), F.col("b"))))
+    best = ties.select("project", F.explode(own).alias("id"), "k").groupBy("project", "id").agg(F.min("k").alias("k"))
+    for end in ("a", "b"):
+        ties = ties.join(best.select("project", F.col("id").alias(end), F.col("k").alias(f"k_{end}")), ["project", end])
+    m = ties.filter("k = k_a AND k = k_b")
+    size, leaf = F.col("size_a") + F.col("size_b"), F.least("minleaf_a", "minleaf_b")
+    null = F.lit(None).cast("long")
+    new = m.select(
+        "project", null.alias("old"), F.shiftleft(size, _ID_SHIFT).bitwiseOR(leaf).alias("id"),
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("left"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("right"),
+        "s", size.alias("size"), (F.col("intra_a") + F.col("intra_b") + F.col("s")).alias("intra"),
+        (F.col("size_a") * F.col("size_b")).alias("pairs"), leaf.alias("minleaf"),
+        F.concat(F.array(-F.col("sim")), lo).alias("label"))
+    new = materialize(new, "edge_step")
+    names = new.select("project", F.explode(F.array("left", "right")).alias("old"), "id", *[null.alias(c) for c in ("left", "right", "s")],
+                       "size", *[null.alias(c) for c in ("intra", "pairs", "minleaf")], F.lit(None).cast("array<double>").alias("label"))
+    discard(top)
+    return new.unionByName(names)
+
+
+def _contract(edges: DataFrame, step: DataFrame) -> DataFrame:
+    """Edges between the nodes after ``step``: merged ends relabelled, parallel edges summed."""
+    names = step.filter("old IS NOT NULL")
+    for end in ("a", "b"):
+        new = names.select("project", F.col("old").alias(end), F.col("id").alias("_id"), F.col("size").alias("_size"))
+        edges = edges.join(new, ["project", end], "left").withColumn(end, F.coalesce("_id", end)) \
+            .withColumn(f"s{end}", F.coalesce("_size", f"s{end}")).drop("_id", "_size")
+    flip = F.col("a") > F.col("b")
+    edges = edges.filter("a <> b").select(
+        "project", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s",
+        F.when(flip, F.col("sb")).otherwise(F.col("sa")).alias("sa"), F.when(flip, F.col("sa")).otherwise(F.col("sb")).alias("sb"))
+    return edges.groupBy("project", "a", "b").agg(F.sum("s").alias("s"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
+
+
 def merges_rounds(eid: DataFrame, counts: DataFrame) -> tuple[DataFrame, int]:
-    """Positive merges by parallel mutual-best rounds. Returns (merges, rounds)."""
-    spark = eid.sparkSession
-    nn = counts.select("project", "n")
-    # node attributes: id, size, intra, min leaf, rank (leaves: rank = id)
-    lv = (eid.select("project", F.col("a").alias("id")).unionByName(eid.select("project", F.col("b").alias("id")))
-          .distinct())
-    # every node ever created with its rank (leaves by name, merges by position), size,
-    # intra sum and smallest leaf; edges only ever reference the active ones
-    leaf_nodes = materialize(lv.select("project", "id", F.lit(1).cast("long").alias("size"),
-                                       F.lit(0).cast("long").alias("intra"), F.col("id").alias("minleaf"),
-                                       F.col("id").alias("rank")), "cluster")
-    ranks = leaf_nodes
-    edges = materialize(_attach(eid, ranks), "cluster")
-
-    def rank_merges(df, name):
-        return with_group_position(df, ["project"], [F.col("skey").desc(), F.col("rl"), F.col("rr")], name)
-
-    merges = None  # project, cid, left, right, s, size, intra, skey, pairs
-    merges_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/callweave-tables/rounds-{uuid.uuid4().hex}"
-    rounds = 0
-    while not edges.isEmpty():
-        rounds += 1
-        sim = F.col("s") / (F.col("sa") * F.col("sb"))
-        key = F.struct((-sim).alias("ns"), F.least("ra", "rb").alias("lo"), F.greatest("ra", "rb").alias("hi"),
-                       F.col("a").alias("a"), F.col("b").alias("b"))
-        ek = edges.withColumn("k", key)
-        ends = (ek.select("project", F.col("a").alias("node"), "k")
-                .unionByName(ek.select("project", F.col("b").alias("node"), "k")))
-        best = ends.groupBy("project", "node").agg(F.min("k").alias("k"))
-        mutual = (best.groupBy("project", "k").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") == 2)
-                  .select("project", F.col("k.a").alias("a"), F.col("k.b").alias("b")))
-        m = edges.join(mutual, ["project", "a", "b"])
-        left_is_a = F.col("ra") < F.col("rb")
-        new = m.select(
-            "project",
-            (F.lit(rounds).cast("long") * F.lit(1 << _ROUND_SHIFT) + F.least("ma", "mb")).alias("cid"),
-            F.when(left_is_a, F.col("a")).otherwise(F.col("b")).alias("left"),
-            F.when(left_is_a, F.col("b")).otherwise(F.col("a")).alias("right"),
-            "s", (F.col("sa") + F.col("sb")).alias("size"), (F.col("ia") + F.col("ib") + F.col("s")).alias("intra"),
-            (F.col("s") / (F.col("sa") * F.col("sb"))).alias("skey"),
-            (F.col("sa") * F.col("sb")).alias("pairs"),
-            F.least("ma", "mb").alias("minleaf"))
-        # each round appends only its own merges; the table of all merges is one read
-        new.write.mode("overwrite").parquet(f"{merges_dir}/round={rounds}")
-        new = spark.read.schema(new.schema).parquet(f"{merges_dir}/round={rounds}")
-        merges = spark.read.schema(new.schema).parquet(merges_dir).select(*new.columns)
-        # re-rank every merge with its children's ranks of the previous round
-        ranked = rank_merges(_with_child_ranks(merges, ranks), "pos")
-        merge_nodes = spread_join(ranked, nn, ["project"]).select(
-            "project", F.col("cid").alias("id"), "size", "intra", "minleaf", (F.col("n") + F.col("pos")).alias("rank"))
-        former = [edges] if ranks is leaf_nodes else [edges, ranks]
-        ranks = materialize(leaf_nodes.unionByName(merge_nodes), "cluster")
-        discard(getattr(ranked, "written", None))
-        # contract: relabel merged ends, drop the merged edges, sum parallel edges
-        relabel = (new.select("project", F.col("left").alias("old"), "cid")
-                   .unionByName(new.select("project", F.col("right").alias("old"), "cid")))
-        ra_ = relabel.withColumnRenamed("old", "a").withColumnRenamed("cid", "na")
-        rb_ = relabel.withColumnRenamed("old", "b").withColumnRenamed("cid", "nb")
-        rest = (edges.select("project", "a", "b", "s").join(ra_, ["project", "a"], "left")
-                .join(rb_, ["project", "b"], "left")
-                .select("project", F.coalesce("na", "a").alias("x"), F.coalesce("nb", "b").alias("y"), "s")
-                .filter("x <> y"))
-        contracted = (rest.groupBy("project", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-                      .agg(F.sum("s").cast("long").alias("s")))
-        edges = materialize(_attach(contracted, ranks), "cluster")
-        discard(*former)
+    """Positive merges by block and edge steps in turn. Returns (merges, steps)."""
+    one = F.lit(1).cast("long")
+    edges = materialize(eid.select("project", "a", "b", "s", one.alias("sa"), one.alias("sb")), "edges")
+    leaf_nodes = edges.select("project", F.explode(F.array("a", "b")).alias("id")).distinct().select(
+        "project", "id", one.alias("size"), F.lit(0).cast("long").alias("intra"), F.col("id").alias("minleaf"),
+        F.array(F.lit(float("-inf")), F.col("id").cast("double")).alias("label"))
+    known = leaf_nodes = materialize(leaf_nodes, "leaf_nodes")
+    merges, steps = None, 0
+    n_edges = edges.count()
+    while n_edges:
+        step = (_edge_step if steps % 2 else _block_step)(edges, n_edges, known)
+        steps += 1
+        new = step.filter("old IS NULL")
+        merges = new if merges is None else merges.unionByName(new)
+        known = known.unionByName(new.select(*known.columns))
+        former, edges = edges, materialize(_contract(edges, step), "edges")
+        discard(former)
+        n_edges = edges.count()
     if merges is None:
-        empty = eid.sparkSession.createDataFrame([], MERGE_SCHEMA)
-        return empty, rounds
-    # final numbering: position in the greedy order; children renamed to final ids
-    final = rank_merges(_with_child_ranks(merges, ranks), "it")
-    final = materialize(spread_join(final, nn, ["project"]), "cluster")
-    ids = final.select("project", F.col("cid").alias("old"), (F.col("n") + F.col("it")).alias("new"))
+        return eid.sparkSession.createDataFrame([], MERGE_SCHEMA), steps
+    # final numbering: position in the creation order; children renamed to final ids
+    final = with_group_position(merges.drop("old", "minleaf"), ["project"], ["label"], "it").drop("label")
+    final = materialize(spread_join(final, counts.select("project", "n"), ["project"]), "cluster")
+    ids = final.select("project", F.col("id").alias("old"), (F.col("n") + F.col("it")).alias("new"))
     lmap = ids.withColumnRenamed("old", "left").withColumnRenamed("new", "left_id")
     rmap = ids.withColumnRenamed("old", "right").withColumnRenamed("new", "right_id")
     out = (final.join(lmap, ["project", "left"], "left").join(rmap, ["project", "right"], "left")
            .select("project", "it", F.coalesce("left_id", "left").alias("left"),
                    F.coalesce("right_id", "right").alias("right"), "s", "size", "intra", "pairs"))
-    return out, rounds
-
-
-def _with_child_ranks(merges: DataFrame, attrs_or_ranks: DataFrame) -> DataFrame:
-    rl = attrs_or_ranks.select("project", F.col("id").alias("left"), F.col("rank").alias("rl"))
-    rr = attrs_or_ranks.select("project", F.col("id").alias("right"), F.col("rank").alias("rr"))
-    return merges.join(rl, ["project", "left"]).join(rr, ["project", "right"])
-
-
-def _attach(e: DataFrame, attrs: DataFrame) -> DataFrame:
-    a = attrs.select("project", F.col("id").alias("a"), F.col("size").alias("sa"), F.col("rank").alias("ra"),
-                     F.col("intra").alias("ia"), F.col("minleaf").alias("ma"))
-    b = attrs.select("project", F.col("id").alias("b"), F.col("size").alias("sb"), F.col("rank").alias("rb"),
-                     F.col("intra").alias("ib"), F.col("minleaf").alias("mb"))
-    return e.join(a, ["project", "a"]).join(b, ["project", "b"])
+    return out, steps
 
 
 # ---------------------------------------------------------------------------

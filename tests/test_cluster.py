@@ -3,6 +3,8 @@
 import random
 from fractions import Fraction
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from callweave.operators import cluster as CL
@@ -36,8 +38,10 @@ def random_graph(rng, n, p, wmax):
     return [(a, b, rng.randint(1, wmax)) for a in range(n) for b in range(a + 1, n) if rng.random() < p]
 
 
-def test_many_projects_match_simulation(spark):
+@pytest.mark.parametrize("block_edges", [CL.BLOCK_EDGES, 6, 1])
+def test_many_projects_match_simulation(spark, monkeypatch, block_edges):
     """Random graphs with ties, a chain and a hub, one project each, through the rounds at once."""
+    monkeypatch.setattr(CL, "BLOCK_EDGES", block_edges)   # 6: many blocks; 1: edge steps do most of the work
     rng = random.Random(7)
     graphs = [(lambda e: [(a, b, s) for a, b, s in e])(random_graph(
         rng, rng.randint(2, 9), rng.choice([0.3, 0.6, 1.0]), rng.choice([1, 2, 5]))) for _ in range(40)]
@@ -55,6 +59,17 @@ def test_many_projects_match_simulation(spark):
         assert sorted(got[f"p{k:02d}"]) == want, g
 
 
+def test_block_of_a_long_chain_needs_no_deep_recursion():
+    import pandas as pd
+    n = 6000
+    nodes = pd.DataFrame({"id": range(n), "size": 1, "intra": 0, "minleaf": range(n),
+                          "label": [[float("-inf"), float(i)] for i in range(n)], "owned": True})
+    for weight in (lambda i: 1, lambda i: i + 1, lambda i: n - i):
+        edges = pd.DataFrame({"a": range(n - 1), "b": range(1, n), "s": [weight(i) for i in range(n - 1)]})
+        rows = CL._Block(nodes, edges).run()
+        assert sum(r[0] is None for r in rows) == n - 1
+
+
 def _pairs(spark, edges):
     rows = [("p", f"c{a:02d}", f"c{b:02d}", s) for a, b, s in edges]
     return spark.createDataFrame(rows, "project string, a string, b string, n long")
