@@ -8,6 +8,9 @@
 * ``with_group_sum``: running sum inside a group, over the same sorted partitions.
 * ``spread_join``: join with one row per key, salted on the large side.
 * ``counted_join``: join with one row per key whose number of rows is known; hot keys apart.
+* ``split_join``: join where heavy keys are found by a mergeable sketch and kept apart.
+* ``asof_join``: the last earlier row of the same key, over sorted partitions.
+* ``ordered_cells``: ordered string aggregation with continuation rows.
 * ``top_percent`` (T1) and ``top_k_per_group`` (salted two-stage window).
 """
 
@@ -59,6 +62,91 @@ def counted_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], count:
     return rows.join(hot, list(keys)).unionByName(rest)
 
 
+#: a key is heavy from this share of the rows on; at most HEAVY_KEYS are told apart
+HEAVY_SHARE, HEAVY_KEYS, _HEAVY_TRACKED = 1 / 256, 1024, 16_384
+
+
+def heavy_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that hold at least ``HEAVY_SHARE`` of ``rows`` (and perhaps a few others): at most HEAVY_KEYS rows.
+
+    They come from a mergeable frequent-items sketch: every task keeps a table of fixed size, whose error is
+    below 4 in ``_HEAVY_TRACKED`` rows, far less than the share asked for.  Null keys are left out."""
+    whole = rows.select(*[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(keys)]).na.drop()
+    item = F.to_json(F.struct(*[f"_k{i}" for i in range(len(keys))]))
+    found = whole.select(item.alias("_item")).agg(
+        F.expr(f"approx_top_k(_item, {HEAVY_KEYS}, {_HEAVY_TRACKED})").alias("_top"), F.count(F.lit(1)).alias("_rows"))
+    top = found.select(F.explode("_top").alias("_t"), "_rows").filter(F.col("_t.count") >= F.col("_rows") * HEAVY_SHARE)
+    schema = ", ".join(f"_k{i} string" for i in range(len(keys)))
+    out = top.select(F.from_json("_t.item", schema).alias("_k"))
+    return out.select(*[F.col(f"_k._k{i}").cast(rows.schema[k].dataType).alias(k) for i, k in enumerate(keys)])
+
+
+def split_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """``rows`` joined with ``table`` (one row per key), where one key may hold most of ``rows``.
+
+    Rows of heavy keys meet their at most HEAVY_KEYS table rows by broadcast and stay where they are; all
+    others are joined by key.  With ``how`` "left" rows with a null key stay too, without a match."""
+    k = list(keys)
+    heavy = F.broadcast(materialize(heavy_keys(rows, k), "heavy_keys").withColumn("_heavy", F.lit(True)))
+    marked = rows.join(heavy, k, "left")
+    null = F.lit(False)
+    for c in k:
+        null = null | F.col(c).isNull()
+    apart = F.col("_heavy").isNotNull() | null
+    few = F.broadcast(table.join(heavy.drop("_heavy"), k, "left_semi"))
+    return marked.filter(apart).drop("_heavy").join(few, k, how) \
+        .unionByName(marked.filter(~apart).drop("_heavy").join(table, k, how))
+
+
+def asof_join(rows: DataFrame, history: DataFrame, keys: Sequence[str], at: Column, since: Column,
+              values: Sequence[str]) -> DataFrame:
+    """``rows`` with ``values`` of the last row of ``history`` that has the same keys and ``since`` <= ``at``.
+
+    ``at`` and ``since`` are orderable columns of one type; several history rows at one place must agree or
+    be told apart by ``since``.  Both sides are sorted together by (keys, place) over range partitions;
+    each partition hands the last value of a key on to the next ones (one row per partition and key), so a
+    key with most of the rows is spread like any other.  Rows with a null key have null values."""
+    k, own = list(keys), rows.columns
+    row_type = rows.select(F.struct(*own).alias("r")).schema["r"].dataType
+    val_type = history.select(F.struct(*values).alias("v")).schema["v"].dataType
+    keyed = [F.col(c).isNotNull() for c in k]
+    known = keyed[0]
+    for c in keyed[1:]:
+        known = known & c
+    both = rows.filter(known).select(*k, at.alias("_place"), F.lit(1).alias("_kind"), F.struct(*own).alias("_row"),
+                                     F.lit(None).cast(val_type).alias("_val")) \
+        .unionByName(history.filter(known).select(*k, since.alias("_place"), F.lit(0).alias("_kind"),
+                                                  F.lit(None).cast(row_type).alias("_row"), F.struct(*values).alias("_val")))
+    lines, _ = _sorted_rows(both, [*k, "_place", "_kind"])
+    so_far = Window.partitionBy("_pid", *k).orderBy("_local").rowsBetween(Window.unboundedPreceding, 0)
+    lasts = lines.groupBy("_pid", *k).agg(F.max_by("_val", F.when(F.col("_val").isNotNull(), F.col("_local"))).alias("_last"))
+    earlier = Window.partitionBy(*k).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select("_pid", *k, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    found = lines.withColumn("_seen", F.last("_val", ignorenulls=True).over(so_far)).filter("_kind = 1") \
+        .join(carried, ["_pid", *k]).withColumn("_seen", F.coalesce("_seen", "_carried"))
+    out = found.select("_row.*", *[F.col(f"_seen.{v}").alias(v) for v in values])
+    rest = rows.filter(~known)
+    for v in values:
+        rest = rest.withColumn(v, F.lit(None).cast(history.schema[v].dataType))
+    return out.unionByName(rest)
+
+
+def ordered_cells(rows: DataFrame, group_cols: Sequence[str], item: str, sep: str, name: str,
+                  cell_items: int = 100_000) -> DataFrame:
+    """(group, part, ``name``): the items of each group in order, joined to cells of at most ``cell_items``.
+
+    A group that fits is one row with part 0; a larger one goes on in parts 1, 2, ..., whose cells
+    joined with ``sep`` are the whole, so nothing is lost and no cell grows without bound.  Items are
+    ranked by ``with_group_position`` and joined in two levels (runs of 1,000, then cells)."""
+    g = list(group_cols)
+    ranked = with_group_position(rows.select(*g, item), g, [item], "_pos")
+    runs = ranked.withColumn("_run", F.floor(F.col("_pos") / 1000)).withColumn("part", F.floor(F.col("_pos") / cell_items)) \
+        .groupBy(*g, "part", "_run").agg(F.sort_array(F.collect_list(F.struct("_pos", item))).alias("_a")) \
+        .select(*g, "part", "_run", F.array_join(F.col(f"_a.{item}"), sep).alias("_text"))
+    return runs.groupBy(*g, "part").agg(F.sort_array(F.collect_list(F.struct("_run", "_text"))).alias("_a")) \
+        .select(*g, "part", F.array_join(F.col("_a._text"), sep).alias(name))
+
+
 def _sorted_rows(df: DataFrame, order_cols: Sequence) -> tuple[DataFrame, DataFrame]:
     """The rows in order, written once, with ``_pid`` and ``_local`` (position in the partition), and
     the first position ``_off`` of each partition."""

@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callweave.functions.ranking import with_group_position
+from callweave.functions.ranking import ordered_cells, with_group_position
 from callweave.session import materialize
 
 DEFAULT_CP = 0.1
+# Fixed value: head of the detailed text of a cluster.
+DETAILED = "Cluster(%s, coupling=%.3f, level=%d, classes=%d, classes=["
 
 
 def node_avg_coupling(dendro: DataFrame) -> DataFrame:
@@ -31,19 +33,21 @@ def node_avg_coupling(dendro: DataFrame) -> DataFrame:
 
 
 def parent_links(dendro: DataFrame) -> DataFrame:
-    """(project, node_id, parent, off): off = pre-order step from the parent."""
+    """(project, node_id, parent, off, skip): off = pre-order step from the parent, skip = leaves of the
+    parent that come before the node's own."""
     inner = dendro.filter(F.col("left").isNotNull())
     lsize = dendro.select("project", F.col("node_id").alias("left"), F.col("n_classes").alias("_nl"))
     inner = inner.join(lsize, ["project", "left"])
     lrows = inner.select("project", F.col("left").alias("node_id"), F.col("node_id").alias("parent"),
-                         F.lit(1).cast("long").alias("off"))
+                         F.lit(1).cast("long").alias("off"), F.lit(0).cast("long").alias("skip"))
     rrows = inner.select("project", F.col("right").alias("node_id"), F.col("node_id").alias("parent"),
-                         (2 * F.col("_nl")).cast("long").alias("off"))
+                         (2 * F.col("_nl")).cast("long").alias("off"), F.col("_nl").alias("skip"))
     return lrows.unionByName(rrows)
 
 
 def tree_paths(dendro: DataFrame, qualifies=None) -> DataFrame:
-    """Per node: depth, pre-order number and the highest qualifying node on its root path.
+    """Per node: depth, pre-order number, number of leaves before its own (``lo``) and the highest
+    qualifying node on its root path.
 
     ``qualifies``: boolean Column over the node table (None -> never)."""
     links = parent_links(dendro)
@@ -52,6 +56,7 @@ def tree_paths(dendro: DataFrame, qualifies=None) -> DataFrame:
           .select("project", "node_id", F.col("parent").alias("jump"),
                   F.when(F.col("parent").isNotNull(), 1).otherwise(0).cast("long").alias("depth"),
                   F.coalesce("off", F.lit(0)).cast("long").alias("pre"),
+                  F.coalesce("skip", F.lit(0)).cast("long").alias("lo"),
                   F.when(F.col("_q"), F.col("node_id")).alias("topq")))
     # finished rows (at the root) leave the loop, so they never meet in the join on a null key; an open row
     # points at an open row or at a finished one, and both are looked up
@@ -60,11 +65,12 @@ def tree_paths(dendro: DataFrame, qualifies=None) -> DataFrame:
     running = every.filter(F.col("jump").isNotNull())
     while not running.isEmpty():
         j = done.unionByName(running).select("project", F.col("node_id").alias("jump"), F.col("jump").alias("_j2"),
-                                             F.col("depth").alias("_d2"), F.col("pre").alias("_p2"),
+                                             F.col("depth").alias("_d2"), F.col("pre").alias("_p2"), F.col("lo").alias("_l2"),
                                              F.col("topq").alias("_t2"))
         st = running.join(j, ["project", "jump"]).select(
             "project", "node_id", F.col("_j2").alias("jump"),
             (F.col("depth") + F.col("_d2")).alias("depth"), (F.col("pre") + F.col("_p2")).alias("pre"),
+            (F.col("lo") + F.col("_l2")).alias("lo"),
             F.coalesce("_t2", "topq").alias("topq"))
         step = materialize(st, "paths")
         done = done.unionByName(step.filter(F.col("jump").isNull()))
@@ -73,6 +79,44 @@ def tree_paths(dendro: DataFrame, qualifies=None) -> DataFrame:
     return st.drop("jump")
 
 
+#: leaves of one node that are listed by one task
+_CHUNK_LEAVES = 100_000
+
+
+def node_classes(nodes_with_paths: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """H6: (project, node_id, class_fqn), the class set of every node (of those in ``wanted``, if given).
+
+    The leaves below a node are a range ``lo`` .. ``lo + n_classes - 1`` of the leaves in tree order.  Ranges are
+    listed, in chunks, and joined by equality on the leaf's place, so the join makes no row that is
+    not in the result and a node with all classes is listed by many tasks."""
+    nodes = nodes_with_paths.select("project", "node_id", "lo", "n_classes")
+    if wanted is not None:
+        nodes = nodes.join(wanted.select("project", "node_id").distinct(), ["project", "node_id"], "left_semi")
+    chunk = F.lit(_CHUNK_LEAVES)
+    hi = F.col("lo") + F.col("n_classes") - 1
+    places = nodes.withColumn("_c", F.explode(F.sequence(F.floor(F.col("lo") / chunk), F.floor(hi / chunk)))) \
+        .repartition("project", "node_id", "_c") \
+        .select("project", "node_id", F.explode(F.sequence(F.greatest("lo", F.col("_c") * chunk), F.least(
+            hi, F.col("_c") * chunk + chunk - 1))).alias("place"))
+    leaves = nodes_with_paths.filter(F.col("left").isNull()).select("project", F.col("lo").alias("place"), F.col("label").alias("class_fqn"))
+    return places.join(leaves, ["project", "place"]).select("project", "node_id", "class_fqn")
+
+
+def dendrogram_detailed(nodes_with_paths: DataFrame, cell_items: int = 100_000) -> DataFrame:
+    """H7, long form: (project, node_id, part, text), the class set by name in the text.
+
+    A set of more than ``cell_items`` classes goes on in parts 1, 2, ...; the texts in order are the whole."""
+    inner = nodes_with_paths.filter(F.col("left").isNotNull())
+    cells = ordered_cells(node_classes(nodes_with_paths, inner), ["project", "node_id"], "class_fqn", ", ", "_classes", cell_items)
+    head = F.format_string(DETAILED, F.col("label"), F.col("sim"), F.col("level"), F.col("n_classes"))
+    last = (F.col("part") + 1) * cell_items >= F.col("n_classes")
+    text = F.concat(F.when(F.col("part") == 0, head).otherwise(F.lit(", ")), F.col("_classes"), F.when(last, F.lit("])")).otherwise(F.lit("")))
+    leaf = nodes_with_paths.filter(F.col("left").isNull()).select(
+        "project", "node_id", F.lit(0).cast("long").alias("part"), F.concat(F.lit("Leaf("), F.col("label"), F.lit(")")).alias("text"))
+    return cells.join(inner.select("project", "node_id", "label", "sim", "level", "n_classes"), ["project", "node_id"]) \
+        .select("project", "node_id", "part", text.alias("text")).unionByName(leaf)
+
+
 def cut(dendro: DataFrame, cp: float = DEFAULT_CP) -> dict[str, DataFrame]:
     """A node is a module when its average reaches ``cp`` and no ancestor's does.
 

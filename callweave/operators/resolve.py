@@ -9,7 +9,7 @@ Output
 All steps are equi-joins against name dimensions built once by aggregation; the
 tool's nested scans ("every class for every name") become one shuffle on the name.
 A name called everywhere (a hot key) is handled by partial aggregation in the
-dimension and by AQE skew splitting in the join.
+dimension and by ``split_join`` (heavy names from a sketch, joined apart).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.functions import names as N
+from callweave.functions.ranking import asof_join, split_join
 
 
 def _pos(file_ord="file_ord", method_ord="method_ord"):
@@ -58,7 +59,7 @@ def resolve_global(invocations: DataFrame, methods: DataFrame) -> DataFrame:
     collection name), else the simple name. Returns distinct (project, caller, callee)."""
     inv = resolve_declared(invocations)
     u = unique_names(methods).withColumnRenamed("method", "callee_simple")
-    out = inv.join(u, ["project", "callee_simple"], "left")
+    out = split_join(inv, u, ["project", "callee_simple"])
     # concat_ws skips nulls: guard so an unknown class does not yield the bare name
     callee = F.coalesce(F.col("callee_declared"),
                         F.when(F.col("unique_class").isNotNull(),
@@ -85,7 +86,9 @@ def resolve_sequential(invocations: DataFrame, methods: DataFrame) -> DataFrame:
     inv = resolve_declared(invocations).withColumn("_p", _pos())
     firsts = name_first_positions(methods).withColumnRenamed("method", "callee_simple")
     u = unique_names(methods).withColumnRenamed("method", "callee_simple")
-    j = inv.join(firsts, ["project", "callee_simple"], "left").join(u, ["project", "callee_simple"], "left")
+    # one row per name with both dimensions, so the calls are joined once
+    dims = firsts.join(u, ["project", "callee_simple"], "left")
+    j = split_join(inv, dims, ["project", "callee_simple"])
     inferred = F.when((F.col("p1") <= F.col("_p")) & (F.col("p2").isNull() | (F.col("_p") < F.col("p2"))),
                       F.concat_ws(".", F.col("c1"), F.col("callee_simple")))
     glob = F.when(F.col("unique_class").isNotNull(),
@@ -114,11 +117,15 @@ def class_short_names(classes: DataFrame) -> DataFrame:
 
 
 def resolve_type_name(types: DataFrame, classes: DataFrame, col: str = "type_name",
-                      out: str = "type_fqn") -> DataFrame:
-    """Dotted names as they are, else the class with that short name, else null."""
+                      out: str = "type_fqn", methods: DataFrame | None = None) -> DataFrame:
+    """Dotted names as they are, else the class with that short name, else (with ``methods``) the
+    declaring class of any method that has it, else null."""
     shorts = class_short_names(classes).withColumnRenamed("class_fqn", "_by_short")
-    j = types.join(shorts, (types.project == shorts.project) & (F.col(col) == shorts.short), "left") \
-        .drop(shorts.project).drop("short")
+    if methods is not None:
+        index = class_short_names(methods).withColumnRenamed("class_fqn", "_by_index")
+        shorts = shorts.join(index, ["project", "short"], "full") \
+            .select("project", "short", F.coalesce("_by_short", "_by_index").alias("_by_short"))
+    j = split_join(types, shorts.withColumnRenamed("short", col), ["project", col])
     return j.withColumn(out, F.when(F.instr(F.col(col), ".") > 0, F.col(col)).otherwise(F.col("_by_short"))) \
         .drop("_by_short")
 
@@ -136,15 +143,28 @@ def resolve_local_calls(local_calls: DataFrame, classes: DataFrame, entry_class_
             .distinct())
 
 
-def resolve_by_receiver(invocations: DataFrame, classes: DataFrame) -> DataFrame:
-    """G9 (optional stage): receiver variable named like a class, case-insensitive."""
+def resolve_by_receiver(invocations: DataFrame, classes: DataFrame, variables: DataFrame | None = None,
+                        methods: DataFrame | None = None) -> DataFrame:
+    """G9 (optional stage): callee from the receiver's name.
+
+    With ``variables`` (project, file_ord, decl_ord, variable, type_name) the receiver has the type of the
+    last declaration of that variable in the call's file or an earlier one, where that type is known
+    (G7).  Else a class counts whose short name is the variable, case-insensitively."""
+    inv = invocations
+    if variables is None:
+        inv = inv.withColumn("type_name", F.lit(None).cast("string"))
+    else:
+        place = F.struct(F.col("file_ord").cast("long").alias("f"), F.col("decl_ord").cast("long").alias("d"))
+        end_of_file = F.struct(F.col("file_ord").cast("long").alias("f"), F.lit((1 << 63) - 1).alias("d"))
+        inv = asof_join(inv, variables.withColumnRenamed("variable", "receiver"), ["project", "receiver"], end_of_file,
+                        place, ["type_name"])
+    typed = resolve_type_name(inv, classes, methods=methods).withColumn("_lc", F.lower("receiver"))
     shorts = (classes.groupBy("project", F.lower(N.short_name("class_fqn")).alias("_lc"))
               .agg(F.min("class_fqn").alias("_rc")))
-    j = invocations.join(shorts, (invocations.project == shorts.project)
-                         & (F.lower(F.col("receiver")) == shorts._lc), "left").drop(shorts.project)
+    j = split_join(typed, shorts, ["project", "_lc"])
+    owner = F.coalesce("type_fqn", "_rc")
     return j.select("project", "caller", "receiver", "callee_simple",
-                    F.when(F.col("_rc").isNotNull(), F.concat_ws(".", "_rc", "callee_simple"))
-                    .alias("callee_inferred"))
+                    F.when(owner.isNotNull(), F.concat_ws(".", owner, "callee_simple")).alias("callee_inferred"))
 
 
 def call_graph(*edge_sets: DataFrame) -> DataFrame:

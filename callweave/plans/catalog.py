@@ -111,6 +111,23 @@ def q_dendrogram_text(spark, sf_dir):
     return MO.dendrogram_text(analysis(spark, sf_dir).dendro)
 
 
+@query("dendrogram_members", cluster_block(_PP1) + """
+SELECT 'shop' AS project, anc.anc AS node_id, dg.label AS class_fqn
+FROM anc JOIN dg ON dg.node_id = anc.node_id AND dg."left" IS NULL""")
+def q_dendrogram_members(spark, sf_dir):
+    return MO.node_classes(analysis(spark, sf_dir).cut["nodes"])
+
+
+@query("dendrogram_detailed", cluster_block(_PP1) + """
+SELECT 'shop' AS project, node_id, 0::BIGINT AS part,
+  CASE WHEN "left" IS NULL THEN 'Leaf(' || label || ')'
+       ELSE printf('Cluster(%s, coupling=%.3f, level=%d, classes=%d, classes=[', label, sim, level, n_classes) || names || '])' END AS text
+FROM dg JOIN (SELECT anc.anc AS node_id, string_agg(l.label, ', ' ORDER BY l.label) AS names
+              FROM anc JOIN dg l ON l.node_id = anc.node_id AND l."left" IS NULL GROUP BY anc.anc) USING (node_id)""")
+def q_dendrogram_detailed(spark, sf_dir):
+    return MO.dendrogram_detailed(analysis(spark, sf_dir).cut["nodes"])
+
+
 @query("node_avg_coupling", cluster_block(_PP1) + """
 SELECT 'shop' AS project, node_id, label, n_classes, avg_coupling FROM dga""")
 def q_node_avg(spark, sf_dir):
@@ -405,6 +422,100 @@ def q_resolve_type_name(spark, sf_dir):
     return R.resolve_type_name(types, a.classes).select("project", "type_name", "type_fqn")
 
 
+@query("resolve_type_name_index", """
+SELECT t.project, t.type_name, coalesce(s.c, m.c) AS type_fqn
+FROM (SELECT DISTINCT project, class_name AS type_name FROM f_methods
+      UNION SELECT DISTINCT project, 'No' || class_name FROM f_methods) t
+LEFT JOIN (SELECT project, class_name, min(class_fqn) AS c FROM f_classes WHERE file_ord % 10 = 0 GROUP BY ALL) s
+  ON s.project = t.project AND s.class_name = t.type_name
+LEFT JOIN (SELECT project, class_name, min(class_fqn) AS c FROM f_methods GROUP BY ALL) m
+  ON m.project = t.project AND m.class_name = t.type_name""")
+def q_resolve_type_name_index(spark, sf_dir):
+    """A tenth of the classes were analysed; the declaring classes of methods stand in for the others."""
+    a = analysis(spark, sf_dir)
+    names = a.methods.select("project", F.col("class_name").alias("type_name"))
+    types = names.unionByName(names.withColumn("type_name", F.concat(F.lit("No"), "type_name"))).distinct()
+    return R.resolve_type_name(types, a.classes.filter("file_ord % 10 = 0"), methods=a.methods).select("project", "type_name", "type_fqn")
+
+
+@query("resolve_by_variable", """
+, nc AS (SELECT project, count(DISTINCT class_fqn) AS n FROM f_methods GROUP BY project),
+cl AS (SELECT DISTINCT project, class_fqn, class_name, file_ord FROM f_methods),
+va AS (
+  SELECT m.project, m.file_ord, m.method_ord AS decl_ord,
+         CASE WHEN m.method_ord % 3 = 0 THEN 'item' ELSE 'v' || (m.method_ord % 50) END AS variable,
+         CASE WHEN m.method_ord % 13 = 0 THEN 'Missing' WHEN m.method_ord % 5 = 0 THEN t.class_fqn ELSE t.class_name END AS type_name
+  FROM f_methods m JOIN nc USING (project) JOIN cl t ON t.project = m.project AND t.file_ord = m.method_ord * 17 % n + 1),
+lastv AS (SELECT project, variable, file_ord, arg_max(type_name, decl_ord) AS type_name FROM va GROUP BY ALL),
+rv AS (
+  SELECT DISTINCT project, caller, file_ord, callee_simple,
+         CASE (length(callee_true) + method_ord) % 3 WHEN 0 THEN 'item' WHEN 1 THEN 'v' || (method_ord % 60)
+              ELSE lower(regexp_extract(callee_class, '[^.]*$', 0)) END AS receiver
+  FROM f_inv),
+kn AS (SELECT rv.*, lastv.type_name FROM rv ASOF LEFT JOIN lastv
+       ON lastv.project = rv.project AND lastv.variable = rv.receiver AND rv.file_ord >= lastv.file_ord),
+sh AS (SELECT project, regexp_extract(class_fqn, '[^.]*$', 0) AS short, min(class_fqn) AS c FROM f_classes GROUP BY ALL),
+lc AS (SELECT project, lower(regexp_extract(class_fqn, '[^.]*$', 0)) AS lshort, min(class_fqn) AS c FROM f_classes GROUP BY ALL)
+SELECT kn.project, caller, receiver, callee_simple,
+       coalesce(CASE WHEN contains(type_name, '.') THEN type_name ELSE sh.c END, lc.c) || '.' || callee_simple AS callee_inferred
+FROM kn LEFT JOIN sh ON sh.project = kn.project AND sh.short = kn.type_name
+LEFT JOIN lc ON lc.project = kn.project AND lc.lshort = lower(kn.receiver)""")
+def q_resolve_by_variable(spark, sf_dir):
+    """Receivers by the last declaration of their variable in the files so far, else by a class's name."""
+    from callweave.sources import fixtures as FX
+    a = analysis(spark, sf_dir)
+    return R.resolve_by_receiver(FX.fixture_receivers(a.invocations), a.classes, FX.fixture_variables(a.methods), a.methods)
+
+
+_TYPES = """
+, nc AS (SELECT project, count(DISTINCT class_fqn) AS n FROM f_methods GROUP BY project),
+cl AS (SELECT DISTINCT project, class_fqn, file_ord FROM f_methods),
+mem AS (
+  SELECT c.project, c.class_fqn AS owner, CASE WHEN k % 2 = 0 THEN 'call' ELSE 'field' END AS kind, 'link' || k AS name,
+         CASE WHEN (c.file_ord + 2 * k) % 11 = 0 THEN 'java.util.List' ELSE t.class_fqn END AS type_fqn
+  FROM cl c JOIN nc USING (project) CROSS JOIN (SELECT unnest(range(4)) AS k)
+  JOIN cl t ON t.project = c.project AND t.file_ord = (c.file_ord * 5 + k * 7 + 3) % n + 1
+  WHERE (c.file_ord + k) % 7 <> 0),
+loc AS (
+  SELECT f.project, f.scope, t.class_fqn AS type_fqn
+  FROM (SELECT project, method_fqn AS scope, min(method_ord) AS o FROM f_methods GROUP BY ALL) f JOIN nc USING (project)
+  JOIN cl t ON t.project = f.project AND t.file_ord = o * 17 % n + 1 WHERE o % 4 <> 0),
+ic AS (SELECT *, method_ord + length(callee_true) AS h, method_ord || '/' || callee_true AS call FROM f_inv),
+ty AS (
+  SELECT ic.project, call, h, 0::BIGINT AS i,
+         CASE h // 4 % 3 WHEN 0 THEN ic.class_fqn
+              WHEN 1 THEN coalesce(loc.type_fqn, mv.type_fqn) ELSE m1.type_fqn END AS type_fqn
+  FROM ic LEFT JOIN loc ON loc.project = ic.project AND loc.scope = ic.caller
+  LEFT JOIN mem mv ON mv.project = ic.project AND mv.owner = ic.class_fqn AND mv.kind = 'field' AND mv.name = 'v'
+  LEFT JOIN mem m1 ON m1.project = ic.project AND m1.owner = ic.class_fqn AND m1.kind = 'field' AND m1.name = 'link1'
+  UNION ALL
+  SELECT ty.project, call, h, i + 1, mem.type_fqn
+  FROM ty JOIN mem ON mem.project = ty.project AND mem.owner = ty.type_fqn
+   AND mem.kind = CASE WHEN (h + i + 1) % 2 = 0 THEN 'call' ELSE 'field' END
+   AND mem.name = 'link' || (CASE WHEN (h + i + 1) % 2 = 0 THEN 0 ELSE 1 END + 2 * ((h + i + 1) // 2 % 2))
+  WHERE i < h % 4)
+"""
+
+
+@query("receiver_types", _TYPES + "SELECT project, call || '/' || i AS expr_id, type_fqn FROM ty WHERE type_fqn IS NOT NULL")
+def q_receiver_types(spark, sf_dir):
+    return analysis(spark, sf_dir).receiver_types
+
+
+@query("typed_calls_by_receiver", _TYPES + """
+SELECT DISTINCT ic.project, ic.caller, ty.type_fqn || '.' || ic.callee_simple AS callee
+FROM ic JOIN ty ON ty.project = ic.project AND ty.call = ic.call AND ty.i = ic.h % 4
+WHERE ty.type_fqn IS NOT NULL AND NOT starts_with(ty.type_fqn, 'java.')""")
+def q_typed_calls_by_receiver(spark, sf_dir):
+    """Calls whose declaring class the front end doesn't know, resolved by the receiver's static type."""
+    from callweave.sources import fixtures as FX
+    from callweave.sources.typed import typed_calls
+    a = analysis(spark, sf_dir)
+    calls = FX.fixture_expressions(a.invocations)[1]
+    types = a.receiver_types.withColumnRenamed("type_fqn", "receiver_type")
+    return typed_calls(calls.join(types, ["project", "expr_id"], "left"))
+
+
 @query("resolve_by_receiver", """
 , rv AS (SELECT DISTINCT project, caller, lower(regexp_extract(callee_class, '[^.]*$', 0)) AS receiver, callee_simple
          FROM f_inv),
@@ -769,11 +880,25 @@ from callweave.sources import extract as EX  # noqa: E402
 
 
 @query("scan_sources", """
-SELECT project, count(*) + count(DISTINCT class_fqn) AS files FROM f_methods GROUP BY project""")
+SELECT project, count(DISTINCT class_fqn) AS files, CAST(sum(length(method)) AS BIGINT) AS name_chars
+FROM f_methods GROUP BY project""")
 def q_scan_sources(spark, sf_dir):
-    from callweave.sources.render import render_sources
+    """Files in the shared folder, one per class, scanned with their project and place; names counted in their facts."""
+    a = analysis(spark, sf_dir)
+    files = a.scanned.groupBy("project").agg(F.count(F.lit(1)).alias("files"))
+    names = EX.fact_methods(a.scanned_facts).groupBy("project").agg(F.sum(F.length("method")).alias("name_chars"))
+    return files.join(names, "project")
+
+
+@query("resolve_sequential_scanned", _SEQ + "SELECT project, caller, callee FROM seq")
+def q_resolve_sequential_scanned(spark, sf_dir):
+    """Folder of files -> facts -> passes 1 and 2 over the files in path order."""
     a = analysis(spark, sf_dir)
-    return render_sources(a.methods, a.invocations).groupBy("project").agg(F.count(F.lit(1)).alias("files"))
+    order = a.scanned.select("project", "path", "file_ord")
+    meth = EX.fact_methods(a.scanned_facts).join(order, ["project", "path"]).withColumn("method_ord", F.col("ord")) \
+        .withColumn("method_fqn", F.concat_ws(".", "class_fqn", "method"))
+    inv = EX.fact_invocations(a.scanned_facts).join(order, ["project", "path"]).withColumn("method_ord", F.col("ord"))
+    return R.resolve_sequential(inv, meth)
 
 
 @query("fact_types", "SELECT DISTINCT project, package, class_name, class_fqn FROM f_methods")
@@ -854,6 +979,16 @@ def q_modules_csv(spark, sf_dir):
     return K.modules_csv_rows(c["modules"], c["members"])
 
 
+@query("modules_csv_cells", cluster_block(_PP1) + _MOD_SQL + """
+SELECT 'shop' AS project, m.module_no, m.module_id, m.class_count, printf('%.3f', m.avg_coupling) AS average, 0::BIGINT AS part,
+       string_agg(d.label, ';' ORDER BY d.label) AS classes
+FROM leafmod lm JOIN mods m USING (module_node) JOIN dga d ON d.node_id = lm.leaf
+GROUP BY m.module_no, m.module_id, m.class_count, m.avg_coupling""")
+def q_modules_csv_cells(spark, sf_dir):
+    c = analysis(spark, sf_dir).cut
+    return K.modules_csv_cells(c["modules"], c["members"])
+
+
 _PKG_DET = """
 SELECT DISTINCT project, regexp_extract(c, '^(.+)\\.[^.]*$', 1) AS package FROM (
   SELECT project, regexp_extract(caller, '^(.+)\\.[^.]*$', 1) AS c FROM g_nodes

@@ -7,6 +7,7 @@ table around for the many reports that read it.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -81,6 +82,13 @@ class Analysis:
         return _keep(C.coupling_weights(counts))
 
 
+    @cached_property
+    def receiver_types(self) -> DataFrame:
+        from callweave.session import materialize
+        from callweave.sources.typed import receiver_types
+        exprs = FX.fixture_expressions(self.invocations)[0]
+        return materialize(receiver_types(exprs, FX.fixture_members(self.methods), FX.fixture_locals(self.methods)), "receiver_types")
+
     # --- clustering ----------------------------------------------------------
     @cached_property
     def dendro(self) -> DataFrame:
@@ -117,6 +125,23 @@ class Analysis:
         return materialize(extract_facts(render_sources(self.methods, self.invocations)), "facts")
 
 
+    # --- the same from files in the shared folder, one per class ----------------
+    @cached_property
+    def scanned(self) -> DataFrame:
+        from callweave.session import ensure_checkpoint_dir
+        from callweave.sources.extract import scan_sources, with_file_order
+        from callweave.sources.render import write_class_files
+        root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/callweave-tables/scan-{uuid.uuid4().hex}/sources"
+        write_class_files(self.methods, self.invocations, root)
+        found = scan_sources(self.spark, root, None, "*.txt")
+        return with_file_order(found.withColumn("project", F.regexp_replace("project", "^folder=", "")))
+
+    @cached_property
+    def scanned_facts(self) -> DataFrame:
+        from callweave.session import materialize
+        from callweave.sources.extract import extract_facts
+        return materialize(extract_facts(self.scanned), "scanned_facts")
+
     @cached_property
     def facts_entry(self) -> DataFrame:
         from callweave.session import materialize

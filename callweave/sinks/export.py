@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.functions import names as N
-from callweave.functions.ranking import with_group_position
+from callweave.functions.ranking import ordered_cells, with_group_position
 from callweave.operators import views as V
 from callweave.operators.coupling import coupled_classes, coupling_total
 
@@ -74,6 +74,18 @@ def modules_csv_rows(modules: DataFrame, members: DataFrame, analyzer: str | Non
     return out
 
 
+def modules_csv_cells(modules: DataFrame, members: DataFrame, analyzer: str | None = None,
+                      cell_items: int = 100_000) -> DataFrame:
+    """K4 as the tool prints it: (project, module_no, module_id, class_count, average, part, classes[, analyzer]).
+
+    ``classes`` joins the class names by ';', in order.  A module of more than ``cell_items`` classes has
+    further rows (part 1, 2, ...) that go on with its classes; its other columns are repeated."""
+    cells = ordered_cells(members, ["project", "module_id"], "class_fqn", ";", "classes", cell_items)
+    out = cells.join(modules, ["project", "module_id"]).select(
+        "project", "module_no", "module_id", "class_count", F.format_string("%.3f", "avg_coupling").alias("average"), "part", "classes")
+    return out.withColumn("analyzer", F.lit(analyzer)) if analyzer else out
+
+
 def write_dot(lines: DataFrame, path: str) -> None:
     """One folder ``project=...`` per graph, its lines in order (a display graph is a bounded group)."""
     (lines.repartition("project").sortWithinPartitions("project", "section", "ord")
@@ -99,14 +111,10 @@ def write_csv(weights: DataFrame, path: str, min_weight: float = V.DEFAULT_MIN_W
 
 
 def write_modules_csv(modules: DataFrame, members: DataFrame, path: str, analyzer: str | None = None) -> None:
-    """K4: Module_ID,Class_Count,Average_Coupling,Class[,Analyzer], one row per member.
-
-    The tool joins a module's classes with ';' into one cell; a module may hold a
-    large share of all classes, so the sink keeps one row per class instead."""
-    rows = modules_csv_rows(modules, members, analyzer).orderBy("project", "module_id", "class_fqn")
+    """K4: Module_ID,Class_Count,Average_Coupling,Classes[,Analyzer], one row per module (see ``modules_csv_cells``)."""
+    rows = modules_csv_cells(modules, members, analyzer).orderBy("project", "module_no", "part")
     out = rows.select(F.col("module_id").alias("Module_ID"), F.col("class_count").alias("Class_Count"),
-                      F.format_string("%.3f", "avg_coupling").alias("Average_Coupling"),
-                      F.col("class_fqn").alias("Class"),
+                      F.col("average").alias("Average_Coupling"), F.col("classes").alias("Classes"),
                       *([F.col("analyzer").alias("Analyzer")] if analyzer else []))
     out.write.mode("overwrite").option("header", True).csv(path)
 

@@ -24,7 +24,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -421,11 +421,11 @@ def _extract_batches(it, identifiers=False):
         yield _frame(out)
 
 
-def scan_sources(spark: SparkSession, root: str, project: str | None = "project") -> DataFrame:
-    """Every ``*.java`` file under ``root`` as (project, path, text).
+def scan_sources(spark: SparkSession, root: str, project: str | None = "project", pattern: str = "*.java") -> DataFrame:
+    """Every file under ``root`` whose name matches ``pattern`` as (project, path, text).
 
     ``project`` None takes the first folder below ``root`` as the project of a file."""
-    df = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.java")
+    df = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     path = F.col("_metadata.file_path")
     folder = "/" + root.rstrip("/").rsplit("/", 1)[-1] + "/"
     below = F.substring_index(path, folder, -1)
@@ -516,13 +516,11 @@ def local_receiver_calls(facts: DataFrame, entry_class: str = "Main", scope: str
         j = inv.join(loc.select("project", "class_fqn", "method", F.col("variable").alias("receiver"), "type_name"),
                      ["project", "class_fqn", "method", "receiver"])
     else:
-        # last declaration of each file, then the last file up to the call's own
-        last = loc.groupBy("project", "path", F.col("variable").alias("receiver")).agg(
-            F.max_by("type_name", "ord").alias("type_name"))
-        places = inv.select("project", "path", "receiver").distinct().join(last, ["project", "path", "receiver"], "full")
-        seen = Window.partitionBy("project", "receiver").orderBy("path")
-        known = places.withColumn("type_name", F.last("type_name", ignorenulls=True).over(seen))
-        j = inv.join(known.filter(F.col("type_name").isNotNull()), ["project", "path", "receiver"])
+        from callweave.functions.ranking import asof_join
+        end = F.struct(F.col("path").alias("f"), F.lit((1 << 63) - 1).alias("d"))
+        place = F.struct(F.col("path").alias("f"), F.col("ord").alias("d"))
+        j = asof_join(inv, loc.withColumnRenamed("variable", "receiver"), ["project", "receiver"], end, place, ["type_name"]) \
+            .filter(F.col("type_name").isNotNull())
     return j.select("project", "class_fqn", "method", F.col("receiver").alias("variable"),
                     F.col("callee_simple").alias("method_name"), "type_name").distinct()
 

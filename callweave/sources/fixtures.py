@@ -115,3 +115,77 @@ def fixture_typed_invocations(invocations: DataFrame) -> DataFrame:
 def fixture_typed_methods(methods: DataFrame) -> DataFrame:
     return methods.select("project", _system_play("class_fqn").alias("class_fqn"), "method",
                           F.concat_ws(".", _system_play("class_fqn"), F.col("method")).alias("method_fqn"))
+
+
+# --- typed expressions and declared variables ------------------------------------------------
+def _class_places(methods: DataFrame) -> DataFrame:
+    """(project, class_fqn, class_name, file_ord, n): classes with their place and number."""
+    classes = methods.select("project", "class_fqn", "class_name", "file_ord").distinct()
+    return classes.join(classes.groupBy("project").agg(F.count(F.lit(1)).alias("n")), "project")
+
+
+def fixture_members(methods: DataFrame) -> DataFrame:
+    """members(project, class_fqn, kind, name, type_fqn): ``link0`` .. ``link3`` of most classes, methods for even
+    numbers and fields for odd ones, each of another class's type; a few are of a system type."""
+    c = _class_places(methods)
+    k = F.col("k")
+    m = c.withColumn("k", F.explode(F.array(*[F.lit(i) for i in range(4)]))).filter((F.col("file_ord") + k) % 7 != 0) \
+        .withColumn("target", (F.col("file_ord") * 5 + k * 7 + 3) % F.col("n") + 1)
+    t = c.select("project", F.col("file_ord").alias("target"), F.col("class_fqn").alias("_type"))
+    return m.join(t, ["project", "target"]).select(
+        "project", "class_fqn", F.when(k % 2 == 0, "call").otherwise("field").alias("kind"),
+        F.concat(F.lit("link"), k.cast("string")).alias("name"),
+        F.when((F.col("file_ord") + 2 * k) % 11 == 0, "java.util.List").otherwise(F.col("_type")).alias("type_fqn"))
+
+
+def fixture_locals(methods: DataFrame) -> DataFrame:
+    """variables(project, scope, name, type_fqn): one local ``v`` in three of four methods."""
+    first = methods.groupBy("project", F.col("method_fqn").alias("scope")).agg(F.min("method_ord").alias("o")).filter("o % 4 <> 0")
+    c = _class_places(methods)
+    n = c.select("project", "n").distinct()
+    typed = first.join(n, "project").withColumn("file_ord", F.col("o") * 17 % F.col("n") + 1)
+    return typed.join(c.select("project", "file_ord", "class_fqn"), ["project", "file_ord"]) \
+        .select("project", "scope", F.lit("v").alias("name"), F.col("class_fqn").alias("type_fqn"))
+
+
+def fixture_expressions(invocations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(exprs, calls): a receiver chain of one to four expressions for every invocation.
+
+    exprs(project, expr_id, receiver_id, kind, name, scope, class_fqn); calls(project, class_fqn, caller,
+    callee_simple, declaring_class (null), expr_id) name the last expression of their chain."""
+    h = F.col("method_ord") + F.length("callee_true")
+    base = invocations.withColumn("h", h).withColumn("call", F.concat_ws("/", F.col("method_ord").cast("string"), "callee_true"))
+    def key(i):
+        return F.concat_ws("/", "call", i.cast("string"))
+    steps = base.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("h") % 4)))
+    i, root = F.col("i"), F.expr("(h div 4) % 3")
+    call = (F.col("h") + i) % 2 == 0
+    half = F.expr("((h + i) div 2) % 2")
+    kind = F.when(i == 0, F.when(root == 0, "this").otherwise("name")).when(call, "call").otherwise("field")
+    link = F.concat(F.lit("link"), F.when(call, half * 2).otherwise(half * 2 + 1).cast("string"))
+    name = F.when(i == 0, F.when(root == 0, F.lit(None)).when(root == 1, "v").otherwise("link1")).otherwise(link)
+    exprs = steps.select("project", key(i).alias("expr_id"), F.when(i > 0, key(i - 1)).alias("receiver_id"), kind.alias("kind"),
+                         name.alias("name"), F.col("caller").alias("scope"), "class_fqn")
+    calls = base.select("project", "class_fqn", "caller", "callee_simple", F.lit(None).cast("string").alias("declaring_class"),
+                        key(F.col("h") % 4).alias("expr_id"))
+    return exprs, calls
+
+
+def fixture_variables(methods: DataFrame) -> DataFrame:
+    """variables(project, file_ord, decl_ord, variable, type_name): a declaration per method; a third are called ``item``."""
+    c = _class_places(methods)
+    d = methods.join(c.select("project", "n").distinct(), "project") \
+        .withColumn("target", F.col("method_ord") * 17 % F.col("n") + 1).select("project", "file_ord", "method_ord", "target")
+    t = c.select("project", F.col("file_ord").alias("target"), "class_fqn", "class_name")
+    o = F.col("method_ord")
+    name = F.when(o % 3 == 0, "item").otherwise(F.concat(F.lit("v"), (o % 50).cast("string")))
+    type_name = F.when(o % 13 == 0, "Missing").when(o % 5 == 0, F.col("class_fqn")).otherwise(F.col("class_name"))
+    return d.join(t, ["project", "target"]).select("project", "file_ord", o.alias("decl_ord"), name.alias("variable"), type_name.alias("type_name"))
+
+
+def fixture_receivers(invocations: DataFrame) -> DataFrame:
+    """invocations with ``receiver``: ``item``, a numbered variable (some unknown) or a class's name in lower case."""
+    o = F.length("callee_true") + F.col("method_ord")
+    name = F.when(o % 3 == 0, "item").when(o % 3 == 1, F.concat(F.lit("v"), (F.col("method_ord") % 60).cast("string"))) \
+        .otherwise(F.lower(N.short_name("callee_class")))
+    return invocations.select("project", "caller", "file_ord", "callee_simple", name.alias("receiver")).distinct()

@@ -42,6 +42,24 @@ def render_sources(methods: DataFrame, invocations: DataFrame) -> DataFrame:
     return files.unionByName(ffiles)
 
 
+def write_class_files(methods: DataFrame, invocations: DataFrame, root: str) -> None:
+    """One text file per class under ``root``, in a folder per project: its methods in order, each with its calls.
+
+    A class's lines are sorted and streamed into its file; no class is built up in memory."""
+    calls = (invocations.select("project", "method_ord", "callee_simple").distinct()
+             .groupBy("project", "method_ord")
+             .agg(F.array_join(F.sort_array(F.collect_list(F.concat("callee_simple", F.lit("();")))), " ").alias("body")))
+    text = F.concat(F.lit("  void "), F.col("method"), F.lit("() { "), F.coalesce("body", F.lit("")), F.lit(" }"))
+    lines = methods.join(calls, ["project", "method_ord"], "left") \
+        .select("project", "class_fqn", F.col("method_ord").alias("ord"), text.alias("value"))
+    heads = methods.select("project", "class_fqn", "package", "class_name").distinct()
+    head = F.concat(F.lit("package "), F.col("package"), F.lit(";\n\nclass "), F.col("class_name"), F.lit(" {"))
+    lines = lines.unionByName(heads.select("project", "class_fqn", F.lit(-1).cast("long").alias("ord"), head.alias("value"))) \
+        .unionByName(heads.select("project", "class_fqn", F.lit((1 << 63) - 1).alias("ord"), F.lit("}").alias("value")))
+    lines.withColumnRenamed("project", "folder").repartition("folder", "class_fqn").sortWithinPartitions("folder", "class_fqn", "ord") \
+        .select("folder", "class_fqn", "value").write.mode("overwrite").partitionBy("folder", "class_fqn").text(root)
+
+
 def render_entry_sources(methods: DataFrame, package: str = "shop", entry: str = "Main") -> DataFrame:
     """Entry-class units: for every declared method ``m`` of class ``p.C`` a method
     ``call<ord>`` of ``<package>.<entry>`` (which extends ``Base``) declares

@@ -7,10 +7,14 @@ type is missing the receiver's static type stands in.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.functions import names as N
+from callweave.functions.ranking import split_join
+from callweave.session import materialize
 
 
 def typed_calls(typed_invocations: DataFrame, typed_methods: DataFrame | None = None) -> DataFrame:
@@ -28,6 +32,39 @@ def typed_calls(typed_invocations: DataFrame, typed_methods: DataFrame | None =
             .distinct())
 
 
+def receiver_types(exprs: DataFrame, members: DataFrame, variables: DataFrame) -> DataFrame:
+    """(project, expr_id, type_fqn): static types of receiver expressions, S17.
+
+    exprs (project, expr_id, receiver_id, kind, name, scope, class_fqn): one row per expression, ``receiver_id``
+    the expression it is applied to.  Kinds: ``this``; ``name`` (a local variable of the method
+    ``scope``, else a field of ``class_fqn``); ``field`` and ``call`` (a member of the receiver's type, or of
+    ``class_fqn`` without a receiver).  members (project, class_fqn, kind, name, type_fqn): fields with their
+    types and methods with their return types.  variables (project, scope, name, type_fqn).
+
+    Types are propagated along receivers by joins: a round types every expression whose receiver was
+    typed in the one before, so rounds are as many as the longest chain is long.  Expressions
+    whose type isn't known have no row; what depends on them leaves the rounds."""
+    member = members.select("project", F.col("class_fqn").alias("owner"), "kind", "name", "type_fqn")
+    roots = materialize(exprs.filter(F.col("receiver_id").isNull()), "root_exprs")
+    this = roots.filter("kind = 'this'").select("project", "expr_id", F.col("class_fqn").alias("type_fqn"))
+    named = split_join(roots.filter("kind = 'name'"), variables.withColumnRenamed("type_fqn", "_local"), ["project", "scope", "name"])
+    own = named.filter("_local IS NULL").drop("_local").withColumn("kind", F.lit("field")) \
+        .unionByName(roots.filter("kind IN ('field', 'call')"))
+    own = split_join(own.withColumnRenamed("class_fqn", "owner"), member, ["project", "owner", "kind", "name"], "inner")
+    typed = materialize(this.unionByName(named.filter("_local IS NOT NULL").select("project", "expr_id", F.col("_local").alias("type_fqn")))
+                        .unionByName(own.select("project", "expr_id", "type_fqn")), "types")
+    done, waiting = [typed], materialize(exprs.filter("receiver_id IS NOT NULL AND kind IN ('field', 'call')"), "chained_exprs")
+    while not typed.isEmpty() and not waiting.isEmpty():
+        owners = typed.select("project", F.col("expr_id").alias("receiver_id"), F.col("type_fqn").alias("owner"))
+        ready = waiting.join(owners, ["project", "receiver_id"])
+        typed = materialize(split_join(ready, member, ["project", "owner", "kind", "name"], "inner")
+                            .select("project", "expr_id", "type_fqn"), "types")
+        # applied to an expression of this round: tried now, with or without a result
+        waiting = materialize(waiting.join(owners, ["project", "receiver_id"], "left_anti"), "chained_exprs")
+        done.append(typed)
+    return reduce(DataFrame.unionByName, done)
+
+
 def typed_nodes(typed_methods: DataFrame) -> DataFrame:
     """Methods of non-system classes are graph nodes even without calls."""
     return (typed_methods.filter(~N.is_system_class("class_fqn"))

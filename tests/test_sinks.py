@@ -35,8 +35,13 @@ def test_export_all_and_modules_csv(spark):
     res = MO.cut(d, 0.1)
     K.write_modules_csv(res["modules"], res["members"], f"{out}/modules", analyzer="Spoon")
     rows = _read(f"{out}/modules")
-    assert rows[0] == "Module_ID,Class_Count,Average_Coupling,Class,Analyzer"
-    assert len(rows) - 1 == res["members"].count()
+    assert rows[0] == "Module_ID,Class_Count,Average_Coupling,Classes,Analyzer"
+    assert len(rows) - 1 == res["modules"].count()
+    listed = [c for row in rows[1:] for c in row.split(",")[3].split(";")]
+    assert sorted(listed) == sorted(r.class_fqn for r in res["members"].collect())
+    small = K.modules_csv_cells(res["modules"], res["members"], cell_items=1).orderBy("module_no", "part").collect()
+    assert [r.classes for r in small] == [c for r in K.modules_csv_cells(res["modules"], res["members"])
+                                          .orderBy("module_no").collect() for c in r.classes.split(";")]
 
 
 def test_reports_are_written_in_printed_order(spark):
