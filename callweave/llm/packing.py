@@ -17,6 +17,7 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterable
 
 import numpy as np
@@ -29,6 +30,9 @@ from callweave.llm.common import read_columns
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: pre-tokenisation of the byte-level BPE vocabulary (fixed value, published with it)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: runs of white space (the Unicode property, as in PATTERN) from this length on are cut out before PATTERN is applied
+LONG_RUN = 10_000
+_LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{%d,}" % LONG_RUN)
 LENGTH = 2048
 BLOCK_TOKENS = 2_000_000
 SCHEMA = ("sequence long, n_tokens int, n_segments int, ids binary, cu_seqlens array<int>, position_ids binary, "
@@ -46,7 +50,21 @@ class Tokens:
         self.size = self.end + 1
 
     def encode(self, text: str) -> list[int]:
-        return self.encoding.encode_ordinary(text)
+        """The ids of the whole text.
+
+        Its regular expression backtracks over runs of white space and runs out of stack at about a
+        million.  A long run is therefore cut out by hand, where the expression cuts it, too: all of
+        it is a piece if the text ends there, else all but its last character, which goes
+        with what follows."""
+        if len(text) <= LONG_RUN:
+            return self.encoding.encode_ordinary(text)
+        out, at = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += self.encoding.encode_ordinary(text[at:run.start()])
+            out += self.encoding._encode_single_piece(text[run.start():end])
+            at = end
+        return out + self.encoding.encode_ordinary(text[at:])
 
     def decode(self, ids: Iterable[int]) -> str:
         return self.encoding.decode(list(ids))
