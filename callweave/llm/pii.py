@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -138,7 +139,7 @@ _PLUS = re.compile(r"(?<!\w)plus[ -]$", re.IGNORECASE)
 # fixed values: disguised signs
 _AT = "at|arroba|arobase|chez|ät"
 _DOT = "dot|punto|point|punkt"
-_BRACKETED = re.compile(rf"\s*[\[({{<]\s*(?:({_AT}|@)|({_DOT}|\.))\s*[\])}}>]\s*", re.IGNORECASE)
+_BRACKETED = re.compile(rf"(?<!\s)\s*[\[({{<]\s*(?:({_AT}|@)|({_DOT}|\.))\s*[\])}}>]\s*", re.IGNORECASE)
 #: bare words only as a whole address: local at domain dot domain
 _BARE = re.compile(rf"(?<![\w.%+-])[a-z0-9._%+-]{{1,64}}(\s+(?:{_AT})\s+)[a-z0-9-]{{1,63}}"
                    rf"(?:(?:\s+(?:{_DOT})\s+|\.)[a-z0-9-]{{2,63}}){{1,5}}(?![\w-])", re.IGNORECASE)
@@ -156,8 +157,8 @@ class Traced:
 
     def __init__(self, text: str):
         self.text = text
-        self.start = range(len(text))
-        self.end = range(1, len(text) + 1)
+        self.start = np.arange(len(text), dtype=np.int64)
+        self.end = self.start + 1
         self.changed: list[tuple[int, int]] = []  # source ranges that were rewritten
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
@@ -167,16 +168,13 @@ class Traced:
         parts, start, end, at = [], [], [], 0
         for a, b, new in edits:
             parts += [self.text[at:a], new]
-            start += self.start[at:a]
-            end += self.end[at:a]
-            start += [self.start[a]] * len(new)
-            end += [self.end[b - 1]] * len(new)
-            self.changed.append((self.start[a], self.end[b - 1]))
+            start += [self.start[at:a], np.repeat(self.start[a:a + 1], len(new))]
+            end += [self.end[at:a], np.repeat(self.end[b - 1:b], len(new))]
+            self.changed.append((int(self.start[a]), int(self.end[b - 1])))
             at = b
         parts.append(self.text[at:])
-        start += self.start[at:]
-        end += self.end[at:]
-        self.text, self.start, self.end = "".join(parts), start, end
+        self.text = "".join(parts)
+        self.start, self.end = np.concatenate([*start, self.start[at:]]), np.concatenate([*end, self.end[at:]])
 
 
 def _homoglyphs(t: Traced) -> None:
@@ -194,20 +192,28 @@ def _homoglyphs(t: Traced) -> None:
     t.rewrite(edits)
 
 
-def _spelled(t: Traced) -> None:
-    edits = []
+def _spelled(t: Traced, breaks: bool) -> bool:
+    """Rewrites runs of spelled digits, word by word, so that a span ends with its last word.
+
+    The signs between the words go.  With ``breaks`` those stay that may end a number (a comma, a full stop
+    before a space).  Says whether there were such breaks."""
+    edits, found = [], False
     for m in _RUN.finditer(t.text):
-        begin, new = m.start(), []
-        parts = [p[0].lower() for p in _RUN_PART.finditer(m[0])]
-        if sum(w[0] not in " ,.-" for w in parts) < 4 and not _AFTER_DIGIT.search(t.text, max(0, begin - 8), begin):
+        begin = m.start()
+        parts = [(p[0].lower(), p.start(), p.end()) for p in _RUN_PART.finditer(t.text, m.start(), m.end())]
+        if sum(w[0] not in " ,.-" for w, _, _ in parts) < 4 and not _AFTER_DIGIT.search(t.text, max(0, begin - 8), begin):
             continue
-        for w in parts:
-            new.append(_SPELLED.get(w) or ("+" if w == "plus" else "." if w in _TRIGGERS else w if w.isdigit() else ""))
         lead = _PLUS.search(t.text, max(0, begin - 6), begin)
         if lead:
-            begin, new = lead.start(), ["+", *new]
-        edits.append((begin, m.end(), "".join(new)))
+            edits.append((lead.start(), begin, "+"))
+        for w, a, b in parts:
+            ends = "," in w or w == ". "
+            found |= ends
+            if w.isdigit() or (ends and breaks):
+                continue
+            edits.append((a, b, _SPELLED.get(w) or ("+" if w == "plus" else "." if w in _TRIGGERS else "")))
     t.rewrite(edits)
+    return found
 
 
 def _bracketed(t: Traced) -> None:
@@ -237,32 +243,57 @@ def added_spans(text: str, base: list[tuple[int, int, int]], spelled: bool = Tru
                 dotted: bool = True) -> list[tuple[int, int, int]]:
     """Spans that only the rewritten text shows and that touch no base span.
 
-    ``spelled`` and ``dotted``: whether the text can hold spelled digits, or a bare at or spelled dot."""
-    t = Traced(text)
+    ``spelled`` and ``dotted``: whether the text can hold spelled digits, or a bare at or spelled dot.
+    Where a run of spelled digits holds signs that may end a number, the run is read up to them first, and then
+    as a whole; of two readings that overlap the first counts."""
+    taken = _merged([(a, b) for a, _, b in base])
+    out, more = _reading(text, taken, spelled, dotted, True)
+    if more:
+        taken = _merged([*zip(*taken), *((a, b) for a, _, b in out)])
+        out = sorted(out + _reading(text, taken, spelled, dotted, False)[0])
+    return out
+
+
+def _reading(text: str, taken: tuple[list[int], list[int]], spelled: bool, dotted: bool,
+             breaks: bool) -> tuple[list[tuple[int, int, int]], bool]:
+    """(spans of the rewritten text that touch a rewritten place and none of ``taken``, whether breaks were met)."""
+    t, more = Traced(text), False
     if not text.isascii():
         _homoglyphs(t)
     if spelled:
-        _spelled(t)
+        more = _spelled(t, breaks)
     if _HAS_BRACKET.search(t.text):
         _bracketed(t)
     if dotted:
         _bare(t)
         _bare_ips(t)
     if not t.changed:
-        return []
-    changed = sorted(t.changed)
+        return [], False
+    changed = _merged(t.changed)
     out = []
     for a, kind, b in base_spans(t.text):
-        lo, hi = t.start[a], t.end[b - 1]
-        if _touches(changed, lo, hi) and not any(x < hi and y > lo for x, _, y in base):
+        lo, hi = int(t.start[a]), int(t.end[b - 1])
+        if _touches(changed, lo, hi) and not _touches(taken, lo, hi):
             out.append((lo, kind, hi))
-    return out
+    return out, more
+
+
+def _merged(ranges: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """(starts, ends) of the union of ``ranges``, ascending and apart."""
+    starts, ends = [], []
+    for a, b in sorted(ranges):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
 
 
-def _touches(ranges: list[tuple[int, int]], lo: int, hi: int) -> bool:
-    from bisect import bisect_left
-    i = bisect_left(ranges, (hi, -1))
-    return any(y > lo for _, y in ranges[max(0, i - 40):i])
+def _touches(ranges: tuple[list[int], list[int]], lo: int, hi: int) -> bool:
+    starts, ends = ranges
+    i = bisect_left(starts, hi)
+    return i > 0 and ends[i - 1] > lo
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:

@@ -112,8 +112,46 @@ def test_gate_lets_through_what_the_patterns_rewrite():
         if P._ODD.search(text) or P._UNGATED.search(text):
             continue
         one, two = P.Traced(text), P.Traced(text)
-        P._spelled(one)
+        P._spelled(one, True)
         P._bare(two)
         P._bare_ips(two)
         assert (a or not one.changed) and (b or not two.changed), text
     assert 0 < spelled.sum() < len(texts) and 0 < dotted.sum() < len(texts)
+
+
+CARD = "four" + " one" * 15
+
+
+@pytest.mark.parametrize("text,source", [
+    (f"card {CARD}, two apples", CARD),
+    (f"card {CARD}. Two apples", CARD),
+    (f"{CARD} and more", CARD),
+    ("pay four, " + ", ".join(["one"] * 15) + " now", "four, " + ", ".join(["one"] * 15)),
+    ("four one one one. " * 1 + "one " * 11 + "one end", "four one one one. " + "one " * 11 + "one"),
+])
+def test_runs_are_read_up_to_their_breaks_and_as_a_whole(text, source):
+    got = P.added_spans(text, P.base_spans(text))
+    assert [(P.KINDS[k], text[a:b]) for a, k, b in got] == [("card", source)]
+
+
+def test_a_phone_ends_with_its_last_word():
+    text = "call plus four nine one two three four five six seven, two of us"
+    (a, k, b), = P.added_spans(text, P.base_spans(text))
+    assert (P.KINDS[k], text[a:b]) == ("phone", "plus four nine one two three four five six seven")
+
+
+def test_time_follows_the_length():
+    import time
+    part = "plain.user@example.com and jane.doe at example dot org, ip 10.0.0.1; " + CARD + ", two. "
+    took = {}
+    for n in (1 << 20, 10 << 20):
+        text = part * (n // len(part))
+        t = time.process_time()
+        found = P.added_spans(text, P.base_spans(text))
+        took[n] = time.process_time() - t
+        assert len(found) == 2 * (n // len(part))
+    assert took[10 << 20] < 25 * took[1 << 20] + 1
+    spaces = "a" + " " * 300_000 + "[at] b [dot] org"
+    t = time.process_time()
+    P.added_spans(spaces, [])
+    assert time.process_time() - t < 5
