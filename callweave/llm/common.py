@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callweave.session import materialize
 
-__all__ = ["materialize", "held_out", "documents", "table", "read_columns", "bounded", "space_word_array", "join_counted", "text_key"]
+__all__ = ["materialize", "held_out", "documents", "table", "read_columns", "bounded", "space_word_array", "join_counted", "text_key", "free_name"]
 
 #: `[^\x20\x09-\x0D]+` as the separators of a Java split
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -36,6 +36,14 @@ def space_word_array(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, or ``base`` with underscores, so that no column of ``df`` has that name in any case."""
+    used = {c.lower() for c in df.columns}
+    while base.lower() in used:
+        base += "_"
+    return base
+
+
 def text_key(text: Column) -> list[Column]:
     """120 bits of a text's MD5 as two longs, ``k1`` and ``k2``."""
     md5 = F.md5(text)
@@ -70,8 +78,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
     classes' sizes among all such labels.
 
     The labelled ids are drawn by hash order, so the draw is the same on every run; the drawn
-    ids (2 * per_class rows at most) are handed to every task and no text is shuffled.  Of
-    several labels of one id the largest counts; null ids and null labels are not drawn."""
+    ids (2 * per_class rows at most) are handed to every task and only their texts are shuffled.  Of
+    several labels of one id the largest counts, of several texts of one id the least, so the sample has one row
+    per drawn id; null ids and null labels are not drawn."""
     value = F.col(column).cast("int")
     known = read_columns(labels, "doc_id", column).filter(value.isin(0, 1) & F.col("doc_id").isNotNull()
                                                           & ~held_out(F.col("doc_id")))
@@ -80,4 +89,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     drawn = known.filter("label = 0").orderBy(*order).limit(per_class) \
         .unionByName(known.filter("label = 1").orderBy(*order).limit(per_class))
-    return read_columns(docs, "doc_id", "text").join(F.broadcast(drawn), "doc_id"), sizes
+    rows = read_columns(docs, "doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label"), sizes

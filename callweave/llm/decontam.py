@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callweave.llm.bytewords import WordHasher, alnum_words, text_chunks
-from callweave.llm.common import materialize, read_columns
+from callweave.llm.common import free_name, materialize, read_columns
 
 WINDOW = 13
 #: documents in a segment are taken until their texts reach this size
@@ -329,8 +329,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, perce
     """``docs`` without the contaminated rows; all columns are kept.
 
     A row is told apart by its id and text, so rows that share an id are judged one by one."""
-    id_ = F.col("doc_id").cast("long")
+    id_, name = F.col("doc_id").cast("long"), free_name(docs, "_row")
     row = F.xxhash64(id_.isNull(), id_, F.col("text").isNull(), "text")
     bad = contamination(docs.select(row.alias("doc_id"), "text"), items, window, percent) \
-        .filter("contaminated").select(F.col("doc_id").alias("_cw_row")).distinct()
-    return docs.withColumn("_cw_row", row).join(bad, "_cw_row", "left_anti").drop("_cw_row")
+        .filter("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return docs.withColumn(name, row).join(bad, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -22,15 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callweave.llm.bytewords import WordHasher, mix64, space_words, text_chunks
-from callweave.llm.common import labelled_sample
+from callweave.llm.common import free_name, labelled_sample
 
 PER_CLASS = 1500
 MAX_LINES = 2000
+#: lines of all sampled documents together (their features reach the driver: 112 bytes a line, then 224)
+SAMPLE_LINES = 1_000_000
 EM_ROUNDS = 2
 REJECT_BELOW = 0.3
 _BASE = ["bias", "log_words", "upper", "digit", "symbol", "bang", "punct", "wide", "distinct", "adjacent",
@@ -308,7 +310,12 @@ def _sample_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> LineModel:
     sample, sizes = labelled_sample(docs, labels, "quality", per_class)
-    rows = sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "label") \
+    sample = sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "label")
+    # line counts of the drawn documents (2 * per_class rows at most) until the bound is reached, both classes alike
+    lines = sample.select("doc_id", "label", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).alias("n")).filter(F.col("n") <= MAX_LINES)
+    so_far = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    fits = lines.withColumn("n", F.sum("n").over(so_far)).filter(F.col("n") <= SAMPLE_LINES // 2).select("doc_id")
+    rows = sample.join(F.broadcast(fits), "doc_id", "left_semi") \
         .mapInArrow(_sample_features, "doc_id long, label int, f binary, size binary").toPandas()
     if rows.empty or rows["label"].nunique() < 2:
         constant = 0.5 if rows.empty else float(rows["label"].iloc[0])
@@ -344,5 +351,5 @@ def score_quality(docs: DataFrame, model: LineModel, name: str = "quality_score"
 
 def keep_good(docs: DataFrame, labels: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
     """``docs`` without the documents whose score is below ``reject_below``; all columns are kept."""
-    score = "_cw_quality"
+    score = free_name(docs, "_quality")
     return score_quality(docs, train(docs, labels), score).filter(F.col(score) >= reject_below).select(*docs.columns)

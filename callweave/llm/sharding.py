@@ -23,6 +23,8 @@ _M32 = 0xFFFFFFFF
 _A_HI, _A_LO = 2862933555777941757 >> 32, 2862933555777941757 & _M32
 #: groups in which slots are numbered, over all shards; each holds about rows / SLOT_GROUPS rows
 SLOT_GROUPS = 32768
+#: repetitions of one row that are numbered at once
+STRETCH = 100_000
 
 
 def _mul32(x: Column, y: int) -> Column:
@@ -91,11 +93,16 @@ def with_slots(rows: DataFrame, order: list[str], shards: int, groups: int = SLO
     before = Window.partitionBy("shard").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select("shard", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     inside = Window.partitionBy("shard", "_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return same.withColumn("_before", F.coalesce(F.sum("_times").over(inside), F.lit(0))) \
-        .join(F.broadcast(first), ["shard", "_group"]) \
-        .withColumn("slot", F.explode(F.sequence(F.col("_first") + F.col("_before"),
-                                                 F.col("_first") + F.col("_before") + F.col("_times") - 1))) \
-        .drop("_times", "_group", "_before", "_first")
+    start = F.col("_first") + F.col("_before")
+    placed = same.withColumn("_before", F.coalesce(F.sum("_times").over(inside), F.lit(0))) \
+        .join(F.broadcast(first), ["shard", "_group"]).withColumn("_from", start).withColumn("_to", start + F.col("_times") - 1) \
+        .drop("_group", "_before", "_first")
+    # a row that is repeated very often is numbered in stretches, by many tasks
+    often = placed.filter(F.col("_times") > STRETCH).withColumn("_at", F.explode(F.sequence("_from", "_to", F.lit(STRETCH).cast("long")))) \
+        .withColumn("_to", F.least("_to", F.col("_at") + STRETCH - 1)).withColumn("_from", F.col("_at")).drop("_at") \
+        .repartition("shard", "_from")
+    return placed.filter(F.col("_times") <= STRETCH).unionByName(often) \
+        .withColumn("slot", F.explode(F.sequence("_from", "_to"))).drop("_times", "_from", "_to")
 
 
 def shard_documents(docs: DataFrame, shards: int) -> DataFrame:

@@ -54,3 +54,13 @@ def test_other_keys_and_few_groups(make_docs):
         by[r.shard].append((r.slot, r.doc_id))
     for v in by.values():
         assert [d for _, d in sorted(v)] == sorted(d for _, d in v) and sorted(s for s, _ in v) == list(range(len(v)))
+
+
+def test_a_row_repeated_ten_million_times(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(0, 10_000_000, 1, 8).selectExpr("7L AS doc_id", "'same' AS text").unionByName(
+        spark.range(20).selectExpr("id AS doc_id", "concat('t', id) AS text"))
+    got = S.shard_documents(docs, 8)
+    per = got.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.countDistinct("slot").alias("d"))
+    rows = per.collect()
+    assert sum(r.n for r in rows) == 10_000_020 and all(r.lo == 0 and r.hi == r.n - 1 and r.d == r.n for r in rows)
