@@ -1114,3 +1114,38 @@ def q_resolve_super(spark, sf_dir):
 SELECT DISTINCT project, 'shop.Main' AS class_fqn, 'call' || method_ord AS method, 'v' AS variable FROM f_methods""")
 def q_fact_field_access(spark, sf_dir):
     return EX.fact_field_access(analysis(spark, sf_dir).facts_entry)
+
+
+# ---------------------------------------------------------------------------
+# Many projects (their number and size grow with the tables; one holds a third of all methods)
+# ---------------------------------------------------------------------------
+from callweave.functions.ranking import top_k_per_group  # noqa: E402
+from callweave.plans.oracle import CORPUS, CORPUS_MERGES  # noqa: E402
+
+_CORPUS = CORPUS.strip()
+
+
+@query("corpus_calls", _CORPUS + " SELECT DISTINCT project, caller, callee FROM xc")
+def q_corpus_calls(spark, sf_dir):
+    return analysis(spark, sf_dir).corpus_calls
+
+
+@query("corpus_weights", _CORPUS + " SELECT project, a, b, n_calls, weight FROM xw")
+def q_corpus_weights(spark, sf_dir):
+    return analysis(spark, sf_dir).corpus_weights
+
+
+@query("corpus_top_pairs", _CORPUS + """
+SELECT project, CAST(row_number() OVER (PARTITION BY project ORDER BY n_calls DESC, a, b) AS BIGINT) AS rank, a, b, n_calls
+FROM xw QUALIFY rank <= 5""")
+def q_corpus_top_pairs(spark, sf_dir):
+    w = analysis(spark, sf_dir).corpus_weights.select("project", "a", "b", "n_calls")
+    return top_k_per_group(w, ["project"], [F.col("n_calls").desc(), "a", "b"], 5).select("project", "rank", "a", "b", "n_calls")
+
+
+@query("corpus_merges", _CORPUS + "," + CORPUS_MERGES + """
+SELECT pos.project, n + it AS node_id, l AS "left", r AS "right", s / CAST(total * pairs AS DOUBLE) AS sim, size AS n_classes
+FROM pos JOIN xnn ON xnn.project = pos.project JOIN xt ON xt.project = pos.project""")
+def q_corpus_merges(spark, sf_dir):
+    d = analysis(spark, sf_dir).corpus_dendrogram
+    return d.filter("sim > 0").select("project", "node_id", "left", "right", "sim", "n_classes")

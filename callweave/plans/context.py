@@ -125,6 +125,32 @@ class Analysis:
         return materialize(extract_facts(render_sources(self.methods, self.invocations)), "facts")
 
 
+    # --- many projects -----------------------------------------------------------
+    @cached_property
+    def corpus_methods(self) -> DataFrame:
+        from callweave.sources.corpus import corpus_methods
+        return _keep(corpus_methods(self.spark, self.sf_dir))
+
+    @cached_property
+    def corpus_calls(self) -> DataFrame:
+        from callweave.sources.corpus import corpus_invocations
+        inv = corpus_invocations(self.spark, self.sf_dir, self.corpus_methods)
+        return _keep(R.resolve_global(_keep(inv), self.corpus_methods))
+
+    @cached_property
+    def corpus_weights(self) -> DataFrame:
+        from callweave.session import materialize
+        nodes = self.corpus_methods.select("project", F.col("method_fqn").alias("caller"))
+        counts = materialize(C.coupling_undirected(self.corpus_calls, nodes), "corpus_counts")
+        return _keep(C.coupling_weights(counts))
+
+    @cached_property
+    def corpus_dendrogram(self) -> DataFrame:
+        from callweave.operators.cluster import dendrogram
+        from callweave.session import materialize
+        pairs = self.corpus_weights.select("project", "a", "b", F.col("n_calls").alias("n"))
+        return materialize(dendrogram(pairs), "corpus_dendrogram")
+
     # --- the same from files in the shared folder, one per class ----------------
     @cached_property
     def scanned(self) -> DataFrame:

@@ -181,6 +181,53 @@ anc AS (
 """
 
 
+# Many projects: methods, calls and coupling of the corpus fixture, every step grouped by project.
+CORPUS = r"""
+xn AS (SELECT greatest(3, count(*) // 500) AS p, count(*) // 30 + 1 AS c FROM part),
+xm0 AS (
+  SELECT CASE WHEN p_partkey % 3 = 0 THEN 'hub' ELSE 'proj' || (p_partkey % p) END AS project, p_partkey AS o, p_partkey * 11 % c AS cn,
+         CASE WHEN p_partkey % 50 = 0 THEN 'get' ELSE 'm' || (p_partkey // 3) END AS method, p_size AS loc
+  FROM part, xn),
+xm AS (SELECT *, project || '.p' || (cn % 4) || '.C' || cn AS class_fqn FROM xm0),
+xi AS (
+  SELECT DISTINCT xm.project, xm.class_fqn, xm.class_fqn || '.' || xm.method AS caller,
+         CASE WHEN nx % 50 = 0 THEN 'get' ELSE 'm' || (nx // 3) END AS callee_simple
+  FROM (SELECT l_partkey, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS nx
+        FROM lineitem) l JOIN xm ON xm.o = l.l_partkey WHERE nx IS NOT NULL),
+xu AS (SELECT project, method, min(class_fqn) AS k FROM xm WHERE method <> 'get' GROUP BY ALL HAVING count(DISTINCT class_fqn) = 1),
+xc AS (SELECT DISTINCT xi.project, class_fqn, caller, xu.k, coalesce(xu.k || '.' || callee_simple, callee_simple) AS callee
+       FROM xi LEFT JOIN xu ON xu.project = xi.project AND xu.method = xi.callee_simple),
+xp AS (SELECT project, least(class_fqn, k) AS a, greatest(class_fqn, k) AS b, count(DISTINCT callee) AS n_calls
+       FROM xc WHERE k IS NOT NULL AND k <> class_fqn GROUP BY ALL),
+xt AS (SELECT project, CAST(sum(n_calls) AS BIGINT) AS total FROM xp GROUP BY project),
+xw AS (SELECT xp.*, n_calls / CAST(total AS DOUBLE) AS weight FROM xp JOIN xt USING (project))
+"""
+# One merge per step and project, as in _CLUSTER.
+CORPUS_MERGES = r"""
+xcl AS (SELECT project, c, CAST(row_number() OVER (PARTITION BY project ORDER BY c) - 1 AS BIGINT) AS id
+        FROM (SELECT project, a AS c FROM xp UNION SELECT project, b FROM xp)),
+xnn AS (SELECT project, count(*) AS n FROM xcl GROUP BY project),
+st AS (
+  SELECT xp.project, 0::BIGINT AS it, x.id AS a, y.id AS b, n_calls::BIGINT AS s, 1::BIGINT AS na, 1::BIGINT AS nb
+  FROM xp JOIN xcl x ON x.project = xp.project AND x.c = xp.a JOIN xcl y ON y.project = xp.project AND y.c = xp.b
+  UNION ALL
+  SELECT project, it + 1, least(a2, b2), greatest(a2, b2), sum(s)::BIGINT,
+         any_value(CASE WHEN a2 < b2 THEN na2 ELSE nb2 END), any_value(CASE WHEN a2 < b2 THEN nb2 ELSE na2 END)
+  FROM (SELECT st.project, st.it, st.s,
+          CASE WHEN a IN (ba, bb) THEN n + st.it ELSE a END AS a2, CASE WHEN b IN (ba, bb) THEN n + st.it ELSE b END AS b2,
+          CASE WHEN a IN (ba, bb) THEN bna + bnb ELSE na END AS na2, CASE WHEN b IN (ba, bb) THEN bna + bnb ELSE nb END AS nb2
+        FROM st JOIN xnn ON xnn.project = st.project
+        JOIN (SELECT project AS zp, arg_min(struct_pack(a := a, b := b, na := na, nb := nb), (-(s::DOUBLE / (na * nb)), a, b)) AS w
+              FROM st GROUP BY project) z0 ON z0.zp = st.project,
+        LATERAL (SELECT w.a AS ba, w.b AS bb, w.na AS bna, w.nb AS bnb) z
+        WHERE NOT (a = ba AND b = bb))
+  GROUP BY project, it, least(a2, b2), greatest(a2, b2)),
+pos AS (
+  SELECT project, it, a AS l, b AS r, s, na + nb AS size, na * nb AS pairs FROM st
+  QUALIFY row_number() OVER (PARTITION BY project, it ORDER BY s::DOUBLE / (na * nb) DESC, a, b) = 1)
+"""
+
+
 def with_fixtures(body: str) -> str:
     return "WITH RECURSIVE " + _F_METHODS.strip() + "\n" + body.strip()
 
@@ -205,6 +252,8 @@ def cluster_block(pairs_sql: str, total_sql: str | None = None) -> str:
 
 def sql_for(key: str) -> str:
     body = BODIES[key].strip()
+    if body.startswith("xn AS"):
+        return "WITH RECURSIVE " + body
     if body.startswith(","):
         return "WITH RECURSIVE " + _F_METHODS.strip() + body
     return with_fixtures(body)
