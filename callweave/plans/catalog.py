@@ -1149,3 +1149,58 @@ FROM pos JOIN xnn ON xnn.project = pos.project JOIN xt ON xt.project = pos.proje
 def q_corpus_merges(spark, sf_dir):
     d = analysis(spark, sf_dir).corpus_dendrogram
     return d.filter("sim > 0").select("project", "node_id", "left", "right", "sim", "n_classes")
+
+
+# ---------------------------------------------------------------------------
+# Files: written to the shared folder, read back and compared line by line
+# ---------------------------------------------------------------------------
+from callweave.plans.oracle import sql_for  # noqa: E402
+from callweave.session import work_path  # noqa: E402
+
+
+def _numbered(key: str, order: str, text: str = "text") -> str:
+    """SQL of ``key`` with its rows numbered in the order of the file."""
+    return f"""
+SELECT CAST(row_number() OVER (ORDER BY {order}) - 1 AS BIGINT) AS line_no, {text} AS text FROM ({sql_for(key)}) AS q"""
+
+
+def _written(spark, rows, order, text, name):
+    path = work_path(spark, name)
+    K.write_lines(rows, order, text, path)
+    return K.read_lines(spark, path)
+
+
+@query("written_dot", _numbered("dot_lines", "project, section, ord", "line"))
+def q_written_dot(spark, sf_dir):
+    return _written(spark, K.dot_lines(analysis(spark, sf_dir).coupling, QUERY_MIN_WEIGHT), ["project", "section", "ord"], "line", "dot")
+
+
+@query("written_module_report", _numbered("module_report", "project, section, module_no, line_no"))
+def q_written_module_report(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    report = MO.module_report(a.dendro, a.cut["modules"], a.cut["members"])
+    return _written(spark, report, ["project", "section", "module_no", "line_no"], "text", "report")
+
+
+@query("written_coupling_summary", _numbered("coupling_summary", "project, section, line_no"))
+def q_written_coupling_summary(spark, sf_dir):
+    a = analysis(spark, sf_dir)
+    summary = V.coupling_summary(a.coupling, C.detected_packages(a.calls, a.nodes))
+    return _written(spark, summary, ["project", "section", "line_no"], "text", "summary")
+
+
+@query("written_json_edges", sql_for("json_edges"))
+def q_written_json_edges(spark, sf_dir):
+    """All formats are exported; the JSON edges are read back."""
+    paths = K.export_all(analysis(spark, sf_dir).coupling, work_path(spark, "export"), QUERY_MIN_WEIGHT)
+    return spark.read.schema("project string, source string, target string, weight double, count long").json(f"{paths['json']}/edges")
+
+
+@query("written_coupling_csv", """
+SELECT a AS source, b AS target, printf('%.6f', weight) AS weight, n_calls AS count, printf('%.2f%%', 100 * weight) AS percentage
+FROM weights WHERE weight >= """ + str(QUERY_MIN_WEIGHT))
+def q_written_coupling_csv(spark, sf_dir):
+    path = work_path(spark, "csv")
+    K.write_csv(analysis(spark, sf_dir).coupling, path, QUERY_MIN_WEIGHT)
+    return spark.read.option("header", True).schema("Source string, Target string, Weight string, Count long, Percentage string").csv(path) \
+        .toDF("source", "target", "weight", "count", "percentage")

@@ -7,7 +7,6 @@ table around for the many reports that read it.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -154,10 +153,10 @@ class Analysis:
     # --- the same from files in the shared folder, one per class ----------------
     @cached_property
     def scanned(self) -> DataFrame:
-        from callweave.session import ensure_checkpoint_dir
+        from callweave.session import work_path
         from callweave.sources.extract import scan_sources, with_file_order
         from callweave.sources.render import write_class_files
-        root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/callweave-tables/scan-{uuid.uuid4().hex}/sources"
+        root = work_path(self.spark, "scan") + "/sources"
         write_class_files(self.methods, self.invocations, root)
         found = scan_sources(self.spark, root, None, "*.txt")
         return with_file_order(found.withColumn("project", F.regexp_replace("project", "^folder=", "")))

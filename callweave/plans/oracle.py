@@ -254,6 +254,8 @@ def sql_for(key: str) -> str:
     body = BODIES[key].strip()
     if body.startswith("xn AS"):
         return "WITH RECURSIVE " + body
+    if body.startswith("WITH "):
+        return body
     if body.startswith(","):
         return "WITH RECURSIVE " + _F_METHODS.strip() + body
     return with_fixtures(body)

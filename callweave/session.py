@@ -64,6 +64,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def work_path(spark, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/callweave-tables/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df, name: str = "t"):
     """Cut lineage: write ``df`` as Parquet under the checkpoint directory and read it back.
 
@@ -72,8 +77,7 @@ def materialize(df, name: str = "t"):
     and AQE sees true sizes when it picks broadcast or sort-merge joins.  The result's
     ``written`` is the table's path, for ``discard``."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/callweave-tables/{name}-{uuid.uuid4().hex}"
+    path = work_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     # the schema is known: no job to infer it from the files
     out = spark.read.schema(df.schema).parquet(path)

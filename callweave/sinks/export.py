@@ -7,13 +7,14 @@ display-sized DOT graph (at most ``max_nodes`` nodes) is coalesced to one file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from callweave.functions import names as N
 from callweave.functions.ranking import ordered_cells, with_group_position
 from callweave.operators import views as V
 from callweave.operators.coupling import coupled_classes, coupling_total
+from callweave.session import materialize
 
 # Fixed values of the DOT header.
 DOT_HEADER = ["digraph CouplingGraph {", "  rankdir=LR;",
@@ -86,6 +87,39 @@ def modules_csv_cells(modules: DataFrame, members: DataFrame, analyzer: str | No
     return out.withColumn("analyzer", F.lit(analyzer)) if analyzer else out
 
 
+def write_lines(rows: DataFrame, order_cols, text: str, path: str) -> DataFrame:
+    """Writes column ``text`` of ``rows`` as text files in the order of ``order_cols``; returns the manifest.
+
+    Rows are range-sorted, so every file holds a stretch of lines and the files in name order are the whole; no
+    task sees more than its stretch.  The manifest, written beside them as ``<path>.manifest``, has one row
+    per file: (file, first_line, lines), with lines counted from 0.  A line must not hold a line end."""
+    rows.orderBy(*order_cols).select(F.col(text).alias("value")).write.mode("overwrite").text(path)
+    files = _blocks(rows.sparkSession.read.text(path)).groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    manifest = files.select("file", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("first_line"), "lines")
+    manifest.write.mode("overwrite").parquet(f"{path}.manifest")
+    return rows.sparkSession.read.parquet(f"{path}.manifest")
+
+
+def _blocks(lines: DataFrame) -> DataFrame:
+    return lines.select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                        F.monotonically_increasing_id().alias("_at"))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, text) of the files that ``write_lines`` wrote, numbered by their manifest.
+
+    Lines are numbered inside the block of a file that one task reads, blocks by their counts."""
+    lines = materialize(_blocks(spark.read.text(path)), "lines")
+    blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_before", F.coalesce(F.sum("n").over(earlier), F.lit(0))) \
+        .join(spark.read.parquet(f"{path}.manifest").select("file", "first_line"), "file")
+    inside = Window.partitionBy("file", "block").orderBy("_at")
+    return lines.withColumn("_n", F.row_number().over(inside) - 1).join(starts, ["file", "block"]) \
+        .select((F.col("first_line") + F.col("_before") + F.col("_n")).cast("long").alias("line_no"), F.col("value").alias("text"))
+
+
 def write_dot(lines: DataFrame, path: str) -> None:
     """One folder ``project=...`` per graph, its lines in order (a display graph is a bounded group)."""
     (lines.repartition("project").sortWithinPartitions("project", "section", "ord")
@@ -128,7 +162,7 @@ def write_text(report: DataFrame, path: str, order_cols=None) -> None:
     """K5: report rows in order, one text line each; the order is told from the report's columns."""
     if order_cols is None:
         order_cols = next(o for o in sorted(ORDER.values(), key=len, reverse=True) if set(o) <= set(report.columns))
-    report.orderBy(*order_cols).select("text").write.mode("overwrite").text(path)
+    write_lines(report, order_cols, "text", path)
 
 
 # Fixed values of the closing list of written files.

@@ -68,3 +68,18 @@ def test_package_list_keeps_parents_and_children(spark):
     packs = spark.createDataFrame([("p", "a.b"), ("other", "q")], "project string, package string")
     kept = {r.cls for r in C.project_class_filter(calls, "cls", packs).collect()}
     assert kept == {"a.b.X", "a.Y", "a.b.c.Z"}
+
+
+def test_lines_are_numbered_over_many_files(spark):
+    path = tempfile.mkdtemp(prefix="cw-lines-", dir="/tmp") + "/out"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(0, 5000, 1, 7).selectExpr("id % 2 AS g", "id", "CASE WHEN id % 100 = 0 THEN '' ELSE concat('line ', id) END AS text")
+        manifest = K.write_lines(rows, ["g", F.col("id").desc()], "text", path).orderBy("file").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(manifest) > 2 and sum(r.lines for r in manifest) == 5000
+    assert [r.first_line for r in manifest] == [sum(x.lines for x in manifest[:i]) for i in range(len(manifest))]
+    got = [(r.line_no, r.text) for r in K.read_lines(spark, path).collect()]
+    want = ["" if i % 100 == 0 else f"line {i}" for g in (0, 1) for i in range(4999, -1, -1) if i % 2 == g]
+    assert sorted(got) == list(enumerate(want))
