@@ -1204,3 +1204,28 @@ def q_written_coupling_csv(spark, sf_dir):
     K.write_csv(analysis(spark, sf_dir).coupling, path, QUERY_MIN_WEIGHT)
     return spark.read.option("header", True).schema("Source string, Target string, Weight string, Count long, Percentage string").csv(path) \
         .toDF("source", "target", "weight", "count", "percentage")
+
+
+# ---------------------------------------------------------------------------
+# Colours of the coupling view, and the call graph of all its edge sets
+# ---------------------------------------------------------------------------
+@query("coupling_palette", f"""
+, pk AS (SELECT DISTINCT project, regexp_extract(c, '^(.+)\\.[^.]*$', 1) AS package
+         FROM (SELECT project, a AS c FROM weights UNION SELECT project, b FROM weights)),
+rk AS (SELECT project, package, dense_rank() OVER (PARTITION BY project ORDER BY package) AS r FROM pk)
+SELECT project, package, ({N.PALETTE_15})[((r - 1) % 15) + 1] AS color FROM rk""")
+def q_coupling_palette(spark, sf_dir):
+    from callweave.operators.graphview import package_palette
+    classes = C.coupled_classes(analysis(spark, sf_dir).coupling)
+    return package_palette(classes.select("project", N.package_of("class_fqn").alias("group_package")), N.PALETTE_15)
+
+
+@query("call_graph_all", """
+SELECT project, caller, callee FROM g_calls
+UNION SELECT project, 'shop.Main.call' || method_ord, 'super.' || method FROM f_methods
+UNION SELECT project, 'shop.Main.call' || method_ord, class_fqn || '.' || method FROM f_methods""")
+def q_call_graph_all(spark, sf_dir):
+    """Calls resolved by name, super calls and calls on local variables of the entry class, as one graph."""
+    a = analysis(spark, sf_dir)
+    local = EX.local_receiver_calls(a.facts_entry).withColumn("entry_fqn", F.col("class_fqn"))
+    return R.call_graph(a.calls, R.resolve_super(EX.fact_super_invocations(a.facts_entry)), R.resolve_local_calls(local, a.classes))
