@@ -36,8 +36,9 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     """Join a large side with a side of one row per key, where one key may hold most of ``left``.
 
     The right rows are repeated over ``salts`` values and every left row takes one of them by its
-    hash, so a hot key is dealt over that many tasks whatever the sizes are estimated at."""
-    n = salts or max(8, min(64, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
+    hash, so a hot key is dealt over that many tasks (as many as there are shuffle partitions, unless
+    given) whatever the sizes are estimated at."""
+    n = salts or max(8, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(n)))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

@@ -5,8 +5,6 @@ from fractions import Fraction
 
 import pytest
 
-from pyspark.sql import functions as F
-
 from callweave.operators import cluster as CL
 
 
