@@ -2,9 +2,9 @@
 
 Sketch: one permutation sigma scatters the shingles over Z/2^32; all coordinates come from a
 second permutation pi that is shifted circularly, h_k = min pi(sigma(x) - k) (Li & Li 2022).
-Equal sets are grouped first; one representative of each set is banded.  With 20 bands of 4
-coordinates a pair at the threshold 0.85 shares no band with probability (1 - 0.85^4)^20,
-about 4e-7.
+Equal sets are grouped first; one representative of each set is banded.  A ``Rule`` has the width of
+shingles and the threshold J; as many bands of 4 coordinates are taken as make a pair at the
+threshold share no band with a probability, (1 - J^4)^bands, of at most 5e-7: 20 at 0.85, 28 at 0.8.
 
 Candidates never expand into all pairs of a bucket.  First a bucket tests its members against
 one centre (the member that meets most others over all its bands); links are confirmed on the
@@ -13,12 +13,12 @@ component is finished.  Members of the others get a long sketch (2048 coordinate
 circulant family, one bit each); pairs of a bucket in different components are compared by
 it inside the join, and only those it cannot exclude leave the join for the exact test.  So no
 link between different texts is lost, and a large group of copies that differ more than the
-threshold gives few rows.  The filters exclude pairs more than 5 standard deviations below the
-threshold: 46 of 80 equal coordinates where 68 are expected, and 213 of 2048 differing bits
-where 154 are expected; sizes that exclude the threshold are left out too.
+threshold gives few rows.  The filters exclude pairs whose short sketch lies 7, or whose long sketch
+lies 5, standard deviations below the threshold (at 0.85: under 46 of 80 equal coordinates where 68 are
+expected, over 213 of 2048 differing bits where 154 are expected); sizes that exclude the threshold are left out too.
 
-Words: A-Z lower-cased, `[^\\x20\\x09-\\x0D]+`; a set holds the distinct 64-bit hashes of
-3-word shingles, or of the whole sequence when the text has fewer words.
+Words: A-Z lower-cased, `[^\\x20\\x09-\\x0D]+`; a set holds the distinct 64-bit hashes of the
+rule's shingles (3 or 5 words), or of the whole sequence when the text has fewer words.
 
 A node is a set of shingles, that is, all rows whose sets are equal; a doc_id that holds several
 texts links the nodes of these texts with each other.  ``deduplicate`` leaves such links out: it drops
@@ -31,7 +31,9 @@ result; other columns, whatever their names, are ignored (``deduplicate`` carrie
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import math
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +44,10 @@ from callweave.llm.bytewords import WordHasher, mix64, space_words, text_chunks
 from callweave.llm.common import join_counted, materialize, read_columns, text_key
 from callweave.llm.components import connected_components
 
-WIDTH = 3
-PERCENT = 85
-BANDS, ROWS = 20, 4
-COORDINATES = BANDS * ROWS
-MIN_EQUAL = 46
-LONG = 2048
-#: differing bits at the threshold: mean LONG * (1 - J) / 2 = 154, standard deviation 11.9
-MAX_DIFFERING = 213
+#: coordinates of a band, and of the long sketch
+ROWS, LONG = 4, 2048
+#: probability that a pair at the threshold shares no band
+MAX_MISS = 5e-7
 #: bits of the filter that keeps texts without a candidate out of the shuffle: 16 for a candidate, within
 #: these bounds (32 MB at most); what it lets through is sorted out by a join
 MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 20, 1 << 28
@@ -62,8 +60,43 @@ SKETCH_SCHEMA = ("doc_id long, k1 long, k2 long, n_shingles long, fp1 long, fp2
                  "sig binary")
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Texts are alike if 100 * shared >= percent * united shingles of ``width`` words; what follows from that."""
+
+    width: int
+    percent: int
+
+    def __post_init__(self):
+        if self.width < 1 or not 50 <= self.percent <= 100:
+            raise ValueError(f"shingles of at least one word and a threshold of 50 to 100 percent, not {self}")
+
+    @property
+    def bands(self) -> int:
+        return max(1, math.ceil(math.log(MAX_MISS) / math.log1p(-(self.percent / 100) ** ROWS))) if self.percent < 100 else 1
+
+    @property
+    def coordinates(self) -> int:
+        return self.bands * ROWS
+
+    @property
+    def min_equal(self) -> int:
+        j, n = self.percent / 100, self.coordinates
+        return round(n * j - 7 * math.sqrt(n * j * (1 - j)))
+
+    @property
+    def max_differing(self) -> int:
+        p = (1 - self.percent / 100) / 2
+        return int(LONG * p + 5 * math.sqrt(LONG * p * (1 - p)))
+
+
+#: the rule of ``near_duplicate_classes``' query, and the one of stages on word shingles
+CLASSES = Rule(3, 85)
+FIVE_WORDS = Rule(5, 80)
+
+
 # --- sets and sketches ----------------------------------------------------------------------
-def shingle_sets(hasher: WordHasher, data: np.ndarray, offs: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
+def shingle_sets(hasher: WordHasher, data: np.ndarray, offs: np.ndarray, width: int = CLASSES.width) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text of a chunk."""
     starts, ends, first = hasher.bounds(data, offs)
     w = hasher.hashes(data, starts, ends)
@@ -89,7 +122,7 @@ def shingle_sets(hasher: WordHasher, data: np.ndarray, offs: np.ndarray, width:
     return out
 
 
-def circulant_signature(values: np.ndarray, at: np.ndarray, k: int = COORDINATES) -> np.ndarray:
+def circulant_signature(values: np.ndarray, at: np.ndarray, k: int = CLASSES.coordinates) -> np.ndarray:
     """(sets, k) uint32: coordinate j is the least pi(sigma(x) - j) over the set.
 
     ``values`` concatenates non-empty sets, ``at`` are their first indices.  The shingle hash
@@ -108,7 +141,7 @@ def circulant_signature(values: np.ndarray, at: np.ndarray, k: int = COORDINATES
     return out
 
 
-def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
+def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     rows = sig.shape[1] // bands
     s = sig.astype(np.uint64).reshape(len(sig), bands, rows)
     h = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), s.shape[:2]).copy()
@@ -117,35 +150,38 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = WordHasher(space_words(), lower=True)
-    for batch in batches:
-        for lo, hi, data, offs in text_chunks(batch.column("text")):
-            sets = shingle_sets(hasher, data, offs)
-            n = np.array([len(s) for s in sets], dtype=np.int64)
-            full = np.flatnonzero(n)
-            fp1, fp2 = np.zeros(hi - lo, dtype=np.uint64), np.zeros(hi - lo, dtype=np.uint64)
-            keys: list = [None] * (hi - lo)
-            sigs: list = [None] * (hi - lo)
-            if len(full):
-                values = np.concatenate([sets[i] for i in full])
-                at = np.cumsum(n[full]) - n[full]
-                fp1[full] = np.add.reduceat(mix64(values), at)
-                fp2[full] = np.bitwise_xor.reduceat(mix64(~values), at)
-                sig = circulant_signature(values, at)
-                bands, short = band_keys(sig), sig.astype(np.uint8)
-                for k, i in enumerate(full):
-                    keys[i], sigs[i] = bands[k], short[k].tobytes()
-            key = [batch.column(c).slice(lo, hi - lo) for c in KEY]
-            yield pa.RecordBatch.from_arrays([
-                *key, pa.array(n, pa.int64()), pa.array(fp1.view(np.int64), pa.int64()),
-                pa.array(fp2.view(np.int64), pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-                pa.array(sigs, pa.binary())], names=[*KEY, "n_shingles", "fp1", "fp2", "bands", "sig"])
-
-
-def sketch(docs: DataFrame) -> DataFrame:
+def _sketch(rule: Rule) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher(space_words(), lower=True)
+        for batch in batches:
+            for lo, hi, data, offs in text_chunks(batch.column("text")):
+                sets = shingle_sets(hasher, data, offs, rule.width)
+                n = np.array([len(s) for s in sets], dtype=np.int64)
+                full = np.flatnonzero(n)
+                fp1, fp2 = np.zeros(hi - lo, dtype=np.uint64), np.zeros(hi - lo, dtype=np.uint64)
+                keys: list = [None] * (hi - lo)
+                sigs: list = [None] * (hi - lo)
+                if len(full):
+                    values = np.concatenate([sets[i] for i in full])
+                    at = np.cumsum(n[full]) - n[full]
+                    fp1[full] = np.add.reduceat(mix64(values), at)
+                    fp2[full] = np.bitwise_xor.reduceat(mix64(~values), at)
+                    sig = circulant_signature(values, at, rule.coordinates)
+                    bands, short = band_keys(sig, rule.bands), sig.astype(np.uint8)
+                    for k, i in enumerate(full):
+                        keys[i], sigs[i] = bands[k], short[k].tobytes()
+                key = [batch.column(c).slice(lo, hi - lo) for c in KEY]
+                yield pa.RecordBatch.from_arrays([
+                    *key, pa.array(n, pa.int64()), pa.array(fp1.view(np.int64), pa.int64()),
+                    pa.array(fp2.view(np.int64), pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(sigs, pa.binary())], names=[*KEY, "n_shingles", "fp1", "fp2", "bands", "sig"])
+
+    return rows
+
+
+def sketch(docs: DataFrame, rule: Rule = CLASSES) -> DataFrame:
     """doc_id, a key of the text, n_shingles, a 128-bit set fingerprint, band keys and the signature's low bytes."""
-    return _texts(docs).mapInArrow(_sketch, SKETCH_SCHEMA)
+    return _texts(docs).mapInArrow(_sketch(rule), SKETCH_SCHEMA)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -178,7 +214,7 @@ def row_filter(rows: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def candidate_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(id, members): the full sorted shingle set of every node in ``wanted`` (id and the key of one of its rows)."""
     spark = docs.sparkSession
     hashed = F.xxhash64(*KEY)
@@ -194,7 +230,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             got = [(bloom[x >> np.uint64(6)] >> (x & np.uint64(63))) & np.uint64(1) for x in (a, b)]
             batch = batch.filter(pa.array((got[0] & got[1]).astype(bool)))
             for lo, hi, data, offs in text_chunks(batch.column("text")):
-                found = shingle_sets(hasher, data, offs)
+                found = shingle_sets(hasher, data, offs, width)
                 yield pa.RecordBatch.from_arrays([
                     *[batch.column(c).slice(lo, hi - lo) for c in KEY],
                     pa.array([s.tobytes() for s in found], pa.binary())], names=[*KEY, "members"])
@@ -221,25 +257,28 @@ def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["a", "b", "shared", "united"])
 
 
-def _alike(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if not b.num_rows:
-            continue
-        x = np.frombuffer(b"".join(b.column("sa").to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
-        y = np.frombuffer(b"".join(b.column("sb").to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
-        keep = pa.array((x == y).sum(axis=1) >= MIN_EQUAL)
-        yield b.select(["a", "b"]).filter(keep)
+def _alike(least: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.frombuffer(b"".join(b.column("sa").to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
+            y = np.frombuffer(b"".join(b.column("sb").to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
+            yield b.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
+
+    return pairs
 
 
-def _alike_pairs(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+def _alike_pairs(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) that the short sketches cannot exclude; ``a``, a centre, may be in most of them."""
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"))
     sa = materialize(counts.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a"), "centres")
     sb = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
-    return join_counted(pairs, sa, ["a"], "pairs").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long")
+    return join_counted(pairs, sa, ["a"], "pairs").join(sb, "b").select("a", "b", "sa", "sb") \
+        .mapInArrow(_alike(least), "a long, b long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = CLASSES.percent) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold: 100 * shared >= percent * united.
 
     ``pairs`` is a written table.  The set of an ``a`` with many pairs is copied, once for ``PAIRS_PER_COPY`` of
@@ -303,7 +342,7 @@ def _long_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(list(words), pa.list_(pa.int64()))], names=["id", "bits"])
 
 
-def _rest_pairs(members: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rest_pairs(members: DataFrame, reps: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of a bucket that are in two components and that the long sketch cannot exclude.
 
     A pair leaves the join in the first band that it shares, and so once."""
@@ -315,19 +354,19 @@ def _rest_pairs(members: DataFrame, reps: DataFrame, sets: DataFrame, percent: i
                      F.col("bits").alias("bbits"), F.col("bands").alias("bbands"))
     differing = sum((F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("bbits", F.lit(i))))
                      for i in range(LONG // 64)), F.lit(0))
-    alike = (F.col("id") < F.col("b")) & (F.col("comp") != F.col("bcomp")) & _size_fits("n", "bn", percent) \
-        & (differing <= MAX_DIFFERING)
-    for i in range(BANDS - 1):
+    alike = (F.col("id") < F.col("b")) & (F.col("comp") != F.col("bcomp")) & _size_fits("n", "bn", rule.percent) \
+        & (differing <= rule.max_differing)
+    for i in range(rule.bands - 1):
         alike &= (F.col("band") <= i) | (F.get("bands", F.lit(i)) != F.get("bbands", F.lit(i)))
     return one.join(two, (one["key"] == two["key"]) & alike).select(F.col("id").alias("a"), "b")
 
 
-def _classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows without words or id, members, links).
 
     members: (doc_id, k1, k2, n_shingles, node, copies, rep), one for every other row; ``copies`` rows have the
     node's set, ``rep`` is their smallest doc_id.  links: (id, component) of the nodes linked by text."""
-    rows = materialize(sketch(docs), "sketch")
+    rows = materialize(sketch(docs, rule), "sketch")
     valued = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     fp = ["n_shingles", "fp1", "fp2"]
     groups = valued.groupBy(*fp).agg(F.min(F.struct(*KEY)).alias("row"), F.count(F.lit(1)).alias("copies"),
@@ -339,12 +378,12 @@ def _classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataF
     members = materialize(members.select(*KEY, "n_shingles", "node", "copies", "rep"), "members")
     reps = groups.select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "bands", "sig",
                          *[F.col(f"row.{c}").alias(c) for c in KEY])
-    return rows.filter("n_shingles = 0 OR doc_id IS NULL"), members, components_of(docs, reps, percent)
+    return rows.filter("n_shingles = 0 OR doc_id IS NULL"), members, components_of(docs, reps, rule)
 
 
-def near_duplicate_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicate_classes(docs: DataFrame, rule: Rule = CLASSES) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
-    rest, members, comp = _classes(docs, percent)
+    rest, members, comp = _classes(docs, rule)
     nodes = members.groupBy("node").agg(F.min("rep").alias("rep"), F.max("copies").alias("copies"))
     named = materialize(nodes.join(comp, F.col("node") == F.col("id"), "left")
                         .select("node", "rep", "copies", F.coalesce("component", "node").alias("component")), "nodes")
@@ -366,29 +405,29 @@ def near_duplicate_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame
     return out.select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
 
-def components_of(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
+def components_of(docs: DataFrame, reps: DataFrame, rule: Rule = CLASSES) -> DataFrame:
     """(id, component) of the representatives that are linked with another one."""
     buckets = _buckets(reps)
     wanted = materialize(reps.select("id", *KEY).join(buckets.select("id").distinct(), "id"), "wanted")
-    sets = materialize(candidate_sets(docs, wanted), "sets")
-    stars = materialize(_star_pairs(buckets, percent), "pairs")
-    near = materialize(_alike_pairs(stars, reps.select("id", "sig")), "alike")
-    links = materialize(confirmed(near, sets, percent), "links")
+    sets = materialize(candidate_sets(docs, wanted, rule.width), "sets")
+    stars = materialize(_star_pairs(buckets, rule.percent), "pairs")
+    near = materialize(_alike_pairs(stars, reps.select("id", "sig"), rule.min_equal), "alike")
+    links = materialize(confirmed(near, sets, rule.percent), "links")
     comp = connected_components(links)
     open_ = _open_members(buckets, comp)
     tried = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = materialize(_rest_pairs(open_, reps, sets, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(confirmed(rest, sets, percent), "links")
+    rest = materialize(_rest_pairs(open_, reps, sets, rule).join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = materialize(confirmed(rest, sets, rule.percent), "links")
     return comp if more.isEmpty() else connected_components(links.unionByName(more))
 
 
-def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def deduplicate(docs: DataFrame, rule: Rule = FIVE_WORDS) -> DataFrame:
     """``docs`` with one row of each class of texts that are linked with each other.
 
     A class is what the links between texts join; that of the smallest doc_id stays (of its several
     texts or rows, one by a fixed order).  A doc_id that holds several unlinked texts keeps them all.
     All columns are kept; rows without words or without doc_id stay."""
-    _, members, comp = _classes(docs, percent)
+    _, members, comp = _classes(docs, rule)
     firsts = members.groupBy("node").agg(F.min(F.struct(*KEY)).alias("row"))
     firsts = firsts.join(comp, F.col("node") == F.col("id"), "left") \
         .groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("row").alias("row"))

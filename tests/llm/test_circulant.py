@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from callweave.llm import circulant as C
 from callweave.llm.components import connected_components
@@ -9,15 +10,15 @@ from callweave.llm.components import connected_components
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def shingles(text):
+def shingles(text, width=3):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
-    if len(w) >= 3:
-        return {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
+    if len(w) >= width:
+        return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)}
     return {tuple(w)} if w else set()
 
 
-def brute(rows):
-    sets = {i: shingles(t) for i, t, *_ in rows if i is not None}
+def brute(rows, width=3, percent=85):
+    sets = {i: shingles(t, width) for i, t, *_ in rows if i is not None}
     up = {i: i for i in sets}
 
     def root(i):
@@ -28,7 +29,7 @@ def brute(rows):
     ids = sorted(sets)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = root(a), root(b)
                 up[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), root(i)) for i in ids}
@@ -57,6 +58,43 @@ def test_classes_equal_brute_force(make_docs):
     assert got == brute(rows)
 
 
+def edited(rng, words, word):
+    """A copy with scattered edits, or with a block added or left out (0.7 to 0.95 alike)."""
+    w, kind = list(words), rng.randrange(3)
+    size = rng.randint(len(w) // 20, len(w) // 4)
+    at = rng.randrange(len(w) - size)
+    if kind == 0:
+        w[at:at + size] = []
+    elif kind == 1:
+        w[at:at] = [word() for _ in range(size)]
+    else:
+        for _ in range(rng.randint(1, max(1, len(w) // 30))):
+            w[rng.randrange(len(w))] = word()
+    return w
+
+
+def test_five_words_and_four_fifths_equal_brute_force(make_docs):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 5)))
+    rows = []
+    for _ in range(25):
+        base = [word() for _ in range(rng.randint(40, 200))]
+        rows += [(len(rows) + k, " ".join(w)) for k, w in enumerate([base] + [edited(rng, base, word) for _ in range(4)])]
+    rows += [(900, "one two three four"), (901, "One two THREE four"), (902, "one two three"), (903, ""), (904, None)]
+    want = brute(rows, 5, 80)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in C.near_duplicate_classes(make_docs(rows), C.FIVE_WORDS).collect()}
+    assert got == want and got != brute(rows, 5, 85) and got != {**brute(rows, 3, 85)}
+    assert {r.doc_id for r in C.deduplicate(make_docs(rows)).collect()} == {i for i, (_, c) in want.items() if c == i}
+
+
+def test_bands_and_filters_follow_from_the_threshold():
+    assert (C.CLASSES.bands, C.CLASSES.coordinates, C.CLASSES.min_equal, C.CLASSES.max_differing) == (20, 80, 46, 213)
+    assert (C.FIVE_WORDS.bands, C.FIVE_WORDS.min_equal, C.FIVE_WORDS.max_differing) == (28, 60, 272)
+    assert C.Rule(1, 100).bands == 1
+    with pytest.raises(ValueError):
+        C.Rule(0, 85)
+
+
 def test_chain_of_links_and_star_centre_do_not_lose_a_link(make_docs):
     # 1..40 drift away word by word: neighbours are linked, ends are not
     base = [f"w{i}" for i in range(120)]

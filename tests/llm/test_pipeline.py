@@ -24,7 +24,7 @@ def test_pipeline_equals_a_brute_force_version(spark):
         data = np.frombuffer((r.text or "").encode(), dtype=np.uint8)
         if model.document_scores(*quality_crf.line_features(hasher, data, np.array([0, len(data)])))[0] >= 0.3:
             kept[i] = r
-    classes = near([(i, r.text) for i, r in kept.items()])
+    classes = near([(i, r.text) for i, r in kept.items()], 5, 80)
     kept = {i: r for i, r in kept.items() if classes[i][1] == i}
     items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
     bad = {row[0] for row in tainted([(i, r.text) for i, r in kept.items()], items) if row[4]}
