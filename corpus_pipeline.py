@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that of the smallest doc_id."""
-    return circulant.deduplicate(docs)
+    """One document of each group of near-duplicates (five words, 0.8) stays: that of the smallest doc_id."""
+    return circulant.deduplicate(docs, circulant.FIVE_WORDS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
