@@ -8,7 +8,8 @@ kept and searched again for another benchmark.
 ``search_phrases`` ships the test windows (in blocks of bounded size) to the segments.  In
 each segment the posting lists of a window are intersected, shifted by their offset in the
 window, beginning with the two rarest terms of the window in that segment.
-``search_near`` returns documents that hold all terms of a phrase within a span of words.
+``search_near`` returns the places around which a document holds all terms of a phrase within some words;
+``search_spans`` the documents in which a run of words, at most so many times as long as the item, has them all.
 
 Words: A-Z lower-cased, `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`, compared by 64-bit hash.
 Defined results: null or empty texts have no words, are never hit and stay in the result;
@@ -30,6 +31,8 @@ from callweave.llm.bytewords import WordHasher, alnum_words, text_chunks
 from callweave.llm.common import free_name, materialize, read_columns
 
 WINDOW = 13
+#: a run of words is near an item if it holds the item's words and is at most so many times as long
+STRETCH = 2
 #: documents in a segment are taken until their texts reach this size
 SEGMENT_BYTES = 3 << 20
 #: test tokens that are shipped to the segments at once (8 bytes each)
@@ -265,6 +268,94 @@ def _segment_rows(index: DataFrame) -> DataFrame:
     return index.select("segment", "n_words", "terms", "term_starts", "postings")
 
 
+def near_places(seg: Segment, rank: np.ndarray, within: int) -> np.ndarray:
+    """Positions of the rarest of some terms around which all of them occur, at most ``within`` words away."""
+    rank = rank[np.argsort(seg.counts[rank], kind="stable")]
+    _, pos = seg.postings(rank[:1])
+    doc = seg.doc_of(pos)
+    lo = np.maximum(pos - within, seg.doc_start[doc])
+    hi = np.minimum(pos + within, seg.doc_start[doc + 1] - 1)
+    for r in rank[1:]:
+        p = seg.pos[seg.starts[r]:seg.starts[r + 1]]
+        ok = np.searchsorted(p, hi, side="right") > np.searchsorted(p, lo)
+        pos, lo, hi = pos[ok], lo[ok], hi[ok]
+        if not len(pos):
+            break
+    return pos
+
+
+def has_span(seg: Segment, rank: np.ndarray, lo: int, hi: int, span: int) -> bool:
+    """Whether some ``span`` consecutive words between the positions ``lo`` and ``hi`` (exclusive) hold all terms.
+
+    An occurrence serves the runs that end on it or later, up to ``span`` - 1 words on or the term's next
+    occurrence, so the terms that a run holds are a running sum; time is linear in the words looked at."""
+    change = np.zeros(hi - lo + 1, dtype=np.int64)
+    for r in rank:
+        p = seg.pos[seg.starts[r]:seg.starts[r + 1]]
+        p = p[np.searchsorted(p, lo):np.searchsorted(p, hi)] - lo
+        if not len(p):
+            return False
+        change[p] += 1
+        change[np.minimum(np.append(p[1:], hi - lo), np.minimum(p + span, hi - lo))] -= 1
+    return bool((np.cumsum(change[:-1]) == len(rank)).any())
+
+
+class ItemTerms:
+    """The distinct terms of one block's items over a shared vocabulary."""
+
+    def __init__(self, items: list[tuple[str | None, np.ndarray]]):
+        self.items = [i for i, _ in items]
+        self.n_words = [len(h) for _, h in items]
+        terms = [np.unique(h) for _, h in items]
+        self.vocab, self.flat = np.unique(np.concatenate(terms), return_inverse=True)
+        self.at = np.concatenate(([0], np.cumsum([len(t) for t in terms])))
+
+
+def span_documents(seg: Segment, terms: ItemTerms, stretch: int) -> Iterator[tuple[str | None, np.ndarray]]:
+    """(item, documents): where a run of at most ``stretch`` times the item's words holds all its terms."""
+    rank = seg.ranks(terms.vocab)[terms.flat]
+    for k in np.flatnonzero(np.minimum.reduceat(rank, terms.at[:-1]) >= 0):
+        mine, span = rank[terms.at[k]:terms.at[k + 1]], stretch * terms.n_words[k]
+        pos = near_places(seg, mine, span - 1)
+        if not len(pos):
+            continue
+        doc, first = np.unique(seg.doc_of(pos), return_index=True)
+        if len(mine) > 1:
+            last = np.append(first[1:], len(pos)) - 1
+            lo = np.maximum(pos[first] - span + 1, seg.doc_start[doc])
+            hi = np.minimum(pos[last] + span, seg.doc_start[doc + 1])
+            doc = doc[[has_span(seg, mine, int(a), int(b), span) for a, b in zip(lo, hi)]]
+        if len(doc):
+            yield terms.items[k], doc
+
+
+def search_spans(index: DataFrame, items: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """(segment, ord, item_id): documents in which some run of consecutive words, at most ``stretch`` times as long
+    as the item, holds every distinct word of the item, in any order; one row per document and item text."""
+    if stretch < 1:
+        raise ValueError(f"a run is at least as long as its item, not {stretch} times")
+    spark = index.sparkSession
+    schema = "segment long, ord int, item_id string"
+    out = spark.createDataFrame([], schema)
+    for block in test_blocks(items):
+        shared = spark.sparkContext.broadcast(block)
+
+        def search(batches, shared=shared):
+            terms = ItemTerms(shared.value)
+            for batch in batches:
+                for row in batch.to_pylist():
+                    seg = Segment(row)
+                    if not len(seg.terms):
+                        continue
+                    for item, doc in span_documents(seg, terms, stretch):
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(np.full(len(doc), seg.id), pa.int64()), pa.array(doc, pa.int32()),
+                            pa.array([item] * len(doc), pa.string())], names=["segment", "ord", "item_id"])
+
+        out = out.unionByName(_segment_rows(index).mapInArrow(search, schema))
+    return out
+
+
 def search_near(index: DataFrame, items: DataFrame, within: int) -> DataFrame:
     """(segment, ord, item_id, first): places of an item's rarest term around which all the item's
     distinct terms occur at most ``within`` words away, in the same document."""
@@ -282,20 +373,13 @@ def search_near(index: DataFrame, items: DataFrame, within: int) -> DataFrame:
                         rank = seg.ranks(np.unique(h))
                         if (rank < 0).any():
                             continue
-                        rank = rank[np.argsort(seg.counts[rank], kind="stable")]
-                        _, pos = seg.postings(rank[:1])
-                        doc = seg.doc_of(pos)
-                        lo = np.maximum(pos - within, seg.doc_start[doc])
-                        hi = np.minimum(pos + within, seg.doc_start[doc + 1] - 1)
-                        ok = np.ones(len(pos), dtype=bool)
-                        for r in rank[1:]:
-                            p = seg.pos[seg.starts[r]:seg.starts[r + 1]]
-                            ok &= np.searchsorted(p, hi, side="right") > np.searchsorted(p, lo)
-                        if ok.any():
+                        pos = near_places(seg, rank, within)
+                        if len(pos):
+                            doc = seg.doc_of(pos)
                             yield pa.RecordBatch.from_arrays([
-                                pa.array(np.full(ok.sum(), seg.id), pa.int64()), pa.array(doc[ok], pa.int32()),
-                                pa.array([item] * int(ok.sum()), pa.string()),
-                                pa.array((pos - seg.doc_start[doc])[ok], pa.int32()),
+                                pa.array(np.full(len(pos), seg.id), pa.int64()), pa.array(doc, pa.int32()),
+                                pa.array([item] * len(pos), pa.string()),
+                                pa.array(pos - seg.doc_start[doc], pa.int32()),
                             ], names=["segment", "ord", "item_id", "first"])
 
         out = out.unionByName(_segment_rows(index).mapInArrow(search, schema))
@@ -312,15 +396,22 @@ def hit_counts(matches: DataFrame) -> DataFrame:
         .agg(F.sum("fresh").cast("long").alias("n_hit"), F.collect_set(F.struct("item_id"))["item_id"].alias("items"))  # keeps null
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, percent: int = 5) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, percent: int = 5,
+                  stretch: int | None = None) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, items (sorted array of strings, null last), contaminated.
 
-    Contaminated: some word is hit and hit words are at least ``percent`` % of all words."""
+    Contaminated: some word is hit and hit words are at least ``percent`` % of all words.  With ``stretch``
+    also n_near, the number of items (those without id count as one) that ``search_spans`` finds in the document."""
     index = build_index(docs)
     hits = hit_counts(search_phrases(index, items, window))
+    more = []
+    if stretch is not None:
+        near = search_spans(index, items, stretch).distinct().groupBy("segment", "ord").agg(F.count(F.lit(1)).alias("n_near"))
+        hits = hits.join(near, ["segment", "ord"], "full")
+        more = [F.coalesce("n_near", F.lit(0)).alias("n_near")]
     none = F.array().cast("array<string>")
     return documents_of(index).join(hits, ["segment", "ord"], "left").select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"),
+        "doc_id", *more, F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.array_sort(F.coalesce("items", none)).alias("items")) \
         .withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words")))
 

@@ -59,9 +59,9 @@ def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontam.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    found = decontam.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), stretch=decontam.STRETCH)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near")
 
 
 def fim_digests(docs: DataFrame) -> DataFrame:

@@ -108,3 +108,47 @@ def test_query_counts_items_without_id_as_one(spark, make_docs, tmp_path):
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     # as in the query's SQL: the null is counted once and not in the digest
     assert got == {1: (5, 2, sha("2")), 2: (3, 1, sha(""))}
+
+
+def brute_near(docs, items, stretch):
+    out = []
+    for doc_id, text in docs:
+        w, found = words(text), set()
+        for item, t in items:
+            need, span = set(words(t)), stretch * len(words(t))
+            if need and any(need <= set(w[e - span + 1 if e >= span else 0:e + 1]) for e in range(len(w))):
+                found.add(item)
+        out.append((doc_id, len(found)))
+    return sorted(out, key=repr)
+
+
+def test_runs_with_all_words_of_an_item_equal_brute_force(spark, make_docs):
+    rng = random.Random(9)
+    docs, items = fixture()
+    docs = [(i, t) for i, t in docs if len(t or "") < 5000]
+    for k in range(80):   # items in another order, with other words between them, or cut in two by the end of a text
+        w = words(items[k % 12][1])
+        rng.shuffle(w)
+        for _ in range(rng.randint(0, 2 * len(w))):
+            w.insert(rng.randint(0, len(w)), f"x{rng.randrange(9)}")
+        docs.append((1000 + k, " ".join(w)))
+    docs += [(2000, "alpha beta"), (2001, "gamma delta")]
+    items += [(54, "alpha beta gamma"), (None, "x1 x2"), (None, "x3"), (7, items[3][1])]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for stretch in (1, 2):
+        got = D.contamination(make_docs(docs), table, stretch=stretch)
+        want = brute_near(docs, items, stretch)
+        assert sorted(((r.doc_id, r.n_near) for r in got.collect()), key=repr) == want
+        assert sum(n for _, n in want) > 50
+    none = D.contamination(make_docs([(1, "a"), (2, None)]), table.limit(0), stretch=2)
+    assert {r.n_near for r in none.collect()} == {0}
+    assert D.contamination(make_docs([]), table, stretch=2).count() == 0
+
+
+def test_runs_of_common_words_take_linear_time(spark, make_docs):
+    import time
+    t0 = time.time()
+    docs = make_docs([(1, "the of " * 300_000), (2, "the " * 600_000 + "of"), (3, "the " * 600_000)])
+    items = spark.createDataFrame([(1, "of the"), (2, "the the the of the"), (3, "of the end")], "item_id long, text string")
+    got = {r.doc_id: r.n_near for r in D.contamination(docs, items, stretch=2).collect()}
+    assert got == {1: 2, 2: 2, 3: 0} and time.time() - t0 < 60
