@@ -30,14 +30,14 @@ its AS (
   SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
   FROM (SELECT DISTINCT r, item_id FROM occ) GROUP BY r),
 bn AS (SELECT row_number() OVER () AS b, item_id, w, 2 * len(w) AS span, len(list_distinct(w)) AS terms FROM bl),
-at AS (
+met AS (
   SELECT r, b, p, t, span, terms
   FROM (SELECT r, unnest(w) AS t, unnest(generate_series(1, len(w))) AS p FROM dw)
   JOIN (SELECT b, span, terms, unnest(list_distinct(w)) AS t FROM bn) USING (t)),
-full_at AS (SELECT * FROM at SEMI JOIN (SELECT r, b FROM at GROUP BY r, b, terms HAVING count(DISTINCT t) = terms) USING (r, b)),
+full_met AS (SELECT * FROM met SEMI JOIN (SELECT r, b FROM met GROUP BY r, b, terms HAVING count(DISTINCT t) = terms) USING (r, b)),
 spans AS (
   SELECT r, b, terms, count(DISTINCT t) OVER (PARTITION BY r, b ORDER BY p RANGE BETWEEN CURRENT ROW AND span - 1 FOLLOWING) AS c
-  FROM full_at),
+  FROM full_met),
 near AS (
   SELECT r, count(*) AS n_near
   FROM (SELECT DISTINCT r, item_id FROM spans JOIN bn USING (b) WHERE c = spans.terms) GROUP BY r)
