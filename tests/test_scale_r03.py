@@ -78,3 +78,18 @@ def test_scan_sources_counts_every_unit(spark):
     row = QUERIES["scan_sources"](spark, SF0001).first()
     assert row.files == m.count() + m.select("class_fqn").distinct().count()
     assert row.name_chars == m.agg(F.sum(F.length("method"))).first()[0]
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    from callweave.llm.common import table
+    from callweave.session import BATCH_BYTES
+    table(spark, SF0001, "documents")
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], names=["n"])
+
+    texts = spark.range(40, numPartitions=1).select(F.expr("repeat('x', 1 << 20)").alias("text"))
+    found = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 40 << 20 and max(found) <= BATCH_BYTES + (2 << 20)
