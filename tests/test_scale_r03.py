@@ -93,3 +93,14 @@ def test_texts_go_to_python_in_small_batches(spark):
     texts = spark.range(40, numPartitions=1).select(F.expr("repeat('x', 1 << 20)").alias("text"))
     found = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
     assert sum(found) >= 40 << 20 and max(found) <= BATCH_BYTES + (2 << 20)
+
+
+def test_a_graph_of_equal_pairs_takes_one_block(spark):
+    from callweave.operators.cluster import merges_rounds
+    n = 460
+    line = spark.range(n * n, numPartitions=2)
+    eid = line.select(F.lit("p").alias("project"), F.floor(F.col("id") / n).alias("a"), (F.col("id") % n).alias("b"),
+                      F.lit(1).cast("long").alias("s")).filter("a < b")
+    counts = spark.createDataFrame([("p", n, n * (n - 1) // 2)], "project string, n long, n_edges long")
+    merges, steps = merges_rounds(eid, counts)
+    assert merges.count() == n - 1 and steps == 1
