@@ -104,3 +104,28 @@ def test_a_graph_of_equal_pairs_takes_one_block(spark):
     counts = spark.createDataFrame([("p", n, n * (n - 1) // 2)], "project string, n long, n_edges long")
     merges, steps = merges_rounds(eid, counts)
     assert merges.count() == n - 1 and steps == 1
+
+
+def test_next_lines_are_found_without_a_join(spark):
+    from callweave.sources.fixtures import consecutive_part_pairs
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "false")  # so that the long order spans tasks
+    try:
+        rows = [(1, i, i + 100, 0) for i in range(400)] + [(2, 0, 7, 0), (2, 1, None, 0), (2, 2, 7, 1), (None, 0, 7, 0), (None, 1, 8, 0),
+                                                           (3, 0, 5, 0), (3, 0, 5, 0), (3, 0, 6, 0), (4, 0, 9, 0)]
+        li = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
+        pairs = consecutive_part_pairs(li)
+        assert "Join" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+        got = [tuple(r) for r in pairs.collect()]
+    finally:
+        spark.conf.set(key, kept)
+    assert len(got) == len(set(got))
+    assert set(got) == {(i + 100, i + 101) for i in range(399)} | {(7, None), (None, 7), (5, 5), (5, 6)}
+
+
+def test_corpus_callers_are_numbers_until_they_are_distinct(spark):
+    from callweave.sources.corpus import corpus_invocations, corpus_methods
+    inv = corpus_invocations(spark, SF0001, corpus_methods(spark, SF0001))
+    assert not [x for x in _hash_exchanges(inv) if "caller#" in x and "callee_simple#" in x]
+    assert inv.count() == inv.distinct().count()
