@@ -129,3 +129,20 @@ def test_corpus_callers_are_numbers_until_they_are_distinct(spark):
     inv = corpus_invocations(spark, SF0001, corpus_methods(spark, SF0001))
     assert not [x for x in _hash_exchanges(inv) if "caller#" in x and "callee_simple#" in x]
     assert inv.count() == inv.distinct().count()
+
+
+def test_bodies_of_methods_are_written_once_for_all_sources(spark, monkeypatch):
+    from callweave import session
+    from callweave.plans.catalog import QUERIES
+    from callweave.plans.context import Analysis, _CONTEXTS
+    from callweave.sources.render import method_bodies
+    inv = spark.createDataFrame([("p", 1, "b"), ("p", 1, "a"), ("p", 1, "b"), ("p", 2, None), ("q", 1, "c")],
+                                "project string, method_ord long, callee_simple string")
+    bodies = method_bodies(inv)
+    assert len(_hash_exchanges(bodies)) == 1
+    assert {tuple(r) for r in bodies.collect()} == {("p", 1, "a(); b();"), ("p", 2, ""), ("q", 1, "c();")}
+    written, keep = [], session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df, name="t": written.append(name) or keep(df, name))
+    monkeypatch.setitem(_CONTEXTS, (id(spark), SF0001), Analysis(spark, SF0001))
+    assert QUERIES["scan_sources"](spark, SF0001).count() == 1
+    assert written.count("method_bodies") == 1
