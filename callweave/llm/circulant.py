@@ -10,10 +10,11 @@ Candidates never expand into all pairs of a bucket.  First a bucket tests its me
 one centre (the member that meets most others over all its bands); links are confirmed on the
 full shingle sets, and components are contracted.  A bucket whose members are all in one
 component is finished.  Members of the others get a long sketch (2048 coordinates of the same
-circulant family, one bit each); pairs of a bucket in different components are compared by
-it inside the join, and only those it cannot exclude leave the join for the exact test.  So no
+circulant family, one bit each).  A bucket is cut into blocks of about 512 members, and each pair of
+its blocks is a group of rows; within it the pairs in different components are compared by that sketch, and
+only those it cannot exclude leave the task for the exact test.  So no
 link between different texts is lost, and a large group of copies that differ more than the
-threshold gives few rows.  The filters exclude pairs whose short sketch lies 7, or whose long sketch
+threshold gives few rows, is spread over many tasks and costs a few array steps a pair.  The filters exclude pairs whose short sketch lies 7, or whose long sketch
 lies 5, standard deviations below the threshold (at 0.85: under 46 of 80 equal coordinates where 68 are
 expected, over 213 of 2048 differing bits where 154 are expected); sizes that exclude the threshold are left out too.
 
@@ -53,6 +54,8 @@ MAX_MISS = 5e-7
 MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 20, 1 << 28
 #: pairs of one set that are compared with one copy of it
 PAIRS_PER_COPY = 1024
+#: members of an open bucket that are compared as one block, and pairs that a task holds at once
+BLOCK, PAIRS_AT_ONCE = 512, 1 << 15
 
 #: a row's doc_id and the key of its text
 KEY = ["doc_id", "k1", "k2"]
@@ -322,15 +325,16 @@ def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_members(buckets: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members, with their components, of the buckets that are still in two components."""
+    """Members, with their components and the bucket's size, of the buckets that are still in two components."""
     named = materialize(buckets.join(comp, "id", "left").select("key", "band", "id", "n", F.coalesce(
         "component", "id").alias("comp")), "bucket_components")
-    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    return materialize(named.join(mixed, "key", "left_semi"), "open_buckets")
+    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                     F.count(F.lit(1)).alias("size")).filter("lo <> hi")
+    return materialize(named.join(mixed.select("key", "size"), "key"), "open_buckets")
 
 
 def _long_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, bits): the lowest bit of LONG coordinates, as 64-bit words."""
+    """(id, bands, bits): the lowest bit of LONG coordinates, as 64-bit words."""
     for batch in batches:
         ids, values = batch.column("id").to_pylist(), batch.column("members")
         for lo in range(0, batch.num_rows, 200):
@@ -338,27 +342,78 @@ def _long_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.concatenate(([0], np.cumsum([len(x) for x in sets])))[:-1]
             sig = circulant_signature(np.concatenate(sets), at, LONG) & np.uint32(1)
             words = np.packbits(sig.astype(np.uint8), axis=1).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[lo:lo + 200], pa.int64()),
-                                              pa.array(list(words), pa.list_(pa.int64()))], names=["id", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[lo:lo + 200], pa.int64()), batch.column("bands").slice(lo, 200),
+                                              pa.array(list(words), pa.list_(pa.int64()))], names=["id", "bands", "bits"])
+
+
+def _block_rows(members: DataFrame) -> DataFrame:
+    """Members once for every pair (i, j), i <= j, of blocks of their bucket that holds theirs; side 1 is block j of two."""
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK))
+    rows = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks)) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                       (F.col("own") > F.col("other")).cast("int").alias("side"), "band", "id", "n", "comp", "bands", "bits")
+
+
+def _compare(rows: pa.RecordBatch, starts: np.ndarray, rule: Rule) -> Iterator[pa.RecordBatch]:
+    """The pairs of the groups that begin at ``starts``: of members of one block, or of one block with the other."""
+    ids, n, comp, band, i, j, side = (rows.column(c).to_numpy() for c in ("id", "n", "comp", "band", "i", "j", "side"))
+    # unsigned, as bitwise_count takes the absolute value
+    bands, bits = (rows.column(c).flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, -1) for c in ("bands", "bits"))
+    ends = np.append(starts[1:], rows.num_rows)
+    sizes = ends - starts
+    other = np.repeat(starts + np.add.reduceat(side == 0, starts, dtype=np.int64), sizes)
+    first = np.where(i == j, np.arange(rows.num_rows) + 1, other)
+    counts = np.where(side == 0, np.repeat(ends, sizes) - first, 0)
+    upto = np.cumsum(counts)
+    lo = 0
+    while lo < rows.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] - counts[lo] + PAIRS_AT_ONCE, "right")))
+        c = counts[lo:hi]
+        x = np.repeat(np.arange(lo, hi), c)
+        y = np.repeat(first[lo:hi] - (np.cumsum(c) - c), c) + np.arange(len(x))
+        lo = hi
+        fits = (comp[x] != comp[y]) & (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * rule.percent)
+        x, y = x[fits], y[fits]
+        # a pair is taken in the first band that it shares
+        before = np.arange(bands.shape[1]) < band[x][:, None]
+        fits = ~((bands[x] == bands[y]) & before).any(axis=1)
+        x, y = x[fits], y[fits]
+        fits = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64) <= rule.max_differing
+        a, b = ids[x[fits]], ids[y[fits]]
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _near_pairs(rule: Rule) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pairs that the long sketch cannot exclude, of rows sorted by key, i, j and side."""
+    def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last group, which the next batch may go on with
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            group = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
+            starts = np.concatenate(([0], np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1))
+            held = rows.slice(starts[-1])
+            if len(starts) > 1:
+                yield from _compare(rows.slice(0, starts[-1]), starts[:-1], rule)
+        if held is not None:
+            yield from _compare(held, np.zeros(1, dtype=np.int64), rule)
+
+    return pairs
 
 
 def _rest_pairs(members: DataFrame, reps: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of a bucket that are in two components and that the long sketch cannot exclude.
 
-    A pair leaves the join in the first band that it shares, and so once."""
+    A pair is taken in the first band that it shares, and so once."""
     ids = members.select("id").distinct()
-    bits = materialize(sets.join(ids, "id", "left_semi").select("id", "members")
-                       .mapInArrow(_long_bits, "id long, bits array<bigint>"), "long_sketch")
-    one = members.join(bits.join(reps.select("id", "bands"), "id"), "id")
-    two = one.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bcomp"),
-                     F.col("bits").alias("bbits"), F.col("bands").alias("bbands"))
-    differing = sum((F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("bbits", F.lit(i))))
-                     for i in range(LONG // 64)), F.lit(0))
-    alike = (F.col("id") < F.col("b")) & (F.col("comp") != F.col("bcomp")) & _size_fits("n", "bn", rule.percent) \
-        & (differing <= rule.max_differing)
-    for i in range(rule.bands - 1):
-        alike &= (F.col("band") <= i) | (F.get("bands", F.lit(i)) != F.get("bbands", F.lit(i)))
-    return one.join(two, (one["key"] == two["key"]) & alike).select(F.col("id").alias("a"), "b")
+    bits = materialize(sets.join(ids, "id", "left_semi").join(reps.select("id", "bands"), "id").select("id", "bands", "members")
+                       .mapInArrow(_long_bits, "id long, bands array<bigint>, bits array<bigint>"), "long_sketch")
+    group = ["key", "i", "j"]
+    return _block_rows(members.join(bits, "id")).repartition(*group).sortWithinPartitions(*group, "side") \
+        .mapInArrow(_near_pairs(rule), "a long, b long")
 
 
 def _classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame]:

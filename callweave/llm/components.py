@@ -22,18 +22,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return turned.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether the components are stars: no u has two edges or is the v of another one."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up")) \
+        .unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    ends = ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return ends.filter("down > 1 OR (down = 1 AND up = 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) for every node of ``edges`` (a, b long); component is the smallest id.
 
     Loops and repeated edges are allowed; an empty table gives an empty result."""
     now = materialize(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v")
                       .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star")
-    mark = None
-    while True:
+    while not _is_forest(now):
         now = materialize(_small_star(_large_star(now)), "star")
-        seen = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if seen == mark:
-            break
-        mark = seen
     roots = now.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("component"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)

@@ -1,10 +1,13 @@
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from callweave.llm import circulant as C
+from callweave.llm import components
 from callweave.llm.components import connected_components
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -196,3 +199,68 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 1 for i in range(1, 61)) and all(got[i] == 200 for i in range(200, 240)) and got[300] == 299
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_are_not_written_again_once_they_are_stars(spark, monkeypatch):
+    written = []
+    real = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: written.append(name) or real(df, name))
+    edges = [(i, i + 100) for i in range(10)] + [(20, 21), (20, 22), (22, 20)]
+    got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: i for i in range(10)}, **{i + 100: i for i in range(10)}, 20: 20, 21: 20, 22: 20}
+    assert len(written) == 1
+
+
+def test_a_large_open_bucket_is_compared_in_blocks(make_docs, monkeypatch):
+    """Drafts of one text, each three words on from the last: most pairs miss the threshold, and no centre links all."""
+    rows = [(n, " ".join([f"x{i}" for i in range(3 * n)] + [f"w{i}" for i in range(3 * n, 120)])) for n in range(40)]
+    rows += [(100 + n, " ".join([f"z{i}" for i in range(9 * n)] + [f"w{i}" for i in range(9 * n, 120)])) for n in range(1, 9)]
+    monkeypatch.setattr(C, "BLOCK", 7)
+    monkeypatch.setattr(C, "PAIRS_AT_ONCE", 50)
+    groups = []
+    real = C._block_rows
+    monkeypatch.setattr(C, "_block_rows", lambda members: groups.append(real(members)) or groups[0])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in C.near_duplicate_classes(make_docs(rows, id=7)).collect()}
+    assert got == brute(rows)
+    sizes = [r["count"] for r in groups[0].groupBy("key", "i", "j").count().collect()]
+    assert len(sizes) > 50 and max(sizes) <= 30
+
+
+def bucket_rows(count, rule=C.CLASSES, blocks=3, seed=3):
+    """Rows of one bucket as ``_near_pairs`` takes them, and its members: (id, n, comp, bands, bits)."""
+    rng = np.random.default_rng(seed)
+    bits = rng.integers(0, 2, C.LONG).astype(np.uint8)
+    members = []
+    for k in range(count):
+        own = bits ^ (rng.random(C.LONG) < 0.058).astype(np.uint8)
+        members.append((k, int(rng.integers(90, 111)), int(rng.integers(0, count // 2)), [int(x) for x in rng.integers(0, 4, rule.bands)],
+                        np.packbits(own).view(np.int64)))
+    for m in members:
+        m[3][5] = 77
+    rows = []
+    for i in range(blocks):
+        for j in range(i, blocks):
+            rows += [(1, i, j, int(m[0] % blocks == j and j != i), 5, *m) for m in members if m[0] % blocks in (i, j)]
+    rows.sort(key=lambda r: r[:4])
+    names = ["key", "i", "j", "side", "band", "id", "n", "comp", "bands", "bits"]
+    return pa.RecordBatch.from_arrays([pa.array([r[c] if c < 9 else list(r[c]) for r in rows]) for c in range(10)], names=names), members
+
+
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_pairs_of_blocks_are_the_pairs_of_the_bucket(step, monkeypatch):
+    monkeypatch.setattr(C, "PAIRS_AT_ONCE", 64)
+    rows, members = bucket_rows(40)
+    batches = [rows.slice(lo, step) for lo in range(0, rows.num_rows, step)]
+    got = [(a, b) for out in C._near_pairs(C.CLASSES)(batches) for a, b in zip(*(c.to_pylist() for c in out.columns))]
+    want = [(p[0], q[0]) for p in members for q in members if p[0] < q[0] and p[2] != q[2]
+            and 100 * min(p[1], q[1]) >= 85 * max(p[1], q[1]) and not any(p[3][i] == q[3][i] for i in range(5))
+            and sum(bin(int(x) ^ int(y)).count("1") for x, y in zip(p[4].view(np.uint64), q[4].view(np.uint64))) <= C.CLASSES.max_differing]
+    assert 0 < len(want) < 40 * 39 // 2 and sorted(got) == want
+
+
+def test_pairs_of_a_bucket_cost_microseconds():
+    rows, _ = bucket_rows(1500, blocks=1)
+    start = time.process_time()
+    pairs = sum(out.num_rows for out in C._near_pairs(C.CLASSES)([rows]))
+    # about a million pairs; inside the join each took some 30 microseconds
+    assert pairs > 10000 and time.process_time() - start < 10
