@@ -1,5 +1,7 @@
 """Steps that must leave the driver small or take graphs of any size at once."""
 
+from pyspark.sql import functions as F
+
 from tests.conftest import SF0001
 
 
@@ -13,3 +15,14 @@ def test_resolution_of_scanned_files_reads_no_texts(spark):
     read = {f.split("/callweave-tables/")[-1].split("/")[0].rsplit("-", 1)[0] for f in found.inputFiles()}
     assert {"ordered_calls", "ordered_methods"} <= read and not {"scan", "scanned_facts", "file_order"} & read, read
     assert found.count() == found.distinct().count() > 0
+
+
+def test_a_graph_of_millions_of_edges_takes_one_block(spark):
+    from callweave.operators.cluster import merges_rounds
+    n = 2100  # 4.4 million incident edges
+    line = spark.range(n * n, numPartitions=4)
+    eid = line.select(F.lit("p").alias("project"), F.floor(F.col("id") / n).alias("a"), (F.col("id") % n).alias("b"),
+                      F.lit(1).cast("long").alias("s")).filter("a < b")
+    counts = spark.createDataFrame([("p", n, n * (n - 1) // 2)], "project string, n long, n_edges long")
+    merges, steps = merges_rounds(eid, counts)
+    assert merges.count() == n - 1 and steps == 1
