@@ -26,3 +26,16 @@ def test_a_graph_of_millions_of_edges_takes_one_block(spark):
     counts = spark.createDataFrame([("p", n, n * (n - 1) // 2)], "project string, n long, n_edges long")
     merges, steps = merges_rounds(eid, counts)
     assert merges.count() == n - 1 and steps == 1
+
+
+def test_names_are_not_broadcast(spark):
+    from callweave.operators.resolve import resolve_sequential
+    methods = spark.createDataFrame([("p", f"A{i % 3}", f"m{i % 5}", i, i) for i in range(9)],
+                                    "project string, class_fqn string, method string, file_ord long, method_ord long")
+    calls = spark.createDataFrame([("p", "A0.m0", 2, 2, f"m{i}") for i in range(6)],
+                                  "project string, caller string, file_ord long, method_ord long, callee_simple string")
+    found = resolve_sequential(calls, methods)
+    assert {r.callee for r in found.collect()} == {"A0.m0", "A1.m1", "A2.m2", "m3", "A1.m4", "m5"}
+    run = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    assert not [x for x in run if "BroadcastHashJoin" in x and "method#" in x and "LeftSemi" not in x], run
+    assert any("SortMergeJoin" in x for x in run)
